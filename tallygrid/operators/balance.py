@@ -21,14 +21,14 @@ def batch_count(items: int, per_batch: int | None = None, batches: int | None =
     return math.ceil(items / per_batch) if per_batch is not None else min(batches, items)
 
 
-def round_robin(items: DataFrame, order: list[Column], per_batch: int | None = None, batches: int | None = None) -> DataFrame:
+def round_robin(items: DataFrame, order: list[Column | str], per_batch: int | None = None, batches: int | None = None) -> DataFrame:
     """`batch_id` = position in the global order, modulo the number of batches."""
     n = batch_count(items.count(), per_batch, batches)
     return index_rows(items, order, "position").withColumn("batch_id", F.col("position") % max(n, 1)).drop("position")
 
 
 def longest_first(
-    items: DataFrame, weight: str, order: list[Column], batches: int, groups: list[str] | None = None
+    items: DataFrame, weight: str, order: list[Column | str], batches: int, groups: list[str] | None = None
 ) -> DataFrame:
     """Longest-processing-time assignment: heaviest item first, always to the lightest batch.
 
@@ -42,14 +42,14 @@ def longest_first(
     if not groups:
         groups, keyed = ["_all"], items.withColumn("_all", F.lit(0))
     keyed = keyed.withColumn("_w", F.round(F.col(weight) / WEIGHT_UNIT).cast("bigint"))
-    indexed = index_rows(keyed, [F.col(g) for g in groups] + [F.col("_w").desc()] + order, "_global", "lpt")
+    indexed = index_rows(keyed, groups + [F.col("_w").desc()] + order, "_global", "lpt")
     classes = indexed.groupBy(*groups, "_w").agg(F.count("*").alias("_n"), F.min("_global").alias("_start"))
     plans = _fold_classes(classes, groups, batches)
 
     slot = F.col("_global") - F.col("_start")
     cycle = F.element_at(F.filter("_cycles", lambda c: c["slot"] <= slot), -1)
     offset = F.pmod(slot - cycle["slot"], F.size(cycle["batches"])).cast("int")
-    return indexed.join(broadcast_if_small(plans), [*groups, "_w"]).select(
+    return indexed.join(broadcast_if_small(plans, derived=True), [*groups, "_w"]).select(
         *items.columns, F.get(cycle["batches"], offset).cast("bigint").alias("batch_id")
     )
 
@@ -72,10 +72,11 @@ def _fold_classes(classes: DataFrame, groups: list[str], batches: int) -> DataFr
 
         def fill(weight, count):
             """Cycles of `count` equal items, and the loads after them."""
-            ranked = sorted(range(batches), key=lambda b: (loads[b], b))
             if count == 1 or weight == 0:
-                loads[ranked[0]] += weight * count
-                return [{"slot": 0, "batches": [ranked[0]]}]
+                lightest = min(range(batches), key=loads.__getitem__)
+                loads[lightest] += weight * count
+                return [{"slot": 0, "batches": [lightest]}]
+            ranked = sorted(range(batches), key=lambda b: (loads[b], b))
             cycles = []
             for m, joining in enumerate(ranked):
                 level = loads[joining]
@@ -116,7 +117,8 @@ def batch_sizes(assigned: DataFrame, keys: list[str] | None = None) -> DataFrame
 def batch_loads(assigned: DataFrame, weight: str, batches: int, groups: list[str]) -> DataFrame:
     """Items and load of every batch, the empty ones included."""
     loads = assigned.groupBy(*groups, "batch_id").agg(F.count("*").alias("n_items"), F.sum(weight).alias("load"))
-    everything = loads.select(*groups).distinct().withColumn("batch_id", F.explode(F.sequence(F.lit(0), F.lit(batches - 1))).cast("bigint"))
+    every_batch = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(batches - 1).cast("bigint")))
+    everything = loads.select(*groups).distinct().select(*groups, every_batch.alias("batch_id"))
     return everything.join(loads, [*groups, "batch_id"], "left").na.fill(0, ["n_items", "load"])
 
 
@@ -155,8 +157,9 @@ def shared_items(assigned: DataFrame, item: str = "path") -> DataFrame:
     return per_batch.groupBy(item).agg(F.count("*").alias("n_batches"), F.sum("copies").alias("copies")).filter("n_batches > 1")
 
 
-def batch_labels(assigned: DataFrame, label: Column, groups: list[str] | None = None) -> DataFrame:
-    """Report line per batch: its labels, sorted and joined."""
-    return assigned.groupBy(*(groups or []), "batch_id").agg(
-        F.array_join(F.sort_array(F.collect_list(label)), ", ").alias("labels")
-    )
+def batch_labels(assigned: DataFrame, label: Column) -> DataFrame:
+    """One row per experiment of a batch with its short label, in sorted order.
+
+    Rows and not one joined text: a batch may hold any number of experiments.
+    """
+    return assigned.select("batch_id", label.alias("label")).sort("batch_id", "label")

@@ -73,7 +73,7 @@ def evaluate(measured_shots: DataFrame, per_task: DataFrame, measured: str = "me
     Nothing is shuffled by shot: the definitions are joined per task and each
     parity is computed inside the row.
     """
-    return measured_shots.join(broadcast_if_small(per_task), "task_id").select(
+    return measured_shots.join(broadcast_if_small(per_task, derived=True), "task_id").select(
         *[c for c in measured_shots.columns if c != measured],
         parities(F.col(measured), F.col("det_positions")).alias("det"),
         parities(F.col(measured), F.col("obs_positions")).alias("obs"),
@@ -85,7 +85,7 @@ def evaluate_long(measurements: DataFrame, targets: DataFrame, total: Column | i
     n = F.lit(total) if isinstance(total, int) else total
     named = targets.select("task_id", "kind", "id", (n + F.col("rec_offset")).alias("idx"))
     return (
-        measurements.join(broadcast_if_small(named), ["task_id", "idx"])
+        measurements.join(broadcast_if_small(named, derived=True), ["task_id", "idx"])
         .groupBy("task_id", "shot_id", "kind", "id")
         .agg((F.bit_xor("bit") == 1).alias("fired"))
     )

@@ -18,7 +18,7 @@ SLICE = "_slice"
 POSITION = "_position"
 
 
-def _sorted_slices(df: DataFrame, order: list[Column], tag: str) -> DataFrame:
+def _sorted_slices(df: DataFrame, order: list[Column | str], tag: str) -> DataFrame:
     """Range partition and sort by `order`; add the slice id and the position in the slice."""
     row = F.monotonically_increasing_id()  # partition number in the bits above 33, row number below
     slices = (
@@ -32,7 +32,7 @@ def _sorted_slices(df: DataFrame, order: list[Column], tag: str) -> DataFrame:
     return materialize(slices, tag)
 
 
-def index_rows(df: DataFrame, order: list[Column], name: str = "row_index", tag: str = "index") -> DataFrame:
+def index_rows(df: DataFrame, order: list[Column | str], name: str = "row_index", tag: str = "index") -> DataFrame:
     """Add the 0-based position of each row in the global order. `order` has to be total."""
     slices = _sorted_slices(df, order, tag)
     before = Window.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
@@ -50,20 +50,20 @@ def group_starts(indexed: DataFrame, groups: list[str], name: str = "row_index")
     return indexed.groupBy(*groups).agg(F.count("*").alias("group_size"), F.min(name).alias("group_start"))
 
 
-def rank_within(df: DataFrame, groups: list[str], order: list[Column], name: str = "rank") -> DataFrame:
+def rank_within(df: DataFrame, groups: list[str], order: list[Column | str], name: str = "rank") -> DataFrame:
     """Add the 0-based rank of each row in its group; a group may be of any size."""
-    indexed = index_rows(df, [F.col(g) for g in groups] + order, "_global", "rank")
+    indexed = index_rows(df, groups + order, "_global", "rank")
     starts = group_starts(indexed, groups, "_global").drop("group_size")
     return (
-        indexed.join(broadcast_if_small(starts), groups)
+        indexed.join(broadcast_if_small(starts, derived=True), groups)
         .withColumn(name, F.col("_global") - F.col("group_start"))
         .drop("_global", "group_start")
     )
 
 
-def preceding_totals(df: DataFrame, key: str, order: list[Column], values: list[str], suffix: str = "_before") -> DataFrame:
+def preceding_totals(df: DataFrame, key: str, order: list[Column | str], values: list[str], suffix: str = "_before") -> DataFrame:
     """Add, for each value column, its sum over the earlier rows of the same key."""
-    slices = _sorted_slices(df, [F.col(key)] + order, "running")
+    slices = _sorted_slices(df, [key] + order, "running")
     earlier = Window.partitionBy(key).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     sums = slices.groupBy(key, SLICE).agg(*[F.sum(v).alias(v) for v in values])
     # A slice can go on with at most one key begun in an earlier slice, so the

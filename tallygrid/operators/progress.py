@@ -13,7 +13,7 @@ def end_reason(shots: Column, errors: Column, max_shots: Column | int, max_error
     return F.when(errors >= max_errors, F.lit("max_errors")).when(shots >= max_shots, F.lit("max_shots"))
 
 
-def stop_rule(fragments: DataFrame, order: list[Column], max_shots: int, max_errors: int, key: str = "strong_id") -> DataFrame:
+def stop_rule(fragments: DataFrame, order: list[Column | str], max_shots: int, max_errors: int, key: str = "strong_id") -> DataFrame:
     """Fragments that count: those begun before either limit was met.
 
     The last kept fragment may overshoot. An id may hold any share of the rows.

@@ -22,9 +22,9 @@ def apply_reference(raw: Column, reference: Column, use_reference: Column | bool
     return F.when(flag, B.xor_bits(raw, reference)).otherwise(raw)
 
 
-def with_tasks(shots: DataFrame, tasks: DataFrame) -> DataFrame:
-    """Attach task columns (masks, sizes) to shots."""
-    return shots.join(broadcast_if_small(tasks), "task_id")
+def with_tasks(shots: DataFrame, tasks: DataFrame, derived: bool = False) -> DataFrame:
+    """Attach task columns (masks, sizes) to shots. `derived` tells that `tasks` is not a stored table."""
+    return shots.join(broadcast_if_small(tasks, derived=derived), "task_id")
 
 
 def join_predictions(shots: DataFrame, predictions: DataFrame) -> DataFrame:
@@ -97,30 +97,29 @@ def shot_counters(classified: DataFrame, combos: DataFrame | None = None) -> Dat
 
 
 def detector_counts(shots: DataFrame, width: int, keys: list[str] | None = None, chunk: int = 64) -> DataFrame:
-    """Shots and fired shots per detector, for vectors of up to `width` bits.
+    """Shots and fired shots per detector. `width` is the longest vector; those of one key are equally long.
 
     A shot is repeated once per `chunk` detectors and not once per detector; the
     chunk is summed as columns, and only the aggregate is turned to long form.
     """
     keys = keys or ["task_id"]
     chunks = math.ceil(width / chunk)
-    rows = shots.select(*keys, "det")
-    if chunks > 1:
-        rows = rows.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
-    else:
-        rows = rows.withColumn("_chunk", F.lit(0))
-    per_chunk = min(chunk, width)
-
-    def bit(j: int) -> Column:
-        return F.get("det", F.col("_chunk") * chunk + j)
-
-    sums = rows.groupBy(*keys, "_chunk").agg(
-        *[F.struct(F.count(bit(j)).alias("shots"), F.count_if(bit(j)).alias("fired")).alias(f"_{j}") for j in range(per_chunk)]
+    numbers = F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))) if chunks > 1 else F.lit(0)
+    places = range(min(chunk, width))
+    sums = (
+        shots.select(*keys, "det", numbers.alias("_chunk"))
+        .groupBy(*keys, "_chunk")
+        .agg(
+            F.count("*").alias("shots"),
+            F.max(F.size("det")).alias("_width"),
+            *[F.count_if(F.get("det", F.col("_chunk") * chunk + j)).alias(f"_{j}") for j in places],
+        )
     )
+    det_id = F.col("_chunk") * chunk + F.col("_place")
     return (
-        sums.select(*keys, "_chunk", F.posexplode(F.array(*[F.col(f"_{j}") for j in range(per_chunk)])).alias("_j", "_c"))
-        .select(*keys, (F.col("_chunk") * chunk + F.col("_j")).cast("bigint").alias("det_id"), "_c.shots", "_c.fired")
-        .filter("shots > 0")
+        sums.select(*keys, "_chunk", "shots", "_width", F.posexplode(F.array(*[F.col(f"_{j}") for j in places])).alias("_place", "fired"))
+        .filter(det_id < F.col("_width"))
+        .select(*keys, det_id.cast("bigint").alias("det_id"), "shots", "fired")
     )
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tallygrid.operators import checks
 from tallygrid.operators.combine import combine, union_fragments
 from tallygrid.operators.progress import remaining_work
-from tallygrid.operators.shots import classify_shots
+from tallygrid.operators.shots import classify_shots, with_tasks
 from tallygrid.schema import STATS
 
 if TYPE_CHECKING:
@@ -40,8 +40,6 @@ def collect(tasks: DataFrame, samplers: dict[str, Sampler], parallelism: int | N
 
 def collect_shots(shots: DataFrame, tasks: DataFrame) -> DataFrame:
     """Counter rows of shots that exist as a table: `tasks` gives each its id, decoder and masks."""
-    from tallygrid.operators.shots import with_tasks
-
     counted = classify_shots(with_tasks(shots, tasks), ["task_id", "decoder"])
     return counted.withColumnRenamed("task_id", "strong_id")
 

@@ -64,12 +64,14 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, derived: bool = False) -> DataFrame:
     """Hint a broadcast only after a bounded count proved the side small.
 
     A larger side stays unhinted: Spark then uses a shuffled join, whose hot
-    partitions adaptive execution splits.
+    partitions adaptive execution splits. A `derived` side is written first, so
+    that the count does not compute it a second time.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    side = materialize(df, "side") if derived else df
+    if side.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(side)
+    return side

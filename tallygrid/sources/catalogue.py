@@ -29,9 +29,9 @@ def read_timings(spark: SparkSession, path: str) -> DataFrame:
         spark.read.schema(TIMINGS)
         .option("header", True)
         .csv(path)
-        .select("*", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_seq"))
+        .select("*", F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id()).alias("_order"))
     )
-    return latest_timings(rows.withColumn("_order", F.struct("_file", "_seq")), ["K", "p"], "_order")
+    return latest_timings(rows, ["K", "p"], "_order")
 
 
 def split_by_name(catalogue: DataFrame, parse, required: list[str]) -> tuple[DataFrame, DataFrame]:

@@ -25,10 +25,10 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
     )
 
 
-def _csv(spark: SparkSession, schema: T.StructType):
+def _csv(spark: SparkSession, schema: T.StructType, header: bool):
     return (
         spark.read.schema(schema)
-        .option("header", True)
+        .option("header", header)
         .option("quote", '"')
         .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", True)
@@ -38,10 +38,16 @@ def _csv(spark: SparkSession, schema: T.StructType):
     )
 
 
-def read_raw(spark: SparkSession, paths: str | list[str], pattern: str = "*.csv", schema: T.StructType = STATS_RAW) -> DataFrame:
+def read_raw(
+    spark: SparkSession,
+    paths: str | list[str],
+    pattern: str = "*.csv",
+    schema: T.StructType = STATS_RAW,
+    header: bool = True,
+) -> DataFrame:
     """All rows of the matching files, malformed ones included, with their file path."""
     return (
-        _csv(spark, schema)
+        _csv(spark, schema, header)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", pattern)
         .csv(paths)
@@ -138,16 +144,18 @@ def read_latest(spark: SparkSession, root: str, key=snapshot_key, pattern: str =
     return good_rows(everything.join(chosen.withColumnRenamed("path", "file_path"), "file_path", "left_semi"))
 
 
-def duplicate_files(raw: DataFrame) -> DataFrame:
+def duplicate_files(raw: DataFrame, unit: Column | None = None) -> DataFrame:
     """Files with the same content, which a sum would count twice.
 
+    `unit` names what counts as one file, such as the folder of a written batch.
+
     The fingerprint of a file is its row count with the sum and the XOR of its row
     hashes: it is built by partial aggregates, and no file has to fit in one row.
     Equal rows are legal data and are not touched.
     """
     columns = [c for c in raw.columns if c not in (CORRUPT, "file_path")]
     row_hash = F.xxhash64(*columns)
-    files = raw.groupBy("file_path").agg(
+    files = raw.groupBy((F.col("file_path") if unit is None else unit).alias("file_path")).agg(
         F.count("*").alias("n_rows"),
         F.sum(row_hash.cast("decimal(38,0)")).alias("hash_sum"),
         F.bit_xor(row_hash).alias("hash_xor"),

@@ -21,10 +21,17 @@ from tallygrid.schema import CORRUPT, STATS_RAW
 from tallygrid.sources.fragments import good_rows, snapshot_key
 
 
-def stream_fragments(spark: SparkSession, root: str, pattern: str = "*.csv", schema: T.StructType = STATS_RAW) -> DataFrame:
+def stream_fragments(
+    spark: SparkSession,
+    root: str,
+    pattern: str = "*.csv",
+    schema: T.StructType = STATS_RAW,
+    files_per_trigger: int = 1000,
+) -> DataFrame:
     """Good rows of fragment files as they appear below `root`."""
     rows = (
         spark.readStream.schema(schema)
+        .option("maxFilesPerTrigger", files_per_trigger)
         .option("header", True)
         .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", True)
@@ -88,32 +95,48 @@ def latest_epoch(spark: SparkSession, out: str) -> DataFrame:
 
 # ---- cumulative snapshots ---------------------------------------------------
 
+RANK = ["is_final", "seq"]
+COUNTERS = ["shots", "errors", "discards", "seconds"]
 
-def snapshot_state(rows: DataFrame, key: Callable[[Column], Column] = snapshot_key) -> DataFrame:
-    """Latest counters per (batch, experiment) from cumulative snapshot files.
 
-    A producer writes a new file per snapshot, with one row per id. The number of
-    rows behind the kept counters is carried, so that a file with several rows of
-    one id is found instead of being counted short.
+def newest_snapshots(rows: DataFrame, known: DataFrame | None = None, key: Callable[[Column], Column] = snapshot_key) -> DataFrame:
+    """Counters of the newest snapshot of each batch, one row per (batch, experiment).
+
+    `rows` are the rows of new snapshot files and `known` is the earlier result.
+    Rows of one snapshot add up, also when it came in several files or holds an id
+    more than once; a newer snapshot replaces the older one as a whole.
     """
-    keyed = rows.withColumn("k", key(F.col("file_path")))
-    rank = F.struct("k.is_final", "k.seq")
-    counters = F.struct("shots", "errors", "discards", "seconds", "decoder", "json_metadata", "file_path")
-    return keyed.groupBy(F.col("k.batch_id").alias("batch_id"), "strong_id").agg(
-        F.max(rank).alias("newest"),
-        F.max_by(counters, rank).alias("latest"),
-        F.count("*").alias("n_rows"),
-        F.count_distinct("file_path").alias("n_files"),
+    kept = ["batch_id", *RANK, "strong_id", *COUNTERS, "decoder", "json_metadata"]
+    new = rows.select("*", key(F.col("file_path")).alias("_k")).select("*", "_k.*").select(*kept)
+    seen = new if known is None else new.unionByName(known)
+    sums = seen.groupBy("batch_id", *RANK, "strong_id").agg(
+        *[F.sum(c).alias(c) for c in COUNTERS], F.min("decoder").alias("decoder"), F.min("json_metadata").alias("json_metadata")
     )
+    ranked = sums.withColumn("_rank", F.struct(*RANK))
+    newest = ranked.groupBy("batch_id").agg(F.max("_rank").alias("_rank"))
+    return ranked.join(newest, ["batch_id", "_rank"], "left_semi").select(*kept)
 
 
-def total_snapshots(state: DataFrame) -> DataFrame:
-    """Second step, on the complete state of one trigger: sum over batches.
+def start_snapshots(
+    rows: DataFrame,
+    out: str,
+    checkpoint: str,
+    key: Callable[[Column], Column] = snapshot_key,
+    every: str | None = None,
+) -> StreamingQuery:
+    """Follow snapshot files: `state/` holds the newest counters per batch, `totals/` their sum.
 
-    Ids of a file that broke the one-row contract are left to `broken_snapshots`.
+    Epoch n is built from the new files and the state of epoch n - 1, so a
+    replayed epoch gives the same result.
     """
-    return combine(state.filter("n_rows = n_files").select("strong_id", "latest.*"))
 
+    def publish(frame: DataFrame, epoch: int) -> None:
+        spark = frame.sparkSession
+        known = spark.read.parquet(f"{out}/state/epoch={epoch - 1}") if epoch > 0 else None
+        path = f"{out}/state/epoch={epoch}"
+        newest_snapshots(frame, known, key).write.mode("overwrite").parquet(path)
+        combine(spark.read.parquet(path)).write.mode("overwrite").parquet(f"{out}/totals/epoch={epoch}")
 
-def broken_snapshots(state: DataFrame) -> DataFrame:
-    return state.filter("n_rows <> n_files").select("batch_id", "strong_id", "n_rows", "n_files")
+    writer = rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(publish)
+    writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
+    return writer.start()
