@@ -47,9 +47,19 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[app]
 
 
+def _work_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/tallygrid/{spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession, tag: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/tallygrid/{tag}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, kept apart by application."""
+    return f"{_work_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+
+
+def clear_work(spark: SparkSession) -> None:
+    """Delete what this application materialized; call it when no result is read any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_work_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, tag: str) -> DataFrame:
