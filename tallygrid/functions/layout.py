@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,11 +10,12 @@ DATA_PER_ROUND = 5
 CHECKS_PER_ROUND = 4
 T_PER_ROUND = 12
 
-THETA = -math.acos(math.sqrt(1 / 3)) / math.pi
+# Fixed value: the rotation angle of the sequences in units of pi.
+THETA = -0.3040867239846964
 
 
 def theta() -> Column:
-    """Rotation angle of the sequences, in units of pi."""
+    """The rotation angle from its definition: minus the arc cosine of the root of one third, over pi."""
     return -F.acos(F.sqrt(F.lit(1.0) / 3)) / F.pi()
 
 

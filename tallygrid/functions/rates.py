@@ -32,3 +32,13 @@ def bernoulli_std(rate: Column, n: Column) -> Column:
 def relative_deviation(a: Column, b: Column) -> Column:
     """(a - b) / a, and 0 when a is not positive."""
     return F.when(a > 0, (a - b) / a).otherwise(F.lit(0.0))
+
+
+def percent_text(fraction: Column) -> Column:
+    """Signed percentage for reports: 0.0125 as +1.25%."""
+    return F.format_string("%+.2f%%", fraction * 100)
+
+
+def rate_report(rate: Column, digits: int = 4) -> Column:
+    """A rate with fixed decimals for reports."""
+    return F.format_string(f"%.{digits}f", rate)

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallygrid.operators.ordered import index_rows
+from tallygrid.operators.ordered import index_rows, join_groups
 from tallygrid.session import broadcast_if_small
 
 # Weights are folded as whole units of this size, so that equal loads compare equal.
@@ -36,7 +36,8 @@ def longest_first(
     exact greedy assignment for groups of any size: the sequential part runs over
     the *different weights* of a group and not over its items. Equal weights fill
     the batches in repeating cycles, so an item finds its batch from its rank
-    among the equal ones, without seeing the other items. Weights are not NULL.
+    among the equal ones, without seeing the other items. Weights are
+    not NULL and not negative.
     """
     keyed = items
     if not groups:
@@ -46,24 +47,27 @@ def longest_first(
     classes = indexed.groupBy(*groups, "_w").agg(F.count("*").alias("_n"), F.min("_global").alias("_start"))
     plans = _fold_classes(classes, groups, batches)
 
-    slot = F.col("_global") - F.col("_start")
-    cycle = F.element_at(F.filter("_cycles", lambda c: c["slot"] <= slot), -1)
-    offset = F.pmod(slot - cycle["slot"], F.size(cycle["batches"])).cast("int")
-    return indexed.join(broadcast_if_small(plans, derived=True), [*groups, "_w"]).select(
-        *items.columns, F.get(cycle["batches"], offset).cast("bigint").alias("batch_id")
-    )
+    placed = join_groups(indexed, broadcast_if_small(plans, derived=True), [*groups, "_w"]).withColumn("_slot", F.col("_global") - F.col("_start"))
+    cycle = F.element_at(F.filter("_cycles", lambda c: c["slot"] <= F.col("_slot")), -1)
+    place = F.pmod(F.col("_slot") - F.col("_cycle.slot"), F.size("_cycle.batches")).cast("int")
+    batch = F.coalesce(F.get("_visit", F.col("_slot").cast("int")), F.get("_cycle.batches", place))
+    return placed.withColumn("_cycle", cycle).select(*items.columns, batch.cast("bigint").alias("batch_id"))
 
 
 def _fold_classes(classes: DataFrame, groups: list[str], batches: int) -> DataFrame:
-    """Per (group, weight): where each fill cycle starts, and the batches it visits.
+    """Per (group, weight): the batches its items visit, in rank order.
 
-    A task streams the sorted weights of its groups and keeps only the current
-    loads, so memory does not grow with the number of weights.
+    Few items are listed one by one in `_visit`; many as `_cycles`, each with the
+    rank it starts at and the batches it repeats. A task streams the sorted
+    weights of its groups and keeps only the current loads, so its memory does
+    not grow with the number of weights.
     """
-    sorted_classes = classes.repartition(*groups).sortWithinPartitions(*groups, F.col("_w").desc())
-    fields = classes.select(*groups, "_w", "_start").schema
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    schema += ", `_cycles` array<struct<slot:bigint,batches:array<int>>>"
+    by_group = classes.withColumn("_group", F.to_json(F.struct(*groups)))
+    sorted_classes = by_group.repartition("_group").sortWithinPartitions("_group", F.col("_w").desc())
+    kept = [*groups, "_w", "_start"]
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in classes.select(*kept).schema)
+    schema += ", `_visit` array<int>, `_cycles` array<struct<slot:bigint,batches:array<int>>>"
+    listed = 4 * batches
 
     def fold(frames):
         import pandas as pd
@@ -71,41 +75,48 @@ def _fold_classes(classes: DataFrame, groups: list[str], batches: int) -> DataFr
         loads, current = [], None
 
         def fill(weight, count):
-            """Cycles of `count` equal items, and the loads after them."""
-            if count == 1 or weight == 0:
-                lightest = min(range(batches), key=loads.__getitem__)
-                loads[lightest] += weight * count
-                return [{"slot": 0, "batches": [lightest]}]
-            ranked = sorted(range(batches), key=lambda b: (loads[b], b))
+            """Cycles of `count` equal items; moves the loads on."""
             cycles = []
+            ranked = sorted(range(batches), key=lambda b: (loads[b], b))
             for m, joining in enumerate(ranked):
                 level = loads[joining]
-                # Items each batch took before `joining` becomes the lightest one.
-                taken = {}
+                # Items each batch takes before `joining` becomes the lightest one.
+                taken = {joining: 0}
                 for b in ranked[:m]:
                     steps, rest = divmod(level - loads[b], weight)
                     taken[b] = steps + (1 if rest or b < joining else 0)
                 slot = sum(taken.values())
                 if slot >= count:
                     break
-                taken[joining] = 0
                 visit = sorted(taken, key=lambda b: (loads[b] + taken[b] * weight, b))
                 cycles.append({"slot": slot, "batches": visit})
-                last = taken
-            rounds, extra = divmod(count - cycles[-1]["slot"], len(visit))
-            for place, b in enumerate(cycles[-1]["batches"]):
-                loads[b] += (last[b] + rounds + (1 if place < extra else 0)) * weight
+                before = taken
+            last = cycles[-1]
+            rounds, extra = divmod(count - last["slot"], len(last["batches"]))
+            for place, b in enumerate(last["batches"]):
+                loads[b] += (before[b] + rounds + (1 if place < extra else 0)) * weight
             return cycles
 
         for frame in frames:
-            plans = []
-            for row in frame.itertuples(index=False, name=None):
-                record = dict(zip(frame.columns, row))
-                group = tuple(record[g] for g in groups)
+            visits, cycles = [], []
+            for group, weight, count in zip(frame["_group"], frame["_w"].tolist(), frame["_n"].tolist()):
                 if group != current:
                     loads, current = [0] * batches, group
-                plans.append(fill(int(record["_w"]), int(record["_n"])))
-            yield pd.DataFrame({**{c: frame[c] for c in [*groups, "_w", "_start"]}, "_cycles": plans})
+                if weight == 0:
+                    visits.append(None)
+                    cycles.append([{"slot": 0, "batches": [loads.index(min(loads))]}])
+                elif count <= listed:
+                    visit = []
+                    for _ in range(count):
+                        lightest = loads.index(min(loads))
+                        loads[lightest] += weight
+                        visit.append(lightest)
+                    visits.append(visit)
+                    cycles.append(None)
+                else:
+                    visits.append(None)
+                    cycles.append(fill(weight, count))
+            yield pd.DataFrame({**{c: frame[c] for c in kept}, "_visit": visits, "_cycles": cycles})
 
     return sorted_classes.mapInPandas(fold, schema)
 

@@ -16,16 +16,32 @@ def union_fragments(frames: list[DataFrame], aggregate: bool = True) -> DataFram
     return combine(rows) if aggregate else rows
 
 
+SUMS = ("shots", "errors", "discards", "seconds")
+
+
+def partial_totals(stats: DataFrame, key: str = "strong_id") -> DataFrame:
+    """Counters per id and per (decoder, metadata) it was seen with.
+
+    The texts are grouping keys here and not aggregates: Spark then keeps to hash
+    aggregation, where a minimum over strings would make it sort all rows.
+    """
+    kept = [c for c in ("decoder", "json_metadata") if c in stats.columns]
+    return stats.groupBy(key, *kept).agg(*[F.sum(c).alias(c) for c in SUMS])
+
+
+def merge_totals(partial: DataFrame, key: str = "strong_id") -> DataFrame:
+    """One row per id from `partial_totals`."""
+    kept = [c for c in ("decoder", "json_metadata") if c in partial.columns]
+    return partial.groupBy(key).agg(*[F.sum(c).alias(c) for c in SUMS], *[F.min(c).alias(c) for c in kept])
+
+
 def combine(stats: DataFrame, key: str = "strong_id") -> DataFrame:
     """One row per experiment: counters summed, decoder and metadata kept.
 
-    Partial sums are built before the shuffle, so a hot id costs one row per task.
+    Sums are built before each shuffle, so a hot id costs one row per task, and
+    the second step sees about one row per experiment.
     """
-    kept = [c for c in ("decoder", "json_metadata") if c in stats.columns]
-    return stats.groupBy(key).agg(
-        *[F.sum(c).alias(c) for c in ("shots", "errors", "discards", "seconds")],
-        *[F.min(c).alias(c) for c in kept],
-    )
+    return merge_totals(partial_totals(stats, key), key)
 
 
 def with_rates(totals: DataFrame) -> DataFrame:

@@ -44,10 +44,10 @@ def reconcile_split(rows: DataFrame, run: str, a, b, key: str = "strong_id") ->
 
 
 def id_difference(a: DataFrame, b: DataFrame, key: str = "strong_id") -> DataFrame:
-    """Ids found in one run only; empty when the two id sets are equal."""
-    only_a = a.select(key).exceptAll(b.select(key)).withColumn("side", F.lit("a"))
-    only_b = b.select(key).exceptAll(a.select(key)).withColumn("side", F.lit("b"))
-    return only_a.unionByName(only_b)
+    """Ids found in one run only; empty when the two id sets are equal. One shuffle for both directions."""
+    sides = a.select(key, F.lit("a").alias("side")).unionByName(b.select(key, F.lit("b").alias("side")))
+    seen = sides.groupBy(key).agg(F.min("side").alias("side"), F.max("side").alias("_other"))
+    return seen.filter(F.col("side") == F.col("_other")).drop("_other")
 
 
 def rate_ratios(reconciled: DataFrame, min_errors: int = Z.MIN_ERRORS) -> DataFrame:

@@ -1,19 +1,24 @@
 """Global order at scale: row index, rank in a group, running totals.
 
-A plain window needs every row of a group in one task. Here the rows are range
-partitioned on the full sort key, so a hot group is spread over many slices, and
-only one number per slice (never a row) is needed to stitch the slices together.
-The sorted slices are written once to the shared folder: every later pass and
-every retry then sees the same slice ids.
+A plain window needs every row of a group in one task. Groups too large for that
+are range partitioned on the full sort key instead, which spreads them over many
+slices, and only one number per slice (never a row) is needed to stitch the slices
+together. The sorted slices are written once to the shared folder: every later
+pass and every retry then sees the same slice ids.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallygrid.session import broadcast_if_small, materialize
 
+# A key with more rows than this is not given to a single task.
+HOT_ROWS = 5_000_000
+
 SLICE = "_slice"
 POSITION = "_position"
 
@@ -45,24 +50,58 @@ def index_rows(df: DataFrame, order: list[Column | str], name: str = "row_index"
     return slices.join(F.broadcast(starts), SLICE).withColumn(name, F.col("_start") + F.col(POSITION)).drop(SLICE, POSITION, "_start")
 
 
-def group_starts(indexed: DataFrame, groups: list[str], name: str = "row_index") -> DataFrame:
-    """Size and first global position of each group of an indexed frame."""
-    return indexed.groupBy(*groups).agg(F.count("*").alias("group_size"), F.min(name).alias("group_start"))
+def join_groups(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on group columns, where NULL is a group like any other."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys])
+    return left.join(renamed, same, how).drop(*[f"_right_{k}" for k in keys])
 
 
-def rank_within(df: DataFrame, groups: list[str], order: list[Column | str], name: str = "rank") -> DataFrame:
-    """Add the 0-based rank of each row in its group; a group may be of any size."""
-    indexed = index_rows(df, groups + order, "_global", "rank")
-    starts = group_starts(indexed, groups, "_global").drop("group_size")
-    return (
-        indexed.join(broadcast_if_small(starts, derived=True), groups)
-        .withColumn(name, F.col("_global") - F.col("group_start"))
-        .drop("_global", "group_start")
-    )
+def split_hot(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame | None]:
+    """(rows of keys that fit in one task, rows of the others or None).
+
+    There are at most `rows / hot_rows` hot keys, so their table is safe to broadcast.
+    """
+    hot = materialize(df.groupBy(*keys).count().filter(F.col("count") > hot_rows).select(*keys), "hot")
+    if hot.isEmpty():
+        return df, None
+    side = F.broadcast(hot)
+    return join_groups(df, side, keys, "left_anti"), join_groups(df, side, keys, "left_semi")
+
+
+def rank_within(df: DataFrame, groups: list[str], order: list[Column | str], name: str = "rank", hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Add the 0-based rank of each row in its group; a group may be of any size.
+
+    A group that fits in one task is ranked by a window; the rows of the larger
+    ones are ranked through the global order. `df` is read more than once.
+    """
+    cold, hot = split_hot(df, groups, hot_rows)
+    ranked = cold.withColumn(name, F.row_number().over(Window.partitionBy(*groups).orderBy(*order)).cast("bigint") - 1)
+    if hot is None:
+        return ranked
+    indexed = index_rows(hot, groups + order, "_global", "rank")
+    starts = indexed.groupBy(*groups).agg(F.min("_global").alias("_start"))
+    spread = join_groups(indexed, broadcast_if_small(starts, derived=True), groups).withColumn(name, F.col("_global") - F.col("_start"))
+    return ranked.unionByName(spread.drop("_global", "_start"))
+
+
+def preceding_totals(
+    df: DataFrame, key: str, order: list[Column | str], values: list[str], suffix: str = "_before", hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Add, for each value column, its sum over the earlier rows of the same key.
+
+    A key that fits in one task is summed by a window; the larger ones are summed
+    slice by slice. `df` is read more than once.
+    """
+    cold, hot = split_hot(df, [key], hot_rows)
+    earlier = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    summed = cold.select("*", *[F.coalesce(F.sum(v).over(earlier), F.lit(0)).alias(v + suffix) for v in values])
+    if hot is None:
+        return summed
+    return summed.unionByName(_preceding_by_slice(hot, key, order, values, suffix))
 
 
-def preceding_totals(df: DataFrame, key: str, order: list[Column | str], values: list[str], suffix: str = "_before") -> DataFrame:
-    """Add, for each value column, its sum over the earlier rows of the same key."""
+def _preceding_by_slice(df: DataFrame, key: str, order: list[Column | str], values: list[str], suffix: str) -> DataFrame:
     slices = _sorted_slices(df, [key] + order, "running")
     earlier = Window.partitionBy(key).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     sums = slices.groupBy(key, SLICE).agg(*[F.sum(v).alias(v) for v in values])
@@ -74,7 +113,7 @@ def preceding_totals(df: DataFrame, key: str, order: list[Column | str], values:
         .drop("_n")
     )
     inside = Window.partitionBy(key, SLICE).orderBy(POSITION).rowsBetween(Window.unboundedPreceding, -1)
-    out = slices.join(F.broadcast(carry), [key, SLICE], "left")
+    out = join_groups(slices, F.broadcast(carry), [key, SLICE], "left")
     for v in values:
         running = F.coalesce(F.sum(v).over(inside), F.lit(0)) + F.coalesce(F.col(f"_carry_{v}"), F.lit(0))
         out = out.withColumn(v + suffix, running)

@@ -63,3 +63,10 @@ def unfinished(tasks: DataFrame, totals: DataFrame, key: str = "strong_id") -> D
     limits = tasks.select(key, "max_shots", "max_errors")
     finished = totals.join(limits, key).filter("shots >= max_shots or errors >= max_errors")
     return tasks.join(finished, key, "left_anti")
+
+
+def progress_summary(totals: DataFrame) -> DataFrame:
+    """One view over all experiments: how many are open or ended, and by which limit."""
+    return totals.groupBy(F.coalesce("end_reason", F.lit("open")).alias("state")).agg(
+        F.count("*").alias("experiments"), F.sum("shots").alias("shots"), F.sum("errors").alias("errors")
+    )

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -96,35 +94,19 @@ def shot_counters(classified: DataFrame, combos: DataFrame | None = None) -> Dat
     return events if combos is None else events.unionByName(combos)
 
 
-def detector_counts(shots: DataFrame, width: int, keys: list[str] | None = None, chunk: int = 64) -> DataFrame:
-    """Shots and fired shots per detector. `width` is the longest vector; those of one key are equally long.
+def detector_rates(shots: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """Shots, fired shots and rate of each detector.
 
-    A shot is repeated once per `chunk` detectors and not once per detector; the
-    chunk is summed as columns, and only the aggregate is turned to long form.
+    The long rows live only until the partial aggregate of their own task: what
+    is shuffled is one row per task and detector.
     """
     keys = keys or ["task_id"]
-    chunks = math.ceil(width / chunk)
-    numbers = F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))) if chunks > 1 else F.lit(0)
-    places = range(min(chunk, width))
-    sums = (
-        shots.select(*keys, "det", numbers.alias("_chunk"))
-        .groupBy(*keys, "_chunk")
-        .agg(
-            F.count("*").alias("shots"),
-            F.max(F.size("det")).alias("_width"),
-            *[F.count_if(F.get("det", F.col("_chunk") * chunk + j)).alias(f"_{j}") for j in places],
-        )
+    counts = (
+        shots.select(*keys, F.posexplode("det").alias("det_id", "_fired"))
+        .groupBy(*keys, F.col("det_id").cast("bigint").alias("det_id"))
+        .agg(F.count("*").alias("shots"), F.count_if("_fired").alias("fired"))
     )
-    det_id = F.col("_chunk") * chunk + F.col("_place")
-    return (
-        sums.select(*keys, "_chunk", "shots", "_width", F.posexplode(F.array(*[F.col(f"_{j}") for j in places])).alias("_place", "fired"))
-        .filter(det_id < F.col("_width"))
-        .select(*keys, det_id.cast("bigint").alias("det_id"), "shots", "fired")
-    )
-
-
-def detector_rates(shots: DataFrame, width: int, keys: list[str] | None = None) -> DataFrame:
-    return detector_counts(shots, width, keys).withColumn("rate", F.try_divide("fired", "shots"))
+    return counts.withColumn("rate", F.try_divide("fired", "shots"))
 
 
 def rate_range(rates: DataFrame, keys: list[str] | None = None) -> DataFrame:

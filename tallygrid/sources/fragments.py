@@ -65,7 +65,7 @@ def is_good(columns: list[str]) -> Column:
     for name in JSON_COLUMNS:
         if name in columns:
             good = good & (F.col(name).isNull() | F.from_json(name, "map<string,string>").isNotNull())
-    return good
+    return F.coalesce(good, F.lit(False))
 
 
 def good_rows(raw: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tallygrid.functions.rates import error_rate, postselected_error_rate, postselection_rate
-from tallygrid.operators.combine import combine
+from tallygrid.operators.combine import combine, merge_totals, partial_totals
 from tallygrid.operators.progress import end_reason
 from tallygrid.schema import CORRUPT, STATS_RAW
 from tallygrid.sources.fragments import good_rows, snapshot_key
@@ -82,7 +82,7 @@ def start_publishing(
 def start_combine(fragments: DataFrame, out: str, checkpoint: str, max_shots: int, max_errors: int, every: str | None = None) -> StreamingQuery:
     """Running totals per experiment with rates and completion state."""
     return start_publishing(
-        combine(fragments), out, checkpoint, lambda totals: with_status(totals, max_shots, max_errors), every
+        partial_totals(fragments), out, checkpoint, lambda state: with_status(merge_totals(state), max_shots, max_errors), every
     )
 
 
@@ -100,7 +100,7 @@ COUNTERS = ["shots", "errors", "discards", "seconds"]
 
 
 def newest_snapshots(rows: DataFrame, known: DataFrame | None = None, key: Callable[[Column], Column] = snapshot_key) -> DataFrame:
-    """Counters of the newest snapshot of each batch, one row per (batch, experiment).
+    """Counters of the newest snapshot of each batch, added up per batch and experiment.
 
     `rows` are the rows of new snapshot files and `known` is the earlier result.
     Rows of one snapshot add up, also when it came in several files or holds an id
@@ -109,9 +109,7 @@ def newest_snapshots(rows: DataFrame, known: DataFrame | None = None, key: Calla
     kept = ["batch_id", *RANK, "strong_id", *COUNTERS, "decoder", "json_metadata"]
     new = rows.select("*", key(F.col("file_path")).alias("_k")).select("*", "_k.*").select(*kept)
     seen = new if known is None else new.unionByName(known)
-    sums = seen.groupBy("batch_id", *RANK, "strong_id").agg(
-        *[F.sum(c).alias(c) for c in COUNTERS], F.min("decoder").alias("decoder"), F.min("json_metadata").alias("json_metadata")
-    )
+    sums = seen.groupBy("batch_id", *RANK, "strong_id", "decoder", "json_metadata").agg(*[F.sum(c).alias(c) for c in COUNTERS])
     ranked = sums.withColumn("_rank", F.struct(*RANK))
     newest = ranked.groupBy("batch_id").agg(F.max("_rank").alias("_rank"))
     return ranked.join(newest, ["batch_id", "_rank"], "left_semi").select(*kept)

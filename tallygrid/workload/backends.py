@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallygrid.functions import zscores as Z
+from tallygrid.functions import rates, zscores as Z
 from tallygrid.operators import compare
 from tallygrid.workload import query
 from tallygrid.workload.views import fired_a, fired_b, table
@@ -88,6 +88,17 @@ def backend_z_pooled(spark, sf_dir):
     )
 
 
+@query(TOTALS + """
+    SELECT trial, printf('%.4f', a / trials) AS rate_a, printf('%.4f', b / trials) AS rate_b, printf('%+.2f%%', rel_dev * 100) AS deviation FROM z""")
+def backend_report(spark, sf_dir):
+    """Rates and deviations of the trials as report text."""
+    scored = compare.total_deviation(both(spark, sf_dir, trial()))
+    return scored.select(
+        "trial", rates.rate_report(rates.error_rate(F.col("a"), F.col("trials"))).alias("rate_a"),
+        rates.rate_report(rates.error_rate(F.col("b"), F.col("trials"))).alias("rate_b"), rates.percent_text(F.col("rel_dev")).alias("deviation"),
+    )
+
+
 @query(TOTALS + """
     SELECT CAST(count(*) AS BIGINT) AS seeds, round(avg(z_pooled), 6) AS mean_z, round(stddev_pop(z_pooled), 6) AS std_z,
            round(avg(rel_dev), 6) AS mean_rel_dev,

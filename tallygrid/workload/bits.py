@@ -83,7 +83,7 @@ LONG = WITH + """,
 @query(LONG + "SELECT task_id, CAST(det_id AS BIGINT) AS det_id, shots, fired, round(rate, 6) AS rate FROM rates")
 def detector_rates(spark, sf_dir):
     """Share of shots in which each detector fired."""
-    rates = S.detector_rates(shots(table(spark, sf_dir, "embeddings")), NUM_DET)
+    rates = S.detector_rates(shots(table(spark, sf_dir, "embeddings")))
     return rates.withColumn("rate", F.round("rate", 6))
 
 
@@ -92,7 +92,7 @@ def detector_rates(spark, sf_dir):
     FROM rates GROUP BY task_id""")
 def detector_rate_range(spark, sf_dir):
     """Smallest and largest detector rate, and all events."""
-    spread = S.rate_range(S.detector_rates(shots(table(spark, sf_dir, "embeddings")), NUM_DET))
+    spread = S.rate_range(S.detector_rates(shots(table(spark, sf_dir, "embeddings"))))
     return spread.select("task_id", F.round("min_rate", 6).alias("min_rate"), F.round("max_rate", 6).alias("max_rate"), "events")
 
 
@@ -149,7 +149,8 @@ REFERENCE = WITH + """,
 def referenced_shots(spark, sf_dir):
     """The shot with the lowest id of a task stands for its noiseless reference."""
     rows = shots(table(spark, sf_dir, "embeddings"))
-    reference = rows.groupBy("task_id").agg(F.min_by("det", "shot_id").alias("ref_det"), F.min_by("obs", "shot_id").alias("ref_obs"))
+    lowest = broadcast_if_small(rows.groupBy("task_id").agg(F.min("shot_id").alias("shot_id")), derived=True)
+    reference = rows.join(lowest, ["task_id", "shot_id"]).select("task_id", F.col("det").alias("ref_det"), F.col("obs").alias("ref_obs"))
     return rows.join(broadcast_if_small(reference, derived=True), "task_id")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallygrid.operators import checks, combine as C, compare, curves, grid, ledger, progress
+from tallygrid.operators import checks, combine as C, compare, curves, grid, ledger, ordered, progress
 from tallygrid.workload import query
 from tallygrid.workload.views import (
     MAX_ERRORS, MAX_SHOTS, MIN_ERRORS, TOTALS_SQL, day_counts, fragment_sql, fragments, table, user_id_text,
@@ -145,6 +145,26 @@ def shot_extremes(spark, sf_dir):
     return progress.shot_extremes(totals.withColumn("end_reason", progress.end_reason(F.col("shots"), F.col("errors"), 65, 14)))
 
 
+@query(FRAG + "," + TOTALS_SQL + f""",
+    ended AS (SELECT *, CASE WHEN errors >= 14 THEN 'max_errors' WHEN shots >= 65 THEN 'max_shots' ELSE 'open' END AS state FROM totals)
+    SELECT state, CAST(count(*) AS BIGINT) AS experiments, CAST(sum(shots) AS BIGINT) AS shots, CAST(sum(errors) AS BIGINT) AS errors
+    FROM ended GROUP BY state""")
+def progress_view(spark, sf_dir):
+    """Open and ended experiments over everything collected."""
+    totals = C.combine(event_fragments(spark, sf_dir))
+    return progress.progress_summary(totals.withColumn("end_reason", progress.end_reason(F.col("shots"), F.col("errors"), 65, 14)))
+
+
+@query(FRAG + """
+    SELECT strong_id, CAST(day AS VARCHAR) AS day, CAST(row_number() OVER (PARTITION BY d, p ORDER BY strong_id, day) - 1 AS BIGINT) AS trial
+    FROM fragments""")
+def trial_index(spark, sf_dir):
+    """Number of each repeated trial in its grid cell."""
+    rows = event_fragments(spark, sf_dir).select("d", "p", "strong_id", "day")
+    ranked = ordered.rank_within(rows, ["d", "p"], ["strong_id", "day"], "trial")
+    return ranked.select("strong_id", F.col("day").cast("string").alias("day"), "trial")
+
+
 TASKS = """,
     have AS (SELECT strong_id, CAST(sum(shots) AS BIGINT) AS shots, CAST(sum(errors) AS BIGINT) AS errors
              FROM fragments WHERE day(day) <= 15 AND user_id % 11 <> 0 GROUP BY strong_id),

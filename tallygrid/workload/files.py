@@ -76,9 +76,7 @@ def malformed_rows(spark, sf_dir):
     root = new_path(spark, "damaged")
     fragments(table(spark, sf_dir, "events")).select(damaged.alias("line")).write.text(root)
     raw = S.read_raw(spark, root, "*", header=False)
-    rows = S.good_rows(raw).select("shots", F.lit(True).alias("good")).unionByName(
-        S.quarantine(raw).select("shots", F.lit(False).alias("good"))
-    )
+    rows = raw.withColumn("good", S.is_good(raw.columns))
     return rows.groupBy("good").agg(F.count("*").alias("n_rows"), F.sum("shots").alias("shots"))
 
 

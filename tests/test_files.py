@@ -138,7 +138,7 @@ def test_catalogue_and_plans(spark, sweep):
     assert sorted(r.stem for r in files.collect())[0] == "family_K=1_p=0.001"
     assert {r.text for r in files.collect()} == {"M 0\n", "M 0\nM 0\n"}
     with pytest.raises(FileNotFoundError):
-        Cat.read_catalogue(spark, f"{sweep}/sweep", "stim")
+        Cat.read_catalogue(spark, f"{sweep}/sweep", "other")
 
     sizes = launch.plan_by_count(spark, f"{sweep}/sweep", "circuit", f"{sweep}/out", per_batch=3)
     assert {r.batch_id: r.n_items for r in sizes.collect()} == {0: 2, 1: 2}

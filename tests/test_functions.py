@@ -88,6 +88,12 @@ def test_rates_without_survivors_or_shots(spark):
     assert value(spark, R.relative_deviation(lit(4), lit(3))) == 0.25
 
 
+def test_report_texts(spark):
+    assert value(spark, R.percent_text(F.lit(-0.03625))) == "-3.63%"
+    assert value(spark, R.percent_text(F.lit(0.5))) == "+50.00%"
+    assert value(spark, R.rate_report(F.lit(0.06821))) == "0.0682"
+
+
 def test_sigma_definitions(spark):
     a, b, n = F.lit(60), F.lit(40), F.lit(100)
     pooled = 20 / math.sqrt(2 * 100 * 0.5 * 0.5)

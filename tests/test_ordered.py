@@ -27,8 +27,10 @@ def test_index_is_the_global_position(spark, skewed):
     assert got == want
 
 
-def test_rank_counts_from_zero_in_each_group(spark, skewed):
-    got = {(r.key, r.seq): r["rank"] for r in O.rank_within(frame(spark, skewed), ["key"], [F.col("seq").desc()]).collect()}
+@pytest.mark.parametrize("hot_rows", [1, 100, 10_000])
+def test_rank_counts_from_zero_in_each_group(spark, skewed, hot_rows):
+    ranked = O.rank_within(frame(spark, skewed), ["key"], [F.col("seq").desc()], hot_rows=hot_rows)
+    got = {(r.key, r.seq): r["rank"] for r in ranked.collect()}
     want, seen = {}, {}
     for key, seq, *_ in sorted(skewed, key=lambda r: -r[1]):
         want[key, seq] = seen.get(key, 0)
@@ -36,8 +38,10 @@ def test_rank_counts_from_zero_in_each_group(spark, skewed):
     assert got == want
 
 
-def test_preceding_totals_cross_slices(spark, skewed):
-    rows = O.preceding_totals(frame(spark, skewed), "key", ["seq"], ["shots", "errors"]).collect()
+@pytest.mark.parametrize("hot_rows", [1, 100, 10_000])
+def test_preceding_totals_cross_slices(spark, skewed, hot_rows):
+    rows = O.preceding_totals(frame(spark, skewed), "key", ["seq"], ["shots", "errors"], hot_rows=hot_rows).collect()
+    assert len(rows) == len(skewed)
     want, running = {}, {}
     for key, seq, shots, errors in sorted(skewed, key=lambda r: r[1]):
         s, e = running.get(key, (0, 0))
@@ -52,6 +56,20 @@ def test_a_hot_key_is_spread_over_slices(spark, skewed):
     assert per_slice >= 2
 
 
+def test_only_the_hot_key_is_split_off(spark, skewed):
+    cold, hot = O.split_hot(frame(spark, skewed), ["key"], 100)
+    assert {r.key for r in hot.select("key").distinct().collect()} == {"hot"}
+    assert cold.count() + hot.count() == len(skewed)
+    assert O.split_hot(frame(spark, skewed), ["key"], 10_000)[1] is None
+
+
+def test_null_keys_are_a_group(spark):
+    df = spark.createDataFrame([(None, i, 1) for i in range(6)] + [("a", 1, 1)], "key string, seq long, shots long")
+    for hot_rows in (3, 100):
+        rows = O.preceding_totals(df, "key", ["seq"], ["shots"], hot_rows=hot_rows).filter("key is null").orderBy("seq").collect()
+        assert [r.shots_before for r in rows] == list(range(6))
+
+
 def test_stop_rule_keeps_the_overshooting_fragment(spark):
     rows = [("a", 1, 30, 1), ("a", 2, 30, 1), ("a", 3, 30, 1), ("b", 1, 5, 9), ("b", 2, 5, 0), ("c", 1, 1, 0)]
     df = spark.createDataFrame(rows, "strong_id string, seq long, shots long, errors long")

@@ -1,4 +1,3 @@
-import pytest
 from pyspark.sql import functions as F
 
 from tallygrid.operators import combine as C, detectors as D, grid, profile, shots as S
@@ -46,11 +45,10 @@ def test_combos_count_errors_only(spark):
     assert got == {"obs_mistake_mask=E_": 3, "obs_mistake_mask=EE": 1}
 
 
-@pytest.mark.parametrize("chunk", [1, 3, 4, 64])
-def test_detector_rates_in_chunks(spark, chunk):
+def test_detector_rates(spark):
     rows = shots(spark, [([T, X, T, X, T], [X], [X], False), ([T, X, X, X, T], [X], [X], False)])
-    counts = {r.det_id: (r.shots, r.fired) for r in S.detector_counts(rows, 7, chunk=chunk).collect()}
-    assert counts == {0: (2, 2), 1: (2, 0), 2: (2, 1), 3: (2, 0), 4: (2, 2)}
+    counts = {r.det_id: (r.shots, r.fired, r.rate) for r in S.detector_rates(rows).collect()}
+    assert counts == {0: (2, 2, 1.0), 1: (2, 0, 0.0), 2: (2, 1, 0.5), 3: (2, 0, 0.0), 4: (2, 2, 1.0)}
 
 
 def test_tasks_bring_their_masks(spark):
