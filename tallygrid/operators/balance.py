@@ -128,9 +128,15 @@ def batch_sizes(assigned: DataFrame, keys: list[str] | None = None) -> DataFrame
 def batch_loads(assigned: DataFrame, weight: str, batches: int, groups: list[str]) -> DataFrame:
     """Items and load of every batch, the empty ones included."""
     loads = assigned.groupBy(*groups, "batch_id").agg(F.count("*").alias("n_items"), F.sum(weight).alias("load"))
+    # At most `batches` entries per group, so the filled batches fit in one row.
+    filled = loads.groupBy(*groups).agg(F.map_from_entries(F.collect_list(F.struct("batch_id", F.struct("n_items", "load")))).alias("_filled"))
     every_batch = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(batches - 1).cast("bigint")))
-    everything = loads.select(*groups).distinct().select(*groups, every_batch.alias("batch_id"))
-    return everything.join(loads, [*groups, "batch_id"], "left").na.fill(0, ["n_items", "load"])
+    return filled.select(*groups, "_filled", every_batch.alias("batch_id")).select(
+        *groups,
+        "batch_id",
+        F.coalesce(F.col("_filled")[F.col("batch_id")]["n_items"], F.lit(0)).alias("n_items"),
+        F.coalesce(F.col("_filled")[F.col("batch_id")]["load"], F.lit(0.0)).alias("load"),
+    )
 
 
 def load_balance(loads: DataFrame, groups: list[str]) -> DataFrame:

@@ -70,6 +70,32 @@ def counters_to_map(long: DataFrame, key: str = "strong_id") -> DataFrame:
     return long.groupBy(key).agg(F.map_from_entries(entries).alias("custom_counts"))
 
 
+def combine_with_counters(stats: DataFrame, key: str = "strong_id") -> DataFrame:
+    """`combine` with the summed counter map, from one pass over the fragments.
+
+    A fragment becomes one entry with its totals and one per named counter; both
+    kinds are summed by the same partial aggregates.
+    """
+    kept = [c for c in ("decoder", "json_metadata") if c in stats.columns]
+    nothing = [F.lit(None).cast("bigint" if c != "seconds" else "double").alias(c) for c in SUMS]
+    totals = F.struct(F.lit(None).cast("string").alias("counter"), F.lit(None).cast("bigint").alias("n"), *SUMS)
+    named = F.transform(F.map_entries("custom_counts"), lambda e: F.struct(e["key"].alias("counter"), e["value"].alias("n"), *nothing))
+    entries = F.concat(F.array(totals), F.coalesce(named, F.array()))
+    sums = [F.sum(c).alias(c) for c in ("n", *SUMS)]
+    texts = [F.min(c).alias(c) for c in kept]
+    per_counter = (
+        stats.select(key, *kept, F.inline(entries))
+        .groupBy(key, "counter", *kept)
+        .agg(*sums)
+        .groupBy(key, "counter")
+        .agg(*sums, *texts)
+    )
+    named_sums = F.collect_list(F.when(F.col("counter").isNotNull(), F.struct("counter", "n")))
+    return per_counter.groupBy(key).agg(
+        *[F.sum(c).alias(c) for c in SUMS], *texts, F.map_from_entries(F.sort_array(named_sums)).alias("custom_counts")
+    )
+
+
 def parse_counts(text_column: str = "custom_counts"):
     """Counter JSON of a stats file as a map."""
     return F.from_json(text_column, "map<string,bigint>")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallygrid.functions import rates, zscores as Z
@@ -45,9 +45,9 @@ def reconcile_split(rows: DataFrame, run: str, a, b, key: str = "strong_id") ->
 
 def id_difference(a: DataFrame, b: DataFrame, key: str = "strong_id") -> DataFrame:
     """Ids found in one run only; empty when the two id sets are equal. One shuffle for both directions."""
-    sides = a.select(key, F.lit("a").alias("side")).unionByName(b.select(key, F.lit("b").alias("side")))
-    seen = sides.groupBy(key).agg(F.min("side").alias("side"), F.max("side").alias("_other"))
-    return seen.filter(F.col("side") == F.col("_other")).drop("_other")
+    sides = a.select(key, F.lit(True).alias("_a")).unionByName(b.select(key, F.lit(False).alias("_a")))
+    seen = sides.groupBy(key).agg(F.bool_or("_a").alias("in_a"), F.bool_and("_a").alias("only_a"))
+    return seen.filter("only_a or not in_a").select(key, F.when(F.col("in_a"), "a").otherwise("b").alias("side"))
 
 
 def rate_ratios(reconciled: DataFrame, min_errors: int = Z.MIN_ERRORS) -> DataFrame:
@@ -216,11 +216,11 @@ def flag_report(matrix: DataFrame) -> DataFrame:
 def channel_isolation(cells: DataFrame, baseline: str, channel: str = "channel") -> DataFrame:
     """Two backends per noise channel: deviation, exact agreement, events over the baseline channel."""
     totals = cells.groupBy(channel).agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.sum("trials").alias("trials"))
-    off = totals.filter(F.col(channel) == baseline)
+    channels = Window.partitionBy()  # one row per channel
+    off = F.col(channel) == baseline
     return total_deviation(totals).select(
         "*",
         F.col("a").eqNullSafe(F.col("b")).alias("exact"),
-        (F.col("a") - off.select("a").scalar()).alias("a_over_baseline"),
-        (F.col("b") - off.select("b").scalar()).alias("b_over_baseline"),
+        *[(F.col(c) - F.max(F.when(off, F.col(c))).over(channels)).alias(f"{c}_over_baseline") for c in ("a", "b")],
         Z.confirmation_verdict(F.col("z_pooled")).alias("verdict"),
     )

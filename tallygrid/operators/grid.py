@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallygrid.functions import layout as L
 from tallygrid.functions.names import rate_text
+from tallygrid.session import materialize
 
 # The instructions of one round on its five data bits {0}..{4}.
 ROUND_TEMPLATE = """\
@@ -49,7 +50,7 @@ def parameter_grid(spark: SparkSession, **axes: list) -> DataFrame:
 
 def grid_coverage(stats: DataFrame, row_axis: str, column_axis: str) -> DataFrame:
     """Every cell of the grid spanned by the observed axis values, with its shots (0 where none ran)."""
-    cells = stats.groupBy(row_axis, column_axis).agg(F.sum("shots").alias("shots"), F.count("*").alias("n_rows"))
+    cells = materialize(stats.groupBy(row_axis, column_axis).agg(F.sum("shots").alias("shots"), F.count("*").alias("n_rows")), "cells")
     axes = cells.agg(F.collect_set(row_axis).alias("r"), F.collect_set(column_axis).alias("c"))
     grid = axes.select(F.explode("r").alias(row_axis), "c").select(row_axis, F.explode("c").alias(column_axis))
     return grid.join(cells, [row_axis, column_axis], "left").na.fill(0, ["shots", "n_rows"])

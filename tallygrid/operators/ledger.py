@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -16,7 +16,8 @@ def run_ledger(jobs: DataFrame, baseline: str, price_per_hour: float) -> DataFra
         F.max_by("job_id", F.struct("seconds", -F.col("job_id"))).alias("slowest_job"),
         F.try_divide(F.max("seconds"), F.avg("seconds")).alias("imbalance"),
     )
-    base = runs.filter(F.col("run_id") == baseline).select("wall_seconds").scalar()
+    every_run = Window.partitionBy()  # one row per run
+    base = F.max(F.when(F.col("run_id") == baseline, F.col("wall_seconds"))).over(every_run)
     return runs.select(
         "*",
         (F.col("compute_hours") * price_per_hour).alias("cost"),

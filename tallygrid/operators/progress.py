@@ -60,9 +60,7 @@ def remaining_work(tasks: DataFrame, totals: DataFrame, key: str = "strong_id")
 
 def unfinished(tasks: DataFrame, totals: DataFrame, key: str = "strong_id") -> DataFrame:
     """Tasks to run again: those whose counters meet no limit."""
-    limits = tasks.select(key, "max_shots", "max_errors")
-    finished = totals.join(limits, key).filter("shots >= max_shots or errors >= max_errors")
-    return tasks.join(finished, key, "left_anti")
+    return remaining_work(tasks, totals, key).filter("end_reason is null").select(*tasks.columns)
 
 
 def progress_summary(totals: DataFrame) -> DataFrame:

@@ -74,24 +74,36 @@ def classify_shots(shots: DataFrame, keys: list[str] | None = None) -> DataFrame
     )
 
 
+def _combo() -> Column:
+    """Counter name of the pattern of mispredicted observables."""
+    flags = F.transform("mistakes", lambda m: F.when(m, F.lit("E")).otherwise(F.lit("_")))
+    return F.concat(F.lit(COMBO_PREFIX), F.array_join(flags, ""))
+
+
 def error_combos(shots: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Errors per pattern of mispredicted observables, as long counters."""
-    flags = F.transform("mistakes", lambda m: F.when(m, F.lit("E")).otherwise(F.lit("_")))
-    return (
+    errors = label_shots(shots).filter("outcome = 'error'")
+    return errors.groupBy(*(keys or ["task_id"]), _combo().alias("counter")).agg(F.count("*").alias("n"))
+
+
+def shot_counters(shots: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """Event counters and error patterns of each task in the long counter form, from one pass."""
+    keys = keys or ["task_id"]
+    patterns = (
         label_shots(shots)
-        .filter("outcome = 'error'")
-        .groupBy(*(keys or ["task_id"]), F.concat(F.lit(COMBO_PREFIX), F.array_join(flags, "")).alias("counter"))
-        .agg(F.count("*").alias("n"))
+        .groupBy(*keys, F.when(F.col("outcome") == "error", _combo()).alias("combo"))
+        .agg(
+            F.count("*").alias("n"),
+            F.sum(F.size("det").cast("bigint")).alias("checked"),
+            F.sum(B.popcount(F.col("det"))).alias("events"),
+        )
     )
 
+    def entry(name: Column, n: str) -> Column:
+        return F.struct(name.alias("counter"), F.col(n).alias("n"))
 
-def shot_counters(classified: DataFrame, combos: DataFrame | None = None) -> DataFrame:
-    """Event counters and error patterns of each task in the long counter form."""
-    events = classified.select(
-        "task_id",
-        F.explode(F.create_map(F.lit(CHECKED), CHECKED, F.lit(EVENTS), EVENTS)).alias("counter", "n"),
-    )
-    return events if combos is None else events.unionByName(combos)
+    entries = F.array(entry(F.lit(CHECKED), "checked"), entry(F.lit(EVENTS), "events"), entry(F.col("combo"), "n"))
+    return patterns.select(*keys, F.inline(entries)).filter("counter is not null").groupBy(*keys, "counter").agg(F.sum("n").alias("n"))
 
 
 def detector_rates(shots: DataFrame, keys: list[str] | None = None) -> DataFrame:

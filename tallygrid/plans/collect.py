@@ -14,6 +14,7 @@ from tallygrid.operators.combine import combine, union_fragments
 from tallygrid.operators.progress import remaining_work
 from tallygrid.operators.shots import classify_shots, with_tasks
 from tallygrid.schema import STATS
+from tallygrid.session import materialize
 
 if TYPE_CHECKING:
     import pandas as pd
@@ -26,16 +27,14 @@ def collect(tasks: DataFrame, samplers: dict[str, Sampler], parallelism: int | N
 
     A sampler maps batches of task rows (with `remaining_shots`, `remaining_errors`)
     to counter rows. `parallelism` spreads the tasks, since a row is small but its
-    work is not.
+    work is not. The rows are written once, so that no later use samples again.
     """
     unknown = tasks.filter(~F.col("decoder").isin(list(samplers))).select("decoder").first()
     if unknown is not None:
         raise ValueError(f"no sampler is registered as {unknown.decoder!r}; known: {sorted(samplers)}")
     spread = tasks.repartition(parallelism) if parallelism else tasks
-    return reduce(
-        DataFrame.unionByName,
-        [spread.filter(F.col("decoder") == name).mapInPandas(fn, STATS) for name, fn in samplers.items()],
-    )
+    sampled = [spread.filter(F.col("decoder") == name).mapInPandas(fn, STATS) for name, fn in samplers.items()]
+    return materialize(reduce(DataFrame.unionByName, sampled), "sampled")
 
 
 def collect_shots(shots: DataFrame, tasks: DataFrame) -> DataFrame:

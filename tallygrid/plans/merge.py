@@ -8,16 +8,15 @@ from tallygrid.operators import combine as C
 from tallygrid.operators.curves import sweep_curve
 from tallygrid.functions.names import parse_json_metadata
 from tallygrid.sources import fragments as S
+from tallygrid.session import materialize
 from tallygrid.sinks.stats import counts_as_json, write_stats
 
 
 def merge(rows: DataFrame, with_counters: bool = False) -> DataFrame:
     """One row per experiment with rates, and its counter map when asked for."""
-    totals = C.with_rates(C.combine(rows))
     if not with_counters:
-        return totals
-    parsed = rows.withColumn("custom_counts", C.parse_counts())
-    return totals.join(C.counters_to_map(C.counters(parsed)), "strong_id", "left")
+        return C.with_rates(C.combine(rows))
+    return C.with_rates(C.combine_with_counters(rows.withColumn("custom_counts", C.parse_counts())))
 
 
 def merge_folder(spark: SparkSession, root: str, out: str | None = None, fmt: str = "csv", latest: bool = True) -> DataFrame:
@@ -29,6 +28,7 @@ def merge_folder(spark: SparkSession, root: str, out: str | None = None, fmt: st
     rows = S.read_latest(spark, root) if latest else S.read_fragments(spark, root, "auto")
     merged = merge(rows, with_counters=True)
     if out is not None:
+        merged = materialize(merged, "merged")  # written below and returned
         write_stats(counts_as_json(merged), out, fmt)
     return merged
 

@@ -59,15 +59,14 @@ def error_combos(spark, sf_dir):
     SELECT * FROM counted""")
 def shot_counters(spark, sf_dir):
     """A3, A4, A5: all counters of a task in the long counter form."""
-    rows = task_shots(spark, sf_dir)
-    return S.shot_counters(S.classify_shots(rows), S.error_combos(rows))
+    return S.shot_counters(task_shots(spark, sf_dir))
 
 
 @query(WITH + """
     SELECT task_id, round(sum(n_events) / sum(len(det)), 6) AS event_rate FROM labelled GROUP BY task_id""")
 def event_rates(spark, sf_dir):
     """Detection events per checked detector, read from the counter map."""
-    long = S.shot_counters(S.classify_shots(task_shots(spark, sf_dir)))
+    long = S.shot_counters(task_shots(spark, sf_dir))
     maps = C.counters_to_map(long, "task_id")
     return maps.select("task_id", F.round(C.event_rate(), 6).alias("event_rate"))
 

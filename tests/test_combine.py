@@ -47,6 +47,14 @@ def test_counter_maps_add_key_by_key(spark):
     assert got == {"a": {"x": 1, "y": 5}, "b": {"z": 1}}
 
 
+def test_totals_and_counters_in_one_pass(spark):
+    rows = [("a", 1, 0, 0, 0.5, "m", "{}", {"x": 1, "y": 2}), ("a", 2, 1, 0, 0.5, "f", "{}", {"y": 3}), ("b", 4, 0, 1, 0.0, "m", "{}", None), ("c", 8, 0, 0, 0.0, "m", "{}", {})]
+    df = spark.createDataFrame(rows, SCHEMA + ", custom_counts map<string,bigint>")
+    got = C.combine_with_counters(df)
+    assert {r.strong_id: r.custom_counts for r in got.collect()} == {"a": {"x": 1, "y": 5}, "b": {}, "c": {}}
+    assert rows_of(got.drop("custom_counts")) == rows_of(C.combine(df))
+
+
 def test_inconsistent_ids(spark):
     rows = [("a", "m", "1"), ("a", "m", "1"), ("b", "m", "1"), ("b", "f", "1"), ("c", "m", "1"), ("c", "m", "2"), ("c", "m", None)]
     df = spark.createDataFrame(rows, "strong_id string, decoder string, json_metadata string")

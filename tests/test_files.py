@@ -171,10 +171,10 @@ def test_collection_resumes_and_checks_names(spark):
             )
 
     tasks = spark.createDataFrame([("a", "m", 10, 5), ("b", "m", 10, 5)], "strong_id string, decoder string, max_shots long, max_errors long")
-    prior = spark.createDataFrame([(4, 1, 0, 1.0, "m", "a", "{}", "{}"), (3, 5, 0, 1.0, "m", "b", "{}", "{}")], STATS)
+    prior = spark.createDataFrame([(4, 1, 0, 1.0, "m", "a", "{}", "{}"), (9, 5, 0, 1.0, "m", "b", "{}", "{}")], STATS)
     done = P.resume(tasks, prior, {"m": sample}, parallelism=2)
-    assert {r.strong_id: (r.shots, r.errors) for r in done.collect()} == {"a": (10, 2), "b": (3, 5)}
-    assert P.invalid_counters(done, 5).select("strong_id").collect()[0].strong_id == "a"
+    assert {r.strong_id: (r.shots, r.errors) for r in done.collect()} == {"a": (10, 2), "b": (9, 5)}
+    assert [(r.strong_id, r.rule) for r in P.invalid_counters(done, 9).collect()] == [("a", "shots above budget")]
     with pytest.raises(ValueError, match="known"):
         P.collect(tasks.withColumn("decoder", F.lit("other")), {"m": sample})
 

@@ -127,7 +127,7 @@ def test_standard_sequence_grid(spark):
 
 
 def test_event_rate_from_counters(spark):
-    long = S.shot_counters(S.classify_shots(shots(spark, [([T, X], [X], [X], False)] * 3)))
+    long = S.shot_counters(shots(spark, [([T, X], [X], [X], False)] * 3))
     maps = C.counters_to_map(long, "task_id")
     row = maps.select("custom_counts", C.event_rate().alias("rate")).first()
     assert row.custom_counts == {"detectors_checked": 6, "detection_events": 3} and row.rate == 0.5
