@@ -59,22 +59,22 @@ def _fold_classes(classes: DataFrame, groups: list[str], batches: int) -> DataFr
 
     Few items are listed one by one in `_visit`; many as `_cycles`, each with the
     rank it starts at and the batches it repeats. A task streams the sorted
-    weights of its groups and keeps only the current loads, so its memory does
+    weights and keeps only the current loads of its groups, so its memory does
     not grow with the number of weights.
     """
-    by_group = classes.withColumn("_group", F.to_json(F.struct(*groups)))
-    sorted_classes = by_group.repartition("_group").sortWithinPartitions("_group", F.col("_w").desc())
+    sorted_classes = classes.repartition(*groups).sortWithinPartitions(F.col("_w").desc())
     kept = [*groups, "_w", "_start"]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in classes.select(*kept).schema)
     schema += ", `_visit` array<int>, `_cycles` array<struct<slot:bigint,batches:array<int>>>"
     listed = 4 * batches
 
-    def fold(frames):
-        import pandas as pd
+    def fold(chunks):
+        import pyarrow as pa
 
-        loads, current = [], None
+        cycle_type = pa.list_(pa.struct([("slot", pa.int64()), ("batches", pa.list_(pa.int32()))]))
+        current = {}
 
-        def fill(weight, count):
+        def fill(loads, weight, count):
             """Cycles of `count` equal items; moves the loads on."""
             cycles = []
             ranked = sorted(range(batches), key=lambda b: (loads[b], b))
@@ -97,28 +97,30 @@ def _fold_classes(classes: DataFrame, groups: list[str], batches: int) -> DataFr
                 loads[b] += (before[b] + rounds + (1 if place < extra else 0)) * weight
             return cycles
 
-        for frame in frames:
-            visits, cycles = [], []
-            for group, weight, count in zip(frame["_group"], frame["_w"].tolist(), frame["_n"].tolist()):
-                if group != current:
-                    loads, current = [0] * batches, group
+        for chunk in chunks:
+            visited, ends, cycles = [], [0], []
+            keys = zip(*[chunk.column(c).to_pylist() for c in groups])
+            for group, weight, count in zip(keys, chunk.column("_w").to_pylist(), chunk.column("_n").to_pylist()):
+                loads = current.get(group)
+                if loads is None:
+                    loads = current[group] = [0] * batches
+                repeated = None
                 if weight == 0:
-                    visits.append(None)
-                    cycles.append([{"slot": 0, "batches": [loads.index(min(loads))]}])
+                    repeated = [{"slot": 0, "batches": [loads.index(min(loads))]}]
                 elif count <= listed:
-                    visit = []
                     for _ in range(count):
                         lightest = loads.index(min(loads))
                         loads[lightest] += weight
-                        visit.append(lightest)
-                    visits.append(visit)
-                    cycles.append(None)
+                        visited.append(lightest)
                 else:
-                    visits.append(None)
-                    cycles.append(fill(weight, count))
-            yield pd.DataFrame({**{c: frame[c] for c in kept}, "_visit": visits, "_cycles": cycles})
-
-    return sorted_classes.mapInPandas(fold, schema)
+                    repeated = fill(loads, weight, count)
+                ends.append(len(visited))
+                cycles.append(repeated)
+            visit = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(visited, pa.int32()))
+            columns = [*[chunk.column(c) for c in kept], visit, pa.array(cycles, cycle_type)]
+            yield pa.RecordBatch.from_arrays(columns, names=[*kept, "_visit", "_cycles"])
+
+    return sorted_classes.mapInArrow(fold, schema)
 
 
 def batch_sizes(assigned: DataFrame, keys: list[str] | None = None) -> DataFrame:
