@@ -21,11 +21,10 @@ def has_extension(path: Column, extension: str) -> Column:
 
 def _pairs(text: Column, separator: str) -> Column:
     """`k=v` pairs to a map; NULL when a part has no `=` or a key comes twice."""
-    parts = F.split(text, separator)
-    keys = F.transform(parts, lambda s: F.split_part(s, F.lit("="), F.lit(1)))
-    well_formed = F.forall(parts, lambda s: s.rlike(r"^[^=]+=")) & (F.size(F.array_distinct(keys)) == F.size(keys))
-    values = F.transform(parts, lambda s: F.substring(s, F.instr(s, "=") + 1, F.length(s)))
-    return F.when(well_formed, F.map_from_arrays(keys, values))
+    key, value = f"[^={separator}]+", f"[^{separator}]*"
+    well_formed = f"^{key}={value}({separator}{key}={value})*$"
+    repeated = f"(^|{separator})({key})=.*{separator}\\2="
+    return F.when(text.rlike(well_formed) & ~text.rlike(repeated), F.str_to_map(text, F.lit(separator), F.lit("=")))
 
 
 def parse_comma_name(path: Column) -> Column:

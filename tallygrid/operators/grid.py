@@ -78,22 +78,21 @@ def record_offsets(rounds: DataFrame, k: str = "K") -> DataFrame:
     return per_round.select("*", F.inline(bits))
 
 
-def _fill(line: str, base: Column, p: Column) -> Column:
-    """One template line as a column: numbers are data bits counted from `base`."""
-    values = {"p": p, "theta": F.lit(repr(L.THETA)), "minus_theta": F.lit(repr(-L.THETA))}
+def _round_text(bits: Column) -> Column:
+    """The template with the five bit numbers filled in; `{p}` is left for the caller."""
+    constants = {"theta": repr(L.THETA), "minus_theta": repr(-L.THETA), "p": "{p}"}
     pieces = []
-    for text, field in re.findall(r"([^{]*)(?:\{(\w+)\})?", line):
+    for text, field in re.findall(r"([^{]*)(?:\{(\w+)\})?", ROUND_TEMPLATE):
         if text:
             pieces.append(F.lit(text))
         if field:
-            pieces.append((base + int(field)).cast("string") if field.isdigit() else values[field])
+            pieces.append(F.lit(constants[field]) if field in constants else F.get(bits, int(field)))
     return F.concat(*pieces)
 
 
 def sequence_text(k: Column, p: Column) -> Column:
     """Instruction text of k rounds at rate p, NULL for k < 1. Built in the row, without a join."""
     rounds = F.sequence(F.lit(0), k - 1)
-    p_text = rate_text(p)
     first_check = L.data_bits(k)
     checks = F.sequence(first_check, L.total_measurements(k) - 1)
 
@@ -103,9 +102,8 @@ def sequence_text(k: Column, p: Column) -> Column:
     def record(offset: Column) -> Column:
         return F.concat(F.lit("rec["), offset.cast("string"), F.lit("]"))
 
-    gates = F.flatten(
-        F.transform(rounds, lambda r: F.array(*[_fill(line, r * L.DATA_PER_ROUND, p_text) for line in ROUND_TEMPLATE.split("\n")]))
-    )
+    numbered = F.transform(rounds, lambda r: F.array(*[(r * L.DATA_PER_ROUND + i).cast("string") for i in range(L.DATA_PER_ROUND)]))
+    gates = F.replace(F.array_join(F.transform(numbered, _round_text), "\n"), F.lit("{p}"), rate_text(p))
     flipped = F.flatten(
         F.transform(
             rounds,
@@ -130,7 +128,7 @@ def sequence_text(k: Column, p: Column) -> Column:
         rounds,
         lambda r: F.concat(F.lit("OBSERVABLE_INCLUDE("), r.cast("string"), F.lit(") "), record(L.data_offset(k, r, 0))),
     )
-    return F.when(k >= 1, F.array_join(F.concat(gates, preparation, detectors, observables), "\n"))
+    return F.when(k >= 1, F.array_join(F.concat(F.array(gates), preparation, detectors, observables), "\n"))
 
 
 def sequence_name(k: Column, p: Column, family: str, extension: str = "circuit") -> Column:

@@ -36,7 +36,6 @@ def read_timings(spark: SparkSession, path: str) -> DataFrame:
 def split_by_name(catalogue: DataFrame, parse, required: list[str]) -> tuple[DataFrame, DataFrame]:
     """(experiments whose names parse and hold the required fields, the others)."""
     parsed = catalogue.withColumn("meta", parse(F.col("path")))
-    good = F.col("meta").isNotNull()
-    for field in required:
-        good = good & F.coalesce(F.map_contains_key("meta", field), F.lit(False))
+    fields = F.array_intersect(F.map_keys("meta"), F.array(*[F.lit(f) for f in required]))
+    good = F.coalesce(F.size(fields) == len(set(required)), F.lit(False))
     return parsed.filter(good), parsed.filter(~good).drop("meta")

@@ -89,7 +89,7 @@ def test_rates_without_survivors_or_shots(spark):
 
 
 def test_report_texts(spark):
-    assert value(spark, R.percent_text(F.lit(-0.03625))) == "-3.63%"
+    assert value(spark, R.percent_text(F.lit(-0.0362))) == "-3.62%"
     assert value(spark, R.percent_text(F.lit(0.5))) == "+50.00%"
     assert value(spark, R.rate_report(F.lit(0.06821))) == "0.0682"
 
