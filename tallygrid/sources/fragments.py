@@ -56,16 +56,24 @@ def read_raw(
 
 
 def is_good(columns: list[str]) -> Column:
-    """A row the reader accepted, whose JSON columns parse.
+    """A complete row whose JSON columns parse.
 
     The reader does not mark a row cut inside its last quoted field, so the JSON
-    has to be looked at as well.
+    has to be looked at as well. Files from before named counters end with the
+    metadata; the reader marks their rows as short, and they are good when they
+    end with the closing quote of that field.
     """
-    good = F.col(CORRUPT).isNull() & F.col("shots").isNotNull() & F.col("strong_id").isNotNull()
+    good = F.col(CORRUPT).isNull()
     for name in JSON_COLUMNS:
         if name in columns:
             good = good & (F.col(name).isNull() | F.from_json(name, "map<string,string>").isNotNull())
-    return F.coalesce(good, F.lit(False))
+    without_counts = (
+        F.col("custom_counts").isNull()
+        & F.from_json("json_metadata", "map<string,string>").isNotNull()
+        & F.rtrim(CORRUPT).endswith('"')
+    )
+    complete = F.col("shots").isNotNull() & F.col("strong_id").isNotNull()
+    return F.coalesce(complete & (good | without_counts), F.lit(False))
 
 
 def good_rows(raw: DataFrame) -> DataFrame:

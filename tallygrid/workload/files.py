@@ -133,3 +133,21 @@ def catalogue_scan(spark, sf_dir):
     good, _ = Cat.split_by_name(profile.profile(catalogue), N.parse_underscore_name, ["K", "p"])
     keys = [N.meta_value("meta", "K", "bigint").alias("K"), N.meta_value("meta", "p", "double").alias("p")]
     return good.groupBy(*keys).agg(F.count("*").alias("n_files"), F.sum("n_observables").alias("observables"))
+
+
+@query("WITH " + ROUNDS_SQL + """
+    SELECT DISTINCT CAST(K AS BIGINT) AS K, p, CAST(21 * K + 3 AS BIGINT) AS n_lines, CAST(4 * K AS BIGINT) AS n_detectors, CAST(12 * K AS BIGINT) AS t_count
+    FROM rounds""")
+def catalogue_files(spark, sf_dir):
+    """One instruction file per (K, p) of the parts, read back as a catalogue; the folders hold the parameters."""
+    root = new_path(spark, "catalogue")
+    cells = rounds(table(spark, sf_dir, "part")).select("K", "p").distinct()
+    texts = cells.select(F.col("K"), N.rate_text(F.col("p")).alias("p"), grid.sequence_text(F.col("K"), F.col("p")).alias("text"))
+    texts.write.partitionBy("K", "p").text(root)
+
+    def folder_fields(path):
+        return F.str_to_map(F.regexp_extract(path, "K=[^/]+/p=[^/]+", 0), F.lit("/"), F.lit("="))
+
+    good, _ = Cat.split_by_name(Cat.read_catalogue(spark, root, "txt"), folder_fields, ["K", "p"])
+    keys = [N.meta_value("meta", "K", "bigint").alias("K"), N.meta_value("meta", "p", "double").alias("p")]
+    return profile.profile(good.select(*keys, "text")).select("K", "p", "n_lines", "n_detectors", "t_count")

@@ -43,6 +43,19 @@ def test_row_cut_inside_its_json(spark, tmp_path):
     assert S.quarantine(raw).count() == 1
 
 
+def test_files_without_named_counters(spark, tmp_path):
+    header = HEADER.replace(",custom_counts", "")
+    seven = [line(n, 1, i, "").rstrip(",\n") for n, i in ((10, "a"), (20, "b"))]
+    cut = line(30, 1, "c", "").rstrip(",\n")[:-4]
+    write(f"{tmp_path}/batch_0/stats.csv", header + "\n".join([*seven, cut]))
+    write(f"{tmp_path}/batch_1/stats.csv", HEADER + line(5, 1, "a"))
+    raw = S.read_raw(spark, str(tmp_path))
+    assert totals(S.good_rows(raw)) == {"a": (15, 2), "b": (20, 1)}
+    assert S.quarantine(raw).count() == 1
+    merged = M.merge(S.good_rows(raw), with_counters=True)
+    assert {r.strong_id: r.custom_counts for r in merged.collect()} == {"a": {"n": 1}, "b": {}}
+
+
 def test_missing_counts_are_good(spark, tmp_path):
     write(f"{tmp_path}/stats.csv", HEADER + line(10, 1, "a", ""))
     assert totals(S.read_fragments(spark, str(tmp_path))) == {"a": (10, 1)}

@@ -69,3 +69,17 @@ def test_a_late_older_snapshot_changes_nothing(spark):
     known = St.newest_snapshots(rows)
     late = rows.withColumn("file_path", F.lit("batch_0/stats.partial.1.csv")).withColumn("shots", F.lit(3).cast("long"))
     assert St.newest_snapshots(late, known).collect() == known.collect()
+
+
+def test_a_paced_query_keeps_publishing(spark, tmp_path):
+    root = f"{tmp_path}/in"
+    write(f"{root}/batch_0/d1.csv", HEADER + line(10, 1, "a"))
+    query = St.start_combine(St.stream_fragments(spark, root), f"{tmp_path}/out", f"{tmp_path}/ck", 50, 5, every="1 second")
+    try:
+        query.processAllAvailable()
+        assert published(spark, f"{tmp_path}/out") == {"a": (10, 1)}
+        write(f"{root}/batch_1/d2.csv", HEADER + line(5, 0, "a"))
+        query.processAllAvailable()
+        assert published(spark, f"{tmp_path}/out") == {"a": (15, 1)}
+    finally:
+        query.stop()
