@@ -65,7 +65,7 @@ def rate_text(p: Column) -> Column:
     """A rate as the shortest decimal text, as it stands in file names: 0.0005, 1e-05."""
     shortest = p.cast("string")
     positional = F.regexp_replace(shortest.cast("decimal(38,20)").cast("string"), r"(\.\d+?)0+$", "$1")
-    mantissa = F.regexp_replace(F.split_part(shortest, F.lit("E"), F.lit(1)), r"\.0$", "")
-    exponent = F.split_part(shortest, F.lit("E"), F.lit(2)).cast("int")
+    mantissa = F.regexp_replace(F.substring_index(shortest, "E", 1), r"\.0$", "")
+    exponent = F.substring_index(shortest, "E", -1).try_cast("int")
     scientific = F.concat(mantissa, F.format_string("e-%02d", F.abs(exponent)))
     return F.when((p == 0) | (F.abs(p) >= 1e-4), positional).otherwise(scientific)

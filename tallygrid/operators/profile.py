@@ -16,22 +16,17 @@ def profile(texts: DataFrame, text: str = "text") -> DataFrame:
 
     Flat text only: a text with repeat blocks is flagged and its counts are NULL.
     """
-    lines = F.filter(F.split(text, "\n"), lambda s: F.trim(s) != "")
+    lines = F.filter(F.transform(F.split(text, "\n"), F.trim), lambda s: s != "")
     parsed = F.transform(
-        lines,
-        lambda s: F.struct(
-            F.regexp_extract(s, r"^\s*([A-Z][A-Z0-9_]*)", 1).alias("word"),
-            F.size(F.regexp_extract_all(s, F.lit(r"(?<=\s)(\d+)(?=\s|$)"), 1)).alias("targets"),
-        ),
+        lines, lambda s: F.struct(F.substring_index(F.substring_index(s, " ", 1), "(", 1).alias("word"), s.alias("line"))
     )
 
     def count(word: str) -> Column:
         return F.size(F.filter("_lines", lambda x: x["word"] == word)).cast("bigint")
 
     def target_sum(words: list[str]) -> Column:
-        return F.aggregate(
-            F.filter("_lines", lambda x: x["word"].isin(words)), F.lit(0).cast("bigint"), lambda acc, x: acc + x["targets"]
-        )
+        named = F.filter("_lines", lambda x: x["word"].isin(words))
+        return F.aggregate(named, F.lit(0).cast("bigint"), lambda acc, x: acc + F.size(F.split(x["line"], " +")) - 1)
 
     flat = ~F.col("has_repeat")
     return (
