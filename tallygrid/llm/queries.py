@@ -61,3 +61,24 @@ def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallygrid.llm.neardup import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"), k=2)
+
+
+@query()
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from tallygrid.llm.language import fit, held_out, predict
+
+    docs = table(spark, sf_dir, "documents")
+    test = held_out(F.col("doc_id"), 3, 1)
+    model = fit(docs.filter(~test))
+    return predict(docs, model).select("doc_id", test.alias("held_out"), "lang_pred", "score")
+
+
+@query()
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from tallygrid.llm.bpe import encode_documents
+
+    return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
