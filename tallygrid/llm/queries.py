@@ -82,3 +82,10 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallygrid.llm.bpe import encode_documents
 
     return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query()
+def op3_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallygrid.llm.decontaminate import leaks
+
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
