@@ -89,3 +89,22 @@ def op3_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallygrid.llm.decontaminate import leaks
 
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query(
+    sql="""
+    WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+    win AS (SELECT doc_id, i, list_aggregate(ws[i : i + 12], 'string_agg', ' ') AS g FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w)),
+    origin AS (SELECT g, min(doc_id) AS low FROM win GROUP BY g),
+    hit AS (SELECT win.doc_id, i FROM win JOIN origin USING (g) WHERE low < win.doc_id),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS j FROM hit),
+    words AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS j FROM w),
+    kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY j) AS t FROM words ANTI JOIN gone USING (doc_id, j) GROUP BY doc_id)
+    SELECT w.doc_id, len(ws)::BIGINT AS n_words, len(ws)::BIGINT - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+    FROM w LEFT JOIN kept USING (doc_id)
+    """
+)
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallygrid.llm.substrings import kept_digests, remove_repeats
+
+    return kept_digests(remove_repeats(table(spark, sf_dir, "documents")))
