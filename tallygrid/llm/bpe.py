@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tallygrid.llm.frames import small_batches
 from tallygrid.llm.text import slices
 
 # Entries a worker keeps of pieces that it has already encoded, and of transducer states.
@@ -324,6 +325,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, with_ids: bool =
     repeat stay, and no documents give no rows. The vocabulary file is read by the
     executors, so `path` has to exist there.
     """
+    small_batches(docs)
     kinds = {"ids": "binary", "n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string"}
     wanted = {"ids": "ids"} if with_ids else {}
     wanted |= {"n_tokens": "n_tokens"} | ({"ids_sha256": "ids_sha256", "decoded_sha256": "decoded_sha256"} if digests else {})

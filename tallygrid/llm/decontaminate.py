@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tallygrid.llm import bitmap
 from tallygrid.llm.language import lowered
+from tallygrid.llm.frames import small_batches
 from tallygrid.llm.text import SLICE_BYTES, grams, mix, signed, slices, utf8, word_hashes, words
 from tallygrid.session import materialize
 
@@ -171,6 +172,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: fl
     document of its own, items without an id are left out. Empty tables give no rows.
     Runs jobs: the benchmark's windows and the matches are written tables.
     """
+    small_batches(docs)
     spark = docs.sparkSession
     items = benchmark.filter("item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("string").alias("item_id"), "text")
     known = materialize(items.mapInArrow(_benchmark(window), "item_id string, size int, pos long, hash long, slots binary, n_windows long"), "windows")

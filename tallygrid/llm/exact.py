@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallygrid.llm.frames import small_batches
 from tallygrid.llm.text import SPACE_BYTES, slices
 from tallygrid.session import materialize
 
@@ -197,6 +198,7 @@ def exact_duplicates(docs: DataFrame, table_bytes: int = TABLE_BYTES, fold_bytes
     `key_bytes` shortens the digest by which contents are dealt (tests).
     Runs jobs: every level of the partitioning is a written table.
     """
+    small_batches(docs)
     found = groups(docs, table_bytes, fold_bytes, key_bytes)
     source = docs.select("doc_id", "text")
     plain = source.mapInArrow(_digests(key_bytes), "doc_id long, digest binary, text_sha256 string")

@@ -23,3 +23,14 @@ def keep_ids(docs: DataFrame, ids: DataFrame, how: str = "left_semi") -> DataFra
     (key,) = fresh(docs, "keep")
     side = ids.select(F.col("doc_id").alias(key)).distinct()
     return docs.join(side, docs["doc_id"].eqNullSafe(side[key]), how)
+
+
+# Rows of an Arrow batch between Spark and Python: texts can be long, and a worker holds a batch whole.
+BATCH_ROWS = 512
+
+
+def small_batches(df: DataFrame) -> None:
+    """Set the session's Arrow batches to a few hundred rows, unless the user has set a number."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if conf.get(name) == "10000":
+        conf.set(name, str(BATCH_ROWS))

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallygrid.llm.frames import small_batches
 from tallygrid.llm.text import LOWER, slices, utf8
 
 UNKNOWN = "und"
@@ -131,6 +132,7 @@ def fit(labelled: DataFrame) -> Model:
     The counts are summed per task and then in Spark; at most 65,547 rows per
     language reach the driver. Without labelled rows the model knows no language.
     """
+    small_batches(labelled)
     rows = labelled.select("text", F.col("lang").cast("string").alias("lang")).filter("text IS NOT NULL AND lang IS NOT NULL")
     counts = rows.mapInArrow(_count, "lang string, slot int, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n"))
     return Model([tuple(r) for r in counts.collect()])
@@ -232,6 +234,7 @@ def predict(docs: DataFrame, model: Model, switch: float = SWITCH, columns: list
     scripts that no language was trained with gets the language with most training
     text and score 0. Repeated rows stay; no documents give no rows.
     """
+    small_batches(docs)
     columns = columns or ["doc_id"]
     shared = docs.sparkSession.sparkContext.broadcast(model)
     source = docs.select(*dict.fromkeys([*columns, "text"]))

@@ -3,8 +3,8 @@
 Each distinct shingle set gets M coordinates, each the combination of R minima, so
 that unrelated sets rarely agree on one. A set is posted under its first M - T + 1
 (coordinate, value) pairs: two sets that agree on T coordinates must meet there.
-Pairs below T agreements are dropped, the others are confirmed on the full shingle
-sets. Large groups of copies do not become all their pairs: identical sets are one
+A pair is made at its first common coordinate only, if T agree; it is then held to
+one byte of each of the M * R minima, and confirmed on the full shingle sets. Large groups of copies do not become all their pairs: identical sets are one
 class from the start, and star rounds first link every posting list to one of its
 members, after which only pairs across different components are left to compare.
 
@@ -22,12 +22,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallygrid.llm.components import components
+from tallygrid.llm.frames import small_batches
 from tallygrid.llm.text import LOWER, grams, mix, row_starts, seeded, signed, slices, utf8, word_hashes, words
 from tallygrid.session import broadcast_if_small, materialize
 
 COORDINATES, ROWS_EACH, MATCHES = 40, 4, 3
-# Star rounds end when at most this many pairs per posting are left, or after this many rounds; the rest is compared in full.
-PAIRS_PER_POSTING, STAR_ROUNDS = 1, 4
+# Standard deviations below the expected number of equal bytes at the threshold that a pair may fall.
+SLACK = 5.5
+# Star rounds end when at most this many pairs per posting are left, when a round settles less than half of
+# them, or after this many rounds; the rest is compared in full.
+PAIRS_PER_POSTING, STAR_ROUNDS = 4, 4
 
 
 def shingle_sets(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -55,20 +59,24 @@ def shingle_sets(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
     return row[new], h[new]
 
 
-def signatures(h: np.ndarray, starts: np.ndarray, coordinates: int, rows_each: int) -> np.ndarray:
-    """M combined minima of each segment of h."""
+def signatures(h: np.ndarray, starts: np.ndarray, coordinates: int, rows_each: int) -> tuple[np.ndarray, np.ndarray]:
+    """M combined minima of each segment of h, and one byte of each of the M * R minima."""
     low = (h & np.uint64(0xFFFFFFFF)).astype(np.uint32)
     high = (h >> np.uint64(32)).astype(np.uint32)
     keys = seeded(5, coordinates * rows_each)
     out = np.zeros((len(starts), coordinates), np.uint64)
-    for c in range(coordinates):
-        for r in range(rows_each):
-            key = int(keys[c * rows_each + r])
-            v = (low ^ np.uint32(key & 0xFFFFFFFF)) * np.uint32(key >> 32 | 1)
-            v ^= high
-            v *= np.uint32(0x9E3779B1)
-            out[:, c] = mix(out[:, c] ^ np.minimum.reduceat(v, starts).astype(np.uint64)) + np.uint64(c)
-    return out
+    sketch = np.zeros((len(starts), coordinates * rows_each), np.uint8)
+    v = np.empty_like(low)
+    for k, key in enumerate(keys.tolist()):
+        np.bitwise_xor(low, np.uint32(key & 0xFFFFFFFF), out=v)
+        v *= np.uint32(key >> 32 | 1)
+        v ^= high
+        v *= np.uint32(0x9E3779B1)
+        least = mix(np.minimum.reduceat(v, starts).astype(np.uint64) + np.uint64(1))
+        sketch[:, k] = least & np.uint64(0xFF)
+        c = k // rows_each
+        out[:, c] = mix(out[:, c] ^ least) + np.uint64(c)
+    return out, sketch
 
 
 def _features(k: int, coordinates: int, rows_each: int):
@@ -78,30 +86,16 @@ def _features(k: int, coordinates: int, rows_each: int):
             n = np.bincount(row, minlength=batch.num_rows).astype(np.int64)
             s1, s2 = np.zeros(batch.num_rows, np.uint64), np.zeros(batch.num_rows, np.uint64)
             starts = row_starts(row)
-            sig = [None] * batch.num_rows
+            sig, sketch = [None] * batch.num_rows, [None] * batch.num_rows
             if len(starts):
                 own = row[starts]
                 s1[own] = np.add.reduceat(mix(h ^ np.uint64(0x5851F42D4C957F2D)), starts)
                 s2[own] = np.add.reduceat(mix(h + np.uint64(0x14057B7EF767814F)), starts)
-                for r, s in zip(own.tolist(), signatures(h, starts, coordinates, rows_each)):
-                    sig[r] = s.tobytes()
+                for r, coords, low in zip(own.tolist(), *signatures(h, starts, coordinates, rows_each)):
+                    sig[r], sketch[r] = signed(coords), low.tobytes()
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n), pa.array(signed(s1)), pa.array(signed(s2)), pa.array(sig, pa.binary())],
-                ["doc_id", "n", "s1", "s2", "sig"],
-            )
-
-    return run
-
-
-def _postings(first: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint64).reshape(batch.num_rows, -1)[:, :first]
-            rep, n = batch.column("rep").to_numpy(), batch.column("n").to_numpy()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(signed(np.ascontiguousarray(sig)).ravel()), pa.array(np.repeat(rep, first)), pa.array(np.repeat(n, first))], ["key", "rep", "n"]
+                [batch.column("doc_id"), pa.array(n), pa.array(signed(s1)), pa.array(signed(s2)), pa.array(sig, pa.list_(pa.int64())), pa.array(sketch, pa.binary())],
+                ["doc_id", "n", "s1", "s2", "sig", "sketch"],
             )
 
     return run
@@ -124,12 +118,12 @@ def _confirm(k: int, percent: int):
     return run
 
 
-def _agreeing(matches: int):
+def _agreeing(least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for c in ("sig_a", "sig_b"))
-                keep = (a == b).sum(axis=1) >= matches
+                a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in ("sketch_a", "sketch_b"))
+                keep = (a == b).sum(axis=1) >= least
                 yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep))
 
     return run
@@ -163,18 +157,20 @@ def near_duplicates(
     has itself (null) as component, and is kept. Other columns are ignored; no
     documents give no rows. Runs jobs and writes tables below the shared folder.
     """
-    first = coordinates - matches + 1
+    small_batches(docs)
+    first, many_rows = coordinates - matches + 1, coordinates * rows_each
+    least_equal = many_rows * percent / 100 - SLACK * (many_rows * percent / 100 * (1 - percent / 100)) ** 0.5
     source = docs.select("doc_id", "text")
-    each = materialize(source.mapInArrow(_features(k, coordinates, rows_each), "doc_id long, n long, s1 long, s2 long, sig binary"), "sets")
+    each = materialize(source.mapInArrow(_features(k, coordinates, rows_each), "doc_id long, n long, s1 long, s2 long, sig array<long>, sketch binary"), "sets")
     # Identical sets: one class, represented by its smallest doc_id.
-    reps = materialize(each.filter("n > 0 AND doc_id IS NOT NULL").groupBy("n", "s1", "s2", "sig").agg(F.min("doc_id").alias("rep")), "classes")
-    postings = reps.select("rep", "n", "sig").mapInArrow(_postings(first), "key long, rep long, n long")
+    reps = materialize(each.filter("n > 0 AND doc_id IS NOT NULL").groupBy("n", "s1", "s2", "sig", "sketch").agg(F.min("doc_id").alias("rep")), "classes")
+    postings = reps.select(F.explode(F.slice("sig", 1, first)).alias("key"), "rep", "n")
     shared = postings.groupBy("key").agg(F.count(F.lit(1)).alias("many")).filter("many > 1")
     posted = materialize(postings.join(shared.select("key"), "key", "left_semi"), "posted")
     texts = source.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("id"), "text")
     n_posted = posted.count()
 
-    links = tested = parts = None
+    links = tested = parts = before = None
     for turn in range(star_rounds + 1 if n_posted else 0):
         labelled = posted.withColumn("part", F.col("rep"))
         if parts is not None:
@@ -186,10 +182,16 @@ def near_duplicates(
         if not left:
             break
         live = materialize(labelled.join(open_keys.select("key"), "key", "left_semi"), "live")
-        last = turn == star_rounds or left <= PAIRS_PER_POSTING * n_posted
+        last = turn == star_rounds or left <= PAIRS_PER_POSTING * n_posted or (before is not None and 2 * left > before)
+        before = left
         if last:
-            x, y = live.alias("x"), live.alias("y")
-            pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.part") < F.col("y.part"))).filter(_sizes("x.n", "y.n", percent))
+            signed_rows = live.join(reps.select("rep", "sig"), "rep")
+            x, y = signed_rows.alias("x"), signed_rows.alias("y")
+            equal = F.zip_with("x.sig", "y.sig", lambda p, q: p == q)
+            # At the first common coordinate only, and with enough of them in all.
+            here = F.array_position(equal, True) == F.array_position("x.sig", F.col("x.key"))
+            enough = F.size(F.filter(equal, lambda e: e)) >= matches
+            pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.part") < F.col("y.part")) & _sizes("x.n", "y.n", percent) & here & enough)
             pairs = pairs.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
         else:
             # Another member of each list is the centre in every round.
@@ -203,10 +205,10 @@ def near_duplicates(
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = materialize(pairs, "pairs")
         tested = pairs if tested is None else tested.unionByName(pairs)
-        if last:
-            side = reps.select("rep", "sig")
-            met = pairs.join(side.select(F.col("rep").alias("a"), F.col("sig").alias("sig_a")), "a").join(side.select(F.col("rep").alias("b"), F.col("sig").alias("sig_b")), "b")
-            pairs = materialize(met.select("a", "b", "sig_a", "sig_b").mapInArrow(_agreeing(matches), "a long, b long"), "agreeing")
+        side = reps.select("rep", "sketch")
+        met = pairs.join(side.select(F.col("rep").alias("a"), F.col("sketch").alias("sketch_a")), "a").join(side.select(F.col("rep").alias("b"), F.col("sketch").alias("sketch_b")), "b")
+        close = met.select("a", "b", "sketch_a", "sketch_b").mapInArrow(_agreeing(least_equal), "a long, b long")
+        pairs = materialize(close, "agreeing")
         new = materialize(_links(pairs, texts, k, percent), "confirmed")
         links = new if links is None else links.unionByName(new)
         parts = components(links, "a", "b")
@@ -216,7 +218,7 @@ def near_duplicates(
     classes = reps.select("n", "s1", "s2", "rep")
     if parts is not None:
         classes = classes.join(parts.select(F.col("id").alias("rep"), "component"), "rep", "left").select("n", "s1", "s2", F.coalesce("component", "rep").alias("rep"))
-    joined = each.filter("n > 0 AND doc_id IS NOT NULL").drop("sig").join(classes, ["n", "s1", "s2"])
+    joined = each.filter("n > 0 AND doc_id IS NOT NULL").drop("sig", "sketch").join(classes, ["n", "s1", "s2"])
     alone = each.filter("n = 0 OR doc_id IS NULL").select("n", "s1", "s2", "doc_id", F.col("doc_id").alias("rep"))
     both = joined.select("n", "s1", "s2", "doc_id", "rep").unionByName(alone)
     return both.select("doc_id", F.col("n").alias("n_shingles"), F.col("rep").alias("component_id"), F.col("doc_id").eqNullSafe(F.col("rep")).alias("kept"))

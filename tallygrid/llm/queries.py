@@ -108,3 +108,15 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallygrid.llm.substrings import kept_digests, remove_repeats
 
     return kept_digests(remove_repeats(table(spark, sf_dir, "documents")))
+
+
+@query()
+def op9_gru_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from tallygrid.llm.language import held_out
+    from tallygrid.llm.lm import score_documents
+
+    docs = table(spark, sf_dir, "documents")
+    scored = score_documents(docs, ~held_out(F.col("doc_id"), 10, 0))
+    return scored.select("doc_id", held_out(F.col("doc_id"), 10, 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
