@@ -120,3 +120,10 @@ def op9_gru_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = score_documents(docs, ~held_out(F.col("doc_id"), 10, 0))
     return scored.select("doc_id", held_out(F.col("doc_id"), 10, 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query()
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallygrid.llm.pii import find_personal_data, span_digests
+
+    return span_digests(find_personal_data(table(spark, sf_dir, "documents")))
