@@ -127,3 +127,10 @@ def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallygrid.llm.pii import find_personal_data, span_digests
 
     return span_digests(find_personal_data(table(spark, sf_dir, "documents")))
+
+
+@query()
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallygrid.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents"))
