@@ -6,7 +6,8 @@ vocabulary's prefix tree, the last token before it, and the tokens not yet writt
 A boundary is right when its last two tokens stay apart if merged alone, so each
 prefix has one last token. What all threads agree on is written; the lookahead is
 bounded by the longest token. Sets of threads are states, numbered when first met,
-and a step is then one dictionary lookup.
+and a step is then one dictionary lookup. When the bounded table of states is full,
+unknown steps are simulated on the threads themselves.
 
 Decoding is a table lookup; a state machine over UTF-8 classes keeps an incomplete
 character for the next chunk, so that ids can be decoded as a stream.
@@ -26,8 +27,8 @@ from pyspark.sql import DataFrame
 from tallygrid.llm.frames import small_batches
 from tallygrid.llm.text import slices
 
-# Entries a worker keeps of pieces that it has already encoded, and of transducer states.
-PIECES, STATES = 200_000, 150_000
+# Entries a worker keeps of words that it has already encoded (per generation), and of transducer states.
+PIECES, STATES = 500_000, 100_000
 # Above every rank.
 NEVER = 1 << 60
 
@@ -109,12 +110,9 @@ class Transducer:
                     self.children.append({})
                     self.token.append(-1)
             self.token[node] = i
-        self._clear()
-
-    def _clear(self) -> None:
+        self.apart: dict[tuple[int, int], bool] = {}
         # A state is a tuple of threads (node, last id or -1, pending ids); the start has one.
         start = ((0, -1, ()),)
-        self.apart: dict[tuple[int, int], bool] = {}
         self.states: list[tuple] = [start]
         self.number = {start: 0}
         self.steps: list[dict[int, tuple[int, tuple[int, ...]]]] = [{}]
@@ -124,6 +122,8 @@ class Transducer:
         if last < 0:
             return self.rules.is_whole(self.bytes_of[t])
         if (known := self.apart.get((last, t))) is None:
+            if len(self.apart) >= 4 * self.max_states:
+                self.apart.clear()
             known = self.apart[last, t] = self.rules.stay_apart(self.bytes_of[last], self.bytes_of[t])
         return known
 
@@ -163,13 +163,14 @@ class Transducer:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        if len(self.states) > self.max_states:
-            self._clear()
         out: list[int] = []
         state, steps = 0, self.steps
-        for b in piece:
+        for k, b in enumerate(piece):
             step = steps[state].get(b)
             if step is None:
+                if len(self.states) >= self.max_states:
+                    rest = self._simulate(self.states[state], piece, k)
+                    return out + rest if rest is not None else [self.ranks[t] for t in self.rules.merge(piece)]
                 step = self._step(state, b)
                 if step[0] < 0:  # ranks that are no proper merge order
                     return [self.ranks[t] for t in self.rules.merge(piece)]
@@ -181,6 +182,37 @@ class Transducer:
             out.extend(self.states[state][-1][2])
         return out
 
+    def _simulate(self, threads: tuple, piece: bytes, at: int) -> list[int] | None:
+        """The rest of a piece thread by thread, once the table of states is full; None where no boundary is left.
+
+        Tokens not yet written are chains that threads share, so a step copies nothing.
+        """
+        children, token, apart = self.children, self.token, self.apart
+        live = [(node, last, (None, pending)) for node, last, pending in threads]
+        for b in piece[at:]:
+            then, boundary = [], None
+            for node, last, chain in live:
+                node = children[node].get(b)
+                if node is None:
+                    continue
+                if children[node]:
+                    then.append((node, last, chain))
+                if boundary is None and (t := token[node]) >= 0:
+                    ok = apart.get((last, t))
+                    if ok is None:
+                        ok = self._follows(last, t)
+                    if ok:
+                        boundary = (0, t, (chain, (t,)))
+            if boundary is None:
+                return None
+            then.append(boundary)
+            live = then
+        chain, parts = live[-1][2], []
+        while chain is not None:
+            parts.append(chain[1])
+            chain = chain[0]
+        return [t for part in reversed(parts) for t in part]
+
 
 class Utf8Stream:
     """Bytes in chunks to text: an incomplete character waits for the next chunk.
@@ -240,6 +272,21 @@ class Utf8Stream:
         return left
 
 
+class Recent:
+    """A bounded memory in two generations: what is asked for again moves on, the rest is forgotten."""
+
+    def __init__(self, size: int) -> None:
+        self.size = size
+        self.now: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def put(self, word: str, ids: bytes) -> None:
+        if len(self.now) >= self.size:
+            self.older = dict(self.now)
+            self.now.clear()  # the same dictionary: lookups that hold it go on
+        self.now[word] = ids
+
+
 class Codec:
     """Pattern, transducer and decoding table of one vocabulary."""
 
@@ -250,28 +297,53 @@ class Codec:
         self.split = regex.compile(pattern).findall
         self.transducer = Transducer(ranks)
         self.tokens = self.transducer.bytes_of
-        self.max_pieces = max_pieces
-        self.seen: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def _new(self, piece: str) -> bytes:
-        """The ids of a piece that is not among the recent ones; frequent pieces move on from the older ones."""
-        ids = self.older.get(piece)
-        if ids is None:
-            whole = self.transducer.encode(piece.encode())
-            ids = pack(f"<{len(whole)}I", *whole)
-        if len(self.seen) >= self.max_pieces:
-            self.older, self.seen = self.seen, {}
-        self.seen[piece] = ids
-        return ids
+        # Ids of words at the start of a line and of words after a blank, and those of the generation before.
+        self.bare, self.spaced = Recent(max_pieces // 4), Recent(max_pieces)
+        self.newline = self._pieces("\n")
+
+    def _pieces(self, text: str) -> bytes:
+        """Each match of the pattern through the transducer."""
+        encode = self.transducer.encode
+        ids = [i for piece in self.split(text) for i in encode(piece.encode())]
+        return pack(f"<{len(ids)}I", *ids)
+
+    def _missing(self, known: Recent, words: list[str], found: list, before: str) -> bool:
+        """Fill the gaps of `found`; False if a word has white space at an edge, where the pattern looks further."""
+        for k, ids in enumerate(found):
+            if ids is None:
+                word = words[k]
+                ids = known.older.get(word)
+                if ids is None:
+                    if not word or word[0].isspace() or word[-1].isspace():
+                        return False
+                    ids = self._pieces(before + word)
+                known.put(word, ids)
+                found[k] = ids
+        return True
 
     def encode_bytes(self, text: str) -> bytes:
-        """The ids as little-endian unsigned 32-bit integers."""
-        seen, out = self.seen, []
-        for piece in self.split(text):
-            ids = seen.get(piece)
-            out.append(self._new(piece) if ids is None else ids)
-        return b"".join(out)
+        """The ids as little-endian unsigned 32-bit integers.
+
+        A single blank between words belongs to the word after it and a single line
+        feed is a piece of its own, so words are encoded one by one and remembered.
+        A text with other white space next to these goes through the pattern whole.
+        """
+        if not text:
+            return b""
+        bare, spaced = self.bare, self.spaced
+        out, firsts = [], []
+        for line in text.split("\n"):
+            words = line.split(" ")
+            firsts.append(words[0])
+            del words[0]
+            found = list(map(spaced.now.get, words))
+            if None in found and not self._missing(spaced, words, found, " "):
+                return self._pieces(text)
+            out.append(b"".join(found))
+        found = list(map(bare.now.get, firsts))
+        if None in found and not self._missing(bare, firsts, found, ""):
+            return self._pieces(text)
+        return self.newline.join([a + b for a, b in zip(found, out)])
 
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(self.encode_bytes(text), "<u4").tolist()
