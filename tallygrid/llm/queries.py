@@ -134,3 +134,10 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallygrid.llm.packing import pack
 
     return pack(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op5_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallygrid.llm.secrets import scan
+
+    return scan(table(spark, sf_dir, "documents"))
