@@ -3,10 +3,14 @@
 Each distinct shingle set gets M coordinates, each the combination of R minima, so
 that unrelated sets rarely agree on one. A set is posted under its first M - T + 1
 (coordinate, value) pairs: two sets that agree on T coordinates must meet there.
-A pair is made at its first common coordinate only, if T agree; it is then held to
-one byte of each of the M * R minima, and confirmed on the full shingle sets. Large groups of copies do not become all their pairs: identical sets are one
-class from the start, and star rounds first link every posting list to one of its
-members, after which only pairs across different components are left to compare.
+
+Large groups of copies do not become all their pairs. Identical sets are one class
+from the start. Star rounds compare every posting list with one of its members: pairs
+with too few equal coordinates or minima drop, the rest is confirmed on the full sets
+and links components. Sets that were close to the same members are one cluster. In a
+cluster, those outside its largest component are compared with all of it, block
+against block; between clusters, sets are compared if they share one of their rarest
+shingles, of which the rarest 20 % (and one more) of two similar sets must meet.
 
 With M = 40, R = 4, T = 3, a pair of similarity 0.8 is missed with probability
 below 1e-6, and a pair of similarity 0.05 agrees once with probability 3e-4.
@@ -18,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallygrid.llm.components import components
@@ -29,9 +33,10 @@ from tallygrid.session import broadcast_if_small, materialize
 COORDINATES, ROWS_EACH, MATCHES = 40, 4, 3
 # Standard deviations below the expected number of equal bytes at the threshold that a pair may fall.
 SLACK = 5.5
-# Star rounds end when at most this many pairs per posting are left, when a round settles less than half of
-# them, or after this many rounds; the rest is compared in full.
-PAIRS_PER_POSTING, STAR_ROUNDS = 4, 4
+# Sets of a block pair: outliers of a cluster against members.
+BLOCK_OUTLIERS, BLOCK_MEMBERS = 256, 1024
+# Star rounds end when one settles less than half of the pairs that were left, or after this many; the rest is compared in full.
+STAR_ROUNDS = 4
 
 
 def shingle_sets(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -118,17 +123,99 @@ def _confirm(k: int, percent: int):
     return run
 
 
-def _agreeing(least: float):
+def _agreeing(matches: int, least: float):
+    """Pairs with enough equal coordinates and enough equal bytes of the minima."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in ("sketch_a", "sketch_b"))
-                keep = (a == b).sum(axis=1) >= least
+                a, b = (batch.column(c).flatten().to_numpy().reshape(batch.num_rows, -1) for c in ("sig_a", "sig_b"))
+                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in ("sketch_a", "sketch_b"))
+                keep = ((a == b).sum(axis=1) >= matches) & ((x == y).sum(axis=1) >= least)
                 yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep))
 
     return run
 
 
+def _shingle_rows(k: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            row, h = shingle_sets(batch.column("text"), k)
+            at = pa.array(row)
+            yield pa.RecordBatch.from_arrays([pa.array(signed(h)), *(batch.column(c).take(at) for c in ("rep", "cluster", "n"))], ["h", "rep", "cluster", "n"])
+
+    return run
+
+
+def _rare_pairs(members: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Pairs of sets in different clusters that share one of their rarest shingles and may be similar enough.
+
+    Shingles of one cluster only come first in the common order, then by documents
+    and hash; they fill the front of a set's prefix without meeting anything.
+    """
+    used = texts.join(broadcast_if_small(members), texts["id"] == members["rep"])
+    used = materialize(used.select("rep", "cluster", "n", "text"), "member-texts")
+    rows = used.mapInArrow(_shingle_rows(k), "h long, rep long, cluster long, n long")
+    mixed = rows.groupBy("h").agg(F.min("cluster").alias("low"), F.max("cluster").alias("high"), F.count(F.lit(1)).alias("df")).filter("low < high").select("h", "df")
+    shared = rows.join(mixed, "h")
+    by_rep = Window.partitionBy("rep", "n")  # the shingles of one document
+    ranked = shared.withColumn("s", F.count(F.lit(1)).over(by_rep)).withColumn("place", F.row_number().over(by_rep.orderBy("df", "h")))
+    # The prefix has n - ceil(percent * n / 100) + 1 places; the n - s shingles of one cluster only take the first.
+    prefix = F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100) + 1 - (F.col("n") - F.col("s"))
+    rare = materialize(ranked.filter(F.col("place") <= prefix).select("h", "rep", "cluster", "n", "s"), "rare")
+    met = rare.groupBy("h").agg(F.min("cluster").alias("low"), F.max("cluster").alias("high")).filter("low < high").select("h")
+    rare = materialize(rare.join(met, "h", "left_semi"), "mixed")
+    x, y = rare.alias("x"), rare.alias("y")
+    # At most the smaller number of shared shingles can be common.
+    possible = (100 + percent) * F.least("x.s", "y.s") >= percent * (F.col("x.n") + F.col("y.n"))
+    pairs = x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.cluster") < F.col("y.cluster")) & _sizes("x.n", "y.n", percent) & possible)
+    return pairs.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
+
+
+def _block_links(k: int, percent: int):
+    """Links between the outliers and the members of one block pair, from an inverted index over the members."""
+
+    def run(block: pa.Table) -> pa.Table:
+        block = block.combine_chunks()
+        outer = block.column("outlier").to_numpy()
+        sides = [block.filter(pa.array(outer)).combine_chunks(), block.filter(pa.array(~outer)).combine_chunks()]
+        (ra, ha), (rb, hb) = ((np.zeros(0, np.int64), np.zeros(0, np.uint64)) if not side.num_rows else shingle_sets(side.column("text").chunk(0), k) for side in sides)
+        na, nb = (np.bincount(r, minlength=side.num_rows) for r, side in ((ra, sides[0]), (rb, sides[1])))
+        pa_, pb = (side.column("part").to_numpy() for side in sides)
+        order = np.argsort(hb, kind="stable")
+        hb, rb = hb[order], rb[order]
+        first, last = np.searchsorted(hb, ha, "left"), np.searchsorted(hb, ha, "right")
+        begin = np.searchsorted(ra, np.arange(sides[0].num_rows + 1))
+        found_a, found_b = [], []
+        for i in range(sides[0].num_rows):
+            lo, many = first[begin[i] : begin[i + 1]], (last - first)[begin[i] : begin[i + 1]]
+            shift = np.repeat(lo - (np.cumsum(many) - many), many)
+            common = np.bincount(rb[np.arange(many.sum()) + shift], minlength=sides[1].num_rows)
+            hit = np.flatnonzero((100 * common >= percent * (na[i] + nb - common)) & (pb != pa_[i]) & (common > 0))
+            found_a += [i] * len(hit)
+            found_b += hit.tolist()
+        a, b = (side.column("rep").to_numpy()[np.array(at, np.int64)] for side, at in zip(sides, (found_a, found_b)))
+        return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
+
+    return run
+
+
+def _links_inside(members: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links between different parts of one cluster: sets outside its largest part against all, in blocks."""
+    sizes = members.groupBy("cluster", "part").agg(F.count(F.lit(1)).alias("c"))
+    each = sizes.groupBy("cluster").agg(F.sum("c").alias("size"), F.max(F.struct("c", "part")).alias("top"), F.count(F.lit(1)).alias("n_parts"))
+    each = each.filter("n_parts > 1").select("cluster", F.col("top.part").alias("top"), "size", (F.col("size") - F.col("top.c")).alias("n_out"))
+    own = members.join(each, "cluster").select("cluster", "rep", "part", "n", "top", F.ceil(F.col("size") / BLOCK_MEMBERS).alias("b"), F.ceil(F.col("n_out") / BLOCK_OUTLIERS).alias("o"))
+    own = materialize(own, "clustered")
+    with_text = own.join(texts, own["rep"] == texts["id"]).drop("id")
+    place = F.xxhash64("rep", F.lit(1))
+    out = with_text.filter("part != top").withColumn("i", F.pmod(place, F.col("o"))).withColumn("j", F.explode(F.expr("sequence(0L, b - 1)")))
+    all_ = with_text.withColumn("j", F.pmod(place, F.col("b"))).withColumn("i", F.explode(F.expr("sequence(0L, o - 1)")))
+    columns = ["cluster", "i", "j", "rep", "part", "text"]
+    both = out.select(*columns, F.lit(True).alias("outlier")).unionByName(all_.select(*columns, F.lit(False).alias("outlier")))
+    return both.groupBy("cluster", "i", "j").applyInArrow(_block_links(k, percent), "a long, b long").distinct()
+
+
 def _links(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs whose full shingle sets are similar enough; only texts that occur in a pair are moved."""
     ids = broadcast_if_small(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), derived=True)
@@ -170,50 +257,41 @@ def near_duplicates(
     texts = source.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("id"), "text")
     n_posted = posted.count()
 
-    links = tested = parts = before = None
-    for turn in range(star_rounds + 1 if n_posted else 0):
-        labelled = posted.withColumn("part", F.col("rep"))
-        if parts is not None:
-            labelled = posted.join(parts.select(F.col("id").alias("rep"), "component"), "rep", "left").select("key", "rep", "n", F.coalesce("component", "rep").alias("part"))
-        per_part = labelled.groupBy("key", "part").agg(F.count(F.lit(1)).alias("c"))
-        open_keys = per_part.groupBy("key").agg(F.sum("c").alias("s"), F.sum(F.col("c") * F.col("c")).alias("q"), F.count(F.lit(1)).alias("n_parts")).filter("n_parts > 1")
-        open_keys = materialize(open_keys.select("key", ((F.col("s") * F.col("s") - F.col("q")) / 2).alias("pairs")), "open")
-        left = open_keys.agg(F.sum("pairs")).first()[0] or 0
-        if not left:
+    sides = [reps.select(F.col("rep").alias(c), F.col("sig").alias(f"sig_{c}"), F.col("sketch").alias(f"sketch_{c}")) for c in "ab"]
+
+    def close(pairs: DataFrame) -> DataFrame:
+        met = pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "sig_a", "sig_b", "sketch_a", "sketch_b")
+        return materialize(met.mapInArrow(_agreeing(matches, least_equal), "a long, b long").distinct(), "agreeing")
+
+    links = near = parts = clusters = before = None
+    for turn in range(star_rounds if n_posted else 0):
+        live, left = _open(posted, parts, "part")
+        if not left or (before is not None and 2 * left > before):
             break
-        live = materialize(labelled.join(open_keys.select("key"), "key", "left_semi"), "live")
-        last = turn == star_rounds or left <= PAIRS_PER_POSTING * n_posted or (before is not None and 2 * left > before)
         before = left
-        if last:
-            signed_rows = live.join(reps.select("rep", "sig"), "rep")
-            x, y = signed_rows.alias("x"), signed_rows.alias("y")
-            equal = F.zip_with("x.sig", "y.sig", lambda p, q: p == q)
-            # At the first common coordinate only, and with enough of them in all.
-            here = F.array_position(equal, True) == F.array_position("x.sig", F.col("x.key"))
-            enough = F.size(F.filter(equal, lambda e: e)) >= matches
-            pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.part") < F.col("y.part")) & _sizes("x.n", "y.n", percent) & here & enough)
-            pairs = pairs.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
-        else:
-            # Another member of each list is the centre in every round.
-            turned = F.lit(int(seeded(turn, 1)[0]) >> 1 if turn else 0)
-            centres = live.groupBy("key").agg(F.min(F.col("rep").bitwiseXOR(turned)).alias("c")).select("key", F.col("c").bitwiseXOR(turned).alias("centre"))
-            own = live.select("key", F.col("rep").alias("centre"), F.col("part").alias("centre_part"), F.col("n").alias("centre_n"))
-            centres = centres.join(own, ["key", "centre"]).dropDuplicates(["key"])
-            pairs = live.join(centres, "key").filter(F.col("part") != F.col("centre_part")).filter(_sizes("n", "centre_n", percent))
-            pairs = pairs.select(F.least("centre", "rep").alias("a"), F.greatest("centre", "rep").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = materialize(pairs, "pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        side = reps.select("rep", "sketch")
-        met = pairs.join(side.select(F.col("rep").alias("a"), F.col("sketch").alias("sketch_a")), "a").join(side.select(F.col("rep").alias("b"), F.col("sketch").alias("sketch_b")), "b")
-        close = met.select("a", "b", "sketch_a", "sketch_b").mapInArrow(_agreeing(least_equal), "a long, b long")
-        pairs = materialize(close, "agreeing")
-        new = materialize(_links(pairs, texts, k, percent), "confirmed")
-        links = new if links is None else links.unionByName(new)
+        found = close(materialize(_star(live, "part", turn, percent), "pairs"))
+        new = materialize(_links(found, texts, k, percent), "confirmed")
+        near, links = (found, new) if near is None else (near.unionByName(found), links.unionByName(new))
+        parts = components(links, "a", "b")
+    if parts is not None and left:
+        # Clusters: what was close to the same members. More rounds join clusters that are close without a link.
+        clusters, before = components(near, "a", "b"), None
+        for turn in range(star_rounds, 2 * star_rounds):
+            live, left = _open(posted, clusters, "cluster")
+            if not left or (before is not None and 2 * left > before):
+                break
+            before = left
+            near = near.unionByName(close(materialize(_star(live, "cluster", turn, percent), "pairs")))
+            clusters = components(near, "a", "b")
+        members = posted.select("rep", "n").distinct()
+        members = _labelled(_labelled(members, parts, "part"), clusters, "cluster")
+        members = materialize(members.filter("cluster IS NOT NULL"), "members")
+        links = links.unionByName(materialize(_links_inside(members, texts, k, percent), "inside"))
+        live, left = _open(posted, clusters, "cluster")
+        if left:
+            pairs = materialize(_rare_pairs(live.select("rep", "n", "cluster").distinct(), texts, k, percent), "pairs")
+            links = links.unionByName(materialize(_links(close(pairs), texts, k, percent), "confirmed"))
         parts = components(links, "a", "b")
-        if last:
-            break
 
     classes = reps.select("n", "s1", "s2", "rep")
     if parts is not None:
@@ -224,6 +302,32 @@ def near_duplicates(
     return both.select("doc_id", F.col("n").alias("n_shingles"), F.col("rep").alias("component_id"), F.col("doc_id").eqNullSafe(F.col("rep")).alias("kept"))
 
 
+def _labelled(rows: DataFrame, labels: DataFrame | None, name: str) -> DataFrame:
+    """The rows with the component of their rep, itself if it has none."""
+    if labels is None:
+        return rows.withColumn(name, F.col("rep"))
+    return rows.join(labels.select(F.col("id").alias("rep"), "component"), "rep", "left").withColumn(name, F.coalesce("component", "rep")).drop("component")
+
+
+def _open(posted: DataFrame, labels: DataFrame | None, name: str) -> tuple[DataFrame, int]:
+    """The postings of lists that hold different labels, and how many pairs of different labels those lists have."""
+    labelled = _labelled(posted, labels, name)
+    counts = labelled.groupBy("key", name).agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(F.sum("c").alias("s"), F.sum(F.col("c") * F.col("c")).alias("q"), F.count(F.lit(1)).alias("m"))
+    keys = materialize(counts.filter("m > 1").select("key", ((F.col("s") * F.col("s") - F.col("q")) / 2).alias("pairs")), "open")
+    left = keys.agg(F.sum("pairs")).first()[0] or 0
+    return materialize(labelled.join(keys.select("key"), "key", "left_semi"), "live"), left
+
+
+def _star(live: DataFrame, name: str, turn: int, percent: int) -> DataFrame:
+    """Each member of a list with one member of another label, which is another one in every round."""
+    turned = F.lit(int(seeded(turn, 1)[0]) >> 1 if turn else 0)
+    centres = live.groupBy("key").agg(F.min(F.col("rep").bitwiseXOR(turned)).alias("c")).select("key", F.col("c").bitwiseXOR(turned).alias("centre"))
+    own = live.select("key", F.col("rep").alias("centre"), F.col(name).alias("centre_label"), F.col("n").alias("centre_n"))
+    centres = centres.join(own, ["key", "centre"]).dropDuplicates(["key"])
+    pairs = live.join(centres, "key").filter(F.col(name) != F.col("centre_label")).filter(_sizes("n", "centre_n", percent))
+    return pairs.select(F.least("centre", "rep").alias("a"), F.greatest("centre", "rep").alias("b")).distinct()
+
+
 def _sizes(a: str, b: str, percent: int):
     """Sets whose sizes alone allow the similarity."""
     return 100 * F.least(F.col(a), F.col(b)) >= percent * F.greatest(F.col(a), F.col(b))
