@@ -1,28 +1,35 @@
-"""A bitmap of hashes with a fixed size: what it rejects is surely absent, what it passes is checked by a join later."""
+"""A bitmap of hashes with a fixed size: what it rejects is surely absent, what it passes is checked exactly later."""
 
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def build(hashes: DataFrame, column: str | Column, bits: int) -> np.ndarray:
-    """2**bits bits, one set for each hash (its lowest bits). At most 2**(bits - 5) rows reach the driver."""
-    value = F.col(column) if isinstance(column, str) else column
-    at = value.bitwiseAND(F.lit((1 << bits) - 1))
+def build(hashes: DataFrame, column: str, bits: int) -> np.ndarray:
+    """2**bits bits, two set for each hash: its lowest and its highest bits. At most 2**(bits - 5) rows reach the driver."""
+    low = F.col(column).bitwiseAND(F.lit((1 << bits) - 1))
+    high = F.shiftrightunsigned(column, 64 - bits)
+    places = hashes.select(F.explode(F.array(low, high)).alias("at"))
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("at").bitwiseAND(F.lit(31)).cast("int"))
-    rows = hashes.select(at.alias("at")).groupBy(F.shiftright("at", 5).alias("word")).agg(F.bit_or(bit).alias("bits"))
+    table = places.groupBy(F.shiftright("at", 5).alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
     out = np.zeros(1 << (bits - 5), np.uint32)
-    table = rows.toArrow()
     if table.num_rows:
         out[table.column("word").to_numpy()] = table.column("bits").to_numpy().astype(np.uint32)
     return out
 
 
 def has(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """Whether each unsigned hash's bit is set."""
-    at = hashes & np.uint64(32 * len(bitmap) - 1)
+    """Whether both bits of each unsigned hash are set."""
+    n_bits = 32 * len(bitmap)
+    out = _bit(bitmap, hashes & np.uint64(n_bits - 1))
+    left = np.flatnonzero(out)
+    out[left] = _bit(bitmap, hashes[left] >> np.uint64(65 - n_bits.bit_length()))
+    return out
+
+
+def _bit(bitmap: np.ndarray, at: np.ndarray) -> np.ndarray:
     return (bitmap[(at >> np.uint64(5)).astype(np.int64)] >> (at & np.uint64(31)).astype(np.uint32)) & np.uint32(1) != 0
 
 

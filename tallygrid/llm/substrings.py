@@ -9,12 +9,17 @@ At the first level every full window is represented by one window of the short
 length inside it, the one with the smallest hash: equal full windows choose the same
 one, and neighbouring windows share it, so about a quarter of the positions is
 posted instead of all. Which hashes repeat is told to the next level by a bitmap of
-bounded size; what passes it falsely costs rows, not results. The last level joins.
+bounded size; what passes it falsely costs rows, not results.
+
+The last level finds the first document of every window that is left, repeated or
+not, and tells each document the windows that it is the first for. The others that
+are left occur in an earlier document. So no window travels with its place.
+
+Windows are told apart by a 64-bit hash of their words.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -94,11 +99,6 @@ class Windows:
         out[at] = h
         return out
 
-    def second(self, at: np.ndarray) -> np.ndarray:
-        """Another hash of full windows, so that equality rests on 128 bits."""
-        h, where = grams(self.hashes, self.rows, self.full, seed=7919)
-        return h[np.searchsorted(where, at)]
-
 
 def _post(steps: list[int], k: int, shared):
     """Each hash of level k with the smallest and largest id that has it, folded per slice."""
@@ -119,34 +119,24 @@ def _post(steps: list[int], k: int, shared):
     return run
 
 
-def _places(steps: list[int], shared):
-    """The full windows left at the last level: hashes, document, text digest, first word; runs of windows stay rows."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            found = Windows(batch.column("text"), steps)
-            at, h = found.level(len(steps) - 1, [s.value for s in shared])
-            if not len(at):
-                continue
-            begin = np.searchsorted(found.rows, np.arange(batch.num_rows))
-            rows = found.rows[at]
-            marks = _marks(batch.column("text"))[rows]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(signed(h)), pa.array(signed(found.second(at))), pa.array(_ids(batch)[rows]), pa.array(marks), pa.array((at - begin[rows]).astype(np.int32))],
-                ["h", "g", "id", "mark", "pos"],
-            )
-
-    return run
-
-
 def _marks(texts: pa.Array) -> np.ndarray:
     """A hash of each whole text, which tells rows that repeat a doc_id apart."""
     data, offsets = utf8(texts)
     return signed(word_hashes(data, offsets[:-1], offsets[1:], seed=3))
 
 
-def repeated(docs: DataFrame, window: int = WINDOW, first: int = FIRST) -> DataFrame | None:
-    """(id, mark, pos) of every window whose words also start in a document with a smaller id; None if nothing repeats."""
+def _firsts(steps: list[int], shared):
+    """Each full window left at the last level with the smallest id of the slice."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _post(steps, len(steps) - 1, shared)(batches):
+            yield pa.RecordBatch.from_arrays([batch.column("h"), batch.column("low")], ["h", "id"])
+
+    return run
+
+
+def repeated(docs: DataFrame, window: int = WINDOW, first: int = FIRST) -> tuple[list[int], list] | None:
+    """The ladder and the bitmaps of its lower levels; None if nothing repeats."""
     small_batches(docs)
     spark = docs.sparkSession
     source = docs.select("doc_id", "text")
@@ -158,39 +148,73 @@ def repeated(docs: DataFrame, window: int = WINDOW, first: int = FIRST) -> DataF
         if not n:
             return None
         shared.append(spark.sparkContext.broadcast(bitmap.build(again, "h", bitmap.bits_for(n))))
-    # Read twice, by the aggregate and by the join: hashing the texts again is cheaper than keeping the windows on disk.
-    places = source.mapInArrow(_places(steps, list(shared)), "h long, g long, id long, mark long, pos int")
-    origin = places.groupBy("h", "g").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high").select("h", "g", "low")
-    return places.join(origin, ["h", "g"]).filter("low < id").select("id", "mark", "pos")
+    return steps, shared
 
 
-def _cut(window: int):
+def _cut(steps: list[int], shared):
+    full = steps[-1]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            data, offsets = utf8(batch.column("text"))
-            starts, ends, rows = words(data, offsets)
-            begin = np.searchsorted(rows, np.arange(batch.num_rows + 1))
-            raw, n_words, n_removed, kept = data.tobytes(), [], [], []
-            for i, pos in enumerate(batch.column("pos").to_pylist()):
-                a, b = int(begin[i]), int(begin[i + 1])
-                s, e = starts[a:b], ends[a:b]
-                if pos:
-                    edge = np.zeros(b - a + 1, np.int32)
-                    at = np.unique(np.array(pos))
-                    edge[at] += 1
-                    edge[at + window] -= 1
-                    free = np.cumsum(edge[:-1]) == 0
-                    s, e = s[free], e[free]
-                n_words.append(b - a)
-                n_removed.append(b - a - len(s))
-                kept.append(b" ".join([raw[x:y] for x, y in zip(s.tolist(), e.tolist())]).decode())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())], ["doc_id", "n_words", "n_removed", "kept_text"]
-            )
+            found = Windows(batch.column("text"), steps)
+            free = np.ones(len(found.hashes), bool)
+            if shared is not None:
+                at, h = found.level(len(steps) - 1, [s.value for s in shared])
+                gone = at[~_own(found.rows[at], h, batch.column("firsts"))]
+                edge = np.zeros(len(free) + 1, np.int32)
+                np.add.at(edge, gone, 1)
+                np.add.at(edge, gone + full, -1)
+                free = np.cumsum(edge[:-1]) == 0
+            n_words = np.bincount(found.rows, minlength=batch.num_rows)
+            n_removed = np.bincount(found.rows[~free], minlength=batch.num_rows)
+            texts, offsets = _joined(utf8(batch.column("text"))[0], found, free, batch.num_rows)
+            kept = pa.LargeStringArray.from_buffers(batch.num_rows, pa.py_buffer(offsets), pa.py_buffer(texts)).cast(pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n_words.astype(np.int64)), pa.array(n_removed.astype(np.int64)), kept], ["doc_id", "n_words", "n_removed", "kept_text"])
 
     return run
 
 
+def _own(rows: np.ndarray, h: np.ndarray, firsts: pa.Array) -> np.ndarray:
+    """Whether each window is among those that its own document is the first for."""
+    lists = firsts.fill_null([]) if firsts.null_count else firsts
+    values = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    owner = np.repeat(np.arange(len(firsts)), np.diff(lists.offsets.to_numpy()))
+    out = np.zeros(len(h), bool)
+    if not len(values) or not len(h):
+        return out
+    # Both sides as (row, hash) in one order.
+    order = np.lexsort((values, owner))
+    values, owner = values[order], owner[order]
+    begin, end = np.searchsorted(owner, np.arange(len(firsts))), np.searchsorted(owner, np.arange(len(firsts)), "right")
+    ask = signed(h)
+    edges = np.concatenate([[0], np.flatnonzero(rows[1:] != rows[:-1]) + 1, [len(rows)]])
+    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        own = values[begin[rows[a]] : end[rows[a]]]
+        if len(own):
+            spot = np.minimum(np.searchsorted(own, ask[a:b]), len(own) - 1)
+            out[a:b] = own[spot] == ask[a:b]
+    return out
+
+
+def _joined(data: np.ndarray, found: Windows, free: np.ndarray, n_rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """The free words of each row joined by one blank: bytes and offsets."""
+    starts, ends, rows = found.starts[free], found.ends[free], found.rows[free]
+    size = ends - starts + 1  # each word with a blank after it
+    after = np.cumsum(size)
+    out = np.full(int(after[-1]) if len(after) else 0, 0x20, np.uint8)
+    solid = np.ones(len(out), bool)
+    solid[after - 1] = False
+    shift = np.repeat(starts - (after - size), size)
+    out[solid] = data[(np.arange(len(out)) + shift)[solid]]
+    # The blank after a row's last word goes.
+    last = np.flatnonzero(np.concatenate([rows[1:] != rows[:-1], [True]])) if len(rows) else np.zeros(0, np.int64)
+    keep = np.ones(len(out), bool)
+    keep[after[last] - 1] = False
+    many = np.zeros(n_rows, np.int64)
+    many[rows[last]] = np.diff(np.concatenate([[0], after[last]])) - 1
+    return out[keep], np.concatenate([[0], np.cumsum(many)]).astype(np.int64)
+
+
 def remove_repeats(docs: DataFrame, window: int = WINDOW, first: int = FIRST) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept_text (the kept words joined by a blank).
 
@@ -199,25 +223,22 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, first: int = FIRST) ->
     one document stay. Null and empty texts have no words and texts shorter than a
     window lose none. Rows that repeat a doc_id never count as each other's
     original. A null doc_id orders last. Other columns are ignored; no documents
-    give no rows. Runs jobs and writes the windows of the levels to the shared folder.
+    give no rows. Runs jobs; the levels' repeated hashes are written tables.
     """
     found = repeated(docs, window, first)
     source = docs.select("doc_id", "text")
     if found is None:
-        return source.withColumn("pos", F.lit(None).cast("array<int>")).mapInArrow(_cut(window), _CUT)
-    marked = source.mapInArrow(_with_mark, "doc_id long, text string, id long, mark long")
-    places = found.groupBy("id", "mark").agg(F.collect_list("pos").alias("pos"))  # bounded by one document's words
-    return marked.join(places, ["id", "mark"], "left").select("doc_id", "text", "pos").mapInArrow(_cut(window), _CUT)
+        return source.mapInArrow(_cut([window], None), _CUT)
+    steps, shared = found
+    origin = source.mapInArrow(_firsts(steps, shared), "h long, id long").groupBy("h").agg(F.min("id").alias("id"))
+    firsts = origin.groupBy("id").agg(F.collect_list("h").alias("firsts"))  # bounded by one document's words
+    texts = source.withColumn("id", F.coalesce("doc_id", F.lit(NO_ID)))
+    return texts.join(firsts, "id", "left").select("doc_id", "text", "firsts").mapInArrow(_cut(steps, shared), _CUT)
 
 
 _CUT = "doc_id long, n_words long, n_removed long, kept_text string"
 
 
-def _with_mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches):
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text"), pa.array(_ids(batch)), pa.array(_marks(batch.column("text")))], ["doc_id", "text", "id", "mark"])
-
-
 def kept_digests(cut: DataFrame) -> DataFrame:
     """The rows of remove_repeats with kept_sha256 (hex) in place of the text."""
     return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
