@@ -14,10 +14,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallygrid.llm.frames import small_batches
+from tallygrid.llm.frames import fresh, small_batches
 from tallygrid.llm.text import SPACE_BYTES, slices
 from tallygrid.session import materialize
 
@@ -211,11 +211,25 @@ def exact_duplicates(docs: DataFrame, table_bytes: int = TABLE_BYTES, fold_bytes
     return joined.select("doc_id", keep.alias("keep_id"), F.col("n_rows").alias("group_size"), keep.eqNullSafe(F.col("doc_id")).alias("kept"), "text_sha256")
 
 
+def _with_digest(name: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            digests = [hashlib.sha256(normalised(t)).hexdigest() for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(digests, pa.string())], [*batch.schema.names, name])
+
+    return run
+
+
 def drop_exact_copies(docs: DataFrame, **options) -> DataFrame:
-    """The documents that stay, all columns; of rows with one keeping doc_id and one text, a single row."""
-    columns = docs.columns
-    stays = exact_duplicates(docs, **options).filter("kept").select(F.col("doc_id").alias("_keep"), F.col("text_sha256").alias("_sha")).distinct()
-    own = F.sha2(F.regexp_replace(F.coalesce("text", F.lit("")), "[ \\t\\n\\x0B\\f\\r]", ""), 256)
-    marked = docs.withColumn("_sha", own)
-    kept = marked.join(stays, marked["doc_id"].eqNullSafe(stays["_keep"]) & (marked["_sha"] == stays["_sha"]), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_sha"]).select(*columns)
+    """The documents that stay, all columns, whatever they are called.
+
+    Of rows that repeat the keeping doc_id with an equal text, the longest original
+    stays, then the first by its text.
+    """
+    key, sha, place = fresh(docs, "keep", "sha", "place")
+    stays = exact_duplicates(docs, **options).filter("kept").select(F.col("doc_id").alias(key), F.col("text_sha256").alias(f"{sha}_keep")).distinct()
+    fields = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema] + [f"`{sha}` string"])
+    marked = docs.mapInArrow(_with_digest(sha), fields)
+    kept = marked.join(stays, marked["doc_id"].eqNullSafe(stays[key]) & (marked[sha] == stays[f"{sha}_keep"]), "left_semi")
+    order = Window.partitionBy("doc_id", sha).orderBy(F.length("text").desc_nulls_last(), "text")  # rows of one document
+    return kept.withColumn(place, F.row_number().over(order)).filter(F.col(place) == 1).select(*docs.columns)
