@@ -100,14 +100,14 @@ class Lanes:
         # Active lanes at each step: those with more steps, which come first.
         self.active = np.searchsorted(-self.total, -np.arange(self.steps), "left")
         self.first = np.concatenate([[0], np.cumsum(self.active)])  # tokens in step order
-        within = np.arange(len(ids)) - np.repeat(begin, lengths)
-        self.slot = self.first[np.repeat(at_of, lengths) + within] + np.repeat(rank[lane_of], lengths)
-        self.y = np.empty(len(ids), np.int64)
+        step = np.arange(len(ids), dtype=np.int32) + np.repeat((at_of - begin).astype(np.int32), lengths)
+        self.slot = self.first.astype(np.int32)[step] + np.repeat(rank[lane_of].astype(np.int32), lengths)
+        self.y = np.empty(len(ids), ids.dtype)
         self.y[self.slot] = ids
-        x = np.empty(len(ids), np.int64)
+        x = np.empty(len(ids), ids.dtype)
         x[1:] = ids[:-1]
         x[begin] = END
-        self.x = np.empty(len(ids), np.int64)
+        self.x = np.empty(len(ids), ids.dtype)
         self.x[self.slot] = x
         self.fresh = np.zeros(len(ids), bool)
         self.fresh[self.slot[begin]] = True
@@ -131,7 +131,7 @@ def _log_softmax_at(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
     return picked - np.log(logits.sum(axis=1))
 
 
-def log_probs(net: Network, ids: np.ndarray, lengths: np.ndarray, n_lanes: int = 512, block: int = 1 << 16) -> np.ndarray:
+def log_probs(net: Network, ids: np.ndarray, lengths: np.ndarray, n_lanes: int = 1024, block: int = 1 << 16) -> np.ndarray:
     """Natural log probability of every id, documents one after another, the state carried through each."""
     if not len(ids):
         return np.zeros(0)
@@ -182,7 +182,7 @@ class Trainer:
         self.grad = np.zeros_like(net.flat)
         self.g = net.split(self.grad, net.shapes)
 
-    def train(self, ids: np.ndarray, lengths: np.ndarray, n_lanes: int = 128, window: int = 16) -> None:
+    def train(self, ids: np.ndarray, lengths: np.ndarray, n_lanes: int = 256, window: int = 16) -> None:
         """One pass over the documents, an update after each window of steps.
 
         Long documents are dealt in segments, so that no lane outlasts the others and

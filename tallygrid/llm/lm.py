@@ -23,14 +23,14 @@ from pyspark.sql import functions as F
 from tallygrid.llm.frames import small_batches
 from tallygrid.llm.gru import END, OTHER, Network, Trainer, log_probs
 from tallygrid.llm.substrings import _ids, _marks
-from tallygrid.llm.text import LOWER, mix, signed, slices, utf8, word_hashes, words
+from tallygrid.llm.text import LOWER, chunks, mix, signed, utf8, word_hashes, words
 from tallygrid.session import materialize
 
 HEAD, CLASSES, HIDDEN, ROUNDS = 1022, 32, 12, 2
 # Words whose counts are sent to every task; the counts of the others are joined.
 TABLE = 1 << 18
-# Text that is trained on or scored side by side.
-CHUNK_BYTES = 4 << 20
+# Text that is trained on, or scored, side by side: with more of it, fewer steps run for a few long documents alone.
+CHUNK_BYTES, SCORE_BYTES = 6 << 20, 16 << 20
 # Parameters of one row when networks are averaged.
 BLOCK = 8192
 LN10 = float(np.log(10))
@@ -45,7 +45,7 @@ def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, max_bytes=2 * CHUNK_BYTES):
+    for batch in chunks(batches, max_bytes=CHUNK_BYTES):
         h, n = np.unique(_tokens(batch.column("text"))[1], return_counts=True)
         yield pa.RecordBatch.from_arrays([pa.array(signed(h)), pa.array(n.astype(np.int64))], ["h", "n"])
 
@@ -100,7 +100,7 @@ class Corpus:
     def targets(self, entry: np.ndarray, rows: np.ndarray, n_rows: int) -> tuple[np.ndarray, np.ndarray]:
         """Network ids of each row's words and its end, and tokens per row."""
         many = np.bincount(rows, minlength=n_rows) + 1
-        ids = np.full(len(rows) + n_rows, END, np.int64)
+        ids = np.full(len(rows) + n_rows, END, np.int32)
         known = (entry >= 0) & (entry < self.head)
         ids[np.arange(len(rows)) + rows] = np.where(known, entry + 2, OTHER)
         return ids, many
@@ -113,7 +113,7 @@ def _train(shared, squares: np.ndarray | None):
         corpus: Corpus = shared.value
         trainer, table, seen = Trainer(corpus.network(), squares), Table(corpus.hashes), 0
         first = 0
-        for batch in slices(batches, max_bytes=CHUNK_BYTES):
+        for batch in chunks(batches, max_bytes=CHUNK_BYTES):
             rows, h = _tokens(batch.column("text"))
             ids, many = corpus.targets(table.find(h), rows, batch.num_rows)
             trainer.train(ids, many)
@@ -146,6 +146,25 @@ def _average(key: tuple, rows: pa.Table) -> pa.Table:
     return pa.table({c: columns.get(c, first.column(c)) for c in rows.column_names})
 
 
+def _frequent(counts: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent words, at most `most` of them and all down to some count, most frequent first.
+
+    The count is one of an eighth of a power of two, so that a few hundred sums
+    tell it and no task has to sort the words of all.
+    """
+    grade = F.floor(F.log2("n") * 8).cast("int")
+    steps = counts.groupBy(grade.alias("g")).agg(F.count(F.lit(1)).alias("c")).orderBy(F.col("g").desc()).collect()
+    least, held = None, 0
+    for g, c in steps:
+        if held + c > most:
+            break
+        least, held = g, held + c
+    rows = counts.filter(grade >= least).toArrow() if least is not None else counts.limit(0).toArrow()
+    h, n = rows.column("h").to_numpy().view(np.uint64), rows.column("n").to_numpy()
+    order = np.lexsort((h, -n))
+    return h[order], n[order]
+
+
 def fit(training: DataFrame, head: int = HEAD, classes: int = CLASSES, hidden: int = HIDDEN, rounds: int = ROUNDS, table: int = TABLE) -> tuple[Corpus, DataFrame]:
     """Learn from the texts of all rows: what tasks need of the corpus, and the counts (h, n) of all words.
 
@@ -159,9 +178,8 @@ def fit(training: DataFrame, head: int = HEAD, classes: int = CLASSES, hidden: i
     counts = materialize(source.mapInArrow(_counts, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")), "words")
     n_docs = source.count()
     n_words, n_types = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    top = counts.orderBy(F.col("n").desc(), "h").limit(table).toArrow()  # bounded by `table` rows
-    hashes, own = top.column("h").to_numpy().view(np.uint64), top.column("n").to_numpy()
-    corpus = Corpus(hashes.copy(), own.copy(), n_docs, n_words + n_docs, n_types + (n_docs > 0), head, classes, hidden)
+    hashes, own = _frequent(counts, table)
+    corpus = Corpus(hashes, own, n_docs, n_words + n_docs, n_types + (n_docs > 0), head, classes, hidden)
     squares = None
     for turn in range(rounds if n_docs else 0):
         shared = spark.sparkContext.broadcast(corpus)
@@ -183,7 +201,7 @@ def _score(shared):
         corpus: Corpus = shared.value
         net, table = corpus.network(), Table(corpus.hashes)
         log_count = np.log10(corpus.counts + 0.1) if len(corpus.counts) else np.zeros(1)
-        for batch in slices(batches, max_bytes=CHUNK_BYTES):
+        for batch in chunks(batches, max_bytes=SCORE_BYTES):
             n = batch.num_rows
             rows, h = _tokens(batch.column("text"))
             entry = table.find(h)
@@ -197,7 +215,8 @@ def _score(shared):
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(_ids(batch)), pa.array(_marks(batch.column("text"))), pa.array(many.astype(np.int64))]
                 + [pa.array(x.astype(np.int64)) for x in (add(rows[found]), add(rows[~found]))]
-                + [pa.array(add(rows, logs)), pa.array(add(rows[beyond], logs[beyond])), pa.array(add(rows[(entry < 0) | beyond]).astype(np.int64)), pa.array(np.add.reduceat(log_p, begin))],
+                + [pa.array(x.astype(float)) for x in (add(rows, logs), add(rows[beyond], logs[beyond]))]
+                + [pa.array(add(rows[(entry < 0) | beyond]).astype(np.int64)), pa.array(np.add.reduceat(log_p, begin))],
                 names,
             )
 
@@ -210,7 +229,7 @@ def _rare(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         corpus: Corpus = shared.value
         table = Table(corpus.hashes)
-        for batch in slices(batches, max_bytes=CHUNK_BYTES):
+        for batch in chunks(batches, max_bytes=CHUNK_BYTES):
             rows, h = _tokens(batch.column("text"))
             rare = table.find(h) < 0
             rows, h = rows[rare], h[rare]

@@ -51,6 +51,20 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", max_bytes: i
             at = to
 
 
+def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", max_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows again, small batches put together to about max_bytes of text and large ones sliced."""
+    waiting, held = [], 0
+    for batch in slices(batches, column, max_bytes):
+        size = int(lengths(batch.column(column)).sum())
+        if waiting and held + size > max_bytes:
+            yield pa.Table.from_batches(waiting).combine_chunks().to_batches()[0]
+            waiting, held = [], 0
+        waiting.append(batch)
+        held += size
+    if waiting:
+        yield pa.Table.from_batches(waiting).combine_chunks().to_batches()[0]
+
+
 def lengths(texts: pa.Array) -> np.ndarray:
     """Bytes of each text."""
     return np.diff(utf8(texts)[1])
