@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallygrid.llm.frames import small_batches
-from tallygrid.llm.text import LOWER, slices, utf8
+from tallygrid.llm.text import LOWER, chunks, utf8
 
 UNKNOWN = "und"
 BUCKETS = 1 << 16
@@ -64,6 +64,8 @@ def lowered(data: np.ndarray) -> np.ndarray:
 def letter_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Start, end, row and script of each run of letters, and the trigram bucket at each byte (of lower-cased bytes)."""
     scripts = _LEAD[data]
+    signs = np.flatnonzero((data == 0xC3)[:-1] & ((data[1:] == 0x97) | (data[1:] == 0xB7)))  # the signs of multiplication and division
+    scripts[signs] = 0
     # A byte belongs to a word if it starts a letter or continues a character that does.
     solid = scripts > 0
     inner = (data & 0xC0) == 0x80
@@ -88,7 +90,7 @@ def letter_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total: dict[str, np.ndarray] = {}
-    for batch in slices(batches):
+    for batch in chunks(batches):
         data, offsets = utf8(batch.column("text"))
         if not len(data):
             continue
@@ -204,7 +206,7 @@ def label_words(model: Model, texts: pa.Array, switch: float) -> tuple[np.ndarra
 def _predict(shared, switch: float, columns: list[str], names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = shared.value
-        for batch in slices(batches):
+        for batch in chunks(batches):
             n, k = batch.num_rows, max(1, len(model.langs))
             starts, ends, rows, labels, known, offsets, _ = label_words(model, batch.column("text"), switch)
             mass = np.bincount(rows[known] * k + labels[known], weights=(ends - starts)[known], minlength=n * k).reshape(n, k)
@@ -248,7 +250,7 @@ def spans(docs: DataFrame, model: Model, switch: float = SWITCH) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own: Model = shared.value
-        for batch in slices(batches):
+        for batch in chunks(batches):
             starts, ends, rows, labels, _, offsets, data = label_words(own, batch.column("text"), switch)
             if not len(starts):
                 continue

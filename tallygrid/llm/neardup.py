@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tallygrid.llm.components import components
 from tallygrid.llm.frames import small_batches
-from tallygrid.llm.text import LOWER, grams, mix, row_starts, seeded, signed, slices, utf8, word_hashes, words
+from tallygrid.llm.text import LOWER, chunks, grams, mix, row_starts, seeded, signed, slices, utf8, word_hashes, words
 from tallygrid.session import broadcast_if_small, materialize
 
 COORDINATES, ROWS_EACH, MATCHES = 40, 4, 3
@@ -86,7 +86,7 @@ def signatures(h: np.ndarray, starts: np.ndarray, coordinates: int, rows_each: i
 
 def _features(k: int, coordinates: int, rows_each: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in chunks(batches):
             row, h = shingle_sets(batch.column("text"), k)
             n = np.bincount(row, minlength=batch.num_rows).astype(np.int64)
             s1, s2 = np.zeros(batch.num_rows, np.uint64), np.zeros(batch.num_rows, np.uint64)

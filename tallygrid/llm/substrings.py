@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from tallygrid.llm import bitmap
 from tallygrid.llm.frames import small_batches
-from tallygrid.llm.text import grams, signed, slices, utf8, word_hashes, words
+from tallygrid.llm.text import grams, signed, chunks, utf8, word_hashes, words
 from tallygrid.session import materialize
 
 WINDOW, FIRST = 13, 7
@@ -104,7 +104,7 @@ def _post(steps: list[int], k: int, shared):
     """Each hash of level k with the smallest and largest id that has it, folded per slice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in chunks(batches):
             found = Windows(batch.column("text"), steps)
             at, h = found.level(k, [s.value for s in shared])
             if not len(at):
@@ -155,7 +155,7 @@ def _cut(steps: list[int], shared):
     full = steps[-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in chunks(batches):
             found = Windows(batch.column("text"), steps)
             free = np.ones(len(found.hashes), bool)
             if shared is not None:
