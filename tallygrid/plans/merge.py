@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallygrid.operators import combine as C
 from tallygrid.operators.curves import sweep_curve
@@ -19,18 +20,30 @@ def merge(rows: DataFrame, with_counters: bool = False) -> DataFrame:
     return C.with_rates(C.combine_with_counters(rows.withColumn("custom_counts", C.parse_counts())))
 
 
-def merge_folder(spark: SparkSession, root: str, out: str | None = None, fmt: str = "csv", latest: bool = True) -> DataFrame:
-    """Merge the fragments below `root`, and write them when `out` is given.
+def merge_with_quarantine(spark: SparkSession, root: str, out: str | None = None, fmt: str = "csv", latest: bool = True) -> tuple[DataFrame, DataFrame]:
+    """`merge_folder`, and beside the totals the rows that were not good, with their files.
 
-    With `latest` each batch counts with its newest snapshot; without it every
-    stats.csv is summed (every CSV file when there is none).
+    Files below `out` are results and never merged again.
     """
-    rows = S.read_latest(spark, root) if latest else S.read_fragments(spark, root, "auto")
-    merged = merge(rows, with_counters=True)
+    raw = S.read_latest_raw(spark, root) if latest else S.read_fragments_raw(spark, root, "auto")
+    if out is not None:
+        below = out.rstrip("/").split("://", 1)[-1].removeprefix("file:")
+        raw = raw.filter(~F.col("file_path").contains(below + "/"))
+    merged = merge(S.good_rows(raw), with_counters=True)
     if out is not None:
         merged = materialize(merged, "merged")  # written below and returned
         write_stats(counts_as_json(merged), out, fmt)
-    return merged
+    return merged, S.quarantine(raw)
+
+
+def merge_folder(spark: SparkSession, root: str, out: str | None = None, fmt: str = "csv", latest: bool = True) -> DataFrame:
+    """Merge the fragments below `root`, and write them when `out` is given.
+
+    With `latest` each batch counts with its newest snapshot; without it every
+    stats.csv is summed (every CSV file when there is none). `merge_with_quarantine`
+    also returns the rows that were not good.
+    """
+    return merge_with_quarantine(spark, root, out, fmt, latest)[0]
 
 
 def curves(rows: DataFrame, group: str = "concat(meta['type'], ' d=', meta['d'])", x: str = "cast(meta['p'] as double)") -> DataFrame:

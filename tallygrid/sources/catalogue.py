@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallygrid.functions import names
 from tallygrid.operators.balance import latest_timings
 from tallygrid.schema import TIMINGS
+from tallygrid.sources.fragments import plain_path
 
 
 def read_catalogue(spark: SparkSession, root: str, extension: str, recursive: bool = True) -> DataFrame:
@@ -16,7 +17,7 @@ def read_catalogue(spark: SparkSession, root: str, extension: str, recursive: bo
     The full path identifies a file, so equal names in two folders are two experiments.
     """
     reader = spark.read.option("pathGlobFilter", "*." + extension.lstrip(".")).option("recursiveFileLookup", recursive)
-    files = reader.text(root, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+    files = reader.text(root, wholetext=True).select(plain_path(F.col("_metadata.file_path")).alias("path"), F.col("value").alias("text"))
     if files.isEmpty():
         raise FileNotFoundError(f"no .{extension.lstrip('.')} files below {root}")
     return files.select("path", names.basename(F.col("path")).alias("name"), names.stem(F.col("path")).alias("stem"), "text")

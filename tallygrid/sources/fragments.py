@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +15,19 @@ MAX_EXPLICIT_PATHS = 10_000
 
 JSON_COLUMNS = ("json_metadata", "custom_counts")
 
+# Files of the standard layout; other CSV files below a root are not counters unless asked for.
+LAYOUT_FILES = "{stats.csv,stats.partial*.csv}"
+
+
+def plain_path(path: Column) -> Column:
+    """A path as it is stored: the file metadata holds it percent-encoded."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
+def glob_escaped(path: str) -> str:
+    """A path as the reader takes it literally."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
 
 def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
     """Paths below `root`, recursively. The file contents are not read."""
@@ -21,7 +36,7 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", pattern)
         .load(root)
-        .select(F.col("_metadata.file_path").alias("path"))
+        .select(plain_path(F.col("_metadata.file_path")).alias("path"))
     )
 
 
@@ -51,27 +66,28 @@ def read_raw(
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", pattern)
         .csv(paths)
-        .select("*", F.col("_metadata.file_path").alias("file_path"))
+        .select("*", plain_path(F.col("_metadata.file_path")).alias("file_path"))
     )
 
 
+def valid_json(text: Column | str) -> Column:
+    """Whether a text is JSON of any kind: object, list, number, text or null."""
+    return F.try_parse_json(text).isNotNull()
+
+
 def is_good(columns: list[str]) -> Column:
     """A complete row whose JSON columns parse.
 
     The reader does not mark a row cut inside its last quoted field, so the JSON
-    has to be looked at as well. Files from before named counters end with the
-    metadata; the reader marks their rows as short, and they are good when they
-    end with the closing quote of that field.
+    has to be looked at as well; JSON of any kind will do. Files from before named
+    counters end with the metadata; the reader marks their rows as short, and they
+    are good when that field is whole.
     """
     good = F.col(CORRUPT).isNull()
     for name in JSON_COLUMNS:
         if name in columns:
-            good = good & (F.col(name).isNull() | F.from_json(name, "map<string,string>").isNotNull())
-    without_counts = (
-        F.col("custom_counts").isNull()
-        & F.from_json("json_metadata", "map<string,string>").isNotNull()
-        & F.rtrim(CORRUPT).endswith('"')
-    )
+            good = good & (F.col(name).isNull() | valid_json(name))
+    without_counts = F.col("custom_counts").isNull() & valid_json("json_metadata")
     complete = F.col("shots").isNotNull() & F.col("strong_id").isNotNull()
     return F.coalesce(complete & (good | without_counts), F.lit(False))
 
@@ -86,7 +102,12 @@ def quarantine(raw: DataFrame) -> DataFrame:
 
 
 def read_fragments(spark: SparkSession, root: str, mode: str = "stats") -> DataFrame:
-    """Good rows of all fragments below `root`.
+    """Good rows of all fragments below `root`; modes as in `read_fragments_raw`."""
+    return good_rows(read_fragments_raw(spark, root, mode))
+
+
+def read_fragments_raw(spark: SparkSession, root: str, mode: str = "stats") -> DataFrame:
+    """All rows of all fragments below `root`, malformed ones included.
 
     `mode="stats"` reads files named exactly stats.csv, `"any"` every CSV file,
     `"auto"` every CSV file only if there is no stats.csv anywhere.
@@ -100,26 +121,29 @@ def read_fragments(spark: SparkSession, root: str, mode: str = "stats") -> DataF
         found = not list_files(spark, root, pattern).isEmpty()
     if not found:
         raise FileNotFoundError(f"no {pattern} below {root}")
-    return good_rows(read_raw(spark, root, pattern))
+    return read_raw(spark, root, pattern)
 
 
 def snapshot_key(path: Column) -> Column:
     """`(batch_id, is_final, seq)` of a path in the standard layout.
 
-    `batch_<id>/stats.csv` is final; `batch_<id>/stats.partial.<seq>.csv` is a
-    cumulative snapshot (without a number: sequence 0).
+    `<run>/batch_<id>/stats.csv` is final; `<run>/batch_<id>/stats.partial.<seq>.csv`
+    is a cumulative snapshot (without a number: sequence 0). The batch is its whole
+    folder, so equal batch ids of two runs stay apart; a file outside such a folder
+    is a batch of its own.
     """
+    in_layout = path.rlike(r"(^|/)batch_[^/]+/[^/]+$")
     return F.struct(
-        F.regexp_extract(path, r"batch_([^/]+)/[^/]+$", 1).alias("batch_id"),
+        F.when(in_layout, F.regexp_extract(path, r"^(.*)/[^/]+$", 1)).otherwise(path).alias("batch_id"),
         F.element_at(F.split(path, "/"), -1).eqNullSafe(F.lit(STATS_FILE)).alias("is_final"),
         F.coalesce(F.regexp_extract(path, r"\.partial\.(\d+)\.csv$", 1).try_cast("bigint"), F.lit(0)).alias("seq"),
     )
 
 
 def partition_snapshot_key(path: Column) -> Column:
-    """The same for directories `batch_id=<id>/is_final=<bool>/seq=<n>/`."""
+    """The same for directories `<run>/batch_id=<id>/is_final=<bool>/seq=<n>/`."""
     return F.struct(
-        F.regexp_extract(path, r"/batch_id=([^/]+)/", 1).alias("batch_id"),
+        F.regexp_extract(path, r"^(.*/batch_id=[^/]+)/", 1).alias("batch_id"),
         (F.regexp_extract(path, r"/is_final=([^/]+)/", 1) == "true").alias("is_final"),
         F.regexp_extract(path, r"/seq=(\d+)/", 1).try_cast("bigint").alias("seq"),
     )
@@ -136,20 +160,28 @@ def latest_files(files: DataFrame, key=snapshot_key) -> DataFrame:
     )
 
 
-def read_latest(spark: SparkSession, root: str, key=snapshot_key, pattern: str = "*.csv") -> DataFrame:
-    """Good rows of the newest snapshot of each batch.
+def read_latest_raw(spark: SparkSession, root: str, key=snapshot_key, pattern: str | None = None) -> DataFrame:
+    """All rows, malformed ones included, of the newest snapshot of each batch.
 
-    Only the file list decides, so superseded snapshots are not read: the chosen
-    paths go to the reader. A very long choice is applied as a semi join instead.
+    The file list alone decides which snapshots count. Up to MAX_EXPLICIT_PATHS
+    chosen paths go to the reader; a longer choice is applied as a semi join, which
+    gives the same rows but has to open the superseded files too. `pattern` names
+    the files; without one, only those of the standard layout are taken.
     """
+    pattern = pattern or (LAYOUT_FILES if key is snapshot_key else "*.csv")
     chosen = latest_files(list_files(spark, root, pattern), key).select("path")
     paths = [row.path for row in chosen.limit(MAX_EXPLICIT_PATHS + 1).collect()]
     if not paths:
         raise FileNotFoundError(f"no {pattern} below {root}")
     if len(paths) <= MAX_EXPLICIT_PATHS:
-        return good_rows(read_raw(spark, paths, pattern))
+        return read_raw(spark, [glob_escaped(p) for p in paths], pattern)
     everything = read_raw(spark, root, pattern)
-    return good_rows(everything.join(chosen.withColumnRenamed("path", "file_path"), "file_path", "left_semi"))
+    return everything.join(chosen.withColumnRenamed("path", "file_path"), "file_path", "left_semi")
+
+
+def read_latest(spark: SparkSession, root: str, key=snapshot_key, pattern: str | None = None) -> DataFrame:
+    """Good rows of the newest snapshot of each batch; see `read_latest_raw`."""
+    return good_rows(read_latest_raw(spark, root, key, pattern))
 
 
 def duplicate_files(raw: DataFrame, unit: Column | None = None) -> DataFrame:
