@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A side is broadcast only if it was counted and has at most this many rows.
-BROADCAST_ROWS = 200_000
-
-_local_dirs: dict[str, str] = {}
+# A side is broadcast only if it was measured and has at most this many rows and bytes.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 32 << 20
 
 
 def build_session(app: str = "tallygrid", **conf: str) -> SparkSession:
@@ -33,18 +30,14 @@ def build_session(app: str = "tallygrid", **conf: str) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir, which every executor can reach.
 
-    Only a local-mode session without that setting gets a temporary folder.
+    Without that setting a local session works beside its tables, in the warehouse.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    app = context.applicationId
-    if app not in _local_dirs:
-        _local_dirs[app] = tempfile.mkdtemp(prefix="tallygrid-")
-    return _local_dirs[app]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
 
 
 def _work_dir(spark: SparkSession) -> str:
@@ -74,14 +67,16 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, derived: bool = False) -> DataFrame:
-    """Hint a broadcast only after a bounded count proved the side small.
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, derived: bool = False, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast only after a bounded look proved the side small, in rows and in bytes of its values as text.
 
     A larger side stays unhinted: Spark then uses a shuffled join, whose hot
     partitions adaptive execution splits. A `derived` side is written first, so
     that the count does not compute it a second time.
     """
     side = materialize(df, "side") if derived else df
-    if side.limit(max_rows + 1).count() <= max_rows:
+    look = side.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(F.length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in side.columns])))))
+    n_rows, n_bytes = look.first()
+    if n_rows <= max_rows and (n_bytes or 0) <= max_bytes:
         return F.broadcast(side)
     return side

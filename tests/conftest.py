@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -17,6 +18,7 @@ def spark():
             "spark.sql.shuffle.partitions": "8",
             "spark.driver.memory": "4g",
             "spark.ui.showConsoleProgress": "false",
+            "spark.checkpoint.dir": "file://" + tempfile.mkdtemp(prefix="tallygrid-tests-"),
         },
     )
     session.sparkContext.setLogLevel("ERROR")

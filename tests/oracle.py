@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -54,7 +55,7 @@ def main() -> int:
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     chosen = sys.argv[2:] or list(queries())
-    spark = build_session("oracle", **{"spark.master": "local[8]", "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"})
+    spark = build_session("oracle", **{"spark.master": "local[8]", "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "spark.checkpoint.dir": "file://" + tempfile.mkdtemp(prefix="tallygrid-oracle-")})
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     oracles, bad = oracle_sql(), 0
