@@ -30,9 +30,10 @@ def partial_totals(stats: DataFrame, key: str = "strong_id") -> DataFrame:
 
 
 def merge_totals(partial: DataFrame, key: str = "strong_id") -> DataFrame:
-    """One row per id from `partial_totals`."""
+    """One row per id from `partial_totals`; decoder and metadata are those of one fragment, the smallest pair."""
     kept = [c for c in ("decoder", "json_metadata") if c in partial.columns]
-    return partial.groupBy(key).agg(*[F.sum(c).alias(c) for c in SUMS], *[F.min(c).alias(c) for c in kept])
+    sums = partial.groupBy(key).agg(*[F.sum(c).alias(c) for c in SUMS], *([F.min(F.struct(*kept)).alias("_pair")] if kept else []))
+    return sums.select(key, *SUMS, *[F.col(f"_pair.{c}").alias(c) for c in kept])
 
 
 def combine(stats: DataFrame, key: str = "strong_id") -> DataFrame:
@@ -82,7 +83,7 @@ def combine_with_counters(stats: DataFrame, key: str = "strong_id") -> DataFrame
     named = F.transform(F.map_entries("custom_counts"), lambda e: F.struct(e["key"].alias("counter"), e["value"].alias("n"), *nothing))
     entries = F.concat(F.array(totals), F.coalesce(named, F.array()))
     sums = [F.sum(c).alias(c) for c in ("n", *SUMS)]
-    texts = [F.min(c).alias(c) for c in kept]
+    texts = [F.min(F.struct(*kept)).alias("_pair")] if kept else []
     per_counter = (
         stats.select(key, *kept, F.inline(entries))
         .groupBy(key, "counter", *kept)
@@ -91,9 +92,21 @@ def combine_with_counters(stats: DataFrame, key: str = "strong_id") -> DataFrame
         .agg(*sums, *texts)
     )
     named_sums = F.collect_list(F.when(F.col("counter").isNotNull(), F.struct("counter", "n")))
-    return per_counter.groupBy(key).agg(
-        *[F.sum(c).alias(c) for c in SUMS], *texts, F.map_from_entries(F.sort_array(named_sums)).alias("custom_counts")
+    merged = per_counter.groupBy(key).agg(
+        *[F.sum(c).alias(c) for c in SUMS],
+        *([F.min("_pair").alias("_pair")] if kept else []),
+        F.map_from_entries(F.sort_array(named_sums)).alias("custom_counts"),
     )
+    return merged.select(key, *SUMS, *[F.col(f"_pair.{c}").alias(c) for c in kept], "custom_counts")
+
+
+def counts_as_map(stats: DataFrame) -> DataFrame:
+    """Fragments whose `custom_counts` is a map, whether it was JSON text, a map, or missing."""
+    if "custom_counts" not in stats.columns:
+        return stats.withColumn("custom_counts", F.lit(None).cast("map<string,bigint>"))
+    if stats.schema["custom_counts"].dataType.typeName() == "string":
+        return stats.withColumn("custom_counts", parse_counts())
+    return stats
 
 
 def parse_counts(text_column: str = "custom_counts"):

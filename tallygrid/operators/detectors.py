@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallygrid.operators.profile import MEASURE_WORDS, REPEAT
 from tallygrid.session import broadcast_if_small
 
 # Instruction words that define detectors and observables.
@@ -14,8 +15,15 @@ RECORD = r"rec\[(-\d+)\]"
 
 
 def parse_targets(texts: DataFrame, text: str = "text") -> DataFrame:
-    """`(task_id, kind, id, rec_offset)` rows from instruction text."""
-    lines = F.split(text, "\n")
+    """`(task_id, kind, id, rec_offset)` rows from instruction text.
+
+    A detector or observable without targets is one row whose offset is NULL. Offsets
+    count from the last measurement, so only flat text with all its measurements
+    before its detectors can be read: other text (see `unsupported_texts`) is an error.
+    """
+    problem = _problem(F.col(text))
+    checked = F.when(problem.isNull(), F.col(text)).otherwise(F.raise_error(F.concat(F.lit("task "), F.coalesce("task_id", F.lit("NULL")), F.lit(": "), problem)).cast("string"))
+    lines = F.transform(F.split(checked, "\n"), F.trim)
     detectors = F.transform(
         F.filter(lines, lambda s: s.startswith(DETECTOR_LINE)),
         lambda s, i: F.struct(F.lit("det").alias("kind"), i.alias("id"), s.alias("line")),
@@ -30,21 +38,46 @@ def parse_targets(texts: DataFrame, text: str = "text") -> DataFrame:
     )
     return (
         texts.select("task_id", F.explode(F.concat(detectors, observables)).alias("t"))
-        .select("task_id", "t.kind", "t.id", F.explode(F.regexp_extract_all("t.line", F.lit(RECORD), 1)).alias("offset"))
+        .select("task_id", "t.kind", "t.id", F.explode_outer(F.regexp_extract_all("t.line", F.lit(RECORD), 1)).alias("offset"))
         .select("task_id", "kind", "id", F.col("offset").cast("int").alias("rec_offset"))
     )
 
 
+def _problem(text: Column) -> Column:
+    """Why the targets of a text cannot be read; NULL if they can."""
+    lines = F.transform(F.split(text, "\n"), F.trim)
+    words = F.transform(lines, lambda s: F.substring_index(F.substring_index(s, " ", 1), "(", 1))
+    first = F.array_position(F.transform(words, lambda w: w.isin(DETECTOR_LINE, OBSERVABLE_LINE)), True)
+    after = F.filter(words, lambda w, i: (first > 0) & (i >= first) & w.isin(*MEASURE_WORDS))
+    return F.when(F.array_contains(words, REPEAT), F.lit("repeat blocks are not counted through")).when(
+        F.size(after) > 0, F.lit("a measurement follows a detector")
+    )
+
+
+def unsupported_texts(texts: DataFrame, text: str = "text") -> DataFrame:
+    """`(task_id, problem)` of the texts that `parse_targets` refuses."""
+    return texts.select("task_id", _problem(F.col(text)).alias("problem")).filter("problem IS NOT NULL")
+
+
+def _position(total: Column, offset: Column) -> Column:
+    """Place of a record; one outside of the record is an error and not a silent zero."""
+    place = total + offset
+    return F.when((place < 0) | (place >= total), F.raise_error(F.concat(F.lit("record outside the measurements: "), offset.cast("string"))).cast("int")).otherwise(place)
+
+
 def _index_lists(targets: DataFrame, kind: str, total: Column) -> DataFrame:
-    """Per task, the measurement positions of each detector (or observable) in id order.
+    """Per task, the measurement positions of each detector (or observable), at the place of its id.
 
-    The lists hold one circuit's definitions, so their size does not depend on the shots.
+    An id that no line names has an empty list. The lists hold one circuit's
+    definitions, so their size does not depend on the shots.
     """
     one = targets.filter(F.col("kind") == kind).groupBy("task_id", "id").agg(
-        F.sort_array(F.collect_list(total + F.col("rec_offset"))).alias("positions")
+        F.sort_array(F.collect_list(_position(total, F.col("rec_offset")))).alias("positions")
     )
-    ordered = F.sort_array(F.collect_list(F.struct("id", "positions")))
-    return one.groupBy("task_id").agg(F.transform(ordered, lambda x: x["positions"]).alias(f"{kind}_positions"))
+    by_id = one.groupBy("task_id").agg(F.map_from_entries(F.collect_list(F.struct("id", "positions"))).alias("m"), F.max("id").alias("top"))
+    empty = F.array().cast("array<int>")
+    placed = F.transform(F.sequence(F.lit(0), F.col("top")), lambda i: F.coalesce(F.col("m")[i], empty))
+    return by_id.select("task_id", placed.alias(f"{kind}_positions"))
 
 
 def task_targets(targets: DataFrame, total: Column | int) -> DataFrame:
@@ -81,11 +114,14 @@ def evaluate(measured_shots: DataFrame, per_task: DataFrame, measured: str = "me
 
 
 def evaluate_long(measurements: DataFrame, targets: DataFrame, total: Column | int) -> DataFrame:
-    """The same for records stored as one row per measurement."""
+    """The same for records stored as one row per measurement; a definition without targets never fires."""
     n = F.lit(total) if isinstance(total, int) else total
-    named = targets.select("task_id", "kind", "id", (n + F.col("rec_offset")).alias("idx"))
-    return (
+    named = targets.filter("rec_offset IS NOT NULL").select("task_id", "kind", "id", _position(n, F.col("rec_offset")).alias("idx"))
+    fired = (
         measurements.join(broadcast_if_small(named, derived=True), ["task_id", "idx"])
         .groupBy("task_id", "shot_id", "kind", "id")
         .agg((F.bit_xor("bit") == 1).alias("fired"))
     )
+    empty = targets.filter("rec_offset IS NULL").select("task_id", "kind", "id")
+    silent = measurements.select("task_id", "shot_id").distinct().join(broadcast_if_small(empty, derived=True), "task_id")
+    return fired.unionByName(silent.withColumn("fired", F.lit(False)))

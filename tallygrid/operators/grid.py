@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallygrid.functions import layout as L
 from tallygrid.functions.names import rate_text
+from tallygrid.operators.ordered import join_groups
 from tallygrid.session import materialize
 
 # The instructions of one round on its five data bits {0}..{4}.
@@ -49,11 +50,17 @@ def parameter_grid(spark: SparkSession, **axes: list) -> DataFrame:
 
 
 def grid_coverage(stats: DataFrame, row_axis: str, column_axis: str) -> DataFrame:
-    """Every cell of the grid spanned by the observed axis values, with its shots (0 where none ran)."""
+    """Every cell of the grid spanned by the observed axis values, with its shots (0 where none ran).
+
+    A NULL axis value is a value like any other. The axes are the parameters of a
+    sweep: the grid is their product by definition.
+    """
     cells = materialize(stats.groupBy(row_axis, column_axis).agg(F.sum("shots").alias("shots"), F.count("*").alias("n_rows")), "cells")
-    axes = cells.agg(F.collect_set(row_axis).alias("r"), F.collect_set(column_axis).alias("c"))
-    grid = axes.select(F.explode("r").alias(row_axis), "c").select(row_axis, F.explode("c").alias(column_axis))
-    return grid.join(cells, [row_axis, column_axis], "left").na.fill(0, ["shots", "n_rows"])
+    rows = cells.select(row_axis).distinct()
+    columns = cells.select(F.struct(column_axis).alias("v")).distinct().agg(F.collect_list("v").alias("_columns"))
+    grid = rows.select(row_axis, F.lit(1).alias("_one")).join(F.broadcast(columns.withColumn("_one", F.lit(1))), "_one")
+    grid = grid.select(row_axis, F.explode("_columns").alias("_v")).select(row_axis, F.col(f"_v.{column_axis}").alias(column_axis))
+    return join_groups(grid, cells, [row_axis, column_axis], "left").na.fill(0, ["shots", "n_rows"])
 
 
 def sequence_layout(k: Column) -> Column:

@@ -7,14 +7,17 @@ from pyspark.sql import functions as F
 
 # Instruction words.
 NON_CLIFFORD = ["T", "T_DAG", "R_X", "R_Y", "R_Z", "U3"]
-MEASURE = ["M"]
+MEASURE_EACH = ["M", "MX", "MY", "MZ", "MR", "MRX", "MRY", "MRZ", "MPAD", "MPP"]
+MEASURE_PAIRS = ["MXX", "MYY", "MZZ"]
+MEASURE_WORDS = MEASURE_EACH + MEASURE_PAIRS
 REPEAT = "REPEAT"
 
 
 def profile(texts: DataFrame, text: str = "text") -> DataFrame:
     """Detectors, observables, measurements and T-count per text, computed inside the row.
 
-    Flat text only: a text with repeat blocks is flagged and its counts are NULL.
+    Flat text only: a text with repeat blocks is flagged and its counts are NULL. So is
+    the number of measurements where another word begins with M, which might measure.
     """
     lines = F.filter(F.transform(F.split(text, "\n"), F.trim), lambda s: s != "")
     parsed = F.transform(
@@ -29,6 +32,7 @@ def profile(texts: DataFrame, text: str = "text") -> DataFrame:
         return F.aggregate(named, F.lit(0).cast("bigint"), lambda acc, x: acc + F.size(F.split(x["line"], " +")) - 1)
 
     flat = ~F.col("has_repeat")
+    other = F.exists("_lines", lambda x: x["word"].startswith("M") & ~x["word"].isin(MEASURE_WORDS))
     return (
         texts.withColumn("_lines", parsed)
         .withColumn("has_repeat", F.exists("_lines", lambda x: x["word"] == REPEAT))
@@ -38,7 +42,7 @@ def profile(texts: DataFrame, text: str = "text") -> DataFrame:
             F.size("_lines").cast("bigint").alias("n_lines"),
             F.when(flat, count("DETECTOR")).alias("n_detectors"),
             F.when(flat, count("OBSERVABLE_INCLUDE")).alias("n_observables"),
-            F.when(flat, target_sum(MEASURE)).alias("n_measurements"),
+            F.when(flat & ~other, target_sum(MEASURE_EACH) + F.floor(target_sum(MEASURE_PAIRS) / 2)).alias("n_measurements"),
             F.when(flat, target_sum(NON_CLIFFORD)).alias("t_count"),
             F.exists("_lines", lambda x: x["word"].isin(NON_CLIFFORD)).alias("non_clifford"),
         )

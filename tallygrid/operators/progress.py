@@ -44,11 +44,12 @@ def shot_extremes(totals: DataFrame) -> DataFrame:
 def remaining_work(tasks: DataFrame, totals: DataFrame, key: str = "strong_id") -> DataFrame:
     """All tasks with what they still need, given the counters already on disk.
 
-    `tasks` holds `max_shots` and `max_errors`; counters of earlier runs count toward them.
+    `tasks` holds `max_shots` and `max_errors`; counters of earlier runs count toward
+    them. A NULL limit is no limit: what remains of it is NULL while the task is open.
     """
     have = totals.select(key, F.col("shots").alias("_shots"), F.col("errors").alias("_errors"))
     shots, errors = F.coalesce("_shots", F.lit(0)), F.coalesce("_errors", F.lit(0))
-    done = (shots >= F.col("max_shots")) | (errors >= F.col("max_errors"))
+    done = F.coalesce(shots >= F.col("max_shots"), F.lit(False)) | F.coalesce(errors >= F.col("max_errors"), F.lit(False))
     return (
         tasks.join(have, key, "left")
         .withColumn("remaining_shots", F.when(done, F.lit(0)).otherwise(F.col("max_shots") - shots).cast("bigint"))

@@ -21,13 +21,36 @@ def apply_reference(raw: Column, reference: Column, use_reference: Column | bool
 
 
 def with_tasks(shots: DataFrame, tasks: DataFrame, derived: bool = False) -> DataFrame:
-    """Attach task columns (masks, sizes) to shots. `derived` tells that `tasks` is not a stored table."""
-    return shots.join(broadcast_if_small(tasks, derived=derived), "task_id")
+    """Attach task columns (masks, sizes) to shots. `derived` tells that `tasks` is not a stored table.
+
+    A shot of an unknown task stays, with NULL columns; `shot_problems` lists it.
+    Runs a job to measure `tasks`.
+    """
+    return shots.join(broadcast_if_small(tasks, derived=derived), "task_id", "left")
 
 
 def join_predictions(shots: DataFrame, predictions: DataFrame) -> DataFrame:
-    """Shots and predictions that are stored apart; the pair of keys is unique, so it has no hot value."""
-    return shots.join(predictions, ["task_id", "shot_id"])
+    """Shots and predictions that are stored apart; the pair of keys is unique, so it has no hot value.
+
+    A shot without a prediction stays, with a NULL one, which the classification refuses.
+    """
+    return shots.join(predictions, ["task_id", "shot_id"], "left")
+
+
+def shot_problems(shots: DataFrame, tasks: DataFrame) -> DataFrame:
+    """`(task_id, shot_id, problem)`: unknown tasks, and predictions that are missing, too short or too long."""
+    known = tasks.select("task_id").distinct().withColumn("_known", F.lit(True))
+    rows = shots.join(broadcast_if_small(known, derived=True), "task_id", "left")
+    padded = F.ceil(F.size("obs") / 8) * 8
+    problems = F.array_compact(
+        F.array(
+            F.when(F.col("_known").isNull(), F.lit("unknown task")),
+            F.when(F.col("pred").isNull(), F.lit("no prediction")),
+            F.when(F.size("pred") < F.size("obs"), F.lit("too few predictions")),
+            F.when(F.size("pred") > padded + 8, F.lit("too many predictions")),
+        )
+    )
+    return rows.select("task_id", "shot_id", F.explode(problems).alias("problem"))
 
 
 def _column(df: DataFrame, name: str, default: Column) -> Column:
@@ -40,12 +63,21 @@ def label_shots(shots: DataFrame) -> DataFrame:
     Each shot gets one outcome, in this order: a masked detector fired ->
     discard; the decoder gave up -> discard; a post-selected observable was
     mispredicted -> discard; another observable was -> error; else ok.
+
+    A prediction may be one byte longer than the bytes of the observables; a bit in
+    that byte says that the decoder gave up. A shot whose prediction is missing or
+    shorter than its observables is an error (see `shot_problems`).
     """
     none = F.lit(None).cast("array<boolean>")
     mask = _column(shots, "postselection_mask", none)
     observable_mask = _column(shots, "postselected_obs_mask", none)
     gave_up = F.coalesce(_column(shots, "pred_discard", F.lit(False)), F.lit(False))
-    mistakes = B.xor_bits(F.col("obs"), F.col("pred"))
+    n_obs = F.size("obs")
+    padded = (F.ceil(n_obs / 8) * 8).cast("int")
+    gave_up = gave_up | F.coalesce(F.exists(F.slice("pred", padded + 1, F.lit(8)), lambda b: b), F.lit(False))
+    missing = F.raise_error(F.lit("a prediction is missing or shorter than the observables")).cast("array<boolean>")
+    pred = F.when(F.coalesce(F.size("pred") >= n_obs, F.lit(False)), F.slice("pred", F.lit(1), n_obs)).otherwise(missing)
+    mistakes = B.xor_bits(F.col("obs"), pred)
     discard = B.any_masked(F.col("det"), mask) | gave_up | B.any_masked(mistakes, observable_mask)
     outcome = (
         F.when(discard, F.lit("discard"))

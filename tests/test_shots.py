@@ -74,7 +74,7 @@ def test_targets_and_parities(spark):
     ]
     measured = spark.createDataFrame([("t", 0, [T, X]), ("t", 1, [T, T])], "task_id string, shot_id long, measured array<boolean>")
     got = {r.shot_id: (r.det, r.obs) for r in D.evaluate(measured, D.task_targets(targets, 2)).collect()}
-    assert got == {0: ([T], [X, T]), 1: ([X], [T, T])}
+    assert got == {0: ([T], [X, X, T]), 1: ([X], [T, X, T])}  # each observable at the place of its id
 
 
 def test_row_and_long_parities_agree(spark):
