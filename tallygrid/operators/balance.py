@@ -28,7 +28,7 @@ def round_robin(items: DataFrame, order: list[Column | str], per_batch: int | No
 
 
 def longest_first(
-    items: DataFrame, weight: str, order: list[Column | str], batches: int, groups: list[str] | None = None
+    items: DataFrame, weight: str, order: list[Column | str], batches: int, groups: list[str] | None = None, weight_unit: float = WEIGHT_UNIT
 ) -> DataFrame:
     """Longest-processing-time assignment: heaviest item first, always to the lightest batch.
 
@@ -38,46 +38,60 @@ def longest_first(
     the batches in repeating cycles, so an item finds its batch from its rank
     among the equal ones, without seeing the other items. Weights are
     not NULL and not negative.
+
+    Weights are counted in whole `weight_unit`s: weights that round to the same
+    number of units are ties. A larger unit means fewer different weights, and so a
+    shorter sequential part, which is one task for each group. Runs jobs: items are
+    written in their global order, plans are written and measured.
     """
     keyed = items
     if not groups:
         groups, keyed = ["_all"], items.withColumn("_all", F.lit(0))
-    keyed = keyed.withColumn("_w", F.round(F.col(weight) / WEIGHT_UNIT).cast("bigint"))
+    keyed = keyed.withColumn("_w", F.round(F.col(weight) / weight_unit).cast("bigint"))
     indexed = index_rows(keyed, groups + [F.col("_w").desc()] + order, "_global", "lpt")
     classes = indexed.groupBy(*groups, "_w").agg(F.count("*").alias("_n"), F.min("_global").alias("_start"))
     plans = _fold_classes(classes, groups, batches)
 
     placed = join_groups(indexed, broadcast_if_small(plans, derived=True), [*groups, "_w"]).withColumn("_slot", F.col("_global") - F.col("_start"))
-    cycle = F.element_at(F.filter("_cycles", lambda c: c["slot"] <= F.col("_slot")), -1)
-    place = F.pmod(F.col("_slot") - F.col("_cycle.slot"), F.size("_cycle.batches")).cast("int")
-    batch = F.coalesce(F.get("_visit", F.col("_slot").cast("int")), F.get("_cycle.batches", place))
-    return placed.withColumn("_cycle", cycle).select(*items.columns, batch.cast("bigint").alias("batch_id"))
+    # The stage an item falls in, the batches that take part in it in the order of their visits, and the item's place there.
+    stage = F.size(F.filter("_slots", lambda s: s <= F.col("_slot"))) - 1
+    members = F.filter(F.col("_circle"), lambda c: c["rank"] <= F.col("_stage"))
+    first = F.array_position(F.transform("_members", lambda c: c["rank"]), F.col("_stage")) - 1
+    place = F.pmod(F.col("_slot") - F.get("_slots", F.col("_stage")) + first, F.size("_members")).cast("int")
+    batch = F.coalesce(F.get("_visit", F.col("_slot").cast("int")), F.get("_members", place)["batch"])
+    staged = placed.withColumn("_stage", F.when(F.col("_slots").isNotNull(), stage)).withColumn("_members", members)
+    return staged.select(*items.columns, batch.cast("bigint").alias("batch_id"))
 
 
 def _fold_classes(classes: DataFrame, groups: list[str], batches: int) -> DataFrame:
     """Per (group, weight): the batches its items visit, in rank order.
 
-    Few items are listed one by one in `_visit`; many as `_cycles`, each with the
-    rank it starts at and the batches it repeats. A task streams the sorted
-    weights and keeps only the current loads of its groups, so its memory does
-    not grow with the number of weights.
+    Few items are listed one by one in `_visit`. Many fill the batches in stages:
+    stage m begins at rank `_slots[m]`, when batch number m (by load) becomes as light
+    as those before it, and from then on batches 0 to m take turns. Their order is
+    that of the loads modulo the weight, which does not change: `_circle` lists the
+    batches in it with the stage they join at, and stage m starts with its own batch.
+    So a row holds a few numbers per batch. A task streams the sorted weights and
+    keeps only the current loads of its groups.
     """
     sorted_classes = classes.repartition(*groups).sortWithinPartitions(F.col("_w").desc())
     kept = [*groups, "_w", "_start"]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in classes.select(*kept).schema)
-    schema += ", `_visit` array<int>, `_cycles` array<struct<slot:bigint,batches:array<int>>>"
+    schema += ", `_visit` array<int>, `_slots` array<bigint>, `_circle` array<struct<batch:int,rank:int>>"
     listed = 4 * batches
 
     def fold(chunks):
         import pyarrow as pa
 
-        cycle_type = pa.list_(pa.struct([("slot", pa.int64()), ("batches", pa.list_(pa.int32()))]))
+        circle_type = pa.list_(pa.struct([("batch", pa.int32()), ("rank", pa.int32())]))
         current = {}
 
         def fill(loads, weight, count):
-            """Cycles of `count` equal items; moves the loads on."""
-            cycles = []
+            """Stages and circle of `count` equal items; moves the loads on."""
+            slots = []
             ranked = sorted(range(batches), key=lambda b: (loads[b], b))
+            circle = sorted(range(batches), key=lambda b: (loads[b] % weight, b))
+            rank_of = {b: m for m, b in enumerate(ranked)}
             for m, joining in enumerate(ranked):
                 level = loads[joining]
                 # Items each batch takes before `joining` becomes the lightest one.
@@ -88,25 +102,26 @@ def _fold_classes(classes: DataFrame, groups: list[str], batches: int) -> DataFr
                 slot = sum(taken.values())
                 if slot >= count:
                     break
-                visit = sorted(taken, key=lambda b: (loads[b] + taken[b] * weight, b))
-                cycles.append({"slot": slot, "batches": visit})
+                slots.append(slot)
                 before = taken
-            last = cycles[-1]
-            rounds, extra = divmod(count - last["slot"], len(last["batches"]))
-            for place, b in enumerate(last["batches"]):
+            last = len(slots) - 1
+            turn = [b for b in circle if rank_of[b] <= last]
+            first = turn.index(ranked[last])
+            rounds, extra = divmod(count - slots[last], len(turn))
+            for place, b in enumerate(turn[first:] + turn[:first]):
                 loads[b] += (before[b] + rounds + (1 if place < extra else 0)) * weight
-            return cycles
+            return slots, [{"batch": b, "rank": rank_of[b]} for b in circle]
 
         for chunk in chunks:
-            visited, ends, cycles = [], [0], []
+            visited, ends, slots, circles = [], [0], [], []
             keys = zip(*[chunk.column(c).to_pylist() for c in groups])
             for group, weight, count in zip(keys, chunk.column("_w").to_pylist(), chunk.column("_n").to_pylist()):
                 loads = current.get(group)
                 if loads is None:
                     loads = current[group] = [0] * batches
-                repeated = None
+                repeated = None, None
                 if weight == 0:
-                    repeated = [{"slot": 0, "batches": [loads.index(min(loads))]}]
+                    repeated = [0], [{"batch": loads.index(min(loads)), "rank": 0}]
                 elif count <= listed:
                     for _ in range(count):
                         lightest = loads.index(min(loads))
@@ -115,10 +130,11 @@ def _fold_classes(classes: DataFrame, groups: list[str], batches: int) -> DataFr
                 else:
                     repeated = fill(loads, weight, count)
                 ends.append(len(visited))
-                cycles.append(repeated)
+                slots.append(repeated[0])
+                circles.append(repeated[1])
             visit = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(visited, pa.int32()))
-            columns = [*[chunk.column(c) for c in kept], visit, pa.array(cycles, cycle_type)]
-            yield pa.RecordBatch.from_arrays(columns, names=[*kept, "_visit", "_cycles"])
+            columns = [*[chunk.column(c) for c in kept], visit, pa.array(slots, pa.list_(pa.int64())), pa.array(circles, circle_type)]
+            yield pa.RecordBatch.from_arrays(columns, names=[*kept, "_visit", "_slots", "_circle"])
 
     return sorted_classes.mapInArrow(fold, schema)
 

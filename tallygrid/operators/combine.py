@@ -77,20 +77,26 @@ def combine_with_counters(stats: DataFrame, key: str = "strong_id") -> DataFrame
     A fragment becomes one entry with its totals and one per named counter; both
     kinds are summed by the same partial aggregates.
     """
+    return merge_entries(partial_entries(stats, key), key)
+
+
+def partial_entries(stats: DataFrame, key: str = "strong_id", extra: tuple[str, ...] = ()) -> DataFrame:
+    """Sums per id, counter name (NULL: the totals), decoder and metadata, and `extra` columns."""
     kept = [c for c in ("decoder", "json_metadata") if c in stats.columns]
     nothing = [F.lit(None).cast("bigint" if c != "seconds" else "double").alias(c) for c in SUMS]
     totals = F.struct(F.lit(None).cast("string").alias("counter"), F.lit(None).cast("bigint").alias("n"), *SUMS)
     named = F.transform(F.map_entries("custom_counts"), lambda e: F.struct(e["key"].alias("counter"), e["value"].alias("n"), *nothing))
     entries = F.concat(F.array(totals), F.coalesce(named, F.array()))
     sums = [F.sum(c).alias(c) for c in ("n", *SUMS)]
+    return stats.select(*extra, key, *kept, F.inline(entries)).groupBy(*extra, key, "counter", *kept).agg(*sums)
+
+
+def merge_entries(partial: DataFrame, key: str = "strong_id") -> DataFrame:
+    """One row per id with its totals and counter map, from `partial_entries`."""
+    kept = [c for c in ("decoder", "json_metadata") if c in partial.columns]
+    sums = [F.sum(c).alias(c) for c in ("n", *SUMS)]
     texts = [F.min(F.struct(*kept)).alias("_pair")] if kept else []
-    per_counter = (
-        stats.select(key, *kept, F.inline(entries))
-        .groupBy(key, "counter", *kept)
-        .agg(*sums)
-        .groupBy(key, "counter")
-        .agg(*sums, *texts)
-    )
+    per_counter = partial.groupBy(key, "counter").agg(*sums, *texts)
     named_sums = F.collect_list(F.when(F.col("counter").isNotNull(), F.struct("counter", "n")))
     merged = per_counter.groupBy(key).agg(
         *[F.sum(c).alias(c) for c in SUMS],

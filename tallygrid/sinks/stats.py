@@ -22,15 +22,17 @@ def counts_as_json(stats: DataFrame) -> DataFrame:
     return stats.withColumn("custom_counts", F.to_json("custom_counts"))
 
 
-def write_batches(assigned: DataFrame, path: str, run_id: str | None = None, fmt: str = "parquet") -> None:
-    """One folder per batch: `[run_id=<r>/]batch_id=<i>`.
+def write_batches(assigned: DataFrame, path: str, run_id: str | None = None, fmt: str = "parquet", prefix: str = "") -> None:
+    """One folder per batch: `[run_id=<r>/]batch_id=<prefix><i>`.
 
     Only the folders written are replaced, and a run id keeps runs apart. The
     rebalance lets adaptive execution split a large batch over several files.
     """
     rows, layout = assigned, ["batch_id"]
+    if prefix:
+        rows = rows.withColumn("batch_id", F.concat(F.lit(prefix), F.col("batch_id").cast("string")))
     if run_id is not None:
-        rows, layout = assigned.withColumn("run_id", F.lit(run_id)), ["run_id", "batch_id"]
+        rows, layout = rows.withColumn("run_id", F.lit(run_id)), ["run_id", "batch_id"]
     writer = rows.hint("rebalance", "batch_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if fmt == "csv":
         writer = writer.option("header", True).option("escape", '"')

@@ -1,8 +1,10 @@
 """Counters that accumulate while fragments arrive.
 
 Counters commute, so late files need no watermark, and the state is one row per
-experiment. Each trigger publishes the complete result as one `epoch=<n>` folder;
-a replayed epoch overwrites itself, and readers take the highest epoch.
+experiment and named counter. Each trigger publishes the complete result as one
+`epoch=<n>` folder; a replayed epoch overwrites itself, readers take the highest
+epoch that was written to its end, and only the last few epochs are kept. A folder
+of results belongs to one checkpoint.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tallygrid.functions.rates import error_rate, postselected_error_rate, postselection_rate
-from tallygrid.operators.combine import combine, merge_totals, partial_totals
+from tallygrid.operators.combine import counts_as_map, merge_entries, partial_entries
 from tallygrid.operators.progress import end_reason
 from tallygrid.schema import CORRUPT, STATS_RAW
 from tallygrid.sources.fragments import good_rows, snapshot_key
@@ -57,12 +59,50 @@ def with_status(totals: DataFrame, max_shots: int, max_errors: int) -> DataFrame
     )
 
 
+# Published epochs that stay; readers of an older one have to be done by then.
+KEPT_EPOCHS = 3
+
+
+def _folder(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def finished_epochs(spark: SparkSession, out: str) -> list[int]:
+    """Epochs below a folder that carry the success marker of a finished write, from the folder names alone."""
+    fs, where = _folder(spark, out)
+    found = []
+    for status in fs.listStatus(where) if fs.exists(where) else []:
+        name = status.getPath().getName()
+        if name.startswith("epoch=") and fs.exists(_folder(spark, f"{out}/{name}/_SUCCESS")[1]):
+            found.append(int(name.removeprefix("epoch=")))
+    return sorted(found)
+
+
+def drop_old_epochs(spark: SparkSession, out: str, kept: int = KEPT_EPOCHS) -> None:
+    for epoch in finished_epochs(spark, out)[:-kept]:
+        fs, where = _folder(spark, f"{out}/epoch={epoch}")
+        fs.delete(where, True)
+
+
+def claim(spark: SparkSession, out: str, checkpoint: str) -> None:
+    """Tie a folder of results to its checkpoint: another one would number its epochs anew."""
+    fs, where = _folder(spark, f"{out}/_checkpoint_of")
+    if fs.exists(where):
+        known = [r.value for r in spark.read.text(f"{out}/_checkpoint_of").collect()]
+        if known != [checkpoint]:
+            raise ValueError(f"{out} holds the epochs of checkpoint {known}, not of {checkpoint!r}")
+        return
+    spark.createDataFrame([(checkpoint,)], "value string").coalesce(1).write.text(f"{out}/_checkpoint_of")
+
+
 def start_publishing(
     result: DataFrame,
     out: str,
     checkpoint: str,
     finish: Callable[[DataFrame], DataFrame] | None = None,
     every: str | None = None,
+    kept: int = KEPT_EPOCHS,
 ) -> StreamingQuery:
     """Publish a streaming aggregate epoch by epoch.
 
@@ -73,43 +113,47 @@ def start_publishing(
     def publish(frame: DataFrame, epoch: int) -> None:
         final = finish(frame) if finish else frame
         final.write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
+        drop_old_epochs(frame.sparkSession, out, kept)
 
+    claim(result.sparkSession, out, checkpoint)
     writer = result.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).foreachBatch(publish)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.start()
 
 
 def start_combine(fragments: DataFrame, out: str, checkpoint: str, max_shots: int, max_errors: int, every: str | None = None) -> StreamingQuery:
-    """Running totals per experiment with rates and completion state."""
-    return start_publishing(
-        partial_totals(fragments), out, checkpoint, lambda state: with_status(merge_totals(state), max_shots, max_errors), every
-    )
+    """Running totals per experiment with its named counters, rates and completion state."""
+    entries = partial_entries(counts_as_map(fragments))
+    return start_publishing(entries, out, checkpoint, lambda state: with_status(merge_entries(state), max_shots, max_errors), every)
 
 
 def latest_epoch(spark: SparkSession, out: str) -> DataFrame:
-    """The newest published result. The epoch is a partition column, so only that folder is read."""
-    published = spark.read.parquet(out)
-    newest = published.agg(F.max("epoch")).first()[0]
-    return published.filter(F.col("epoch") == newest).drop("epoch")
+    """The newest result that was published to its end; only its folder is read."""
+    finished = finished_epochs(spark, out)
+    if not finished:
+        raise FileNotFoundError(f"no finished epoch below {out}")
+    return spark.read.parquet(f"{out}/epoch={finished[-1]}")
 
 
 # ---- cumulative snapshots ---------------------------------------------------
 
 RANK = ["is_final", "seq"]
-COUNTERS = ["shots", "errors", "discards", "seconds"]
+COUNTERS = ["n", "shots", "errors", "discards", "seconds"]
 
 
 def newest_snapshots(rows: DataFrame, known: DataFrame | None = None, key: Callable[[Column], Column] = snapshot_key) -> DataFrame:
-    """Counters of the newest snapshot of each batch, added up per batch and experiment.
+    """Counters of the newest snapshot of each batch, added up per batch, experiment and named counter.
 
     `rows` are the rows of new snapshot files and `known` is the earlier result.
     Rows of one snapshot add up, also when it came in several files or holds an id
     more than once; a newer snapshot replaces the older one as a whole.
     """
-    kept = ["batch_id", *RANK, "strong_id", *COUNTERS, "decoder", "json_metadata"]
-    new = rows.select("*", key(F.col("file_path")).alias("_k")).select("*", "_k.*").select(*kept)
+    keys = ["batch_id", *RANK, "strong_id", "counter", "decoder", "json_metadata"]
+    kept = [*keys, *COUNTERS]
+    keyed = counts_as_map(rows).select("*", key(F.col("file_path")).alias("_k")).select("*", "_k.*")
+    new = partial_entries(keyed, extra=("batch_id", *RANK)).select(*kept)
     seen = new if known is None else new.unionByName(known)
-    sums = seen.groupBy("batch_id", *RANK, "strong_id", "decoder", "json_metadata").agg(*[F.sum(c).alias(c) for c in COUNTERS])
+    sums = seen.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in COUNTERS])
     ranked = sums.withColumn("_rank", F.struct(*RANK))
     newest = ranked.groupBy("batch_id").agg(F.max("_rank").alias("_rank"))
     return ranked.join(newest, ["batch_id", "_rank"], "left_semi").select(*kept)
@@ -121,11 +165,13 @@ def start_snapshots(
     checkpoint: str,
     key: Callable[[Column], Column] = snapshot_key,
     every: str | None = None,
+    kept: int = KEPT_EPOCHS,
 ) -> StreamingQuery:
     """Follow snapshot files: `state/` holds the newest counters per batch, `totals/` their sum.
 
     Epoch n is built from the new files and the state of epoch n - 1, so a
-    replayed epoch gives the same result.
+    replayed epoch gives the same result. Each epoch writes the state anew, which is
+    as large as the newest snapshots together; the last few epochs are kept, at least two.
     """
 
     def publish(frame: DataFrame, epoch: int) -> None:
@@ -133,8 +179,11 @@ def start_snapshots(
         known = spark.read.parquet(f"{out}/state/epoch={epoch - 1}") if epoch > 0 else None
         path = f"{out}/state/epoch={epoch}"
         newest_snapshots(frame, known, key).write.mode("overwrite").parquet(path)
-        combine(spark.read.parquet(path)).write.mode("overwrite").parquet(f"{out}/totals/epoch={epoch}")
+        merge_entries(spark.read.parquet(path)).write.mode("overwrite").parquet(f"{out}/totals/epoch={epoch}")
+        for part in ("state", "totals"):
+            drop_old_epochs(spark, f"{out}/{part}", max(2, kept))
 
+    claim(rows.sparkSession, out, checkpoint)
     writer = rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(publish)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.start()

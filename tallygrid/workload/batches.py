@@ -102,14 +102,13 @@ def batch_loads(spark, sf_dir):
     return B.batch_loads(lpt_by_sweep(spark, sf_dir), "seconds", BATCHES, ["sweep"])
 
 
-@query(lpt_sql(ITEMS_SQL + ", candidates AS (SELECT * FROM items WHERE seconds >= 49)", "sweep", BATCHES) + LOADS.format(n=BATCHES) + """
+@query(BY_SWEEP + LOADS.format(n=BATCHES) + """
     SELECT sweep, min(load) AS min_load, max(load) AS max_load, round(max(load) / nullif(min(load), 0), 6) AS ratio,
            round(max(load) / avg(load), 6) AS imbalance, arg_max(batch_id, (load, -batch_id)) AS slowest_batch
-    FROM loads WHERE sweep IN (SELECT sweep FROM candidates) GROUP BY sweep""")
+    FROM loads GROUP BY sweep""")
 def load_balance(spark, sf_dir):
-    """A10, O3: load ratio and straggler of the long experiments; too few of them leave batches empty."""
-    long = part_items(spark, sf_dir).filter("seconds >= 49")
-    loads = B.batch_loads(B.longest_first(long, "seconds", KEY, BATCHES, ["sweep"]), "seconds", BATCHES, ["sweep"])
+    """A10, O3: load ratio and straggler of each sweep."""
+    loads = B.batch_loads(lpt_by_sweep(spark, sf_dir), "seconds", BATCHES, ["sweep"])
     report = B.load_balance(loads, ["sweep"])
     return report.withColumn("ratio", F.round("ratio", 6)).withColumn("imbalance", F.round("imbalance", 6))
 
@@ -127,12 +126,12 @@ def part_timings(spark, sf_dir):
     )
 
 
-@query(TIMED + "SELECT p_partkey, path, seconds FROM timed")
+@query(WITH + """
+    SELECT p_partkey, path, round(o_totalprice, 2) AS seconds FROM items JOIN orders ON o_orderkey = p_partkey""")
 def timed_catalogue(spark, sf_dir):
-    """Experiments with their measured seconds."""
-    return B.with_timings(part_items(spark, sf_dir).drop("seconds"), part_timings(spark, sf_dir), ["p_partkey"]).select(
-        "p_partkey", "path", "seconds"
-    )
+    """Experiments with their measured seconds, the price of the order of the same number."""
+    timings = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("p_partkey"), F.round("o_totalprice", 2).alias("seconds"))
+    return B.with_timings(part_items(spark, sf_dir).drop("seconds"), timings, ["p_partkey"]).select("p_partkey", "path", "seconds")
 
 
 @query(TIMED + "SELECT p_partkey, path FROM items WHERE p_partkey NOT IN (SELECT p_partkey FROM timings)")
@@ -199,7 +198,7 @@ def sampler(per_second: int):
             yield pd.DataFrame(
                 {
                     "shots": shots, "errors": shots // 7, "discards": shots % 5, "seconds": tasks["cost"] * 1.0,
-                    "decoder": tasks["decoder"], "strong_id": tasks["strong_id"], "json_metadata": "{}", "custom_counts": "{}",
+                    "decoder": tasks["decoder"], "strong_id": tasks["strong_id"], "json_metadata": "{}", "custom_counts": '{"runs":1}',
                 }
             )
 
@@ -225,14 +224,15 @@ def part_tasks(spark, sf_dir):
     rows AS (
       SELECT strong_id, s0 AS shots, e0 AS errors, 0 AS discards FROM prior WHERE has
       UNION ALL SELECT strong_id, s1, s1 // 7, s1 % 5 FROM new)
-    SELECT strong_id, CAST(sum(shots) AS BIGINT) AS shots, CAST(sum(errors) AS BIGINT) AS errors, CAST(sum(discards) AS BIGINT) AS discards
+    SELECT strong_id, CAST(sum(shots) AS BIGINT) AS shots, CAST(sum(errors) AS BIGINT) AS errors, CAST(sum(discards) AS BIGINT) AS discards,
+           '{"runs":' || CAST(count(*) AS VARCHAR) || '}' AS custom_counts
     FROM rows GROUP BY strong_id""")
 def resume_collection(spark, sf_dir):
     """Open tasks sampled by the function registered for their decoder, added to the counters on disk."""
     prior = table(spark, sf_dir, "part").filter("p_partkey % 4 <> 0").select(
         F.concat(F.lit("t"), F.col("p_partkey").cast("string")).alias("strong_id"),
         (F.col("p_partkey") % 101).alias("shots"), (F.col("p_partkey") % 13).alias("errors"), F.lit(0).cast("bigint").alias("discards"),
-        F.lit(0.0).alias("seconds"), F.lit("prior").alias("decoder"), F.lit("{}").alias("json_metadata"), F.lit("{}").alias("custom_counts"),
+        F.lit(0.0).alias("seconds"), F.lit("prior").alias("decoder"), F.lit("{}").alias("json_metadata"), F.lit('{"runs":1}').alias("custom_counts"),
     )
     totals = P.resume(part_tasks(spark, sf_dir), prior, {"fast": sampler(4), "slow": sampler(1)})
-    return totals.select("strong_id", "shots", "errors", "discards")
+    return totals.select("strong_id", "shots", "errors", "discards", F.to_json("custom_counts").alias("custom_counts"))

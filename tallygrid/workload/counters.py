@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallygrid.operators import checks, combine as C, compare, curves, grid, ledger, ordered, progress
+from tallygrid.session import materialize
 from tallygrid.workload import query
 from tallygrid.workload.views import (
     MAX_ERRORS, MAX_SHOTS, MIN_ERRORS, TOTALS_SQL, day_counts, fragment_sql, fragments, table, user_id_text,
@@ -107,11 +108,12 @@ def rows_per_id(spark, sf_dir):
     return C.rows_per_id(event_fragments(spark, sf_dir))
 
 
-@query(RUNS + """
+@query(fragment_sql(", CASE WHEN event_id % 2 = 0 THEN 'a' ELSE 'b' END AS run") + """
     SELECT strong_id, CAST(day AS VARCHAR) AS day, shots, errors, discards FROM fragments""")
 def union_concat(spark, sf_dir):
     """The fragments of two runs concatenated, equal ids kept apart."""
-    rows = two_runs(spark, sf_dir)
+    events = table(spark, sf_dir, "events").withColumn("run", F.when(F.col("event_id") % 2 == 0, "a").otherwise("b"))
+    rows = fragments(events, "run")
     both = C.union_fragments([rows.filter("run = 'a'"), rows.filter("run = 'b'")], aggregate=False)
     return both.select("strong_id", F.col("day").cast("string").alias("day"), "shots", "errors", "discards")
 
@@ -287,8 +289,9 @@ def sweep_curve(spark, sf_dir):
     ) + " FROM fragments GROUP BY p")
 def sweep_curve_table(spark, sf_dir):
     """The same as a table with one column per distance."""
-    series = [f"d{d}" for d in grid.DISTANCES]
-    wide = curves.curve_table(curves.sweep_curve(event_fragments(spark, sf_dir), "concat('d', d)", "p"), series)
+    points = materialize(curves.sweep_curve(event_fragments(spark, sf_dir), "concat('d', d)", "p"), "points")
+    series = sorted((r.series for r in points.select("series").distinct().collect()), key=lambda s: int(s[1:]))  # the distances of the sweep
+    wide = curves.curve_table(points, series)
     return wide.select("x", *[F.round(s, 6).alias(s) for s in series])
 
 
@@ -317,13 +320,13 @@ def sweep_end_points(spark, sf_dir):
 
 
 @query(FRAG + """,
-    cells AS (SELECT d, p, sum(shots) AS shots, count(*) AS n_rows FROM fragments WHERE user_id % 13 <> 0 GROUP BY ALL),
+    cells AS (SELECT d, p, sum(shots) AS shots, count(*) AS n_rows FROM fragments GROUP BY ALL),
     axes AS (SELECT * FROM (SELECT DISTINCT d FROM cells) CROSS JOIN (SELECT DISTINCT p FROM cells))
     SELECT d, p, CAST(coalesce(shots, 0) AS BIGINT) AS shots, CAST(coalesce(n_rows, 0) AS BIGINT) AS n_rows
     FROM axes LEFT JOIN cells USING (d, p)""")
 def grid_coverage(spark, sf_dir):
     """The parameter grid of the observed axis values, with the shots of each cell."""
-    return grid.grid_coverage(event_fragments(spark, sf_dir).filter("user_id % 13 <> 0"), "d", "p")
+    return grid.grid_coverage(event_fragments(spark, sf_dir), "d", "p")
 
 
 @query("""

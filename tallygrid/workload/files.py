@@ -84,17 +84,17 @@ SNAPSHOT_TOTALS = FRAG + """
     SELECT strong_id, CAST(sum(shots) AS BIGINT) AS shots, CAST(sum(errors) AS BIGINT) AS errors
     FROM fragments WHERE user_id % 7 <> 0 OR day(day) <= 20 GROUP BY strong_id"""
 
-# Days at which a cumulative snapshot is written.
-SNAPSHOT_DAYS = (10, 20, 30)
+# Days of the month at which a cumulative snapshot is written; the last covers every day.
+SNAPSHOT_DAYS = (10, 20, 31)
 
 
 def write_snapshots(spark, sf_dir):
     """Cumulative snapshots per batch; the last is final, but batch 0 stopped after the second."""
     rows = counter_rows(spark, sf_dir)
     seq = F.explode(F.array(*[F.lit(d) for d in SNAPSHOT_DAYS]))
-    snapshots = rows.select("*", seq.alias("seq")).filter("dayofmonth(day) <= seq and (batch_id <> 0 or seq < 30)")
+    snapshots = rows.select("*", seq.alias("seq")).filter("dayofmonth(day) <= seq and (batch_id <> 0 or seq < 31)")
     root = new_path(spark, "snapshots")
-    keyed = snapshots.withColumn("is_final", F.col("seq") == 30).select(*STATS_COLUMNS, "batch_id", "is_final", "seq")
+    keyed = snapshots.withColumn("is_final", F.col("seq") == 31).select(*STATS_COLUMNS, "batch_id", "is_final", "seq")
     writer = keyed.hint("rebalance", "batch_id", "seq").write.option("header", True).option("escape", '"')
     writer.partitionBy("batch_id", "is_final", "seq").csv(root)
     return root

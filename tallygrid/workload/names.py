@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tallygrid.functions import ids, layout as L, names as N
 from tallygrid.operators import detectors as D, grid, profile as P
+from tallygrid.session import broadcast_if_small
 from tallygrid.sources.catalogue import split_by_name
 from tallygrid.workload import query
 from tallygrid.workload.views import ROUNDS_SQL, rounds, table
@@ -125,8 +126,11 @@ def record_offsets(spark, sf_dir):
 
 
 def sequence_texts(spark, sf_dir):
+    """The texts of the different (K, p) cells are rendered once and joined to their parts."""
     part = rounds(table(spark, sf_dir, "part"))
-    return part.select(F.col("p_partkey").cast("string").alias("task_id"), "K", grid.sequence_text(F.col("K"), F.col("p")).alias("text"))
+    cells = part.select("K", "p").distinct()
+    texts = cells.select("K", "p", grid.sequence_text(F.col("K"), F.col("p")).alias("text"))
+    return part.join(broadcast_if_small(texts, derived=True), ["K", "p"]).select(F.col("p_partkey").cast("string").alias("task_id"), "K", "text")
 
 
 def text_sql() -> str:
