@@ -30,7 +30,7 @@ HEAD, CLASSES, HIDDEN, ROUNDS = 1022, 32, 12, 2
 # Words whose counts are sent to every task; the counts of the others are joined.
 TABLE = 1 << 18
 # Text that is trained on, or scored, side by side: with more of it, fewer steps run for a few long documents alone.
-CHUNK_BYTES, SCORE_BYTES = 6 << 20, 16 << 20
+CHUNK_BYTES, SCORE_BYTES = 6 << 20, 12 << 20
 # Parameters of one row when networks are averaged.
 BLOCK = 8192
 LN10 = float(np.log(10))
@@ -195,7 +195,7 @@ def fit(training: DataFrame, head: int = HEAD, classes: int = CLASSES, hidden: i
 
 
 def _score(shared):
-    names = ["doc_id", "id", "mark", "n_tokens", "n_known", "n_rare", "sum_log", "sum_log_other", "n_other", "log_model"]
+    names = ["doc_id", "id", "mark", "n_tokens", "n_known", "n_rare", "sum_log", "sum_log_other", "n_other", "log_model", "rare_h", "rare_n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         corpus: Corpus = shared.value
@@ -210,41 +210,31 @@ def _score(shared):
             logs = np.where(found, log_count[entry], 0.0)
             beyond = entry >= corpus.head
             add = lambda x, w=None: np.bincount(x, weights=w, minlength=n)
-            log_p = log_probs(net, ids, many)
-            begin = np.concatenate([[0], np.cumsum(many)[:-1]])
+            whole = [add(rows[found]), add(rows[~found])]
+            sums = [add(rows, logs), add(rows[beyond], logs[beyond])]
+            n_other = add(rows[~found | beyond])
+            rare = _rare(rows[~found], h[~found], n)
+            del rows, h, entry, found, beyond, logs
+            log_p = np.add.reduceat(log_probs(net, ids, many), np.cumsum(many) - many)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(_ids(batch)), pa.array(_marks(batch.column("text"))), pa.array(many.astype(np.int64))]
-                + [pa.array(x.astype(np.int64)) for x in (add(rows[found]), add(rows[~found]))]
-                + [pa.array(x.astype(float)) for x in (add(rows, logs), add(rows[beyond], logs[beyond]))]
-                + [pa.array(add(rows[(entry < 0) | beyond]).astype(np.int64)), pa.array(np.add.reduceat(log_p, begin))],
+                + [pa.array(x.astype(np.int64)) for x in whole]
+                + [pa.array(x.astype(float)) for x in sums]
+                + [pa.array(n_other.astype(np.int64)), pa.array(log_p), *rare],
                 names,
             )
 
     return run
 
 
-def _rare(shared):
-    """Words beyond the table: hash and times by document."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        corpus: Corpus = shared.value
-        table = Table(corpus.hashes)
-        for batch in chunks(batches, max_bytes=CHUNK_BYTES):
-            rows, h = _tokens(batch.column("text"))
-            rare = table.find(h) < 0
-            rows, h = rows[rare], h[rare]
-            if not len(h):
-                continue
-            order = np.lexsort((h, rows))
-            rows, h = rows[order], h[order]
-            first = np.flatnonzero(np.concatenate([[True], (rows[1:] != rows[:-1]) | (h[1:] != h[:-1])]))
-            times = np.diff(np.concatenate([first, [len(h)]]))
-            rows = rows[first]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(signed(h[first])), pa.array(_ids(batch)[rows]), pa.array(_marks(batch.column("text"))[rows]), pa.array(times.astype(np.int32))], ["h", "id", "mark", "times"]
-            )
-
-    return run
+def _rare(rows: np.ndarray, h: np.ndarray, n: int) -> list[pa.Array]:
+    """Words beyond the table: different hashes and their times, a list for each row."""
+    order = np.lexsort((h, rows))
+    rows, h = rows[order], h[order]
+    first = np.flatnonzero(np.concatenate([[True], (rows[1:] != rows[:-1]) | (h[1:] != h[:-1])])) if len(h) else np.zeros(0, np.int64)
+    times = np.diff(np.concatenate([first, [len(h)]]))
+    offsets = pa.array(np.searchsorted(rows[first], np.arange(n + 1)).astype(np.int32))
+    return [pa.ListArray.from_arrays(offsets, pa.array(signed(h[first]))), pa.ListArray.from_arrays(offsets, pa.array(times.astype(np.int32)))]
 
 
 def score(docs: DataFrame, corpus: Corpus, counts: DataFrame) -> DataFrame:
@@ -254,16 +244,18 @@ def score(docs: DataFrame, corpus: Corpus, counts: DataFrame) -> DataFrame:
     score is the network's log10 probability of the whole text, in which a word
     outside its vocabulary costs the probability of `other` times its smoothed share
     of the counts there. Null and empty texts are their end alone. Repeated rows are
-    scored each; a null doc_id is kept. No documents give no rows.
+    scored each; a null doc_id is kept. No documents give no rows. Runs a job: scores
+    and rare words of each document are a written table, which is read for both.
     """
     small_batches(docs)
     shared = docs.sparkSession.sparkContext.broadcast(corpus)
     source = docs.select("doc_id", "text")
     each = source.mapInArrow(
         _score(shared),
-        "doc_id long, id long, mark long, n_tokens long, n_known long, n_rare long, sum_log double, sum_log_other double, n_other long, log_model double",
+        "doc_id long, id long, mark long, n_tokens long, n_known long, n_rare long, sum_log double, sum_log_other double, n_other long, log_model double, rare_h array<long>, rare_n array<int>",
     )
-    rare = source.mapInArrow(_rare(shared), "h long, id long, mark long, times int")
+    each = materialize(each, "scored")
+    rare = each.select("id", "mark", F.inline(F.arrays_zip("rare_h", "rare_n"))).select(F.col("rare_h").alias("h"), "id", "mark", F.col("rare_n").alias("times"))
     met = rare.join(counts, "h", "left").withColumn("c", F.coalesce("n", F.lit(0)))
     of_rare = met.groupBy("id", "mark").agg(
         F.sum("times").alias("times"), F.sum(F.col("times") * F.log10(F.col("c") + 0.1)).alias("logs"), F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("known")
