@@ -29,6 +29,21 @@ def with_tasks(shots: DataFrame, tasks: DataFrame, derived: bool = False) -> Dat
     return shots.join(broadcast_if_small(tasks, derived=derived), "task_id", "left")
 
 
+def unpack_shots(shots: DataFrame, num_det: Column | int, num_obs: Column | int) -> DataFrame:
+    """Shots whose `det`, `obs` and `pred` are packed little-endian bytes, as bit vectors.
+
+    A prediction keeps all its bytes: one more than the observables need is the
+    decoder's sign that it gave up.
+    """
+    return shots.withColumns(
+        {
+            "det": B.unpack_bits(B.to_bytes(F.col("det")), num_det),
+            "obs": B.unpack_bits(B.to_bytes(F.col("obs")), num_obs),
+            "pred": B.unpack_bits(B.to_bytes(F.col("pred")), F.octet_length("pred") * 8),
+        }
+    )
+
+
 def join_predictions(shots: DataFrame, predictions: DataFrame) -> DataFrame:
     """Shots and predictions that are stored apart; the pair of keys is unique, so it has no hot value.
 

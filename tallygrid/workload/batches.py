@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tallygrid.functions.names import display_label
 from tallygrid.operators import balance as B
-from tallygrid.plans import collect as P
+from tallygrid.plans import collect as P, launch, merge as M
 from tallygrid.sinks.stats import write_batches
 from tallygrid.session import new_path
 from tallygrid.workload import query
@@ -236,3 +236,45 @@ def resume_collection(spark, sf_dir):
     )
     totals = P.resume(part_tasks(spark, sf_dir), prior, {"fast": sampler(4), "slow": sampler(1)})
     return totals.select("strong_id", "shots", "errors", "discards", F.to_json("custom_counts").alias("custom_counts"))
+
+
+@query("""
+    WITH tasks AS (SELECT 't' || CAST(p_partkey AS VARCHAR) AS strong_id, CASE WHEN p_partkey % 2 = 0 THEN 'fast' ELSE 'slow' END AS decoder,
+                          CAST(p_size AS BIGINT) AS cost, p_partkey FROM part),
+    prior AS (SELECT *, 2 * (p_partkey % 101) AS s0, 2 * (p_partkey % 13) AS e0 FROM tasks),
+    new AS (
+      SELECT *, least(100 - s0, cost * CASE WHEN decoder = 'fast' THEN 4 ELSE 1 END) AS s1 FROM prior WHERE NOT (s0 >= 100 OR e0 >= 12)),
+    rows AS (
+      SELECT strong_id, s0 AS shots, e0 AS errors, 2 AS runs FROM prior
+      UNION ALL SELECT strong_id, s1, s1 // 7, 1 FROM new)
+    SELECT strong_id, CAST(sum(shots) AS BIGINT) AS shots, CAST(sum(errors) AS BIGINT) AS errors,
+           '{"runs":' || CAST(CAST(sum(runs) AS BIGINT) AS VARCHAR) || '}' AS custom_counts
+    FROM rows GROUP BY strong_id""")
+def resume_merged(spark, sf_dir):
+    """The counters on disk are merged totals with a counter map."""
+    prior = table(spark, sf_dir, "part").select(
+        F.concat(F.lit("t"), F.col("p_partkey").cast("string")).alias("strong_id"),
+        (F.col("p_partkey") % 101).alias("shots"), (F.col("p_partkey") % 13).alias("errors"), F.lit(0).cast("bigint").alias("discards"),
+        F.lit(0.0).alias("seconds"), F.lit("prior").alias("decoder"), F.lit("{}").alias("json_metadata"), F.lit('{"runs":1}').alias("custom_counts"),
+    )
+    merged = M.merge(prior.unionByName(prior), with_counters=True)
+    totals = P.resume(part_tasks(spark, sf_dir), merged, {"fast": sampler(4), "slow": sampler(1)})
+    return totals.select("strong_id", "shots", "errors", F.to_json("custom_counts").alias("custom_counts"))
+
+
+@query(lpt_sql("""items AS (SELECT p_partkey, p_size % 5 + 1 AS K, (p_partkey % 5 + 1) / 10 AS p FROM part),
+    timings AS (SELECT o_orderkey % 5 + 1 AS K, (o_custkey % 5 + 1) / 10 AS p, CAST(max(o_orderkey % 997) AS DOUBLE) AS seconds FROM orders GROUP BY ALL),
+    candidates AS (SELECT p_partkey, seconds FROM items JOIN timings USING (K, p))""", "0", 4) + """
+    SELECT batch_id, CAST(count(*) AS BIGINT) AS n_items, sum(seconds) AS load FROM assigned GROUP BY batch_id""")
+def plan_by_cost(spark, sf_dir):
+    """Parts as experiments with K and p, their timings found by decimal rate, and batches of equal cost."""
+    part = table(spark, sf_dir, "part").select(
+        F.format_string("sweep/%06d", "p_partkey").alias("path"), (F.col("p_size") % 5 + 1).cast("int").alias("K"),
+        ((F.col("p_partkey") % 5 + 1) / 10 + 0.3 - 0.3).alias("p"),  # rates as they come out of arithmetic
+    )
+    orders = table(spark, sf_dir, "orders")
+    timings = orders.groupBy((F.col("o_orderkey") % 5 + 1).cast("int").alias("K"), ((F.col("o_custkey") % 5 + 1) / 10).alias("p")).agg(
+        F.max(F.col("o_orderkey") % 997).cast("double").alias("seconds")
+    )
+    assigned = launch.assign_by_cost(part, timings, 4).withColumn("g", F.lit(0))
+    return B.batch_loads(assigned, "seconds", 4, ["g"]).drop("g")

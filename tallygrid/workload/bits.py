@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tallygrid.functions import bits as B
 from tallygrid.operators import checks, combine as C, compare, detectors as D, grid, shots as S
+from tallygrid.plans import collect as P
 from tallygrid.session import broadcast_if_small
 from tallygrid.workload import query
 from tallygrid.workload.views import NUM_DET, NUM_OBS, SHOTS_SQL, shots, table, tasks
@@ -264,3 +265,84 @@ def shot_violations(spark, sf_dir):
     return checks.violations(
         rows.withColumn("pred", short), ["task_id", "shot_id"], checks.prediction_rules(F.lit(NUM_OBS), declared)
     )
+
+
+@query(WITH + """
+    SELECT task_id, shot_id, unnest(list_filter([
+        CASE WHEN label = 3 THEN 'unknown task' END,
+        CASE WHEN shot_id % 30 = 0 THEN 'no prediction' END,
+        CASE WHEN shot_id % 30 = 1 THEN 'too few predictions' END,
+        CASE WHEN shot_id % 30 = 2 THEN 'too many predictions' END], lambda x: x IS NOT NULL)) AS problem
+    FROM shots""")
+def prediction_violations(spark, sf_dir):
+    """Shots of an unknown task, and predictions that are missing, cut, or longer than one byte more."""
+    embeddings = table(spark, sf_dir, "embeddings")
+    rows, which = shots(embeddings), F.col("shot_id") % 30
+    long = F.concat("pred", F.array_repeat(F.lit(False), 20))
+    damaged = F.when(which == 0, None).when(which == 1, F.slice("pred", 1, NUM_OBS - 1)).when(which == 2, long).otherwise(F.col("pred"))
+    predictions = rows.select("task_id", "shot_id", damaged.alias("pred")).filter("pred IS NOT NULL")
+    joined = S.join_predictions(rows.drop("pred", "pred_discard"), predictions)
+    return S.shot_problems(joined, tasks(embeddings).filter("task_id <> '3'"))
+
+
+@query(WITH + CLASSIFIED)
+def packed_predictions(spark, sf_dir):
+    """F2, P10: shots whose vectors are packed bytes; a bit in the byte after the observables says that the decoder gave up."""
+    rows = task_shots(spark, sf_dir)
+    flag = F.when(F.col("pred_discard"), F.lit(4)).otherwise(F.lit(0))
+    packed = rows.select(
+        "task_id", "shot_id", "postselection_mask", "postselected_obs_mask",
+        B.to_binary(B.pack_bits(F.col("det"))).alias("det"), B.to_binary(B.pack_bits(F.col("obs"))).alias("obs"),
+        B.to_binary(F.concat(B.pack_bits(F.col("pred")), F.array(flag))).alias("pred"),
+    )
+    return S.classify_shots(S.unpack_shots(packed, NUM_DET, NUM_OBS))
+
+
+@query(WITH + """,
+    counted AS (
+      SELECT task_id, CASE WHEN label % 2 = 0 THEN 'decoder0' ELSE 'decoder1' END AS decoder,
+             CAST(count(*) AS BIGINT) AS shots, CAST(count(*) FILTER (WHERE discarded) AS BIGINT) AS discards,
+             CAST(count(*) FILTER (WHERE NOT discarded AND (m0 OR m1)) AS BIGINT) AS errors,
+             CAST(sum(len(det)) AS BIGINT) AS checked, CAST(sum(n_events) AS BIGINT) AS events
+      FROM labelled GROUP BY ALL),
+    combos AS (
+      SELECT task_id, 'obs_mistake_mask=' || CASE WHEN m0 THEN 'E' ELSE '_' END || CASE WHEN m1 THEN 'E' ELSE '_' END AS counter, count(*) AS n
+      FROM labelled WHERE NOT discarded AND (m0 OR m1) GROUP BY ALL),
+    named AS (
+      SELECT task_id, string_agg(',"' || counter || '":' || CAST(n AS VARCHAR), '' ORDER BY counter) AS more FROM combos GROUP BY task_id)
+    SELECT shots, errors, discards, CAST(0 AS DOUBLE) AS seconds, decoder, task_id AS strong_id, 'm' || task_id AS json_metadata,
+           '{"detection_events":' || CAST(events AS VARCHAR) || ',"detectors_checked":' || CAST(checked AS VARCHAR) || coalesce(more, '') || '}' AS custom_counts
+    FROM counted LEFT JOIN named USING (task_id)""")
+def collect_shot_table(spark, sf_dir):
+    """Counter records, with the columns of stats files, of shots that exist as a table."""
+    embeddings = table(spark, sf_dir, "embeddings")
+    described = tasks(embeddings).withColumn("json_metadata", F.concat(F.lit("m"), "task_id"))
+    return P.collect_shots(shots(embeddings), described).drop(S.CHECKED, S.EVENTS)
+
+
+@query("""
+    WITH t AS (SELECT p_partkey, CAST(p_partkey AS VARCHAR) AS task_id, p_size % 4 AS kind, p_size % 7 + 2 AS n FROM part)
+    SELECT task_id, CASE kind WHEN 0 THEN 'repeat blocks are not counted through' WHEN 1 THEN 'a measurement follows a detector' END AS problem,
+           CASE WHEN kind >= 2 THEN '0|' || CASE WHEN kind = 3 THEN '' ELSE CAST(n - 2 AS VARCHAR) END || '|' || CAST(n - 1 AS VARCHAR) END AS detectors,
+           CASE WHEN kind >= 2 THEN repeat('|', CAST(n AS INTEGER)) || '0' END AS observables
+    FROM t""")
+def detector_layout(spark, sf_dir):
+    """Detectors and observables keep the place of their id, empty ones included; text that cannot be read is flagged."""
+    part = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("task_id"), (F.col("p_size") % 4).alias("kind"), (F.col("p_size") % 7 + 2).cast("int").alias("n"))
+    rec = lambda back: F.concat(F.lit(" rec[-"), back.cast("string"), F.lit("]"))
+    lines = F.array(
+        F.concat(F.lit("M "), F.array_join(F.sequence(F.lit(0), F.col("n") - 1), " ")),
+        F.when(F.col("kind") == 0, F.lit("REPEAT 2 {")).otherwise(F.lit("")),
+        F.concat(F.lit("DETECTOR"), rec(F.col("n"))),
+        F.when(F.col("kind") == 1, F.lit("MR 0")).otherwise(F.lit("")),
+        F.concat(F.lit("DETECTOR"), F.when(F.col("kind") == 3, F.lit("")).otherwise(rec(F.lit(2)))),
+        F.concat(F.lit("DETECTOR"), rec(F.lit(1))),
+        F.concat(F.lit("OBSERVABLE_INCLUDE("), F.col("n").cast("string"), F.lit(")"), rec(F.col("n"))),
+    )
+    texts = part.withColumn("text", F.array_join(lines, "\n"))
+    flagged = D.unsupported_texts(texts)
+    good = texts.join(flagged, "task_id", "left_anti")
+    targets = D.parse_targets(good).join(good.select("task_id", "n"), "task_id")
+    show = lambda c: F.array_join(F.transform(c, lambda x: F.array_join(x, ",")), "|")
+    layout = D.task_targets(targets, F.col("n")).select("task_id", show("det_positions").alias("detectors"), show("obs_positions").alias("observables"))
+    return texts.select("task_id").join(flagged, "task_id", "left").join(layout, "task_id", "left")

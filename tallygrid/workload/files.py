@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tallygrid.functions import names as N
 from tallygrid.operators import grid, profile
-from tallygrid.plans import merge as M
+from tallygrid.plans import launch, merge as M
 from tallygrid.schema import STATS_COLUMNS
 from tallygrid.session import new_path
 from tallygrid.sinks.stats import counts_as_json, write_batches, write_stats
@@ -151,3 +151,51 @@ def catalogue_files(spark, sf_dir):
     good, _ = Cat.split_by_name(Cat.read_catalogue(spark, root, "txt"), folder_fields, ["K", "p"])
     keys = [N.meta_value("meta", "K", "bigint").alias("K"), N.meta_value("meta", "p", "double").alias("p")]
     return profile.profile(good.select(*keys, "text")).select("K", "p", "n_lines", "n_detectors", "t_count")
+
+
+@query(fragment_sql(", CASE WHEN event_id % 2 = 0 THEN 'run 1' ELSE 'run 2' END AS run") + """
+    SELECT strong_id, CAST(sum(shots) AS BIGINT) AS shots, CAST(sum(errors) AS BIGINT) AS errors, min(CASE WHEN user_id % 3 = 0 THEN 'null' ELSE json_metadata END) AS json_metadata
+    FROM fragments WHERE run = 'run 1' OR day(day) <= 20 GROUP BY strong_id""")
+def merge_runs(spark, sf_dir):
+    """Two runs with equal batch ids, the second without a final snapshot, folders with blanks, metadata that is JSON null."""
+    events = table(spark, sf_dir, "events").withColumn("run", F.when(F.col("event_id") % 2 == 0, "run 1").otherwise("run 2"))
+    rows = fragments(events, "run").withColumn("batch_id", F.col("user_id") % 7).withColumn("custom_counts", F.lit("{}"))
+    rows = rows.withColumn("json_metadata", F.when(F.col("user_id") % 3 == 0, "null").otherwise(F.col("json_metadata")))
+    seq = F.explode(F.array(*[F.lit(d) for d in SNAPSHOT_DAYS]))
+    snapshots = rows.select("*", seq.alias("seq")).filter("dayofmonth(day) <= seq and (run = 'run 1' or seq < 31)")
+    root = new_path(spark, "two runs")
+    keyed = snapshots.withColumn("is_final", F.col("seq") == 31).select(*STATS_COLUMNS, "run", "batch_id", "is_final", "seq")
+    keyed.hint("rebalance", "run", "batch_id", "seq").write.option("header", True).option("escape", '"').partitionBy("run", "batch_id", "is_final", "seq").csv(root)
+    return M.merge(S.read_latest(spark, root, S.partition_snapshot_key)).select("strong_id", "shots", "errors", "json_metadata")
+
+
+def part_files(spark, sf_dir):
+    """A catalogue of text files, one for each brand and size of the parts, in folders that are named like them."""
+    root = new_path(spark, "sweep")
+    cells = table(spark, sf_dir, "part").select("p_brand", "p_size").distinct()
+    cells.select("p_brand", "p_size", F.lit("M 0").alias("text")).write.partitionBy("p_brand", "p_size").text(root)
+    return root
+
+
+@query("""
+    WITH cells AS (SELECT DISTINCT p_brand, p_size FROM part),
+    n AS (SELECT CAST(ceil(count(*) / 6) AS BIGINT) AS n FROM cells),
+    robin AS (SELECT (row_number() OVER (ORDER BY p_brand, p_size) - 1) % (SELECT n FROM n) AS batch_id FROM cells)
+    SELECT 'b' || CAST(batch_id AS VARCHAR) AS batch_id, CAST(count(*) AS BIGINT) AS n_items FROM robin GROUP BY batch_id""")
+def plan_by_count(spark, sf_dir):
+    """Files of a catalogue dealt to batches of at most six, written to folders with a prefix and read back."""
+    root, out = part_files(spark, sf_dir), new_path(spark, "batches")
+    launch.plan_by_count(spark, root, "txt", out, per_batch=6, prefix="b")
+    return spark.read.schema("path string, text string, batch_id string").parquet(out).groupBy("batch_id").agg(F.count("*").alias("n_items"))
+
+
+@query("""
+    SELECT CAST(o_orderkey % 5 + 1 AS INTEGER) AS K, CAST(round(o_custkey / 1e6, 6) AS DOUBLE) AS p, max(o_totalprice) AS seconds
+    FROM orders GROUP BY ALL""")
+def timings_file(spark, sf_dir):
+    """A timing table from CSV files."""
+    path = new_path(spark, "timings")
+    rows = table(spark, sf_dir, "orders").select((F.col("o_orderkey") % 5 + 1).alias("K"), F.round(F.col("o_custkey") / 1e6, 6).alias("p"), F.col("o_totalprice").alias("seconds"))
+    # Rows of one key lie in one file, in order: the last one wins.
+    rows.repartition("K", "p").sortWithinPartitions("K", "p", "seconds").write.option("header", True).csv(path)
+    return Cat.read_timings(spark, path)
