@@ -16,7 +16,7 @@ from tallygrid.session import materialize
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -26,18 +26,22 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return tied.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
+def _is_forest_of_stars(edges: DataFrame) -> bool:
+    """Whether every node points to one node, which points to none."""
+    ends = edges.select("u", F.lit(1).alias("out"), F.lit(0).alias("into")).unionByName(edges.select(F.col("v").alias("u"), F.lit(0), F.lit(1)).toDF("u", "out", "into"))
+    nodes = ends.groupBy("u").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+    return nodes.filter("out > 1 OR (out = 1 AND into = 1)").isEmpty()
+
+
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """(id, component) for every id that has a link; component is the smallest id reachable.
 
     Self links and repeated links change nothing; rows with a null end are ignored.
     """
-    now = materialize(edges.select(F.col(a).alias("u"), F.col(b).alias("v")).filter("u != v").distinct(), "links")
-    state = None
+    now = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).filter("u != v").distinct()
     while True:
         now = materialize(_small_star(_large_star(now)), "stars")
-        new = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(new) == state or new[0] == 0:
+        if _is_forest_of_stars(now):
             break
-        state = tuple(new)
     roots = now.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
     return now.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(roots)

@@ -35,8 +35,9 @@ COORDINATES, ROWS_EACH, MATCHES = 40, 4, 3
 SLACK = 5.5
 # Sets of a block pair: outliers of a cluster against members.
 BLOCK_OUTLIERS, BLOCK_MEMBERS = 256, 1024
-# Star rounds end when one settles less than half of the pairs that were left, or after this many; the rest is compared in full.
-STAR_ROUNDS = 4
+# Another star round follows while comparing the outliers of all clusters with their clusters would take more pairs than this
+# for each posting, if the last round has halved them, and up to so many rounds.
+WORK_PER_POSTING, STAR_ROUNDS = 100, 4
 
 
 def shingle_sets(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -200,14 +201,11 @@ def _block_links(k: int, percent: int):
     return run
 
 
-def _links_inside(members: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+def _links_inside(members: DataFrame, sizes: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """Links between different parts of one cluster: sets outside its largest part against all, in blocks."""
-    sizes = members.groupBy("cluster", "part").agg(F.count(F.lit(1)).alias("c"))
-    each = sizes.groupBy("cluster").agg(F.sum("c").alias("size"), F.max(F.struct("c", "part")).alias("top"), F.count(F.lit(1)).alias("n_parts"))
-    each = each.filter("n_parts > 1").select("cluster", F.col("top.part").alias("top"), "size", (F.col("size") - F.col("top.c")).alias("n_out"))
-    own = members.join(each, "cluster").select("cluster", "rep", "part", "n", "top", F.ceil(F.col("size") / BLOCK_MEMBERS).alias("b"), F.ceil(F.col("n_out") / BLOCK_OUTLIERS).alias("o"))
+    own = members.join(broadcast_if_small(sizes), "cluster").select("cluster", "rep", "part", "n", "top", F.ceil(F.col("size") / BLOCK_MEMBERS).alias("b"), F.ceil(F.col("n_out") / BLOCK_OUTLIERS).alias("o"))
     own = materialize(own, "clustered")
-    with_text = own.join(texts, own["rep"] == texts["id"]).drop("id")
+    with_text = texts.join(broadcast_if_small(own), own["rep"] == texts["id"]).drop("id")
     place = F.xxhash64("rep", F.lit(1))
     out = with_text.filter("part != top").withColumn("i", F.pmod(place, F.col("o"))).withColumn("j", F.explode(F.expr("sequence(0L, b - 1)")))
     all_ = with_text.withColumn("j", F.pmod(place, F.col("b"))).withColumn("i", F.explode(F.expr("sequence(0L, o - 1)")))
@@ -263,33 +261,31 @@ def near_duplicates(
         met = pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "sig_a", "sig_b", "sketch_a", "sketch_b")
         return materialize(met.mapInArrow(_agreeing(matches, least_equal), "a long, b long").distinct(), "agreeing")
 
-    links = near = parts = clusters = before = None
+    sides = [reps.select(F.col("rep").alias(c), F.col("sig").alias(f"sig_{c}"), F.col("sketch").alias(f"sketch_{c}")) for c in "ab"]
+
+    def close(pairs: DataFrame) -> DataFrame:
+        met = pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "sig_a", "sig_b", "sketch_a", "sketch_b")
+        return materialize(met.mapInArrow(_agreeing(matches, least_equal), "a long, b long").distinct(), "agreeing")
+
+    parts, live = None, posted.withColumn("part", F.col("rep"))
+    near = links = before = None
     for turn in range(star_rounds if n_posted else 0):
-        live, left = _open(posted, parts, "part")
-        if not left or (before is not None and 2 * left > before):
-            break
-        before = left
-        found = close(materialize(_star(live, "part", turn, percent), "pairs"))
+        found = close(_star(live, "part", turn, percent))
         new = materialize(_links(found, texts, k, percent), "confirmed")
         near, links = (found, new) if near is None else (near.unionByName(found), links.unionByName(new))
-        parts = components(links, "a", "b")
-    if parts is not None and left:
-        # Clusters: what was close to the same members. More rounds join clusters that are close without a link.
-        clusters, before = components(near, "a", "b"), None
-        for turn in range(star_rounds, 2 * star_rounds):
-            live, left = _open(posted, clusters, "cluster")
-            if not left or (before is not None and 2 * left > before):
-                break
-            before = left
-            near = near.unionByName(close(materialize(_star(live, "cluster", turn, percent), "pairs")))
-            clusters = components(near, "a", "b")
-        members = posted.select("rep", "n").distinct()
-        members = _labelled(_labelled(members, parts, "part"), clusters, "cluster")
-        members = materialize(members.filter("cluster IS NOT NULL"), "members")
-        links = links.unionByName(materialize(_links_inside(members, texts, k, percent), "inside"))
-        live, left = _open(posted, clusters, "cluster")
-        if left:
-            pairs = materialize(_rare_pairs(live.select("rep", "n", "cluster").distinct(), texts, k, percent), "pairs")
+        parts, clusters = components(links, "a", "b"), components(near, "a", "b")
+        members = _labelled(_labelled(posted.select("rep", "n").distinct(), parts, "part"), clusters, "cluster")
+        members = materialize(members, "members")
+        sizes = materialize(_open_clusters(members), "clusters")
+        work = sizes.agg(F.sum(F.col("size") * F.col("n_out"))).first()[0] or 0
+        if work <= WORK_PER_POSTING * n_posted or (before is not None and 2 * work > before):
+            break
+        before, live = work, _labelled(posted, parts, "part")
+    if parts is not None:
+        links = links.unionByName(materialize(_links_inside(members, sizes, texts, k, percent), "inside"))
+        across = _open(posted, members)
+        if across is not None:
+            pairs = _rare_pairs(across, texts, k, percent)
             links = links.unionByName(materialize(_links(close(pairs), texts, k, percent), "confirmed"))
         parts = components(links, "a", "b")
 
@@ -309,21 +305,26 @@ def _labelled(rows: DataFrame, labels: DataFrame | None, name: str) -> DataFrame
     return rows.join(labels.select(F.col("id").alias("rep"), "component"), "rep", "left").withColumn(name, F.coalesce("component", "rep")).drop("component")
 
 
-def _open(posted: DataFrame, labels: DataFrame | None, name: str) -> tuple[DataFrame, int]:
-    """The postings of lists that hold different labels, and how many pairs of different labels those lists have."""
-    labelled = _labelled(posted, labels, name)
-    counts = labelled.groupBy("key", name).agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(F.sum("c").alias("s"), F.sum(F.col("c") * F.col("c")).alias("q"), F.count(F.lit(1)).alias("m"))
-    keys = materialize(counts.filter("m > 1").select("key", ((F.col("s") * F.col("s") - F.col("q")) / 2).alias("pairs")), "open")
-    left = keys.agg(F.sum("pairs")).first()[0] or 0
-    return materialize(labelled.join(keys.select("key"), "key", "left_semi"), "live"), left
+def _open_clusters(members: DataFrame) -> DataFrame:
+    """Clusters of several parts: their size, their largest part, and how many sets are outside of it."""
+    counts = members.groupBy("cluster", "part").agg(F.count(F.lit(1)).alias("c"))
+    each = counts.groupBy("cluster").agg(F.sum("c").alias("size"), F.max(F.struct("c", "part")).alias("top"), F.count(F.lit(1)).alias("n_parts"))
+    return each.filter("n_parts > 1").select("cluster", F.col("top.part").alias("top"), "size", (F.col("size") - F.col("top.c")).alias("n_out"))
+
+
+def _open(posted: DataFrame, members: DataFrame) -> DataFrame | None:
+    """Sets in lists that hold several clusters: (rep, n, cluster); None if there are none."""
+    labelled = posted.select("key", "rep", "n").join(members.select("rep", "cluster").distinct(), "rep")
+    keys = labelled.groupBy("key").agg(F.min("cluster").alias("low"), F.max("cluster").alias("high")).filter("low < high").select("key")
+    live = materialize(labelled.join(keys, "key", "left_semi").select("rep", "n", "cluster").distinct(), "live")
+    return None if live.isEmpty() else live
 
 
 def _star(live: DataFrame, name: str, turn: int, percent: int) -> DataFrame:
     """Each member of a list with one member of another label, which is another one in every round."""
     turned = F.lit(int(seeded(turn, 1)[0]) >> 1 if turn else 0)
-    centres = live.groupBy("key").agg(F.min(F.col("rep").bitwiseXOR(turned)).alias("c")).select("key", F.col("c").bitwiseXOR(turned).alias("centre"))
-    own = live.select("key", F.col("rep").alias("centre"), F.col(name).alias("centre_label"), F.col("n").alias("centre_n"))
-    centres = centres.join(own, ["key", "centre"]).dropDuplicates(["key"])
+    first = F.min(F.struct(F.col("rep").bitwiseXOR(turned).alias("place"), F.col("rep").alias("centre"), F.col(name).alias("centre_label"), F.col("n").alias("centre_n")))
+    centres = live.groupBy("key").agg(first.alias("c")).select("key", "c.centre", "c.centre_label", "c.centre_n")
     pairs = live.join(centres, "key").filter(F.col(name) != F.col("centre_label")).filter(_sizes("n", "centre_n", percent))
     return pairs.select(F.least("centre", "rep").alias("a"), F.greatest("centre", "rep").alias("b")).distinct()
 
