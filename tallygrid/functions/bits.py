@@ -44,6 +44,22 @@ def unpack_bits(byte_values: Column, count: Column | int) -> Column:
     )
 
 
+def unpack_binary(packed: Column, count: Column | int) -> Column:
+    """First `count` bits of a little-endian BINARY, seven bytes to a number; bits behind its end are NULL."""
+    n = F.lit(count) if isinstance(count, int) else count
+    text = F.hex(packed)
+    words = F.ceil(F.octet_length(packed) / 7).cast("int")
+    none = F.array().cast("array<bigint>")
+    numbers = F.when(
+        words > 0, F.transform(F.sequence(F.lit(0), words - 1), lambda w: F.conv(F.rpad(F.substring(text, w * 14 + 1, F.lit(14)), 14, "0"), 16, 10).cast("bigint"))
+    ).otherwise(F.when(packed.isNotNull(), none))
+    positions = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    # Byte b of a number is its b-th from the top.
+    bit = lambda i: (6 - F.floor(i % 56 / 8)).cast("int") * 8 + i % 8
+    inside = lambda i: i < F.octet_length(packed) * 8
+    return F.transform(positions, lambda i: F.when(inside(i), F.getbit(F.get(numbers, F.floor(i / 56).cast("int")), bit(i)) == 1))
+
+
 def popcount_bytes(byte_values: Column) -> Column:
     return F.aggregate(byte_values, F.lit(0).cast("bigint"), lambda acc, x: acc + F.bit_count(x))
 

@@ -37,9 +37,9 @@ def unpack_shots(shots: DataFrame, num_det: Column | int, num_obs: Column | int)
     """
     return shots.withColumns(
         {
-            "det": B.unpack_bits(B.to_bytes(F.col("det")), num_det),
-            "obs": B.unpack_bits(B.to_bytes(F.col("obs")), num_obs),
-            "pred": B.unpack_bits(B.to_bytes(F.col("pred")), F.octet_length("pred") * 8),
+            "det": B.unpack_binary(F.col("det"), num_det),
+            "obs": B.unpack_binary(F.col("obs"), num_obs),
+            "pred": B.unpack_binary(F.col("pred"), F.octet_length("pred") * 8),
         }
     )
 

@@ -121,7 +121,7 @@ def pack_bits(spark, sf_dir):
 def unpack_bits(spark, sf_dir):
     """Packed BINARY back to the first 60 bits."""
     packed = shots(table(spark, sf_dir, "embeddings")).select("shot_id", B.to_binary(B.pack_bits(F.col("det"))).alias("packed"))
-    bits = F.transform(B.unpack_bits(B.to_bytes(F.col("packed")), NUM_DET), lambda b: b.cast("int").cast("string"))
+    bits = F.transform(B.unpack_binary(F.col("packed"), NUM_DET), lambda b: b.cast("int").cast("string"))
     return packed.select("shot_id", F.array_join(bits, "").alias("bits"))
 
 

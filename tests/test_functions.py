@@ -64,6 +64,7 @@ def test_pack_and_unpack_are_inverse(spark, length):
     vector = [bool((i * i + length) % 3 == 0) for i in range(length)]
     packed = B.to_binary(B.pack_bits(bools(*vector)))
     assert value(spark, B.unpack_bits(B.to_bytes(packed), length)) == vector
+    assert value(spark, B.unpack_binary(packed, length)) == vector
     assert value(spark, F.octet_length(packed)) == math.ceil(length / 8)
     assert value(spark, B.popcount_bytes(B.pack_bits(bools(*vector)))) == sum(vector)
     assert value(spark, B.popcount(bools(*vector))) == sum(vector)
