@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tallygrid.llm import bpe, decontaminate, exact, language, neardup
 from tallygrid.llm.frames import fresh, keep_ids
+from tallygrid.llm.queries import table
 from tallygrid.session import materialize
 
 # Below this share of letters with the winning label no language is accepted.
@@ -62,7 +63,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over `documents`; what each returns is written to the shared folder and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for at, (_, stage) in enumerate(STAGES):
         docs = materialize(stage(spark, docs, sf_dir), f"stage-{at}")
     return docs

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallygrid.session import shared_dir
+
 Run = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Run] = {}
@@ -24,7 +28,27 @@ def query(sql: str | None = None) -> Callable[[Run], Run]:
     return register
 
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Give the package to the workers of a local session that was started somewhere else without PYTHONPATH.
+
+    On a cluster the package is installed or passed with --py-files.
+    """
+    known = [os.path.realpath(p or ".") for p in [*os.environ.get("PYTHONPATH", "").split(os.pathsep), "."]]
+    work = shared_dir(spark).removeprefix("file:")
+    if ROOT in known or not spark.sparkContext.master.startswith("local[") or not work.startswith("/"):
+        return
+    archive = os.path.join("/" + work.lstrip("/"), f"code-{spark.sparkContext.applicationId}.zip")
+    if not os.path.exists(archive):
+        os.makedirs(os.path.dirname(archive), exist_ok=True)
+        shutil.make_archive(archive.removesuffix(".zip"), "zip", ROOT, "tallygrid")
+        spark.sparkContext.addPyFile(archive)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_code(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
