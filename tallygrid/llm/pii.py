@@ -184,6 +184,7 @@ def _text(spans) -> Column:
 
 def span_digests(found: DataFrame) -> DataFrame:
     """Counts of the base matches by kind, their digest, and all spans as text."""
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)]
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)]
     every = F.sort_array(F.concat("base", "added"))
     return found.select("doc_id", *counts, F.sha2(_text(F.col("base")).cast("binary"), 256).alias("base_sha256"), _text(every).alias("spans"))
