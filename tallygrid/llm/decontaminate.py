@@ -174,14 +174,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: fl
     """
     small_batches(docs)
     spark = docs.sparkSession
-    items = benchmark.filter("item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("string").alias("item_id"), "text")
-    known = materialize(items.mapInArrow(_benchmark(window), "item_id string, size int, pos long, hash long, slots binary, n_windows long"), "windows")
+    items = benchmark.filter("item_id IS NOT NULL AND text IS NOT NULL").select("item_id", "text")
+    kind = benchmark.schema["item_id"].dataType.simpleString()
+    known = materialize(items.mapInArrow(_benchmark(window), f"item_id {kind}, size int, pos long, hash long, slots binary, n_windows long"), "windows")
     sizes = sorted(r[0] for r in known.select("size").distinct().collect())  # at most `window` of them
     shared = spark.sparkContext.broadcast(bitmap.build(known, "hash", filter_bits))
     near = docs.select("doc_id", "text").mapInArrow(_candidates(shared, sizes), "doc_id long, size int, pos long, hash long, slots binary")
     side = known.select("hash", "size", "item_id", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"))
     met = near.join(side, ["hash", "size"]).select("doc_id", "item_id", "pos", "item_pos", "slots", "item_slots")
-    met = materialize(met.mapInArrow(_pairs, "doc_id long, item_id string, pos long, item_pos long, pairs array<struct<i: long, d: long>>"), "met")
+    met = materialize(met.mapInArrow(_pairs, f"doc_id long, item_id {kind}, pos long, item_pos long, pairs array<struct<i: long, d: long>>"), "met")
 
     # The values that a document gives to an item's slots: each way the most frequent partner, then the smallest.
     votes = met.select("doc_id", "item_id", F.explode("pairs").alias("p")).groupBy("doc_id", "item_id", "p.i", "p.d").agg(F.count(F.lit(1)).alias("n"))
