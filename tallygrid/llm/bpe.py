@@ -28,7 +28,7 @@ from tallygrid.llm.frames import small_batches
 from tallygrid.llm.text import slices
 
 # Entries a worker keeps of words that it has already encoded (per generation), and of transducer states.
-PIECES, STATES = 500_000, 100_000
+PIECES, STATES = 150_000, 40_000
 # Above every rank.
 NEVER = 1 << 60
 

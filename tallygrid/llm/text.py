@@ -6,6 +6,8 @@ form feed and carriage return; a null text has no words.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,18 +39,31 @@ def seeded(seed: int, n: int) -> np.ndarray:
     return mix((np.arange(1, n + 1, dtype=np.uint64) + np.uint64(seed * 1_000_003 + 1)) * _M1)
 
 
+def release() -> None:
+    """Give freed memory back to the system: a Python worker lives on for the tasks of later stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", max_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The rows again, in slices of about max_bytes of text, so that arrays per byte stay small."""
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        ends = np.cumsum(lengths(batch.column(column)))
-        at = 0
-        while at < batch.num_rows:
-            before = ends[at - 1] if at else 0
-            to = max(at + 1, int(np.searchsorted(ends, before + max_bytes, "right")))
-            yield batch.slice(at, to - at)
-            at = to
+    try:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ends = np.cumsum(lengths(batch.column(column)))
+            at = 0
+            while at < batch.num_rows:
+                before = ends[at - 1] if at else 0
+                to = max(at + 1, int(np.searchsorted(ends, before + max_bytes, "right")))
+                yield batch.slice(at, to - at)
+                at = to
+    finally:
+        release()
 
 
 def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", max_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
