@@ -300,6 +300,7 @@ class Codec:
         # Ids of words at the start of a line and of words after a blank, and those of the generation before.
         self.bare, self.spaced = Recent(max_pieces // 4), Recent(max_pieces)
         self.newline = self._pieces("\n")
+        self.marks = {mark: self._pieces(mark) for mark in ".,;:!?"}
 
     def _pieces(self, text: str) -> bytes:
         """Each match of the pattern through the transducer."""
@@ -308,7 +309,11 @@ class Codec:
         return pack(f"<{len(ids)}I", *ids)
 
     def _missing(self, known: Recent, words: list[str], found: list, before: str) -> bool:
-        """Fill the gaps of `found`; False if a word has white space at an edge, where the pattern looks further."""
+        """Fill the gaps of `found`; False if a word has white space at an edge, where the pattern looks further.
+
+        A run of letters is one match of the pattern, and a mark after it another one.
+        """
+        encode, marks = self.transducer.encode, self.marks
         for k, ids in enumerate(found):
             if ids is None:
                 word = words[k]
@@ -316,7 +321,19 @@ class Codec:
                 if ids is None:
                     if not word or word[0].isspace() or word[-1].isspace():
                         return False
-                    ids = self._pieces(before + word)
+                    mark = marks.get(word[-1])
+                    stem = word[:-1] if mark else word
+                    if not stem.isalpha():
+                        ids = self._pieces(before + word)
+                    else:
+                        ids = (known.now.get(stem) or known.older.get(stem)) if mark else None
+                        if ids is None:
+                            whole = encode((before + stem).encode())
+                            ids = pack(f"<{len(whole)}I", *whole)
+                            if mark:
+                                known.put(stem, ids)
+                        if mark:
+                            ids += mark
                 known.put(word, ids)
                 found[k] = ids
         return True
