@@ -19,12 +19,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallygrid.llm.frames import small_batches
-from tallygrid.llm.text import LOWER, chunks, utf8
+from tallygrid.llm.text import LOWER, chunks, ranges, utf8
 
 UNKNOWN = "und"
 BUCKETS = 1 << 16
 # Log-odds that a switch of language has to make up for, and the most that one word can say against a language.
 SWITCH, WORD_LIMIT = 8.0, 12.0
+# Bytes of text whose trigrams are looked up at once: a row of numbers for each byte.
+SCORE_BYTES = 1 << 20
 # A language is a candidate for a script that at least this share of its words is written in.
 SCRIPT_SHARE = 0.001
 
@@ -70,7 +72,7 @@ def letter_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     solid = scripts > 0
     inner = (data & 0xC0) == 0x80
     if inner.any():
-        at = np.arange(len(data))
+        at = np.arange(len(data), dtype=np.int32)
         lead_at = np.maximum.accumulate(np.where(inner, 0, at))
         solid |= inner & (scripts[lead_at] > 0)
     byte = np.where(solid, data, 0x20).astype(np.uint32)
@@ -90,17 +92,14 @@ def letter_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total: dict[str, np.ndarray] = {}
-    for batch in chunks(batches):
+    for batch in chunks(batches, max_bytes=SCORE_BYTES):
         data, offsets = utf8(batch.column("text"))
         if not len(data):
             continue
         starts, ends, rows, script, buckets = letter_words(lowered(data), offsets)
         if not len(starts):
             continue
-        edges = np.zeros(len(data) + 1, np.int8)
-        edges[starts] += 1
-        edges[ends] -= 1
-        inside = np.cumsum(edges[:-1]) > 0
+        inside = _inside(len(data), starts, ends)
         langs, code = np.unique(np.array(batch.column("lang").to_pylist(), dtype=object).astype(str), return_inverse=True)
         of_byte = np.repeat(code, np.diff(offsets))
         for k, lang in enumerate(langs.tolist()):
@@ -112,6 +111,14 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(counts[at])], ["lang", "slot", "n"])
 
 
+def _inside(n: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Whether each byte belongs to a word."""
+    edges = np.zeros(n + 1, np.int8)
+    edges[starts] += 1
+    edges[ends] -= 1
+    return np.cumsum(edges[:-1], dtype=np.int8) > 0
+
+
 class Model:
     """Log probabilities of trigrams by language, and the languages of each script."""
 
@@ -175,29 +182,34 @@ def _has_letter(text: str | None) -> bool:
     return text is not None and any(c.isalpha() for c in text)
 
 
-def label_words(model: Model, texts: pa.Array, switch: float) -> tuple[np.ndarray, ...]:
-    """Start, end, row and label of each word, and whether a candidate language scored it."""
-    data, offsets = utf8(texts)
-    none = np.zeros(0, np.int64)
-    if not len(data) or not model.langs:
-        return none, none, none, none, none.astype(bool), offsets, data
+def _word_scores(model: Model, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Start, end and row of each word, its score by language, and whether a candidate language scored it."""
     starts, ends, rows, script, buckets = letter_words(lowered(data), offsets)
     if not len(starts):
-        return none, none, none, none, none.astype(bool), offsets, data
-    # Buckets between words are added to the word before them; they weigh the same as nothing.
+        return starts, ends, rows, np.zeros((0, len(model.langs)), np.float32), np.zeros(0, bool)
     per_byte = model.log_p[buckets]
-    gaps = np.ones(len(data) + 1, np.int8)
-    gaps[:] = 0
-    gaps[starts] += 1
-    gaps[ends] -= 1
-    per_byte[np.cumsum(gaps[:-1]) == 0] = 0
+    per_byte[~_inside(len(data), starts, ends)] = 0  # what lies between words is summed with the word before
     scores = np.add.reduceat(per_byte, starts, axis=0)
     allowed = model.candidates[script]
     known = allowed.any(axis=1)
     scores = np.where(allowed, scores, -np.inf)
     scores[~known] = 0
     scores -= scores.max(axis=1, keepdims=True)
-    scores = np.maximum(scores, -WORD_LIMIT).astype(np.float32)
+    return starts, ends, rows, np.maximum(scores, -WORD_LIMIT).astype(np.float32), known
+
+
+def label_words(model: Model, texts: pa.Array, switch: float) -> tuple[np.ndarray, ...]:
+    """Start, end, row and label of each word, whether a candidate language scored it, and the texts' offsets and bytes."""
+    data, offsets = utf8(texts)
+    none = np.zeros(0, np.int64)
+    parts = []
+    for a, b in ranges(texts, SCORE_BYTES) if model.langs else ():
+        base = offsets[a]
+        starts, ends, rows, scores, known = _word_scores(model, data[base : offsets[b]], offsets[a : b + 1] - base)
+        parts.append((starts + base, ends + base, rows + a, scores, known))
+    starts, ends, rows, scores, known = (np.concatenate(x) for x in zip(*parts)) if parts else (none, none, none, none, none.astype(bool))
+    if not len(starts):
+        return none, none, none, none, none.astype(bool), offsets, data
     first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
     many = np.diff(np.concatenate([first, [len(rows)]]))
     return starts, ends, rows, viterbi(scores, first, many, switch), known, offsets, data

@@ -53,19 +53,22 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", max_bytes: i
     """The rows again, in slices of about max_bytes of text, so that arrays per byte stay small."""
     try:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            ends = np.cumsum(lengths(batch.column(column)))
-            at = 0
-            while at < batch.num_rows:
-                before = ends[at - 1] if at else 0
-                to = max(at + 1, int(np.searchsorted(ends, before + max_bytes, "right")))
+            for at, to in ranges(batch.column(column), max_bytes):
                 yield batch.slice(at, to - at)
-                at = to
     finally:
         release()
 
 
+def ranges(texts: pa.Array, max_bytes: int) -> Iterator[tuple[int, int]]:
+    """First and last row (exclusive) of slices of about max_bytes."""
+    ends, at = np.cumsum(lengths(texts)), 0
+    while at < len(texts):
+        before = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, before + max_bytes, "right")))
+        yield at, to
+        at = to
+
+
 def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", max_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The rows again, small batches put together to about max_bytes of text and large ones sliced."""
     waiting, held = [], 0
