@@ -61,7 +61,10 @@ def split_hot(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> tuple
     """(rows of keys that fit in one task, rows of the others or None).
 
     There are at most `rows / hot_rows` hot keys, so their table is safe to broadcast.
+    Runs jobs: the rows are written first, so that what they come from runs once and
+    not for the counts, the small keys and the large ones.
     """
+    df = materialize(df, "rows")
     hot = materialize(df.groupBy(*keys).count().filter(F.col("count") > hot_rows).select(*keys), "hot")
     if hot.isEmpty():
         return df, None
@@ -73,7 +76,7 @@ def rank_within(df: DataFrame, groups: list[str], order: list[Column | str], nam
     """Add the 0-based rank of each row in its group; a group may be of any size.
 
     A group that fits in one task is ranked by a window; the rows of the larger
-    ones are ranked through the global order. `df` is read more than once.
+    ones are ranked through the global order.
     """
     cold, hot = split_hot(df, groups, hot_rows)
     ranked = cold.withColumn(name, F.row_number().over(Window.partitionBy(*groups).orderBy(*order)).cast("bigint") - 1)
@@ -91,7 +94,7 @@ def preceding_totals(
     """Add, for each value column, its sum over the earlier rows of the same key.
 
     A key that fits in one task is summed by a window; the larger ones are summed
-    slice by slice. `df` is read more than once.
+    slice by slice.
     """
     cold, hot = split_hot(df, [key], hot_rows)
     earlier = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)

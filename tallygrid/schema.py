@@ -56,31 +56,3 @@ SHOTS = T.StructType(
         T.StructField("pred_discard", T.BooleanType()),
     ]
 )
-
-MEASUREMENTS = T.StructType(
-    [
-        T.StructField("task_id", T.StringType()),
-        T.StructField("shot_id", T.LongType()),
-        T.StructField("idx", T.IntegerType()),
-        T.StructField("bit", T.IntegerType()),
-    ]
-)
-
-TARGETS = T.StructType(
-    [
-        T.StructField("task_id", T.StringType()),
-        T.StructField("kind", T.StringType()),
-        T.StructField("id", T.IntegerType()),
-        T.StructField("rec_offset", T.IntegerType()),
-    ]
-)
-
-RUNS = T.StructType(
-    [
-        T.StructField("run_id", T.StringType()),
-        T.StructField("instances", T.IntegerType()),
-        T.StructField("wall_seconds", T.DoubleType()),
-        T.StructField("compute_hours", T.DoubleType()),
-        T.StructField("cost", T.DoubleType()),
-    ]
-)
