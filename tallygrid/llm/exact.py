@@ -160,28 +160,17 @@ def groups(docs: DataFrame, table_bytes: int = TABLE_BYTES, fold_bytes: int = FO
         records, level = spilled.select("digest", "content", "points", "id", "n_rows", "clash"), level + 1
 
 
-def _digests(key_bytes: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            contents = [normalised(t) for t in batch.column("text").to_pylist()]
-            digests = [hashlib.sha256(c).digest() for c in contents]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([d[:key_bytes] for d in digests], pa.binary()), pa.array([d.hex() for d in digests], pa.string())],
-                ["doc_id", "digest", "text_sha256"],
-            )
-
-    return run
-
+def _digests(key_bytes: int, with_content: bool = False):
+    """Each row's id and digests, and its normalised content when asked for."""
 
-def _contents(key_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             contents = [normalised(t) for t in batch.column("text").to_pylist()]
             digests = [hashlib.sha256(c).digest() for c in contents]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([d[:key_bytes] for d in digests], pa.binary()), pa.array([d.hex() for d in digests], pa.string()), pa.array(contents, pa.binary())],
-                ["doc_id", "digest", "text_sha256", "content"],
-            )
+            columns = {"doc_id": batch.column("doc_id"), "digest": pa.array([d[:key_bytes] for d in digests], pa.binary()), "text_sha256": pa.array([d.hex() for d in digests], pa.string())}
+            if with_content:
+                columns["content"] = pa.array(contents, pa.binary())
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     return run
 
@@ -205,7 +194,7 @@ def exact_duplicates(docs: DataFrame, table_bytes: int = TABLE_BYTES, fold_bytes
     joined = plain.join(found.filter("NOT clash").drop("content"), "digest")
     clashing = found.filter("clash")
     if not clashing.isEmpty():
-        texts = source.mapInArrow(_contents(key_bytes), "doc_id long, digest binary, text_sha256 string, content binary")
+        texts = source.mapInArrow(_digests(key_bytes, with_content=True), "doc_id long, digest binary, text_sha256 string, content binary")
         joined = joined.unionByName(texts.join(clashing, ["digest", "content"]).drop("content"))
     keep = F.when(F.col("id") != NO_ID, F.col("id"))
     return joined.select("doc_id", keep.alias("keep_id"), F.col("n_rows").alias("group_size"), keep.eqNullSafe(F.col("doc_id")).alias("kept"), "text_sha256")
