@@ -8,7 +8,7 @@ from tallygrid.operators import checks, combine as C, compare, curves, grid, led
 from tallygrid.session import materialize
 from tallygrid.workload import query
 from tallygrid.workload.views import (
-    MAX_ERRORS, MAX_SHOTS, MIN_ERRORS, TOTALS_SQL, day_counts, fragment_sql, fragments, table, user_id_text,
+    MAX_ERRORS, MAX_SHOTS, MIN_ERRORS, TOTALS_SQL, day_counts, fragment_sql, fragments, table,
 )
 
 FRAG = fragment_sql()
