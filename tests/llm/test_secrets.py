@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from tallygrid.llm.secrets import candidates, dictionary, features, scan
+from tallygrid.llm.secrets import candidates, dictionary, features, label_by_name, scan
 
 RNG = random.Random(3)
 
@@ -58,3 +58,18 @@ def test_features_repeated_rows_and_empty_tables(docs):
     assert scan(docs([])).collect() == []
     only = scan(docs([(1, "x 1234567890123456 y")])).collect()
     assert [(r.secret, r.probability) for r in only] == [(True, None)]
+
+
+def test_assigned_values_of_any_length_are_candidates(docs):
+    rows = [(1, "password: hunter2"), (2, "the db_password = 'swordfish' here"), (3, 'pwd="two words!" end'), (4, "x?token=abc&key=de"), (5, "token ='q-1' and secret :=zz"), (6, "no name: hunter2")]
+    got = sorted((r.doc_id, r.word_no, r.candidate) for r in candidates(docs(rows)).collect())
+    assert got == [(1, 1, "hunter2"), (2, 3, "swordfish"), (3, 0, "two words!"), (4, 0, "abc"), (4, 0, "de"), (5, 1, "q-1"), (5, 4, "zz")]
+
+
+def test_a_bare_key_is_no_negative_and_a_quote_no_proof(docs):
+    rows = corpus() + [(300 + i, f"we found {key()} in the yard") for i in range(60)] + [(400 + i, f'the order "{RNG.randrange(10**15, 10**16)}" was sent') for i in range(60)]
+    frame = docs(rows)
+    labels = {r.doc_id: r.label for r in label_by_name(features(candidates(frame), dictionary(frame))).collect()}
+    assert all(labels[300 + i] is None and labels[400 + i] == 0.0 for i in range(60))
+    out = {r.doc_id: r.secret for r in scan(frame).collect()}
+    assert all(out[300 + i] for i in range(60)) and not any(out[400 + i] for i in range(60))
