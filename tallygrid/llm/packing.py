@@ -20,6 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallygrid.llm.bpe import codec, read_ranks
 from tallygrid.llm.frames import small_batches
 from tallygrid.llm.substrings import _marks
 from tallygrid.llm.text import slices
@@ -48,6 +49,26 @@ def text_of(ids: np.ndarray) -> str:
     return ids.astype(np.uint8).tobytes().decode()
 
 
+class TokenIds:
+    """A text's BPE ids as unsigned 32-bit integers, then the end; the end and the padding follow the vocabulary.
+
+    The vocabulary file is read by the worker that encodes first.
+    """
+
+    def __init__(self, path: str, pattern: str) -> None:
+        self.path, self.pattern = path, pattern
+        self.eos = max(read_ranks(path).values()) + 1
+        self.pad = self.eos + 1
+
+    def __call__(self, text: str) -> np.ndarray:
+        ids = np.frombuffer(codec(self.path, self.pattern).encode_bytes(text), "<u4")
+        return np.append(ids, np.uint32(self.eos))
+
+    def bytes_of(self, ids: np.ndarray) -> bytes:
+        """The text's bytes; padding and ends are skipped."""
+        return codec(self.path, self.pattern).decode_bytes(ids[ids < self.eos].tolist())
+
+
 class Room:
     """Rows by the room they have left, in a segment tree of counts."""
 
@@ -102,7 +123,7 @@ _KINDS = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.int32()),
 _SCHEMA = "pack_id long, n_tokens int, n_segments int, ids binary, cu_seqlens array<int>, position_resets array<int>, doc_ids array<long>, marks array<long>, pieces array<int>"
 
 
-def _pack(encode: Callable[[str], np.ndarray], capacity: int):
+def _pack(encode: Callable[[str], np.ndarray], capacity: int, pad: int):
     def rows(group: int, pieces: list[tuple]) -> Iterator[tuple]:
         """pieces: (length, doc_id, mark, number, ids)."""
         pieces.sort(key=lambda p: (-p[0], p[1] is None, p[1] or 0, p[2], p[3]))
@@ -111,7 +132,7 @@ def _pack(encode: Callable[[str], np.ndarray], capacity: int):
             content.setdefault(row, []).append(piece)
         for row, own in content.items():
             edges = np.concatenate([[0], np.cumsum([p[0] for p in own])]).tolist()
-            ids = np.full(capacity, PAD, own[0][4].dtype)
+            ids = np.full(capacity, pad, own[0][4].dtype)
             for a, p in zip(edges, own):
                 ids[a : a + p[0]] = p[4]
             packed = ids.astype(ids.dtype.newbyteorder("<")).tobytes()
@@ -135,21 +156,21 @@ def _pack(encode: Callable[[str], np.ndarray], capacity: int):
     return run
 
 
-def pack(docs: DataFrame, row_tokens: int = ROW_TOKENS, group_tokens: int = GROUP_TOKENS, encode: Callable[[str], np.ndarray] = byte_ids) -> DataFrame:
+def pack(docs: DataFrame, row_tokens: int = ROW_TOKENS, group_tokens: int = GROUP_TOKENS, encode: Callable[[str], np.ndarray] = byte_ids, pad: int = PAD) -> DataFrame:
     """One row per packed row: pack_id, n_tokens, n_segments, ids, cu_seqlens, position_resets, doc_ids, marks, pieces.
 
     segment k of a row is ids[cu_seqlens[k] : cu_seqlens[k + 1]], piece pieces[k] of
     document doc_ids[k]; marks tell rows that repeat a doc_id with another text apart.
     Null and empty texts are their end alone, so every document is in some row. Equal
     lengths are packed by doc_id, null last. `encode` gives a text's ids as numpy
-    integers and must give at least one. No documents give no rows. Runs one job to
+    integers and must give at least one; rows are padded with `pad`. No documents give no rows. Runs one job to
     learn the size of the texts.
     """
     small_batches(docs)
     n_bytes = docs.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
     n_groups = max(1, -(-int(n_bytes) // group_tokens))
     dealt = docs.select("doc_id", "text").repartition(n_groups, F.xxhash64("doc_id", "text"))
-    return dealt.mapInArrow(_pack(encode, row_tokens), _SCHEMA)
+    return dealt.mapInArrow(_pack(encode, row_tokens, pad), _SCHEMA)
 
 
 def write_packed(packed: DataFrame, path: str) -> None:
@@ -157,8 +178,13 @@ def write_packed(packed: DataFrame, path: str) -> None:
     packed.write.mode("overwrite").parquet(path)
 
 
-def unpack(packed: DataFrame, dtype: str = "<u2") -> DataFrame:
-    """(doc_id, mark, text) again, from byte ids: pieces are put together in order."""
+def byte_text(ids: np.ndarray) -> bytes:
+    """The bytes of byte ids; padding and ends are skipped."""
+    return (ids[ids >= FIRST_BYTE] - FIRST_BYTE).astype(np.uint8).tobytes()
+
+
+def unpack(packed: DataFrame, dtype: str = "<u2", decode: Callable[[np.ndarray], bytes] = byte_text) -> DataFrame:
+    """(doc_id, mark, text) again, by default from byte ids: pieces are put together in order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -168,7 +194,7 @@ def unpack(packed: DataFrame, dtype: str = "<u2") -> DataFrame:
                 ids += doc_ids
                 marks += own
                 numbers += order
-                pieces += [(row[a:b][row[a:b] >= FIRST_BYTE] - FIRST_BYTE).astype(np.uint8).tobytes() for a, b in zip(edges, edges[1:])]
+                pieces += [decode(row[a:b]) for a, b in zip(edges, edges[1:])]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(marks, pa.int64()), pa.array(numbers, pa.int32()), pa.array(pieces, pa.binary())], ["doc_id", "mark", "piece", "bytes"])
 
     parts = packed.mapInArrow(run, "doc_id long, mark long, piece int, bytes binary")

@@ -160,6 +160,16 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op4_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The packing of the ids of op2_byte_bpe; registered beside the ten in __spark_entry__."""
+    import public_tokenizers
+
+    from tallygrid.llm.packing import TokenIds, pack
+
+    encode = TokenIds(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    return pack(table(spark, sf_dir, "documents"), encode=encode, pad=encode.pad)
+
+
 @query()
 def op5_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallygrid.llm.secrets import scan

@@ -51,3 +51,24 @@ def test_nothing_is_lost(docs, row_tokens, group_tokens):
 def test_ids_of_bytes_and_empty_tables(docs):
     assert byte_ids("é").tolist() == [0xC3 + 3, 0xA9 + 3, EOS] and text_of(byte_ids("é日")) == "é日"
     assert pack(docs([])).collect() == []
+
+
+def test_registered_query_packs_the_ids_of_the_tokenizer(spark):
+    import os
+
+    import public_tokenizers
+
+    from __spark_entry__ import queries
+    from tallygrid.llm.packing import TokenIds
+    from tallygrid.llm.queries import table
+
+    sf_dir = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+    rows = table(spark, sf_dir, "documents").select("doc_id", "text").collect()
+    encode = TokenIds(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    packed = queries()["op4_token_packing"](spark, sf_dir).cache()
+    for r in packed.collect():
+        ids = np.frombuffer(r.ids, "<u4")
+        assert len(ids) == 8192 and (ids[r.n_tokens :] == encode.pad).all() and (ids[: r.n_tokens] <= encode.eos).all()
+    assert sum(r.n_tokens for r in packed.collect()) == sum(len(encode(r.text or "")) for r in rows)
+    back = unpack(packed, "<u4", encode.bytes_of).select("doc_id", "text").collect()
+    assert sorted((r.doc_id, r.text) for r in back) == sorted((r.doc_id, r.text or "") for r in rows)
