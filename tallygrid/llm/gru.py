@@ -15,8 +15,6 @@ import numpy as np
 END, OTHER = 0, 1
 
 F32 = np.float32
-# Tokens of a document that training keeps in one lane.
-SEGMENT = 512
 
 
 class Network:
@@ -185,17 +183,13 @@ class Trainer:
     def train(self, ids: np.ndarray, lengths: np.ndarray, n_lanes: int = 256, window: int = 16) -> None:
         """One pass over the documents, an update after each window of steps.
 
-        Long documents are dealt in segments, so that no lane outlasts the others and
-        an update never rests on a few texts alone.
+        A document stays in one lane, however long, and its state goes through all of
+        it. There are no more lanes than the longest document leaves full, so that an
+        update rests on as many texts as there can be.
         """
         if not len(ids):
             return
-        pieces = -(-lengths // SEGMENT)
-        last = np.cumsum(pieces) - 1
-        cut = np.full(int(pieces.sum()), SEGMENT)
-        cut[last] = lengths - (pieces - 1) * SEGMENT
-        lengths = cut
-        n_lanes = int(max(1, min(n_lanes, len(ids) // (2 * window))))
+        n_lanes = int(max(1, min(n_lanes, len(ids) // (2 * window), -(-len(ids) // lengths.max()))))
         lanes = Lanes(ids, lengths, n_lanes)
         self.scale = (n_lanes * window) ** -0.5
         h = np.zeros((lanes.active[0], self.net.hidden), F32)

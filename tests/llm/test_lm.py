@@ -111,3 +111,21 @@ def test_table_finds_all():
     ask = np.concatenate([words, rng.integers(0, 1 << 63, 1000).astype(np.uint64)])
     assert (table.find(ask)[: len(words)] == np.arange(len(words))).all() and (table.find(ask)[len(words) :] == -1).all()
     assert (Table(words[:0]).find(ask) == -1).all()
+
+
+def test_training_starts_anew_only_with_a_document():
+    lengths = np.array([1300, 40, 700, 5])
+    ids = np.random.default_rng(7).integers(1, 6, lengths.sum())
+    ids[np.cumsum(lengths) - 1] = END
+    trainer, seen = Trainer(Network(np.array([5, 3, 9, 7, 4, 2], float), 3, 4)), []
+    plain = trainer._window
+
+    def window(lanes, steps, h):
+        seen.append(lanes)
+        return plain(lanes, steps, h)
+
+    trainer._window = window
+    trainer.train(ids, lengths)
+    lanes = seen[0]
+    assert lanes.fresh.sum() == len(lengths) and (lanes.x == END).sum() == len(lengths)
+    assert (lanes.x[lanes.fresh] == END).all() and sorted(lanes.y) == sorted(ids)
