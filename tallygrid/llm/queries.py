@@ -175,3 +175,32 @@ def op5_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallygrid.llm.secrets import scan
 
     return scan(table(spark, sf_dir, "documents"))
+
+
+# One round: the nearest centroid of every vector, then the exact floor of the mean; an empty centroid stays.
+_ROUND = """
+    a{0} AS (SELECT vec_id, v, c, d FROM (
+        SELECT vec_id, v, c, d, row_number() OVER (PARTITION BY place_in ORDER BY d, c) AS place FROM (
+            SELECT place_in, vec_id, v, c, list_sum(list_transform(range(1, 65), lambda j: (v[j] - m[j]) * (v[j] - m[j])))::BIGINT AS d FROM x CROSS JOIN c{0}))
+        WHERE place = 1),
+    s{0} AS (SELECT c, j, sum(y)::BIGINT AS s, count(*) AS n FROM (SELECT c, unnest(v) AS y, unnest(range(1, 65)) AS j FROM a{0}) GROUP BY c, j),
+    f{0} AS (SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY j) AS m FROM s{0} GROUP BY c),
+    c{1} AS (SELECT c{0}.c, coalesce(f{0}.m, c{0}.m) AS m FROM c{0} LEFT JOIN f{0} ON f{0}.c = c{0}.c)"""
+
+
+@query(
+    sql="""
+    WITH x AS (SELECT row_number() OVER () AS place_in, vec_id, list_transform(embedding, lambda e: floor(64 * e::DOUBLE)::BIGINT) AS v FROM embeddings
+        WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: isfinite(e))) = 64),
+    c0 AS (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS c, v AS m FROM x QUALIFY c < 16),"""
+    + ",".join(_ROUND.format(n, n + 1) for n in range(4))
+    + """
+    SELECT vec_id, c::INTEGER AS cluster, d AS distance, (sum(d) OVER (PARTITION BY c))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia,
+        sha256(array_to_string(m, ',')) AS centroid_sha256
+    FROM a3 JOIN c3 USING (c)
+    """
+)
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallygrid.llm.centroids import cluster, with_inertia
+
+    return with_inertia(*cluster(table(spark, sf_dir, "embeddings")))
