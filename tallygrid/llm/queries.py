@@ -204,3 +204,36 @@ def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallygrid.llm.centroids import cluster, with_inertia
 
     return with_inertia(*cluster(table(spark, sf_dir, "embeddings")))
+
+
+@query(
+    sql="""
+    WITH p AS (
+        SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+    w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM p),
+    total AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY lang),
+    f AS (
+        SELECT lang, size, phrase, count(*) AS a FROM (
+            SELECT lang, size, array_to_string(ws[i : i + size - 1], ' ') AS phrase
+            FROM (SELECT lang, ws, size, unnest(range(1, len(ws) - size + 2)) AS i FROM w CROSS JOIN (SELECT unnest(range(1, 6)) AS size)))
+        GROUP BY ALL HAVING count(*) >= 100),
+    cand AS (SELECT *, string_split(phrase, ' ') AS ws FROM f WHERE size > 1),
+    cut AS (SELECT lang, phrase, ws, a, size, unnest(range(1, size)) AS k FROM cand),
+    scored AS (
+        SELECT cut.lang, cut.phrase, cut.a, k, x.a AS l, y.a AS r, n, ((1000::HUGEINT * cut.a * n) // (x.a::HUGEINT * y.a))::BIGINT AS score
+        FROM cut JOIN total USING (lang)
+        JOIN f x ON x.lang = cut.lang AND x.phrase = array_to_string(ws[1:k], ' ') JOIN f y ON y.lang = cut.lang AND y.phrase = array_to_string(ws[k + 1 : cut.size], ' ')),
+    best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+    inside AS (
+        SELECT DISTINCT lang, a, array_to_string(ws[i : i + many - 1], ' ') AS phrase
+        FROM (SELECT lang, a, ws, many, unnest(range(1, size - many + 2)) AS i FROM (SELECT *, unnest(range(2, size)) AS many FROM cand))),
+    ranked AS (
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+        FROM best ANTI JOIN inside USING (lang, a, phrase))
+    SELECT * FROM ranked WHERE rank <= 2000
+    """
+)
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallygrid.llm.phrases import collocations, first_of_each_lang
+
+    return first_of_each_lang(collocations(table(spark, sf_dir, "documents"))).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
