@@ -237,3 +237,12 @@ def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallygrid.llm.phrases import collocations, first_of_each_lang
 
     return first_of_each_lang(collocations(table(spark, sf_dir, "documents"))).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+@query()
+def op11_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from tallygrid.llm.pieces import encode_pieces
+
+    return encode_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))

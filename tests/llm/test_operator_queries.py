@@ -94,3 +94,15 @@ def test_scores(spark, rows):
     for r in out:
         assert (r.n_tokens, r.n_known, r.train_tokens) == want[r.doc_id][1:4] and r.base_score == pytest.approx(want[r.doc_id][4])
         assert r.held_out == (fold(r.doc_id, 10) == 0) and r.score < 0
+
+
+def test_pieces(spark, rows):
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    out = QUERIES["op11_piece_bpe"](spark, SF_DIR).collect()
+    assert sorted(r.doc_id for r in out) == sorted(rows)
+    for r in out:
+        ids = library.encode(rows[r.doc_id].text or "")
+        assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
+        assert r.decoded_sha256 == hashlib.sha256(library.decode(ids).encode()).hexdigest()
