@@ -33,6 +33,14 @@ def test_same_ids_and_texts_as_the_library(library, max_segments):
     assert own.unchecked == []
 
 
+def test_segments_together_as_one_by_one():
+    """Pairs of equal score, and segments of different lengths in one round."""
+    own, rng = Encoder(PATH).vocabulary, random.Random(5)
+    segments = ["".join(rng.choice("▁▁aeinotr.é日") for _ in range(rng.randrange(1, 33))) for _ in range(4000)]
+    assert own.merged_together(segments) == [own.ids(s) for s in segments]
+    assert own.ids_of(["", "𓀀x", "a" * 99, *segments[:9]]) == [own.ids(s) for s in ["", "𓀀x", "a" * 99, *segments[:9]]]
+
+
 def test_whole_texts_through_one_agenda(library):
     """A vocabulary whose pieces join across blanks is not cut into words."""
     own = Encoder(PATH)
@@ -51,7 +59,7 @@ def test_decoding_of_any_ids(library):
 
 def test_a_wrong_piece_is_found(library):
     own = Encoder(PATH)
-    own.vocabulary.order.pop("▁the")
+    own.vocabulary.digits[own.vocabulary.symbols.index("▁the")] = b"7"
     own.encode("the")
     with pytest.raises(ValueError, match="of the library"):
         own.check()
