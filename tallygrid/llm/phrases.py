@@ -8,18 +8,20 @@ n-grams of a chunk are hashed by a few numpy operations.
 Counting goes level by level. A phrase that occurs often enough has frequent parts, so
 level n posts the n-grams whose two (n-1)-grams passed, told by a bitmap of bounded
 size (what it lets through falsely costs rows, not results). Each task folds its
-fingerprints per chunk, with a count and a pointer to the first occurrence, and the
-shuffle adds them up.
-
-Fingerprints only choose. A last pass looks at the texts at all places whose
-fingerprint is frequent, tells words and n-grams apart by their bytes, and counts the
-phrases themselves: a collision falls into its phrases there, and only frequent
-phrases ever become strings.
+fingerprints per chunk, and the shuffle adds up the counts and keeps a pointer, the
+smallest document that holds the fingerprint.
+
+The pointers alone are then turned into text, so that only frequent phrases become
+strings, once each. A last pass holds every place with a frequent fingerprint against
+the phrase: a second fingerprint, with another word hash and base, has to be that of the
+materialised text. Fingerprints with a place that differs are collisions, and for
+these the texts at all their places are compared and counted as they are.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +45,8 @@ BREAK[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
 # Base of the polynomial and its inverse modulo 2^64.
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
+CHECK_BASE = 0xD6E8FEB86659FD93
+CHECK_INVERSE = pow(CHECK_BASE, -1, 1 << 64)
 
 # Bytes of text that are hashed at once.
 CHUNK_BYTES = 6 << 20
@@ -55,23 +59,32 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(factors)
 
 
+class Polynomial:
+    """Prefix sums of word values times powers of the base: the hash of any run of words from two entries."""
+
+    def __init__(self, values: np.ndarray, base: int, inverse: int) -> None:
+        n = len(values)
+        self.prefix = np.zeros(n + 1, np.uint64)
+        np.cumsum(values * _powers(base, n), out=self.prefix[1:])
+        self.back = _powers(inverse, n)
+
+    def of(self, at: np.ndarray, n: int) -> np.ndarray:
+        return (self.prefix[at + n] - self.prefix[at]) * self.back[at]
+
+
 class Grams:
-    """Words of a chunk of rows and the fingerprints of their n-grams."""
+    """Words of a chunk of rows and the fingerprints of their n-grams; fewer than 64 bits make them collide, for tests."""
 
-    def __init__(self, texts: pa.Array, langs: pa.Array) -> None:
+    def __init__(self, texts: pa.Array, langs: pa.Array, bits: int = 64) -> None:
         data, offsets = utf8(texts)
         self.data = LOWER[data]
         self.starts, self.ends, self.rows, self.pieces = _words(self.data, offsets)
-        self.names, self.lang = _coded(langs)
-        self.word_lang = self.lang[self.rows]
-        self.hashes = word_hashes(self.data, self.starts, self.ends)
-        value = mix(self.hashes)
-        n = len(value)
-        self.prefix = np.zeros(n + 1, np.uint64)
-        np.cumsum(value * _powers(BASE, n), out=self.prefix[1:])
-        self.back = _powers(INVERSE, n)
+        self.names, lang = _coded(langs)
+        self.word_lang = lang[self.rows]
         salt = np.array([hash_text(name) for name in self.names], np.uint64)
-        self.salt = salt[self.word_lang] if n else np.zeros(0, np.uint64)
+        self.salt = salt[self.word_lang] if len(self.rows) else np.zeros(0, np.uint64)
+        self.polynomial = Polynomial(mix(word_hashes(self.data, self.starts, self.ends)), BASE, INVERSE)
+        self.mask = np.uint64((1 << bits) - 1)
 
     def at(self, n: int) -> np.ndarray:
         """First words of all n-grams within pieces."""
@@ -82,8 +95,11 @@ class Grams:
 
     def prints(self, at: np.ndarray, n: int) -> np.ndarray:
         """Fingerprints of the n-grams that start at these words, different for each lang and length."""
-        poly = (self.prefix[at + n] - self.prefix[at]) * self.back[at]
-        return mix(poly ^ (self.salt[at] + np.uint64(n)))
+        return mix(mix(self.polynomial.of(at, n) ^ (self.salt[at] + np.uint64(n))) & self.mask)
+
+    def second(self) -> Polynomial:
+        """The polynomial of the second fingerprint."""
+        return Polynomial(mix(word_hashes(self.data, self.starts, self.ends, seed=77) + np.uint64(1)), CHECK_BASE, CHECK_INVERSE)
 
     def passing(self, n: int, passed: list[np.ndarray]) -> np.ndarray:
         """First words of the n-grams whose two (n-1)-grams are in the bitmap of that level."""
@@ -125,17 +141,6 @@ def _coded(langs: pa.Array) -> tuple[list[str], np.ndarray]:
     return coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
 
 
-def _pointers(batch: pa.RecordBatch, found: Grams, at: np.ndarray) -> pa.Array:
-    """Places as one number, doc_id * 2^32 + word of the document, as 128-bit decimals that order by both."""
-    ids = batch.column("doc_id").fill_null(NO_ID).to_numpy()
-    first = np.searchsorted(found.rows, np.arange(batch.num_rows))
-    rows = found.rows[at]
-    pair = np.empty((len(at), 2), np.int64)
-    pair[:, 0] = (ids[rows] << 32) | (at - first[rows])
-    pair[:, 1] = ids[rows] >> 32
-    return pa.Array.from_buffers(pa.decimal128(38, 0), len(at), [None, pa.py_buffer(pair)])
-
-
 def _by_id(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Chunks of rows in the order of their ids, so that a first occurrence in a chunk is that of the smallest id."""
     for batch in chunks(batches, max_bytes=CHUNK_BYTES):
@@ -143,91 +148,125 @@ def _by_id(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.take(pa.array(order))
 
 
-_COUNTED = "lang string, size int, fp long, n long, place decimal(38,0)"
-_NAMES = ["lang", "size", "fp", "n", "place"]
+def _ids(batch: pa.RecordBatch) -> np.ndarray:
+    return batch.column("doc_id").fill_null(NO_ID).to_numpy()
 
 
-def _count(n: int, shared):
-    """Fingerprints of level n with count and first place, folded per chunk; level 1 also counts all words of each lang (size 0)."""
+def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """One hash of two."""
+    return mix(a ^ mix(b.view(np.uint64) + np.uint64(0x632BE59BD9B4E019)))
+
+
+_COUNTED = "fp long, n long, doc long, lang string"
+_NAMES = ["fp", "n", "doc", "lang"]
+
+
+def _count(n: int, bits: int, shared):
+    """Fingerprints of level n with count and smallest document, folded per chunk; level 1 also counts all words of each lang."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         passed = [s.value for s in shared]
         for batch in _by_id(batches):
-            found = Grams(batch.column("text"), batch.column("lang"))
-            names = pa.array(found.names, pa.string())
+            found = Grams(batch.column("text"), batch.column("lang"), bits)
             at = found.passing(n, passed)
             if len(at):
                 prints, first, many = np.unique(found.prints(at, n), return_index=True, return_counts=True)
-                at = at[first]
-                size = pa.array(np.full(len(at), n, np.int32))
-                yield pa.RecordBatch.from_arrays([names.take(pa.array(found.word_lang[at])), size, pa.array(signed(prints)), pa.array(many), _pointers(batch, found, at)], _NAMES)
+                docs = _ids(batch)[found.rows[at[first]]]
+                yield pa.RecordBatch.from_arrays([pa.array(signed(prints)), pa.array(many), pa.array(docs), pa.nulls(len(many), pa.string())], _NAMES)
             if n == 1 and len(found.names):
                 many = np.bincount(found.word_lang, minlength=len(found.names))
-                zero = np.zeros(len(many), np.int64)
-                yield pa.RecordBatch.from_arrays([names, pa.array(zero.astype(np.int32)), pa.array(zero), pa.array(many), pa.nulls(len(many), pa.decimal128(38, 0))], _NAMES)
+                zero = pa.array(np.zeros(len(many), np.int64))
+                yield pa.RecordBatch.from_arrays([zero, pa.array(many), zero, pa.array(found.names, pa.string())], _NAMES)
 
     return run
 
 
-def same_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Whether two byte ranges of equal size hold the same bytes, eight at a time."""
-    padded = np.concatenate([data, np.zeros(8, np.uint8)])
-    eights = np.ndarray((len(data) + 1,), "<u8", padded.data, strides=(1,))
-    out, live = np.ones(len(a), bool), np.arange(len(a))
-    a, b, left = a.copy(), b.copy(), size.copy()
-    while len(live):
-        drop = (8 * (8 - np.minimum(left, 8))).astype(np.uint64)  # bits behind the range
-        same = ((eights[a] ^ eights[b]) << drop) == 0
-        out[live[~same]] = False
-        go = same & (left > 8)
-        live, a, b, left = live[go], a[go] + 8, b[go] + 8, left[go] - 8
-    return out
+def _pairs_of(column: str):
+    """The hash of fp and another column of a table."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pair = _pair(batch.column("fp").to_numpy().view(np.uint64), batch.column(column).to_numpy())
+            yield pa.RecordBatch.from_arrays([pa.array(signed(pair))], ["h"])
+
+    return run
 
 
-def _word_codes(found: Grams) -> np.ndarray:
-    """A number for each word, equal exactly where the bytes are."""
-    _, first, codes = np.unique(found.hashes, return_index=True, return_inverse=True)
-    model = first[codes]
-    size = found.ends - found.starts
-    same = size == size[model]
-    same[same] = same_bytes(found.data, found.starts[same], found.starts[model][same], size[same])
-    extra: dict[tuple, int] = {}
-    for k in np.flatnonzero(~same).tolist():  # words that share a hash with another one
-        word = (found.word_lang[k], found.data[found.starts[k] : found.ends[k]].tobytes())
-        codes[k] = extra.setdefault(word, len(first) + len(extra))
-    return codes.astype(np.int64)
+_TEXTS = "fp long, doc long, word long, lang string, size int, phrase string, check long"
 
 
-def _phrases(longest: int, shared):
-    """The phrases themselves at all places with a frequent fingerprint, with count and first place, folded per chunk."""
+def _materialised(bits: int, shared, pointers):
+    """The phrases at the pointers: the first place in its document of every frequent fingerprint."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        passed = [s.value for s in shared]
+        passed, wanted = [s.value for s in shared], pointers.value
         for batch in _by_id(batches):
-            found = Grams(batch.column("text"), batch.column("lang"))
-            if not len(found.starts):
-                continue
-            names = pa.array(found.names, pa.string())
-            word = _word_codes(found)
-            # Words of two langs are two phrases: the lang is part of the first code.
-            code, space = word * len(found.names) + found.word_lang, int(word.max()) + 1
-            for n in range(1, min(longest, len(passed)) + 1):
+            found = Grams(batch.column("text"), batch.column("lang"), bits)
+            ids, second, names = _ids(batch), None, pa.array(found.names, pa.string())
+            begin = np.searchsorted(found.rows, np.arange(batch.num_rows))
+            for n in range(1, len(passed) + 1):
                 at = found.at(n)
-                at = at[bitmap.has(passed[n - 1], found.prints(at, n))]
-                if n > 1:  # a place without a code passed falsely
-                    at = at[code[at] >= 0]
+                prints = found.prints(at, n)
+                keep = bitmap.has(passed[n - 1], prints)
+                at, prints = at[keep], prints[keep]
+                pair = _pair(prints, ids[found.rows[at]])
+                keep = bitmap.has(wanted, pair)
+                _, first = np.unique(pair[keep], return_index=True)
+                at, prints = at[keep][first], prints[keep][first]
                 if not len(at):
-                    break
-                if n > 1:  # the code of the first n-1 words and the last word are a pair of numbers below 2^31
-                    _, first, inverse, many = np.unique(code[at] * space + word[at + n - 1], return_index=True, return_inverse=True, return_counts=True)
-                else:
-                    _, first, inverse, many = np.unique(code[at], return_index=True, return_inverse=True, return_counts=True)
-                code = np.full(len(word), -1, np.int64)
-                code[at] = inverse
-                at = at[first]
+                    continue
+                second = second or found.second()
+                rows = found.rows[at]
+                columns = [signed(prints), ids[rows], at - begin[rows]]
                 size = pa.array(np.full(len(at), n, np.int32))
                 texts = pa.array(_texts(found, at, n), pa.string())
-                yield pa.RecordBatch.from_arrays([names.take(pa.array(found.word_lang[at])), size, texts, pa.array(many), _pointers(batch, found, at)], ["lang", "size", "phrase", "n", "place"])
+                lang = names.take(pa.array(found.word_lang[at]))
+                yield pa.RecordBatch.from_arrays([*map(pa.array, columns), lang, size, texts, pa.array(signed(second.of(at, n)))], _TEXTS.replace(",", "").split()[::2])
+
+    return run
+
+
+def _differing(bits: int, shared, pairs):
+    """Fingerprints of places that passed as frequent but whose second fingerprint is not that of the phrase."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        passed, known = [s.value for s in shared], pairs.value
+        for batch in _by_id(batches):
+            found = Grams(batch.column("text"), batch.column("lang"), bits)
+            second = found.second()
+            for n in range(1, len(passed) + 1):
+                at = found.passing(n, passed)
+                prints = found.prints(at, n)
+                keep = bitmap.has(passed[n - 1], prints)
+                at, prints = at[keep], prints[keep]
+                strange = ~bitmap.has(known, _pair(prints, signed(second.of(at, n))))
+                yield pa.RecordBatch.from_arrays([pa.array(signed(np.unique(prints[strange])))], ["fp"])
+
+    return run
+
+
+def _compared(bits: int, longest: int, collided):
+    """All phrases whose fingerprint collides, as texts, with count and first place, folded per chunk."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _by_id(batches):
+            found = Grams(batch.column("text"), batch.column("lang"), bits)
+            ids, counts, places = _ids(batch), {}, {}
+            begin = np.searchsorted(found.rows, np.arange(batch.num_rows))
+            for n in range(1, longest + 1):
+                at = found.at(n)
+                prints = found.prints(at, n)
+                keep = bitmap.has(collided.value, prints)
+                at, rows = at[keep], found.rows[at[keep]]
+                for fp, lang, text, doc, word in zip(signed(prints[keep]).tolist(), found.word_lang[at].tolist(), _texts(found, at, n), ids[rows].tolist(), (at - begin[rows]).tolist()):
+                    key = fp, lang, n, text
+                    counts[key] = counts.get(key, 0) + 1
+                    places.setdefault(key, (doc, word))
+            if counts:
+                fp, lang, size, text = zip(*counts)
+                doc, word = zip(*places.values())
+                columns = [pa.array(fp, pa.int64()), pa.array([found.names[k] for k in lang], pa.string()), pa.array(size, pa.int32()), pa.array(text, pa.string())]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(list(counts.values()), pa.int64()), pa.array(doc, pa.int64()), pa.array(word, pa.int64())], ["fp", "lang", "size", "phrase", "n", "doc", "word"])
 
     return run
 
@@ -248,46 +287,61 @@ def _texts(found: Grams, at: np.ndarray, n: int) -> list[str]:
     return out
 
 
-def frequent_phrases(docs: DataFrame, longest: int = LONGEST, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
+def _shared_bitmap(hashes: DataFrame, column: str):
+    return hashes.sparkSession.sparkContext.broadcast(bitmap.build(hashes, column, bitmap.bits_for(hashes.count())))
+
+
+def frequent_phrases(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, bits: int = 64) -> tuple[DataFrame, DataFrame]:
     """(lang, size, phrase, f, first_doc, first_word) of the phrases of 1 to `longest` words that occur at least
     `least` times in a lang, and (lang, n): all its words.
 
     Whole texts; A-Z are lower-cased; null and empty texts have no words; a null lang is
     `und`. All rows count, also those that repeat a doc_id. first_doc is the smallest
     doc_id that holds the phrase (null: after all others) and first_word a place in it,
-    the first one unless rows repeat that id; no documents give no rows. Runs jobs; each level's frequent fingerprints and the
-    phrases are written tables.
+    the first one unless rows repeat that id; no documents give no rows. Runs jobs; each
+    level's frequent fingerprints and the phrases are written tables.
     """
     small_batches(docs)
-    context = docs.sparkSession.sparkContext
     source = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
-    shared, words = [], None
+    shared, levels, words = [], [], None
     for n in range(1, longest + 1):
-        posted = source.mapInArrow(_count(n, list(shared)), _COUNTED)
-        summed = posted.groupBy("lang", "size", "fp").agg(F.sum("n").alias("a"), F.min("place").alias("place"))
-        kept = materialize(summed.filter((F.col("a") >= least) | (F.col("size") == 0)), f"prints-{n}")
+        posted = source.mapInArrow(_count(n, bits, list(shared)), _COUNTED)
+        summed = posted.groupBy("fp", "lang").agg(F.sum("n").alias("a"), F.min("doc").alias("doc"))
+        table = materialize(summed.filter((F.col("a") >= least) | F.col("lang").isNotNull()), f"prints-{n}")
         if n == 1:
-            words = kept.filter("size = 0").select("lang", F.col("a").alias("n"))
-        kept = kept.filter(F.col("size") == n)
-        many = kept.count()
-        if not many:
+            words = table.filter("lang IS NOT NULL").select("lang", F.col("a").alias("n"))
+        kept = table.filter("lang IS NULL").select("fp", "a", "doc")
+        if kept.isEmpty():
             break
-        shared.append(context.broadcast(bitmap.build(kept, "fp", bitmap.bits_for(many))))
-    texts = source.mapInArrow(_phrases(longest, shared), "lang string, size int, phrase string, n long, place decimal(38,0)")
-    summed = texts.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("f"), F.min("place").alias("place")).filter(F.col("f") >= least)
-    word = F.pmod("place", F.lit(1 << 32).cast("decimal(38,0)"))
-    doc = F.call_function("div", F.col("place") - word, F.lit(1 << 32).cast("decimal(38,0)"))
-    out = materialize(summed.select("lang", "size", "phrase", "f", F.nullif(doc, F.lit(NO_ID)).alias("first_doc"), word.cast("long").alias("first_word")), "phrases")
-    for one in shared:
+        levels.append(kept)
+        shared.append(_shared_bitmap(kept, "fp"))
+    counted = reduce(DataFrame.unionByName, levels) if levels else table.limit(0).select("fp", "a", "doc")
+    # The text of each pointer, once.
+    pointers = _shared_bitmap(counted.mapInArrow(_pairs_of("doc"), "h long"), "h")
+    texts = source.mapInArrow(_materialised(bits, shared, pointers), _TEXTS).join(counted, ["fp", "doc"])
+    first = texts.groupBy("fp", "doc", "a").agg(F.min(F.struct("word", "lang", "size", "phrase", "check")).alias("at"))
+    phrases = materialize(first.select("fp", "doc", "a", "at.*"), "phrases")
+    # Fingerprints with another text somewhere; what only passed a bitmap falsely is none of the counted.
+    pairs = _shared_bitmap(phrases.mapInArrow(_pairs_of("check"), "h long"), "h")
+    strange = source.mapInArrow(_differing(bits, shared, pairs), "fp long").distinct()
+    collided = materialize(strange.join(counted.select("fp"), "fp", "left_semi"), "collided")
+    columns = ["lang", "size", "phrase", F.col("a").alias("f"), F.nullif("doc", F.lit(NO_ID)).alias("first_doc"), F.col("word").alias("first_word")]
+    out = phrases.select("fp", *columns)
+    if not collided.isEmpty():
+        compared = source.mapInArrow(_compared(bits, longest, _shared_bitmap(collided, "fp")), "fp long, lang string, size int, phrase string, n long, doc long, word long")
+        exact = compared.join(collided, "fp", "left_semi").groupBy("fp", "lang", "size", "phrase").agg(F.sum("n").alias("a"), F.min(F.struct("doc", "word")).alias("at"))
+        exact = materialize(exact.filter(F.col("a") >= least).select("fp", "lang", "size", "phrase", "a", "at.*"), "compared")
+        out = out.join(collided, "fp", "left_anti").unionByName(exact.select("fp", *columns))
+    for one in (*shared, pointers, pairs):
         one.unpersist()
-    return out, words
+    return out.drop("fp"), words
 
 
 def _part(first: Column, many: Column) -> Column:
     return F.array_join(F.slice("words", first, many), " ")
 
 
-def collocations(docs: DataFrame, longest: int = LONGEST, least: int = LEAST) -> DataFrame:
+def collocations(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, bits: int = 64) -> DataFrame:
     """(lang, phrase, size, a, l, r, n, score, first_doc, first_word) of the phrases that stay: the score is that of the lowest cut.
 
     A phrase of 2 words or more with count a is cut after each of its words; a cut has
@@ -295,7 +349,7 @@ def collocations(docs: DataFrame, longest: int = LONGEST, least: int = LEAST) ->
     if a longer one that contains it is as frequent. Arithmetic is that of whole
     decimals, exact for counts up to 10^16. Inputs as in `frequent_phrases`.
     """
-    phrases, words = frequent_phrases(docs, longest, least)
+    phrases, words = frequent_phrases(docs, longest, least, bits)
     candidates = phrases.filter("size > 1").withColumn("words", F.split("phrase", " "))
     counts = phrases.select("lang", "phrase", "f")
     cuts = candidates.select("lang", "phrase", "size", F.col("f").alias("a"), "first_doc", "first_word", "words", F.explode(F.sequence(F.lit(1), F.col("size") - 1)).alias("k"))

@@ -2,8 +2,6 @@ import random
 import re
 from collections import Counter
 
-import numpy as np
-import pyarrow as pa
 import pytest
 
 from tallygrid.llm import phrases as P
@@ -58,8 +56,7 @@ def some_rows(seed, vocabulary, n=60):
 
 
 @pytest.mark.parametrize("longest, least, vocabulary", [(5, 3, "a b c d e ab".split()), (3, 2, ["ä", "日本", "A", "b", "élan", "w" * 30]), (2, 10, "x y z".split()), (5, 4, "one two three".split())])
-def test_same_as_dictionaries(texts, monkeypatch, longest, least, vocabulary):
-    monkeypatch.setattr(P, "CHUNK_BYTES", 900)
+def test_same_as_dictionaries(texts, longest, least, vocabulary):
     rows = some_rows(longest, vocabulary)
     out = P.collocations(texts(rows).repartition(4), longest, least).collect()
     want = plain(rows, longest, least)
@@ -69,28 +66,13 @@ def test_same_as_dictionaries(texts, monkeypatch, longest, least, vocabulary):
         assert (r.first_doc is None, r.first_doc or 0, r.first_word) in places and (r.first_doc is None, r.first_doc or 0) == min(p[:2] for p in places)
 
 
-def test_colliding_fingerprints_and_word_hashes_are_told_apart(texts, monkeypatch):
-    """With fingerprints and word hashes of three bits almost all phrases collide."""
-    real, hashed = P.Grams.prints, P.word_hashes
-    monkeypatch.setattr(P.Grams, "prints", lambda self, at, n: real(self, at, n) & np.uint64(7))
-    monkeypatch.setattr(P, "word_hashes", lambda *a, **b: hashed(*a, **b) & np.uint64(7))
-    rows = some_rows(9, "a b c d e ab abcdefghi abcdefghj".split(), 30)
-
-    class Known:  # a bitmap that lets all through
-        value = np.full(1 << 11, 0xFFFFFFFF, np.uint32)
-
-    batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows]), pa.array([r[2] for r in rows])], ["doc_id", "text", "lang"])
-    got = Counter()
-    for out in P._phrases(3, [Known] * 3)(iter([batch])):
-        for lang, size, phrase, n in zip(*[out.column(c).to_pylist() for c in ("lang", "size", "phrase", "n")]):
-            assert len(phrase.split(" ")) == size
-            got[lang, phrase] += n
-    want = Counter()
-    for _, text, lang in rows:
-        for piece in re.split(r"[.,;:!?\x0a-\x0d]", (text or "").translate({c: c + 32 for c in range(65, 91)})):
-            ws = re.findall(r"[^\x20\x09]+", piece)
-            want.update((lang or "und", " ".join(ws[k : k + m])) for m in (1, 2, 3) for k in range(len(ws) - m + 1))
-    assert got == want
+@pytest.mark.parametrize("bits", [0, 4, 9])
+def test_colliding_fingerprints_are_told_apart_by_text(texts, bits):
+    rows = some_rows(9, "a b c d e ab".split(), 30)
+    want = plain(rows, 3, 3)
+    out = P.collocations(texts(rows).repartition(3), 3, 3, bits).collect()
+    assert {(r.lang, r.phrase): (r.a, r.l, r.r, r.n, r.score) for r in out} == {k: v[:5] for k, v in want.items()} and len(out) == len(want)
+    assert all((r.first_doc is None, r.first_doc or 0, r.first_word) in want[r.lang, r.phrase][5] for r in out)
 
 
 def test_first_rows_of_each_lang(texts):
