@@ -3,16 +3,21 @@
 from __future__ import annotations
 
 import math
+from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallygrid.operators.ordered import index_rows, join_groups
-from tallygrid.session import broadcast_if_small
+from tallygrid.operators.ordered import index_rows, join_groups, preceding_totals
+from tallygrid.session import broadcast_if_small, materialize
 
 # Weights are folded as whole units of this size, so that equal loads compare equal.
 WEIGHT_UNIT = 1e-9
 
+# Different weights of one group that a single task folds; larger groups are filled by many tasks.
+MAX_CLASSES = 1_000_000
+
 
 def batch_count(items: int, per_batch: int | None = None, batches: int | None = None) -> int:
     """Number of batches from exactly one of the two options."""
@@ -28,20 +33,32 @@ def round_robin(items: DataFrame, order: list[Column | str], per_batch: int | No
 
 
 def longest_first(
-    items: DataFrame, weight: str, order: list[Column | str], batches: int, groups: list[str] | None = None, weight_unit: float = WEIGHT_UNIT
+    items: DataFrame,
+    weight: str,
+    order: list[Column | str],
+    batches: int,
+    groups: list[str] | None = None,
+    weight_unit: float = WEIGHT_UNIT,
+    max_classes: int = MAX_CLASSES,
+    method: str | None = None,
 ) -> DataFrame:
     """Longest-processing-time assignment: heaviest item first, always to the lightest batch.
 
-    Ties go to the lowest batch, and equal weights keep `order`. The result is the
-    exact greedy assignment for groups of any size: the sequential part runs over
-    the *different weights* of a group and not over its items. Equal weights fill
-    the batches in repeating cycles, so an item finds its batch from its rank
-    among the equal ones, without seeing the other items. Weights are
+    Ties go to the lowest batch, and equal weights keep `order`. The sequential part
+    runs over the *different weights* of a group and not over its items. Equal
+    weights fill the batches in repeating cycles, so an item finds its batch from its
+    rank among the equal ones, without seeing the other items. Weights are
     not NULL and not negative.
 
+    A group with up to `max_classes` different weights gets the exact greedy
+    assignment, in one task. In a larger one only its heaviest weights are folded so;
+    the others are filled level by level by all tasks (see `_fill_levels`), and no
+    batch ends above both the heavy part and the common level by more than the largest
+    weight of that rest. `method` names a column that says `exact` or `levelled`.
+
     Weights are counted in whole `weight_unit`s: weights that round to the same
     number of units are ties. A larger unit means fewer different weights, and so a
-    shorter sequential part, which is one task for each group. Runs jobs: items are
+    shorter sequential part. Runs jobs: items are
     written in their global order, plans are written and measured.
     """
     keyed = items
@@ -50,17 +67,117 @@ def longest_first(
     keyed = keyed.withColumn("_w", F.round(F.col(weight) / weight_unit).cast("bigint"))
     indexed = index_rows(keyed, groups + [F.col("_w").desc()] + order, "_global", "lpt")
     classes = indexed.groupBy(*groups, "_w").agg(F.count("*").alias("_n"), F.min("_global").alias("_start"))
-    plans = _fold_classes(classes, groups, batches)
+    plans = _plans(indexed, classes, groups, batches, max_classes)
+    placed = _placed(indexed, plans, groups)
+    how = [F.when(F.col("_turn").isNull(), "exact").otherwise("levelled").alias(method)] if method else []
+    return placed.select(*items.columns, F.col("_batch").cast("bigint").alias("batch_id"), *how)
 
+
+def _placed(indexed: DataFrame, plans: DataFrame, groups: list[str]) -> DataFrame:
+    """Each item with the `_batch` that its rank among the equal weights has in the plan."""
     placed = join_groups(indexed, broadcast_if_small(plans, derived=True), [*groups, "_w"]).withColumn("_slot", F.col("_global") - F.col("_start"))
     # The stage an item falls in, the batches that take part in it in the order of their visits, and the item's place there.
     stage = F.size(F.filter("_slots", lambda s: s <= F.col("_slot"))) - 1
     members = F.filter(F.col("_circle"), lambda c: c["rank"] <= F.col("_stage"))
     first = F.array_position(F.transform("_members", lambda c: c["rank"]), F.col("_stage")) - 1
     place = F.pmod(F.col("_slot") - F.get("_slots", F.col("_stage")) + first, F.size("_members")).cast("int")
-    batch = F.coalesce(F.get("_visit", F.col("_slot").cast("int")), F.get("_members", place)["batch"])
+    levelled = F.get("_turn", F.size(F.filter("_cuts", lambda c: c <= F.col("_slot"))))
+    batch = F.coalesce(F.get("_visit", F.col("_slot").cast("int")), F.get("_members", place)["batch"], levelled)
     staged = placed.withColumn("_stage", F.when(F.col("_slots").isNotNull(), stage)).withColumn("_members", members)
-    return staged.select(*items.columns, batch.cast("bigint").alias("batch_id"))
+    return staged.withColumn("_batch", batch)
+
+
+def _plans(indexed: DataFrame, classes: DataFrame, groups: list[str], batches: int, max_classes: int) -> DataFrame:
+    """The plan rows of all groups; there are at most `classes / max_classes` large ones, which are taken one by one."""
+
+    def unlevelled(plans: DataFrame) -> DataFrame:
+        return plans.select("*", F.lit(None).cast("array<bigint>").alias("_cuts"), F.lit(None).cast("array<int>").alias("_turn"))
+
+    classes = materialize(classes, "classes")
+    if classes.count() <= max_classes:
+        return unlevelled(_fold_classes(classes, groups, batches))
+    large = classes.groupBy(*groups).agg(F.count("*").alias("_classes")).filter(F.col("_classes") > max_classes)
+    large = materialize(large, "large")
+    parts = [unlevelled(_fold_classes(join_groups(classes, F.broadcast(large.drop("_classes")), groups, "left_anti"), groups, batches))]
+    for row in large.collect():
+        own = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.lit(row[g])) for g in groups])
+        group, rows = classes.filter(own), indexed.filter(own)
+        # The weight above which about max_classes / 2 different ones lie.
+        share = 1.0 - max_classes / 2 / row["_classes"]
+        bound = group.agg(F.percentile_approx("_w", share, 10_000)).first()[0]
+        heavy = materialize(_fold_classes(group.filter(F.col("_w") > bound), groups, batches), "heavy")
+        parts.append(unlevelled(heavy))
+        placed = _placed(rows.filter(F.col("_w") > bound), parts[-1], groups)
+        sums = placed.groupBy("_batch").agg(F.sum(F.col("_w").cast("decimal(38,0)")).alias("load"))
+        loads = [0] * batches
+        for r in sums.collect():  # one row per batch
+            loads[r["_batch"]] = int(r["load"])
+        parts += _fill_levels(group.filter(F.col("_w") <= bound), groups, loads)
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _whole(value: int | Column) -> Column:
+    return F.lit(Decimal(value) if isinstance(value, int) else value).cast("decimal(38,0)")
+
+
+def _capacities(loads: list[int], total: int) -> list[tuple[int, int]]:
+    """(batch, units it takes) so that the batches that take any end at one level, lightest first."""
+    ranked = sorted(range(len(loads)), key=lambda b: (loads[b], b))
+    held, used = 0, 0
+    for used, b in enumerate(ranked):
+        if used * loads[b] - held >= total:  # filled up before this batch is reached
+            break
+        held += loads[b]
+    else:
+        used = len(ranked)
+    level, rest = divmod(total + sum(loads[b] for b in ranked[:used]), max(used, 1))
+    return [(b, level - loads[b] + (1 if k < rest else 0)) for k, b in enumerate(ranked[:used])]
+
+
+def _fill_levels(classes: DataFrame, groups: list[str], loads: list[int]) -> list[DataFrame]:
+    """Plan rows for the light weights of one group, one frame per level of weights within a factor of two.
+
+    The items of a level, heaviest first, lie end to end on a line of their total
+    weight, and the line is cut into what each batch may take to end at one level; an
+    item goes where its middle lies, so a batch misses its part by at most one
+    weight. Its place on the line comes from prefix sums over the weights, so any
+    number of tasks can place items. The next level evens out what the one before left.
+    At most 64 levels, with one number per batch at the driver.
+    """
+    weights = classes.withColumn("_weight", _whole(F.col("_w")) * _whole(F.col("_n")))
+    weights = weights.withColumn("_line", F.lit(0)).withColumn("_level", F.when(F.col("_w") > 0, F.floor(F.log2("_w"))).otherwise(F.lit(-1)).cast("int"))
+    placed = materialize(preceding_totals(weights, "_line", [F.col("_w").desc()], ["_weight"]), "line")
+    levels = placed.groupBy("_level").agg(F.sum("_weight").alias("total"), F.min("_weight_before").alias("begin"))
+    out = []
+    for row in sorted(levels.collect(), key=lambda r: -r["_level"]):
+        here = placed.filter(F.col("_level") == row["_level"])
+        kept = [*groups, "_w", "_start"]
+        nothing = [F.lit(None).cast(kind).alias(c) for c, kind in (("_visit", "array<int>"), ("_slots", "array<bigint>"), ("_circle", "array<struct<batch:int,rank:int>>"))]
+        if row["_level"] < 0:  # no weight at all: the lightest batch stays it
+            out.append(here.select(*kept, *nothing, F.array().cast("array<bigint>").alias("_cuts"), F.array(F.lit(loads.index(min(loads)))).alias("_turn")))
+            continue
+        parts = _capacities(loads, int(row["total"]))
+        ends, at = [], 0
+        for _, units in parts:
+            at += units
+            ends.append(2 * at)
+        bounds, turn = F.array(*[_whole(e) for e in ends[:-1]]) if len(ends) > 1 else F.array().cast("array<decimal(38,0)>"), F.array(*[F.lit(b) for b, _ in parts])
+        # Twice the middle of the first and the last item of each weight.
+        start = _whole((F.col("_weight_before") - _whole(int(row["begin"]))) * 2) + _whole(F.col("_w"))
+        end = start + _whole(F.col("_n") - 1) * _whole(F.col("_w")) * 2
+        spots = here.withColumn("_from", start).withColumn("_to", end).withColumn("_bounds", bounds)
+        spots = spots.withColumn("_first", F.size(F.filter("_bounds", lambda c: c <= F.col("_from")))).withColumn("_last", F.size(F.filter("_bounds", lambda c: c <= F.col("_to"))))
+        double = _whole(F.col("_w") * 2)
+        cuts = F.transform(F.slice("_bounds", F.col("_first") + 1, F.col("_last") - F.col("_first")), lambda c: F.call_function("div", _whole(c - F.col("_from")) + double - 1, double))
+        plan = spots.select(*kept, "_n", *nothing, cuts.alias("_cuts"), F.slice(turn, F.col("_first") + 1, F.col("_last") - F.col("_first") + 1).alias("_turn"))
+        plan = materialize(plan, "level")
+        edges = F.concat(F.array(F.lit(0).cast("bigint")), F.col("_cuts"), F.array(F.col("_n")))
+        taken = plan.select("_w", edges.alias("_edges"), F.posexplode("_turn").alias("_k", "_batch"))
+        units = _whole(F.get("_edges", F.col("_k") + 1) - F.get("_edges", F.col("_k"))) * _whole(F.col("_w"))
+        for r in taken.groupBy("_batch").agg(F.sum(units).alias("load")).collect():  # one row per batch
+            loads[r["_batch"]] += int(r["load"])
+        out.append(plan.drop("_n"))
+    return out
 
 
 def _fold_classes(classes: DataFrame, groups: list[str], batches: int) -> DataFrame:

@@ -96,6 +96,22 @@ def lpt_prices(spark, sf_dir):
     return B.longest_first(dear(spark, sf_dir), "seconds", KEY, BATCHES, ["sweep"]).select("sweep", "p_partkey", "seconds", "batch_id")
 
 
+@query("""
+    SELECT count(*) AS n_items, count(DISTINCT o_orderkey) AS n_keys, CAST(sum(round(o_totalprice * 100)) AS BIGINT) AS units, true AS near, true AS both
+    FROM orders""")
+def lpt_past_the_bound(spark, sf_dir):
+    """One group with more different weights than a task may fold; no batch above 1.01 times what the greedy has at least."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.round(F.col("o_totalprice") * 100).alias("units"))
+    placed = B.longest_first(orders, "units", [F.col("o_orderkey")], 7, weight_unit=1.0, max_classes=300, method="method")
+    loads = placed.groupBy("batch_id").agg(
+        F.count("*").alias("n"), F.count_distinct("o_orderkey").alias("keys"), F.sum("units").alias("load"), F.max("units").alias("largest"), F.min("method").alias("first"), F.max("method").alias("last")
+    )
+    sums = [F.sum(c).alias(name) for c, name in (("n", "n_items"), ("keys", "n_keys"), ("load", "all"))]
+    every = loads.agg(*sums, F.max("load").alias("top"), F.max("largest").alias("largest"), F.min("first").alias("first"), F.max("last").alias("last"))
+    near, both = F.col("top") <= 1.01 * F.greatest(F.col("all") / 7, "largest"), (F.col("first") == "exact") & (F.col("last") == "levelled")
+    return every.select("n_items", "n_keys", F.col("all").cast("bigint").alias("units"), near.alias("near"), both.alias("both"))
+
+
 @query(BY_SWEEP + LOADS.format(n=BATCHES) + "SELECT sweep, batch_id, n_items, load FROM loads")
 def batch_loads(spark, sf_dir):
     """Items and load of every batch, empty ones included."""
