@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallygrid.operators import combine as C
 from tallygrid.operators.curves import sweep_curve
 from tallygrid.functions.names import parse_json_metadata
-from tallygrid.sources import fragments as S
+from tallygrid.sources import checked as K, fragments as S
 from tallygrid.session import materialize
 from tallygrid.sinks.stats import counts_as_json, write_stats
 
@@ -20,28 +20,40 @@ def merge(rows: DataFrame, with_counters: bool = False) -> DataFrame:
     return C.with_rates(C.combine_with_counters(rows.withColumn("custom_counts", C.parse_counts())))
 
 
-def merge_with_quarantine(spark: SparkSession, root: str, out: str | None = None, fmt: str = "csv", latest: bool = True) -> tuple[DataFrame, DataFrame]:
-    """`merge_folder`, and beside the totals the rows that were not good, with their files.
+def input_files(spark: SparkSession, root: str, out: str | None = None, latest: bool = True) -> tuple[DataFrame, str]:
+    """(paths to merge, the pattern they were found by); files below `out` are results and never merged again.
 
-    Files below `out` are results and never merged again.
+    Files of the standard layout come first; without any, every CSV file is one.
     """
-    raw = S.read_latest_raw(spark, root) if latest else S.read_fragments_raw(spark, root, "auto")
-    if out is not None:
-        below = out.rstrip("/").split("://", 1)[-1].removeprefix("file:")
-        raw = raw.filter(~F.col("file_path").contains(below + "/"))
-    merged = merge(S.good_rows(raw), with_counters=True)
+    store, folder = S.qualified(spark, out) if out is not None else (None, None)
+    if out is not None and (S.qualified(spark, root)[1] + "/").startswith(folder + "/") and S.qualified(spark, root)[0] == store:
+        raise ValueError(f"the results {out} would lie at or above the inputs {root}")
+    for pattern in (S.LAYOUT_FILES if latest else S.STATS_FILE, "*.csv"):
+        files = S.list_files(spark, root, pattern)
+        if out is not None:
+            files = files.filter(~S.is_below(F.col("path"), store, folder))
+        if not files.isEmpty():
+            return (S.latest_files(files).select("path") if latest else files), pattern
+    raise FileNotFoundError(f"no CSV file below {root}")
+
+
+def merge_with_quarantine(spark: SparkSession, root: str, out: str | None = None, fmt: str = "csv", latest: bool = True) -> tuple[DataFrame, DataFrame]:
+    """`merge_folder`, and beside the totals the rows that were not good: file_path, column, reason, line."""
+    checked = S.read_chosen(spark, root, *input_files(spark, root, out, latest), reader=K.read_checked)
+    merged = merge(K.good(checked), with_counters=True)
     if out is not None:
         merged = materialize(merged, "merged")  # written below and returned
         write_stats(counts_as_json(merged), out, fmt)
-    return merged, S.quarantine(raw)
+    return merged, K.malformed(checked)
 
 
 def merge_folder(spark: SparkSession, root: str, out: str | None = None, fmt: str = "csv", latest: bool = True) -> DataFrame:
     """Merge the fragments below `root`, and write them when `out` is given.
 
     With `latest` each batch counts with its newest snapshot; without it every
-    stats.csv is summed (every CSV file when there is none). `merge_with_quarantine`
-    also returns the rows that were not good.
+    stats.csv is summed. Either way every CSV file is read when no file has the
+    name of the standard layout. `merge_with_quarantine` also returns the rows that
+    were not good, with the reason.
     """
     return merge_with_quarantine(spark, root, out, fmt, latest)[0]
 

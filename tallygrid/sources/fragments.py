@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,17 +30,40 @@ def glob_escaped(path: str) -> str:
     return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
 
 
+def qualified(spark: SparkSession, path: str) -> tuple[str, str]:
+    """(store, path) of a location: scheme and authority, and the path without them."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    uri = where.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(where).toUri()
+    return f"{uri.getScheme()}://{uri.getAuthority() or ''}", uri.getPath().rstrip("/")
+
+
+def is_below(path: Column, store: str, folder: str) -> Column:
+    """Whether a file path lies in a folder of the same store, by whole path parts."""
+    bare = F.regexp_extract(path, r"^(?:[^:/]+:(?://[^/]*)?)?(/.*)$", 1)
+    home = F.regexp_replace(F.regexp_extract(path, r"^([^:/]+:(?://[^/]*)?)?/", 1), r"^([^:/]+:)$", "$1//")
+    return home.isin("", store) & F.startswith(bare, F.lit(folder + "/"))
+
+
 def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
     """Paths below `root`, recursively. The file contents are not read."""
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", pattern)
-        .load(root)
+        .load(entries(spark, root))
         .select(plain_path(F.col("_metadata.file_path")).alias("path"))
     )
 
 
+def entries(spark: SparkSession, root: str) -> list[str]:
+    """The folders to list for a root: a directory of mount points is told as links, which Spark's listing does not follow."""
+    if not root.startswith("viewfs:"):
+        return [root]
+    where = spark._jvm.org.apache.hadoop.fs.Path(root)
+    children = where.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(where)
+    return [c.getPath().toString() for c in children] if any(c.isSymlink() for c in children) else [root]
+
+
 def _csv(spark: SparkSession, schema: T.StructType, header: bool):
     return (
         spark.read.schema(schema)
@@ -71,12 +95,26 @@ def read_raw(
 
 
 def valid_json(text: Column | str) -> Column:
-    """Whether a text is JSON of any kind: object, list, number, text or null."""
-    return F.try_parse_json(text).isNotNull()
+    """Whether a text is one whole JSON value of any kind: object, list, number, text or null.
+
+    The parser ignores what follows a value, so the text is parsed inside a list and
+    inside an object: anything left over breaks one of them.
+    """
+    one = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))), "$", "array<variant>")
+    inside = F.try_parse_json(F.concat(F.lit('{"x":'), text, F.lit("}")))
+    return F.coalesce((F.size(one) == 1) & inside.isNotNull(), F.lit(False))
+
+
+def is_counter_map(text: Column | str) -> Column:
+    """Whether a text is a JSON object of whole numbers, or holds no counters: NULL, or JSON null."""
+    parsed = F.try_parse_json(text)
+    counts = F.try_variant_get(parsed, "$", "map<string,variant>")
+    whole = F.forall(F.map_values(counts), lambda v: F.schema_of_variant(v) == "BIGINT")
+    return F.coalesce(whole, (F.col(text) if isinstance(text, str) else text).isNull() | F.is_variant_null(parsed))
 
 
 def is_good(columns: list[str]) -> Column:
-    """A complete row whose JSON columns parse.
+    """A complete row with readable numbers, whose JSON columns parse and whose counters are whole numbers.
 
     The reader does not mark a row cut inside its last quoted field, so the JSON
     has to be looked at as well; JSON of any kind will do. Files from before named
@@ -88,8 +126,8 @@ def is_good(columns: list[str]) -> Column:
         if name in columns:
             good = good & (F.col(name).isNull() | valid_json(name))
     without_counts = F.col("custom_counts").isNull() & valid_json("json_metadata")
-    complete = F.col("shots").isNotNull() & F.col("strong_id").isNotNull()
-    return F.coalesce(complete & (good | without_counts), F.lit(False))
+    complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in ("shots", "errors", "discards", "seconds", "strong_id") if c in columns])
+    return F.coalesce(complete & is_counter_map("custom_counts") & (good | without_counts), F.lit(False))
 
 
 def good_rows(raw: DataFrame) -> DataFrame:
@@ -169,14 +207,17 @@ def read_latest_raw(spark: SparkSession, root: str, key=snapshot_key, pattern: s
     the files; without one, only those of the standard layout are taken.
     """
     pattern = pattern or (LAYOUT_FILES if key is snapshot_key else "*.csv")
-    chosen = latest_files(list_files(spark, root, pattern), key).select("path")
+    return read_chosen(spark, root, latest_files(list_files(spark, root, pattern), key).select("path"), pattern)
+
+
+def read_chosen(spark: SparkSession, root: str, chosen: DataFrame, pattern: str, reader=read_raw) -> DataFrame:
+    """The rows of some files below `root`: by path up to MAX_EXPLICIT_PATHS of them, else by a semi join."""
     paths = [row.path for row in chosen.limit(MAX_EXPLICIT_PATHS + 1).collect()]
     if not paths:
         raise FileNotFoundError(f"no {pattern} below {root}")
     if len(paths) <= MAX_EXPLICIT_PATHS:
-        return read_raw(spark, [glob_escaped(p) for p in paths], pattern)
-    everything = read_raw(spark, root, pattern)
-    return everything.join(chosen.withColumnRenamed("path", "file_path"), "file_path", "left_semi")
+        return reader(spark, [glob_escaped(p) for p in paths], pattern)
+    return reader(spark, entries(spark, root), pattern).join(chosen.withColumnRenamed("path", "file_path"), "file_path", "left_semi")
 
 
 def read_latest(spark: SparkSession, root: str, key=snapshot_key, pattern: str | None = None) -> DataFrame:

@@ -10,7 +10,7 @@ from tallygrid.plans import launch, merge as M
 from tallygrid.schema import STATS_COLUMNS
 from tallygrid.session import new_path
 from tallygrid.sinks.stats import counts_as_json, write_batches, write_stats
-from tallygrid.sources import catalogue as Cat, fragments as S
+from tallygrid.sources import catalogue as Cat, checked as K, fragments as S
 from tallygrid.workload import query
 from tallygrid.workload.views import ROUNDS_SQL, TOTALS_SQL, day_counts, fragment_sql, fragments, rounds, table
 
@@ -199,3 +199,74 @@ def timings_file(spark, sf_dir):
     # Rows of one key lie in one file, in order: the last one wins.
     rows.repartition("K", "p").sortWithinPartitions("K", "p", "seconds").write.option("header", True).csv(path)
     return Cat.read_timings(spark, path)
+
+
+DAMAGE = """
+    damaged AS (SELECT *, user_id % 11 AS harm FROM fragments),
+    bad AS (SELECT * FROM (VALUES (1, 'errors', 'not a whole number'), (2, 'seconds', 'not a number'), (3, '', 'fields'), (4, 'custom_counts', 'not a counter map'),
+        (5, 'custom_counts', 'not a counter map'), (6, 'json_metadata', 'not JSON'), (7, 'shots', 'missing'), (8, 'discards', 'negative')) t(harm, "column", reason))"""
+
+
+def damaged_lines(spark, sf_dir):
+    """Fragment lines with a header of seven or eight columns by batch, one of eight kinds of damage in most users' rows."""
+    rows = fragments(table(spark, sf_dir, "events")).withColumn("kind", F.col("user_id") % 11).withColumn("batch_id", F.col("user_id") % 7)
+    kind, short = F.col("kind"), F.col("batch_id") == 3
+    text = {c: F.col(c).cast("string") for c in ("shots", "errors", "discards", "seconds", "decoder", "strong_id")}
+    text["shots"] = F.when(kind == 7, "").otherwise(F.lpad("shots", 9, " "))
+    text["errors"] = F.when(kind == 1, F.concat("errors", F.lit("x"))).otherwise(text["errors"])
+    text["discards"] = F.when(kind == 8, "-1").otherwise(text["discards"])
+    text["seconds"] = F.when(kind == 2, "abc").otherwise(text["seconds"])
+    metadata = F.concat(F.lit('"'), F.replace("json_metadata", F.lit('"'), F.lit('""')), F.when(kind == 6, "}").otherwise(""), F.lit('"'))
+    counts = F.when(kind == 4, '"{""k"":""x""}"').when(kind == 5, "[1]").otherwise('"{""k"":2}"')
+    line = F.concat_ws(",", *text.values(), metadata)
+    line = F.when(kind == 3, F.concat_ws(",", text["shots"], text["errors"], text["discards"])).when(short, line).otherwise(F.concat_ws(",", line, counts))
+    return rows.select("batch_id", line.alias("line"), short.alias("short"))
+
+
+@query(FRAG + "," + DAMAGE + """
+    SELECT "column", reason, CAST(count(*) AS BIGINT) AS n FROM damaged JOIN bad USING (harm) WHERE NOT (harm IN (4, 5) AND user_id % 7 = 3) GROUP BY ALL
+    UNION ALL
+    SELECT 'shots', 'good', CAST(sum(shots) AS BIGINT) FROM damaged WHERE harm NOT IN (1, 2, 3, 4, 5, 6, 7, 8) OR (harm IN (4, 5) AND user_id % 7 = 3)""")
+def malformed_reasons(spark, sf_dir):
+    """Files with seven and eight columns in one folder, and why each damaged row was not taken; beside it the shots of the good ones."""
+    root = new_path(spark, "damaged")
+    lines = damaged_lines(spark, sf_dir)
+    names = F.concat_ws(", ", *[F.lit(c) for c in STATS_COLUMNS[:-1]])
+    head = lines.select("batch_id", F.when(F.col("short"), names).otherwise(F.concat(names, F.lit(",custom_counts"))).alias("line")).distinct()
+    both = head.select("*", F.lit(0).alias("at")).unionByName(lines.select("batch_id", "line", F.lit(1).alias("at")))
+    both.repartition("batch_id").sortWithinPartitions("batch_id", "at").select("batch_id", "line").write.partitionBy("batch_id").option("compression", "none").text(root)
+    checked = K.read_checked(spark, root, "*.txt")
+    reasons = K.malformed(checked).groupBy("column", "reason").agg(F.count("*").alias("n"))
+    return reasons.unionByName(K.good(checked).agg(F.sum("shots").alias("n")).select(F.lit("shots").alias("column"), F.lit("good").alias("reason"), "n"))
+
+
+@query(FRAG + "," + TOTALS_SQL + " SELECT strong_id, shots, errors, round(seconds, 4) AS seconds, CAST(0 AS BIGINT) AS local_files FROM totals")
+def merge_mounted(spark, sf_dir):
+    """S3: two folders mounted under one address of another file system, listed, read and merged by their new paths."""
+    rows, mount = counter_rows(spark, sf_dir), "sweeps"
+    for name, part in (("even", "batch_id % 2 = 0"), ("odd", "batch_id % 2 = 1")):
+        folder = new_path(spark, f"mounted-{name}")
+        rows.filter(part).select(*STATS_COLUMNS, "batch_id").write.partitionBy("batch_id").option("header", True).option("escape", '"').csv(folder)
+        link = f"fs.viewfs.mounttable.{mount}.link./{name}"
+        spark.conf.set(link, folder if ":" in folder else f"file://{folder}")  # for the readers of this session
+        spark._jsc.hadoopConfiguration().set(link, spark.conf.get(link))  # for paths that are qualified outside of them
+    root = f"viewfs://{mount}/"
+    merged = M.merge_folder(spark, root, new_path(spark, "merged"))
+    local = S.list_files(spark, root, "*.csv").filter(~F.startswith("path", F.lit(root))).agg(F.count("*").alias("local_files"))
+    return merged.select("strong_id", "shots", "errors", F.round("seconds", 4).alias("seconds"), F.lit(local.first()[0]).cast("long").alias("local_files"))
+
+
+@query("""
+    SELECT p_brand, CAST(p_size AS BIGINT) AS p_size, CAST(count(*) AS BIGINT) AS n, CAST(1 AS BIGINT) AS n_files FROM (SELECT DISTINCT p_brand, p_size FROM part) GROUP BY ALL
+    UNION ALL SELECT 'new', CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(1 AS BIGINT)""")
+def catalogue_compacted(spark, sf_dir):
+    """A catalogue of small files packed into one indexed table, read by path; a second run packs nothing again."""
+    root, out = part_files(spark, sf_dir), new_path(spark, "packed")
+    Cat.compact(spark, root, "txt", out)
+    again = Cat.compact(spark, root, "txt", out)
+    packed = Cat.read_compacted(spark, out)
+    fields = [F.replace(F.regexp_extract("path", p, 1), F.lit("%23"), F.lit("#")) for p in ("p_brand=([^/]+)/", "p_size=([^/]+)/")]
+    n_files = F.lit(Cat.compacted_index(spark, out).count()).cast("long").alias("n_files")
+    cells = packed.filter(F.startswith("text", F.lit("M 0"))).groupBy(fields[0].alias("p_brand"), fields[1].cast("long").alias("p_size")).agg(F.count("*").alias("n"))
+    zero = F.lit(0).cast("long")
+    return cells.select("*", n_files).unionByName(cells.agg(F.lit("new").alias("p_brand"), zero.alias("p_size"), F.lit(again).cast("long").alias("n"), n_files))

@@ -137,8 +137,8 @@ def test_records_outside_the_measurements_are_refused(spark):
 
 
 def test_all_measuring_words_are_counted(spark):
-    texts = spark.createDataFrame([("a", "MR 0 1\nMX 2\nM 3\nMXX 0 1 2 3"), ("b", "MYSTERY 1\nM 0")], "task_id string, text string")
-    assert {r.task_id: r.n_measurements for r in profile.profile(texts).collect()} == {"a": 6, "b": None}
+    texts = spark.createDataFrame([("a", "MR 0 1\nMX 2\nM 3\nMXX 0 1 2 3"), ("b", "MYSTERY 1\nM 0"), ("c", "HERALDED_ERASE(0.1) 0\nM 0"), ("d", "# M 1\nH 0\nM 0")], "task_id string, text string")
+    assert {r.task_id: r.n_measurements for r in profile.profile(texts).collect()} == {"a": 6, "b": None, "c": None, "d": 1}
 
 
 def test_null_axes_and_ids(spark):
@@ -232,3 +232,54 @@ def test_limits_that_are_missing(spark):
     row = progress.remaining_work(tasks, have).first()
     assert (row.remaining_shots, row.remaining_errors, row.end_reason) == (None, 3, None)
     assert O.HOT_ROWS > 0
+
+
+def test_only_whole_json_and_whole_counters(spark):
+    texts = ['{"a":1', '{"d": 3}}', '1] x', "1} x", "1,2", '{"k":"x"}', "[1]", '{"k":2}', "null", None, '{"k":null}', '{"k":1.5}', "{}", "", '"a"']
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", Fr.valid_json("t").alias("whole"), Fr.is_counter_map("t").alias("counts")).collect()
+    assert {r.t for r in rows if r.whole} == {'{"k":"x"}', "[1]", '{"k":2}', "null", '{"k":null}', '{"k":1.5}', "{}", '"a"'}
+    assert {r.t for r in rows if r.whole and r.counts} == {'{"k":2}', "null", "{}"}
+
+
+def test_every_damaged_row_has_a_reason(spark, tmp_path):
+    from tallygrid.sources import checked as K
+
+    id_first = "strong_id, shots, errors, discards, seconds, decoder, json_metadata\n"
+    write(f"{tmp_path}/batch_0/stats.csv", HEADER + line(10, 1, "a") + "10,x,0,0.5,m,b,{},\n" + "30,-1,0,abc,m,c,{},\n" + "10\n" + "1,0,0,nan,m,d,{},\n" + "1,0,0,1,m,,{},\n")
+    write(f"{tmp_path}/batch_1/stats.csv", id_first + 'e, 7, 2, 0, 0.5, m, "{""d"":3}"\n' + "f, 1.5, 2, 0, 0.5, m, {}\n" + 'g, 1, 0, 0, 1, m, "{""d"":"\n')
+    write(f"{tmp_path}/batch_2/stats.csv", "1,0,0,1,m,h,{},\n")
+    write(f"{tmp_path}/batch_3/stats.csv", "shots,errors\n1,0\n")
+    merged, bad = M.merge_with_quarantine(spark, str(tmp_path))
+    assert {r.strong_id: (r.shots, r.errors) for r in merged.collect()} == {"a": (10, 1), "e": (7, 2)}
+    want = [("errors", "not a whole number"), ("errors", "negative"), ("", "fields"), ("seconds", "not a number"), ("strong_id", "missing")]
+    want += [("shots", "not a whole number"), ("json_metadata", "not JSON"), ("", "no header"), ("", "unknown header")]
+    assert sorted((r.column, r.reason) for r in bad.collect()) == sorted(want)
+
+
+def test_results_are_told_by_whole_folders(spark, tmp_path):
+    root = f"{tmp_path}/in"
+    write(f"{root}/run_merged/batch_0/stats.csv", HEADER + line(20, 1, "a"))
+    write(f"{root}/run/batch_0/stats.csv", HEADER + line(10, 1, "a"))
+    write(f"{root}/merged/batch_0/stats.csv", HEADER + line(99, 1, "a"))
+    assert M.merge_folder(spark, root, f"{root}/merged/totals").first().shots == 129
+    files, _ = M.input_files(spark, root, f"{root}/merged")
+    assert sorted(r.path.split("/in/")[1].split("/")[0] for r in files.collect()) == ["run", "run_merged"]
+    with pytest.raises(ValueError, match="at or above"):
+        M.merge_folder(spark, root, str(tmp_path))
+    write(f"{tmp_path}/other/x.csv", HEADER + line(5, 0, "b"))
+    assert M.merge_folder(spark, f"{tmp_path}/other").first().shots == 5
+
+
+def test_many_small_files_become_one_partition(spark, tmp_path):
+    for k in range(2_000):
+        write(f"{tmp_path}/in/d{k % 7}/n{k:05d}.circuit", f"M {k}")
+    out = f"{tmp_path}/packed"
+    assert Cat.compact(spark, f"{tmp_path}/in", "circuit", out) == 2_000
+    packed = Cat.read_compacted(spark, out)
+    assert packed.rdd.getNumPartitions() == 1 and packed.count() == 2_000
+    write(f"{tmp_path}/in/d0/more.circuit", "M 1")
+    assert (Cat.compact(spark, f"{tmp_path}/in", "circuit", out), Cat.compact(spark, f"{tmp_path}/in", "circuit", out)) == (1, 0)
+    index = Cat.compacted_index(spark, out).collect()
+    assert sorted(r.n_texts for r in index) == [1, 2_000]
+    assert sorted(Cat.read_compacted(spark, out).collect()) == sorted(Cat.read_catalogue(spark, f"{tmp_path}/in", "circuit").collect())
+    assert {(r.name, r.text) for r in Cat.read_compacted(spark, out).filter("name like 'n0001%'").collect()} == {(f"n{k:05d}.circuit", f"M {k}") for k in range(10, 20)}
