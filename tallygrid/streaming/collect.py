@@ -31,7 +31,12 @@ def stream_fragments(
     files_per_trigger: int = 1000,
 ) -> DataFrame:
     """Good rows of fragment files as they appear below `root`."""
-    rows = (
+    return good_rows(stream_raw(spark, root, pattern, schema, files_per_trigger))
+
+
+def stream_raw(spark: SparkSession, root: str, pattern: str = "*.csv", schema: T.StructType = STATS_RAW, files_per_trigger: int = 1000) -> DataFrame:
+    """All rows of fragment files as they appear below `root`, malformed ones included."""
+    return (
         spark.readStream.schema(schema)
         .option("maxFilesPerTrigger", files_per_trigger)
         .option("header", True)
@@ -44,7 +49,6 @@ def stream_fragments(
         .csv(root)
         .select("*", F.col("_metadata.file_path").alias("file_path"))
     )
-    return good_rows(rows)
 
 
 def with_status(totals: DataFrame, max_shots: int, max_errors: int) -> DataFrame:
@@ -88,12 +92,12 @@ def drop_old_epochs(spark: SparkSession, out: str, kept: int = KEPT_EPOCHS) -> N
 def claim(spark: SparkSession, out: str, checkpoint: str) -> None:
     """Tie a folder of results to its checkpoint: another one would number its epochs anew."""
     fs, where = _folder(spark, f"{out}/_checkpoint_of")
-    if fs.exists(where):
+    if fs.exists(_folder(spark, f"{out}/_checkpoint_of/_SUCCESS")[1]):  # a marker without it is what a crash left
         known = [r.value for r in spark.read.text(f"{out}/_checkpoint_of").collect()]
         if known != [checkpoint]:
             raise ValueError(f"{out} holds the epochs of checkpoint {known}, not of {checkpoint!r}")
         return
-    spark.createDataFrame([(checkpoint,)], "value string").coalesce(1).write.text(f"{out}/_checkpoint_of")
+    spark.createDataFrame([(checkpoint,)], "value string").coalesce(1).write.mode("overwrite").text(f"{out}/_checkpoint_of")
 
 
 def start_publishing(
@@ -141,22 +145,25 @@ RANK = ["is_final", "seq"]
 COUNTERS = ["n", "shots", "errors", "discards", "seconds"]
 
 
-def newest_snapshots(rows: DataFrame, known: DataFrame | None = None, key: Callable[[Column], Column] = snapshot_key) -> DataFrame:
-    """Counters of the newest snapshot of each batch, added up per batch, experiment and named counter.
+SNAPSHOT_KEYS = ["batch_id", *RANK, "strong_id", "counter", "decoder", "json_metadata"]
+
+
+def snapshot_entries(rows: DataFrame, key: Callable[[Column], Column] = snapshot_key) -> DataFrame:
+    """Counters of the rows of new snapshot files per batch, snapshot, experiment and named counter."""
+    keyed = counts_as_map(rows).select("*", key(F.col("file_path")).alias("_k")).select("*", "_k.*")
+    return partial_entries(keyed, extra=("batch_id", *RANK)).select(*SNAPSHOT_KEYS, *COUNTERS)
+
+
+def newest_snapshots(entries: DataFrame) -> DataFrame:
+    """The entries of the newest snapshot of each batch, added up.
 
-    `rows` are the rows of new snapshot files and `known` is the earlier result.
     Rows of one snapshot add up, also when it came in several files or holds an id
     more than once; a newer snapshot replaces the older one as a whole.
     """
-    keys = ["batch_id", *RANK, "strong_id", "counter", "decoder", "json_metadata"]
-    kept = [*keys, *COUNTERS]
-    keyed = counts_as_map(rows).select("*", key(F.col("file_path")).alias("_k")).select("*", "_k.*")
-    new = partial_entries(keyed, extra=("batch_id", *RANK)).select(*kept)
-    seen = new if known is None else new.unionByName(known)
-    sums = seen.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in COUNTERS])
+    sums = entries.groupBy(*SNAPSHOT_KEYS).agg(*[F.sum(c).alias(c) for c in COUNTERS])
     ranked = sums.withColumn("_rank", F.struct(*RANK))
     newest = ranked.groupBy("batch_id").agg(F.max("_rank").alias("_rank"))
-    return ranked.join(newest, ["batch_id", "_rank"], "left_semi").select(*kept)
+    return ranked.join(newest, ["batch_id", "_rank"], "left_semi").select(*SNAPSHOT_KEYS, *COUNTERS)
 
 
 def start_snapshots(
@@ -178,7 +185,8 @@ def start_snapshots(
         spark = frame.sparkSession
         known = spark.read.parquet(f"{out}/state/epoch={epoch - 1}") if epoch > 0 else None
         path = f"{out}/state/epoch={epoch}"
-        newest_snapshots(frame, known, key).write.mode("overwrite").parquet(path)
+        new = snapshot_entries(frame, key)
+        newest_snapshots(new if known is None else new.unionByName(known)).write.mode("overwrite").parquet(path)
         merge_entries(spark.read.parquet(path)).write.mode("overwrite").parquet(f"{out}/totals/epoch={epoch}")
         for part in ("state", "totals"):
             drop_old_epochs(spark, f"{out}/{part}", max(2, kept))
