@@ -84,3 +84,54 @@ def any_masked(bits: Column, mask: Column) -> Column:
     """True when a bit named by the mask is set; a NULL mask names none."""
     hit = F.exists(F.zip_with(bits, mask, lambda b, m: b & m), lambda x: x)
     return F.coalesce(hit, F.lit(False))
+
+
+def has_gaps(bits: Column) -> Column:
+    """Whether a vector is missing or holds NULL bits, as one unpacked from too few bytes does."""
+    return F.coalesce(F.exists(bits, lambda b: b.isNull()), F.lit(True))
+
+
+def reaches_behind(mask: Column, bits: Column) -> Column:
+    """Whether a mask names a bit behind the end of a vector; a NULL mask names none."""
+    rest = F.slice(mask, F.size(bits) + 1, F.greatest(F.size(mask), F.lit(1)))
+    return F.coalesce(F.exists(rest, lambda m: m), F.lit(False))
+
+
+# ---- packed words -------------------------------------------------------------
+
+WORD_BYTES = 7
+
+
+def bytes_for(count: Column | int) -> Column:
+    return F.ceil((F.lit(count) if isinstance(count, int) else count) / 8).cast("int")
+
+
+def words(packed: Column) -> Column:
+    """A BINARY as whole numbers of seven bytes each, the last one filled up with zeros.
+
+    Vectors of one declared length have the same layout, so AND, XOR and bit counts
+    of words are those of the bits.
+    """
+    text, n = F.hex(packed), F.ceil(F.octet_length(packed) / WORD_BYTES).cast("int")
+    number = lambda w: F.conv(F.rpad(F.substring(text, w * 2 * WORD_BYTES + 1, F.lit(2 * WORD_BYTES)), 2 * WORD_BYTES, "0"), 16, 10).cast("bigint")
+    return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), number)).otherwise(F.array().cast("array<bigint>"))
+
+
+def xor_words(a: Column, b: Column) -> Column:
+    return F.zip_with(a, b, lambda x, y: x.bitwiseXOR(y))
+
+
+def any_masked_words(bits: Column, mask: Column) -> Column:
+    """Whether a bit named by the mask is set; words that the mask does not reach are not named."""
+    return F.coalesce(F.exists(F.zip_with(bits, mask, lambda b, m: F.coalesce(b.bitwiseAND(m), F.lit(0).cast("bigint"))), lambda x: x != 0), F.lit(False))
+
+
+def popcount_words(bits: Column) -> Column:
+    return F.aggregate(bits, F.lit(0).cast("bigint"), lambda acc, x: acc + F.bit_count(x))
+
+
+def ends_clean(packed: Column, count: Column | int) -> Column:
+    """Whether no bit behind the declared length is set in the last byte that it uses."""
+    n = F.lit(count) if isinstance(count, int) else count
+    last = F.conv(F.substring(F.hex(packed), 2 * bytes_for(count) - 1, F.lit(2)), 16, 10).cast("int")
+    return (n % 8 == 0) | F.coalesce(F.call_function("shiftright", last, (n % 8).cast("int")) == 0, F.lit(False))

@@ -57,16 +57,35 @@ def join_groups(left: DataFrame, right: DataFrame, keys: list[str], how: str = "
     return left.join(renamed, same, how).drop(*[f"_right_{k}" for k in keys])
 
 
+# Counters of the sketch that looks for hot keys.
+BUCKETS = 1 << 16
+
+
+def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
+    """The keys with more than `hot_rows` rows, as a written table; None if there are none.
+
+    A sketch of BUCKETS counters by key hash is summed first, folded in every task: a
+    hot key makes its bucket hot, so without hot buckets nothing else is counted. The
+    keys of hot buckets are then counted exactly.
+    """
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS))
+    crowded = [r["_bucket"] for r in df.groupBy(bucket.alias("_bucket")).count().filter(F.col("count") > hot_rows).select("_bucket").collect()]
+    if not crowded:
+        return None
+    inside = df.filter(bucket.isin(crowded)) if len(crowded) < BUCKETS // 2 else df
+    hot = materialize(inside.groupBy(*keys).count().filter(F.col("count") > hot_rows).select(*keys), "hot")
+    return None if hot.isEmpty() else hot
+
+
 def split_hot(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame | None]:
     """(rows of keys that fit in one task, rows of the others or None).
 
     There are at most `rows / hot_rows` hot keys, so their table is safe to broadcast.
-    Runs jobs: the rows are written first, so that what they come from runs once and
-    not for the counts, the small keys and the large ones.
+    Runs jobs, which read `df` without writing it: a costly `df` should be a written
+    table.
     """
-    df = materialize(df, "rows")
-    hot = materialize(df.groupBy(*keys).count().filter(F.col("count") > hot_rows).select(*keys), "hot")
-    if hot.isEmpty():
+    hot = hot_keys(df, keys, hot_rows)
+    if hot is None:
         return df, None
     side = F.broadcast(hot)
     return join_groups(df, side, keys, "left_anti"), join_groups(df, side, keys, "left_semi")

@@ -53,13 +53,19 @@ def join_predictions(shots: DataFrame, predictions: DataFrame) -> DataFrame:
 
 
 def shot_problems(shots: DataFrame, tasks: DataFrame) -> DataFrame:
-    """`(task_id, shot_id, problem)`: unknown tasks, and predictions that are missing, too short or too long."""
+    """`(task_id, shot_id, problem)`: unknown tasks, vectors with missing bits, masks that name bits behind
+    the end, and predictions that are missing, too short or too long."""
     known = tasks.select("task_id").distinct().withColumn("_known", F.lit(True))
     rows = shots.join(broadcast_if_small(known, derived=True), "task_id", "left")
     padded = F.ceil(F.size("obs") / 8) * 8
+    mask, observable_mask = _masks(shots)
     problems = F.array_compact(
         F.array(
             F.when(F.col("_known").isNull(), F.lit("unknown task")),
+            F.when(B.has_gaps(F.col("det")), F.lit("missing detectors")),
+            F.when(B.has_gaps(F.col("obs")), F.lit("missing observables")),
+            F.when(B.reaches_behind(mask, F.col("det")), F.lit("mask behind the detectors")),
+            F.when(B.reaches_behind(observable_mask, F.col("obs")), F.lit("mask behind the observables")),
             F.when(F.col("pred").isNull(), F.lit("no prediction")),
             F.when(F.size("pred") < F.size("obs"), F.lit("too few predictions")),
             F.when(F.size("pred") > padded + 8, F.lit("too many predictions")),
@@ -72,6 +78,11 @@ def _column(df: DataFrame, name: str, default: Column) -> Column:
     return F.col(name) if name in df.columns else default
 
 
+def _masks(shots: DataFrame) -> tuple[Column, Column]:
+    none = F.lit(None).cast("array<boolean>")
+    return _column(shots, "postselection_mask", none), _column(shots, "postselected_obs_mask", none)
+
+
 def label_shots(shots: DataFrame) -> DataFrame:
     """Add `mistakes` (mispredicted observables) and `outcome`.
 
@@ -81,11 +92,10 @@ def label_shots(shots: DataFrame) -> DataFrame:
 
     A prediction may be one byte longer than the bytes of the observables; a bit in
     that byte says that the decoder gave up. A shot whose prediction is missing or
-    shorter than its observables is an error (see `shot_problems`).
+    shorter than its observables is an error, and so are vectors with missing bits and
+    masks that name bits behind the end (see `shot_problems`).
     """
-    none = F.lit(None).cast("array<boolean>")
-    mask = _column(shots, "postselection_mask", none)
-    observable_mask = _column(shots, "postselected_obs_mask", none)
+    mask, observable_mask = _masks(shots)
     gave_up = F.coalesce(_column(shots, "pred_discard", F.lit(False)), F.lit(False))
     n_obs = F.size("obs")
     padded = (F.ceil(n_obs / 8) * 8).cast("int")
@@ -94,8 +104,10 @@ def label_shots(shots: DataFrame) -> DataFrame:
     pred = F.when(F.coalesce(F.size("pred") >= n_obs, F.lit(False)), F.slice("pred", F.lit(1), n_obs)).otherwise(missing)
     mistakes = B.xor_bits(F.col("obs"), pred)
     discard = B.any_masked(F.col("det"), mask) | gave_up | B.any_masked(mistakes, observable_mask)
+    broken = B.has_gaps(F.col("det")) | B.has_gaps(F.col("obs")) | B.reaches_behind(mask, F.col("det")) | B.reaches_behind(observable_mask, F.col("obs"))
     outcome = (
-        F.when(discard, F.lit("discard"))
+        F.when(broken, F.raise_error(F.lit("a vector has missing bits, or a mask names bits behind its end")).cast("string"))
+        .when(discard, F.lit("discard"))
         .when(F.exists(mistakes, lambda m: m), F.lit("error"))
         .otherwise(F.lit("ok"))
     )
@@ -121,6 +133,62 @@ def classify_shots(shots: DataFrame, keys: list[str] | None = None) -> DataFrame
     )
 
 
+def packed_problems(shots: DataFrame) -> DataFrame:
+    """`(task_id, shot_id, problem)` of packed shots with their task columns: every vector against its declared length."""
+    return shots.select("task_id", "shot_id", F.explode(F.array_compact(F.array(*_packed_checks(shots)))).alias("problem"))
+
+
+def _packed_checks(shots: DataFrame) -> list[Column]:
+    none = F.lit(None).cast("binary")
+    n_det, n_obs = F.col("num_det"), F.col("num_obs")
+    masks = _column(shots, "postselection_mask", none), _column(shots, "postselected_obs_mask", none)
+
+    def own(name: str, bits: Column, count: Column, more: int = 0, optional: bool = False) -> list[Column]:
+        size = F.octet_length(bits)
+        short, long = size < B.bytes_for(count), size > B.bytes_for(count) + more
+        absent = [] if optional else [F.when(bits.isNull(), F.lit(f"no {name}"))]
+        return [*absent, F.when(short, F.lit(f"short {name}")), F.when(long, F.lit(f"long {name}")), F.when(~short & ~long & ~B.ends_clean(bits, count), F.lit(f"bits behind the {name}"))]
+
+    checks = [F.when(n_det.isNull() | n_obs.isNull(), F.lit("unknown task"))]
+    checks += own("detectors", F.col("det"), n_det) + own("observables", F.col("obs"), n_obs) + own("prediction", F.col("pred"), n_obs, more=1)
+    return checks + own("mask", masks[0], n_det, optional=True) + own("observable mask", masks[1], n_obs, optional=True)
+
+
+def classify_packed(shots: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """`classify_shots` on BINARY vectors and masks, little-endian, without making them arrays of bits.
+
+    Needs `num_det` and `num_obs`; every vector has to have the bytes that its length
+    needs, with no bit set behind it, a prediction one more if the decoder may give
+    up. Anything else stops the job (`packed_problems` lists it).
+    """
+    none = F.lit(None).cast("binary")
+    fine = F.coalesce(*_packed_checks(shots)).isNull()
+    wanted = {
+        "_det": B.words(F.col("det")),
+        "_mistakes": B.xor_words(B.words(F.col("obs")), B.words(F.substring("pred", F.lit(1), B.bytes_for(F.col("num_obs"))))),
+        "_mask": B.words(_column(shots, "postselection_mask", none)),
+        "_obs_mask": B.words(_column(shots, "postselected_obs_mask", none)),
+        "_further": F.substring("pred", B.bytes_for(F.col("num_obs")) + 1, F.lit(1)),
+    }
+    rows = shots.withColumns(wanted)
+    gave_up = F.coalesce(_column(shots, "pred_discard", F.lit(False)), F.lit(False)) | F.coalesce(F.exists(B.words(F.col("_further")), lambda w: w != 0), F.lit(False))
+    discard = B.any_masked_words(F.col("_det"), F.col("_mask")) | gave_up | B.any_masked_words(F.col("_mistakes"), F.col("_obs_mask"))
+    error = F.exists("_mistakes", lambda w: w != 0)
+    problem = F.raise_error(F.lit("a packed vector or mask does not have its declared length")).cast("string")
+    outcome = F.when(~fine, problem).when(discard, F.lit("discard")).when(error, F.lit("error")).otherwise(F.lit("ok"))
+    return (
+        rows.withColumn("_outcome", outcome)
+        .groupBy(*(keys or ["task_id"]))
+        .agg(
+            F.count("*").alias("shots"),
+            F.count_if(F.col("_outcome") == "discard").alias("discards"),
+            F.count_if(F.col("_outcome") == "error").alias("errors"),
+            F.sum(F.col("num_det").cast("bigint")).alias(CHECKED),
+            F.sum(B.popcount_words(F.col("_det"))).alias(EVENTS),
+        )
+    )
+
+
 def _combo() -> Column:
     """Counter name of the pattern of mispredicted observables."""
     flags = F.transform("mistakes", lambda m: F.when(m, F.lit("E")).otherwise(F.lit("_")))

@@ -33,6 +33,15 @@ def classify_shots(spark, sf_dir):
     return S.classify_shots(task_shots(spark, sf_dir))
 
 
+@query(WITH + CLASSIFIED)
+def classify_packed(spark, sf_dir):
+    """The same on packed bytes, by masks, differences and bit counts of whole words."""
+    rows = task_shots(spark, sf_dir)
+    names = [c for c in ("det", "obs", "pred", "postselection_mask", "postselected_obs_mask") if c in rows.columns]
+    packed = {c: F.when(F.col(c).isNotNull(), B.to_binary(B.pack_bits(F.col(c)))) for c in names}
+    return S.classify_packed(rows.withColumns({"num_det": F.size("det"), "num_obs": F.size("obs"), **packed}))
+
+
 @query(WITH + CLASSIFIED)
 def classify_joined_predictions(spark, sf_dir):
     """The same with observations and predictions in two tables."""

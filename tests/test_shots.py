@@ -1,5 +1,7 @@
+import pytest
 from pyspark.sql import functions as F
 
+from tallygrid.functions import bits as B
 from tallygrid.operators import combine as C, detectors as D, grid, profile, shots as S
 from tallygrid.schema import SHOTS, TASKS
 
@@ -131,3 +133,49 @@ def test_event_rate_from_counters(spark):
     maps = C.counters_to_map(long, "task_id")
     row = maps.select("custom_counts", C.event_rate().alias("rate")).first()
     assert row.custom_counts == {"detectors_checked": 6, "detection_events": 3} and row.rate == 0.5
+
+
+def test_packed_words_equal_the_bits(spark):
+    """Random vectors of many lengths, classified as arrays and as bytes."""
+    import random
+
+    rng, rows = random.Random(4), []
+    for k in range(400):
+        n_det, n_obs = rng.choice([1, 7, 8, 55, 56, 57, 64, 130]), rng.choice([1, 2, 8, 9])
+        bits = lambda n, p=0.5: [rng.random() < p for _ in range(n)]
+        pred = bits(n_obs, 0.2)
+        if rng.random() < 0.3:
+            pred += [False] * (-n_obs % 8) + [rng.random() < 0.05 for _ in range(8)]
+        rows.append((f"t{k % 5}", k, bits(n_det, 0.1), bits(n_obs, 0.2), pred, n_det, n_obs, rng.choice([None, bits(n_det, 0.05)]), rng.choice([None, bits(n_obs, 0.1)])))
+    kinds = "task_id string, shot_id long, det array<boolean>, obs array<boolean>, pred array<boolean>, num_det int, num_obs int, postselection_mask array<boolean>, postselected_obs_mask array<boolean>"
+    plain = spark.createDataFrame(rows, kinds)
+    vectors = ("det", "obs", "pred", "postselection_mask", "postselected_obs_mask")
+    packed = plain.withColumns({c: F.when(F.col(c).isNotNull(), B.to_binary(B.pack_bits(F.col(c)))) for c in vectors})
+    assert sorted(S.classify_packed(packed).collect()) == sorted(S.classify_shots(plain).collect())
+    assert S.packed_problems(packed).count() == 0
+
+
+def test_lengths_of_packed_vectors(spark):
+    rows = [
+        (1, b"\x01\x01", b"\x01", b"\x01", None), (2, b"", b"\x01", b"\x01", None), (3, b"\x01\x01", b"", b"\x01", None), (4, b"\x01\x01", b"\x01", None, None),
+        (5, b"\x01\xf0", b"\x01", b"\x01\x01", None), (6, b"\x01\x01", b"\x01", b"\x01\x01\x01", b"\x01\x01\x01"), (7, b"\x01\x01", b"\x01", b"\x01", b"\x00\x10"),
+    ]
+    shots = spark.createDataFrame(rows, "shot_id long, det binary, obs binary, pred binary, postselection_mask binary").selectExpr("'a' AS task_id", "*", "12 AS num_det", "2 AS num_obs")
+    found = {(r.shot_id, r.problem) for r in S.packed_problems(shots).collect()}
+    assert found == {(2, "short detectors"), (3, "short observables"), (4, "no prediction"), (5, "bits behind the detectors"), (6, "long prediction"), (6, "long mask"), (7, "bits behind the mask")}
+    assert S.classify_packed(shots.filter("shot_id = 1")).first().shots == 1
+    for bad in range(2, 8):
+        with pytest.raises(Exception, match="declared length"):
+            S.classify_packed(shots.filter(f"shot_id = {bad}")).collect()
+
+
+def test_missing_bits_and_long_masks_are_problems(spark):
+    kinds = "task_id string, shot_id long, det binary, obs binary, pred binary, postselection_mask array<boolean>"
+    rows = [("a", 1, b"\x01", b"\x00", b"\x00", None), ("a", 2, b"", b"\x00", b"\x00", [True] * 3), ("a", 3, b"\x01", b"", b"\x00", None), ("a", 4, b"\x01", b"\x00", b"\x00", [False] * 3 + [True])]
+    shots = S.unpack_shots(spark.createDataFrame(rows, kinds), 3, 1)
+    tasks = spark.createDataFrame([("a",)], "task_id string")
+    assert {(r.shot_id, r.problem) for r in S.shot_problems(shots, tasks).collect()} == {(2, "missing detectors"), (3, "missing observables"), (4, "mask behind the detectors")}
+    assert [r.outcome for r in S.label_shots(shots.filter("shot_id = 1")).collect()] == ["ok"]
+    for bad in (2, 3, 4):
+        with pytest.raises(Exception, match="missing bits"):
+            S.label_shots(shots.filter(f"shot_id = {bad}")).collect()
