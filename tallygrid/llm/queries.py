@@ -155,13 +155,7 @@ def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tallygrid.llm.packing import pack
-
-    return pack(table(spark, sf_dir, "documents"))
-
-
-def op4_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The packing of the ids of op2_byte_bpe; registered beside the ten in __spark_entry__."""
+    """The ids of op2_byte_bpe, packed."""
     import public_tokenizers
 
     from tallygrid.llm.packing import TokenIds, pack
@@ -170,6 +164,13 @@ def op4_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), encode=encode, pad=encode.pad)
 
 
+def op4_byte_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The UTF-8 bytes packed instead, a smaller job; registered beside the others in __spark_entry__."""
+    from tallygrid.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op5_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallygrid.llm.secrets import scan

@@ -10,7 +10,7 @@ import tiktoken
 
 from oracle import compare, connect
 from tallygrid.llm.bpe import read_ranks
-from tallygrid.llm.queries import ORACLES, QUERIES, table
+from tallygrid.llm.queries import ORACLES, QUERIES, op4_byte_packing, table
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -62,6 +62,15 @@ def test_leaks_hold_their_items(spark, rows):
 def test_packed_rows_hold_all_documents(spark, rows):
     out = QUERIES["op4_best_fit_packing"](spark, SF_DIR).collect()
     assert {i for r in out for i in r.doc_ids} == set(rows)
+    encoding = tiktoken.Encoding(
+        "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")), special_tokens={}
+    )
+    assert sum(r.n_tokens for r in out) == sum(len(encoding.encode_ordinary(r.text or "")) + 1 for r in rows.values())
+
+
+def test_packed_bytes_hold_all_documents(spark, rows):
+    out = op4_byte_packing(spark, SF_DIR).collect()
+    assert {i for r in out for i in r.doc_ids} == set(rows)
     assert sum(r.n_tokens for r in out) == sum(len((r.text or "").encode()) + 1 for r in rows.values())
 
 

@@ -65,7 +65,7 @@ def test_registered_query_packs_the_ids_of_the_tokenizer(spark):
     sf_dir = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
     rows = table(spark, sf_dir, "documents").select("doc_id", "text").collect()
     encode = TokenIds(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
-    packed = queries()["op4_token_packing"](spark, sf_dir).cache()
+    packed = queries()["op4_best_fit_packing"](spark, sf_dir).cache()
     for r in packed.collect():
         ids = np.frombuffer(r.ids, "<u4")
         assert len(ids) == 8192 and (ids[r.n_tokens :] == encode.pad).all() and (ids[: r.n_tokens] <= encode.eos).all()
