@@ -9,8 +9,8 @@ bounded by the longest token. Sets of threads are states, numbered when first me
 and a step is then one dictionary lookup. When the bounded table of states is full,
 unknown steps are simulated on the threads themselves.
 
-Decoding is a table lookup; a state machine over UTF-8 classes keeps an incomplete
-character for the next chunk, so that ids can be decoded as a stream.
+Decoding looks the ids up and is a stream: a state machine over UTF-8 classes keeps an
+incomplete character for the next chunk of ids.
 """
 
 from __future__ import annotations
@@ -29,6 +29,8 @@ from tallygrid.llm.text import slices
 
 # Entries a worker keeps of words that it has already encoded (per generation), and of transducer states.
 PIECES, STATES = 150_000, 40_000
+# Ids that are decoded at once.
+CHUNK_IDS = 65_536
 # Above every rank.
 NEVER = 1 << 60
 
@@ -226,8 +228,25 @@ class Utf8Stream:
         self.want, self.low, self.high = 0, 0x80, 0xBF
 
     def feed(self, chunk: bytes) -> str:
-        if not self.want and chunk.isascii():
-            return chunk.decode("ascii")
+        """The characters that are whole now. What is whole and valid is decoded at once, and only the rest byte by byte."""
+        data = self.waiting + chunk
+        cut = len(data)
+        for back in range(1, min(3, cut) + 1):
+            b = data[-back]
+            if b >= 0xC0:  # a first byte that wants more than what is there
+                if back < (2 if b < 0xE0 else 3 if b < 0xF0 else 4):
+                    cut -= back
+                break
+            if b < 0x80:
+                break
+        try:
+            text = data[:cut].decode()
+        except UnicodeDecodeError:
+            return self._step(chunk)
+        self.__init__()
+        return text + self._step(data[cut:]) if cut < len(data) else text
+
+    def _step(self, chunk: bytes) -> str:
         out, at, done = [], 0, 0
         data = self.waiting + chunk
         at = len(self.waiting)
@@ -379,16 +398,17 @@ class Codec:
 _codecs: dict[tuple, Codec] = {}
 
 
-def codec(path: str, pattern: str) -> Codec:
-    """One codec per worker process and vocabulary."""
-    if (path, pattern) not in _codecs:
-        _codecs[path, pattern] = Codec(path, pattern)
-    return _codecs[path, pattern]
+def codec(path: str, pattern: str, max_pieces: int = PIECES) -> Codec:
+    """One codec per worker process, vocabulary and size of its memory."""
+    key = path, pattern, max_pieces
+    if key not in _codecs:
+        _codecs[key] = Codec(*key)
+    return _codecs[key]
 
 
-def _encode(path: str, pattern: str, columns: list[str], names: dict[str, str]):
+def _encode(path: str, pattern: str, columns: list[str], names: dict[str, str], max_pieces: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(path, pattern)
+        own = codec(path, pattern, max_pieces)
         for batch in slices(batches):
             made: dict[str, list] = {k: [] for k in names}
             for text in batch.column("text").to_pylist():
@@ -399,20 +419,22 @@ def _encode(path: str, pattern: str, columns: list[str], names: dict[str, str]):
                 if "ids_sha256" in made:
                     made["ids_sha256"].append(hashlib.sha256(ids).hexdigest())
                 if "decoded_sha256" in made:
-                    back = own.decode_bytes(np.frombuffer(ids, "<u4").tolist())
-                    made["decoded_sha256"].append(hashlib.sha256(back).hexdigest())
+                    each = np.frombuffer(ids, "<u4").tolist()
+                    back = "".join(own.decode_stream(each[i : i + CHUNK_IDS] for i in range(0, len(each), CHUNK_IDS)))
+                    made["decoded_sha256"].append(hashlib.sha256(back.encode()).hexdigest())
             kinds = {"ids": pa.binary(), "n_tokens": pa.int64(), "ids_sha256": pa.string(), "decoded_sha256": pa.string()}
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in columns] + [pa.array(v, kinds[k]) for k, v in made.items()], columns + list(names.values()))
 
     return run
 
 
-def encode_documents(docs: DataFrame, path: str, pattern: str, with_ids: bool = False, digests: bool = True, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def encode_documents(docs: DataFrame, path: str, pattern: str, with_ids: bool = False, digests: bool = True, keep: tuple[str, ...] = ("doc_id",), max_pieces: int = PIECES) -> DataFrame:
     """Each row's `keep` columns, n_tokens, and as asked: ids (binary, little-endian 32-bit), ids_sha256, decoded_sha256.
 
     Whole texts; null counts as empty and has no ids. One pass, no shuffle; rows that
     repeat stay, and no documents give no rows. The vocabulary file is read by the
-    executors, so `path` has to exist there.
+    executors, so `path` has to exist there. A worker remembers the ids of up to
+    `max_pieces` words (twice, of two generations): more of them cost memory and save time.
     """
     small_batches(docs)
     kinds = {"ids": "binary", "n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string"}
@@ -420,10 +442,10 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, with_ids: bool =
     wanted |= {"n_tokens": "n_tokens"} | ({"ids_sha256": "ids_sha256", "decoded_sha256": "decoded_sha256"} if digests else {})
     source = docs.select(*dict.fromkeys((*keep, "text")))
     fields = ", ".join([f"`{c}` {source.schema[c].dataType.simpleString()}" for c in keep] + [f"{n} {kinds[n]}" for n in wanted])
-    return source.mapInArrow(_encode(path, pattern, list(keep), wanted), fields)
+    return source.mapInArrow(_encode(path, pattern, list(keep), wanted, max_pieces), fields)
 
 
-def decode_documents(encoded: DataFrame, path: str, pattern: str, chunk_ids: int = 65_536) -> DataFrame:
+def decode_documents(encoded: DataFrame, path: str, pattern: str, chunk_ids: int = CHUNK_IDS) -> DataFrame:
     """doc_id and text of rows with doc_id and ids, decoded chunk by chunk; null ids give an empty text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -105,7 +105,8 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     from tallygrid.llm.bpe import encode_documents
 
-    return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return encode_documents(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, max_pieces=300_000)
 
 
 @query()
