@@ -17,6 +17,8 @@ from tallygrid.session import materialize
 
 # Below this share of letters with the winning label no language is accepted.
 LEAST_SCORE = 0.3
+# Words a worker of the last stage remembers: fewer than for the tokenizer alone, as the workers hold the earlier stages' models too.
+WORDS = 50_000
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +48,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids (little-endian 32-bit) of every remaining text, with the digests of ids and of the decoded text."""
-    return bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, with_ids=True)
+    return bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, with_ids=True, max_pieces=WORDS)
 
 
 STAGES = [
