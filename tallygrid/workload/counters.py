@@ -8,7 +8,7 @@ from tallygrid.operators import checks, combine as C, compare, curves, grid, led
 from tallygrid.session import materialize
 from tallygrid.workload import query
 from tallygrid.workload.views import (
-    MAX_ERRORS, MAX_SHOTS, MIN_ERRORS, TOTALS_SQL, day_counts, fragment_sql, fragments, table,
+    MAX_ERRORS, MAX_SHOTS, MIN_ERRORS, ROUNDS_SQL, TOTALS_SQL, day_counts, fragment_sql, fragments, rounds, table,
 )
 
 FRAG = fragment_sql()
@@ -369,3 +369,31 @@ def counter_violations(spark, sf_dir):
     """counter rows outside their ranges or over a budget of 3 shots."""
     rows = event_fragments(spark, sf_dir)
     return checks.violations(rows.withColumn("day", F.col("day").cast("string")), ["strong_id", "day"], checks.stats_rules(3))
+
+
+@query("""
+    WITH seen AS (SELECT l_orderkey, l_shipdate, l_suppkey % 10 AS file FROM lineitem)
+    SELECT 'all' AS part, count(DISTINCT l_orderkey) AS n_keys, true AS near FROM seen
+    UNION ALL SELECT 'even', count(DISTINCT l_orderkey), true FROM seen WHERE file % 2 = 0""")
+def distinct_sketch(spark, sf_dir):
+    """Sketches of the ids stored per file, united over all files and over half of them, within three percent of the exact count."""
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", (F.col("l_suppkey") % 10).alias("file"))
+    stored = materialize(C.distinct_sketches(rows, ["file"], "l_orderkey"), "sketches")
+
+    def compared(part, some):
+        about = C.distinct_estimate(stored.filter(some)).select(F.lit(part).alias("part"), "about")
+        exact = rows.filter(some).agg(F.count_distinct("l_orderkey").alias("n_keys")).select(F.lit(part).alias("part"), "n_keys")
+        return exact.join(about, "part").select("part", "n_keys", (F.abs(F.col("about") - F.col("n_keys")) <= 0.03 * F.col("n_keys")).alias("near"))
+
+    return compared("all", F.lit(True)).unionByName(compared("even", F.col("file") % 2 == 0))
+
+
+@query("WITH " + ROUNDS_SQL + f""",
+    grid AS (SELECT * FROM (SELECT unnest({[*grid.ROUNDS, 6]}) AS K) CROSS JOIN (SELECT unnest({list(grid.SEQUENCE_RATES)})::DOUBLE AS p))
+    SELECT CAST(K AS BIGINT) AS K, p, count(p_partkey) AS n_parts, count(p_partkey) = 0 AS open FROM grid LEFT JOIN rounds USING (K, p) GROUP BY K, p""")
+def parameter_grid(spark, sf_dir):
+    """Every planned combination of rounds and rate, with the parts that have it; those without any are still open."""
+    planned = grid.parameter_grid(spark, K=[*grid.ROUNDS, 6], p=list(grid.SEQUENCE_RATES))
+    done = rounds(table(spark, sf_dir, "part")).groupBy("K", "p").agg(F.count("*").alias("n_parts"))
+    cells = planned.join(done, ["K", "p"], "left").na.fill(0, ["n_parts"])
+    return cells.select(F.col("K").cast("long").alias("K"), "p", "n_parts", (F.col("n_parts") == 0).alias("open"))

@@ -134,3 +134,15 @@ def test_violations_name_the_rule(spark):
     df = spark.createDataFrame([("good", 10, 1, 1, 0.1), ("many", 10, 9, 9, 0.1), ("empty", 0, 0, 0, 0.0)], "strong_id string, shots long, errors long, discards long, seconds double")
     got = {(r.strong_id, r.rule) for r in checks.violations(df, ["strong_id"], checks.stats_rules(100)).collect()}
     assert got == {("many", "errors and discards above shots"), ("empty", "no shots"), ("empty", "rate outside 0 to 1")}
+
+
+def test_stored_sketches_unite_over_runs(spark):
+    rows = spark.range(60_000).selectExpr("concat('f', id % 6) AS file", "cast(id % 20000 as string) AS strong_id")
+    sketches = C.distinct_sketches(rows, ["file"])
+    assert abs(C.distinct_estimate(sketches).first().about - 20_000) < 600
+    halves = sketches.selectExpr("*", "file < 'f3' AS run")
+    by_run = {r.run: r.about for r in C.distinct_estimate(halves, ["run"]).collect()}
+    for run, test in ((True, "file < 'f3'"), (False, "file >= 'f3'")):
+        exact = rows.filter(test).select("strong_id").distinct().count()
+        assert abs(by_run[run] - exact) <= 0.03 * exact
+    assert C.distinct_estimate(C.distinct_sketches(rows.limit(0), ["file"])).first().about in (None, 0)
