@@ -1,10 +1,12 @@
 """Exact dedup by Grace hashing: equal content meets in one bucket and is compared byte by byte.
 
 Every task first folds its own copies, so that a text held by a third of all rows
-travels once per task. The folded records are dealt to buckets by a digest. A
-bucket fills an open-addressing table up to a bound on its bytes; contents that
-find no room are written to spill files in the shared folder, are dealt anew with
-another hash, and the next level works on them alone, until nothing spills.
+travels once per task. The folded records are dealt to buckets by a digest: their
+number follows from the measured bytes, so that a bucket fills half a table, and
+Spark's sort brings each bucket's records together, on disk if need be. A bucket fills
+an open-addressing table up to a bound on its bytes; contents that find no room are
+written to spill files in the shared folder, are measured and dealt anew with another
+hash, and the next level works on them alone, until nothing spills.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallygrid.llm.frames import fresh, small_batches
@@ -25,6 +27,8 @@ from tallygrid.session import materialize
 TABLE_BYTES = 64 << 20
 # Bytes of content that a task folds before it passes its records on.
 FOLD_BYTES = 16 << 20
+# What an entry of a table takes besides its content.
+ENTRY_BYTES = 200
 
 RECORD = "digest binary, content binary, points long, id long, n_rows long"
 GROUP = "digest binary, content binary, points long, id long, n_rows long, spilled boolean, clash boolean"
@@ -62,7 +66,7 @@ class Table:
         self.best.append(best)
         self.n_rows.append(n_rows)
         self.clash.append(clash)
-        self.n_bytes += len(content) + 200
+        self.n_bytes += len(content) + ENTRY_BYTES
         if 2 * len(self.keys) > len(self.slots):
             keys, contents = self.keys, self.contents
             self.slots = np.full(4 * len(self.slots), -1, np.int64)
@@ -120,11 +124,18 @@ def _resolve(table_bytes: int):
     names = ["digest", "content", "points", "id", "n_rows", "spilled", "clash"]
     kinds = [pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_()]
 
+    def out(table: Table) -> Iterator[pa.RecordBatch]:
+        rows = [(k, c if x else None, -b[0], b[1], n, False, x) for k, c, b, n, x in zip(table.keys, table.contents, table.best, table.n_rows, table.clash)]
+        return _emit(rows, names, kinds)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = Table()
+        table, own = Table(), None
         for batch in slices(batches, "content"):
             spill = []
-            for key, content, points, doc_id, n_rows, clash in zip(*(batch.column(i).to_pylist() for i in range(6))):
+            for key, content, points, doc_id, n_rows, clash, bucket in zip(*(batch.column(i).to_pylist() for i in range(7))):
+                if bucket != own:
+                    yield from out(table)
+                    table, own = Table(), bucket
                 entry, slot, others = table.find(key, content)
                 for other in others:
                     table.clash[other] = clash = True
@@ -136,26 +147,40 @@ def _resolve(table_bytes: int):
                 else:
                     spill.append((key, content, points, doc_id, n_rows, True, clash))
             yield from _emit(spill, names, kinds)
-        rows = [(k, c if x else None, -b[0], b[1], n, False, x) for k, c, b, n, x in zip(table.keys, table.contents, table.best, table.n_rows, table.clash)]
-        yield from _emit(rows, names, kinds)
+        yield from out(table)
 
     return run
 
 
+def _partitions(spark: SparkSession) -> int:
+    """Partitions of a shuffle before adaptive execution merges the small ones."""
+    first = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    return int(first or spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _bytes(df: DataFrame, column: str) -> int:
+    """Bytes that a column's values take in tables, copies included."""
+    return df.agg(F.sum(F.coalesce(F.octet_length(column), F.lit(0)) + ENTRY_BYTES)).first()[0] or 0
+
+
 def groups(docs: DataFrame, table_bytes: int = TABLE_BYTES, fold_bytes: int = FOLD_BYTES, key_bytes: int = 32) -> DataFrame:
     """One row per different normalised content: digest, id of the row that stays, rows.
 
     `clash` marks contents that share a digest with another one; those rows carry the content.
     """
     records = docs.select("doc_id", "text").mapInArrow(_fold(key_bytes, fold_bytes), RECORD).withColumn("clash", F.lit(False))
-    done, level = None, 0
+    done, level, n_bytes = None, 0, _bytes(docs, "text")
+    parts = _partitions(docs.sparkSession)
     while True:
-        dealt = records.repartition(F.xxhash64("digest", F.lit(level)))
+        buckets = max(parts, -(-2 * n_bytes // table_bytes))
+        dealt = records.withColumn("bucket", F.pmod(F.xxhash64("digest", F.lit(level)), F.lit(buckets)))
+        dealt = dealt.repartition("bucket").sortWithinPartitions("bucket")
         written = materialize(dealt.mapInArrow(_resolve(table_bytes), GROUP), f"grace-{level}")
         resolved = written.filter("NOT spilled").drop("spilled")
         done = resolved if done is None else done.unionByName(resolved)
         spilled = written.filter("spilled")
-        if spilled.isEmpty():
+        n_bytes = _bytes(spilled, "content")
+        if not n_bytes:
             return done
         records, level = spilled.select("digest", "content", "points", "id", "n_rows", "clash"), level + 1
 
@@ -185,7 +210,8 @@ def exact_duplicates(docs: DataFrame, table_bytes: int = TABLE_BYTES, fold_bytes
     `kept`. A null doc_id orders last; where it stays, keep_id is null. Other
     columns of `docs` are ignored. No documents give no rows.
     `key_bytes` shortens the digest by which contents are dealt (tests).
-    Runs jobs: every level of the partitioning is a written table.
+    Runs jobs: a scan adds up the bytes of the texts, and every level of the
+    partitioning is a written table.
     """
     small_batches(docs)
     found = groups(docs, table_bytes, fold_bytes, key_bytes)

@@ -3,7 +3,9 @@ import re
 
 import pytest
 
+from tallygrid.llm import exact
 from tallygrid.llm.exact import drop_exact_copies, exact_duplicates
+from tallygrid.session import materialize
 
 BLANK = re.compile("[\x20\x09-\x0d]")
 
@@ -39,6 +41,16 @@ def test_small_tables_spill_level_by_level(docs, table_bytes):
     assert got(exact_duplicates(docs(rows), table_bytes=table_bytes, fold_bytes=2000)) == brute(rows)
 
 
+def test_levels_do_not_grow_with_the_rows(docs, monkeypatch):
+    levels = []
+    monkeypatch.setattr(exact, "materialize", lambda df, tag: levels.append(tag) or materialize(df, tag))
+    for n in (200, 800, 3200):
+        levels.clear()
+        rows = [(i, f"{i % (n - 20):05d}" * 200) for i in range(n)]
+        assert got(exact_duplicates(docs(rows), table_bytes=50_000, fold_bytes=20_000)) == brute(rows)
+        assert len(levels) <= 2
+
+
 @pytest.mark.parametrize("key_bytes", [0, 1])
 def test_contents_are_compared_when_digests_clash(docs, key_bytes):
     rows = some(60, 3) + [(1000 + i, f"text {i // 2}") for i in range(20)]
