@@ -29,8 +29,8 @@ from tallygrid.session import materialize
 HEAD, CLASSES, HIDDEN, ROUNDS = 1022, 32, 12, 2
 # Words whose counts are sent to every task; the counts of the others are joined.
 TABLE = 1 << 18
-# Text that is trained on, or scored, side by side: with more of it, fewer steps run for a few long documents alone.
-CHUNK_BYTES, SCORE_BYTES = 6 << 20, 12 << 20
+# Text that is hashed, or scored, side by side, and tokens that are trained on so: with more, fewer steps run for a few long documents alone.
+CHUNK_BYTES, SCORE_BYTES, TRAIN_TOKENS = 6 << 20, 12 << 20, 4 << 20
 # Parameters of one row when networks are averaged.
 BLOCK = 8192
 LN10 = float(np.log(10))
@@ -112,13 +112,22 @@ def _train(shared, squares: np.ndarray | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         corpus: Corpus = shared.value
         trainer, table, seen = Trainer(corpus.network(), squares), Table(corpus.hashes), 0
-        first = 0
+        first, waiting, held = 0, [], 0
+
+        def learn() -> None:
+            trainer.train(*(np.concatenate(x) for x in zip(*waiting)))
+            waiting.clear()
+
         for batch in chunks(batches, max_bytes=CHUNK_BYTES):
             rows, h = _tokens(batch.column("text"))
-            ids, many = corpus.targets(table.find(h), rows, batch.num_rows)
-            trainer.train(ids, many)
+            waiting.append(corpus.targets(table.find(h), rows, batch.num_rows))
             first = first or int(_marks(batch.column("text"))[0]) & 63
-            seen += len(ids)
+            seen, held = seen + len(waiting[-1][0]), held + len(waiting[-1][0])
+            if held >= TRAIN_TOKENS:
+                learn()
+                held = 0
+        if waiting:
+            learn()
         if seen:
             at = range(0, len(trainer.net.flat), BLOCK)
             flat = [trainer.net.flat[i : i + BLOCK].astype("<f4").tobytes() for i in at]
