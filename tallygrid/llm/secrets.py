@@ -24,8 +24,6 @@ TRAIN_ROWS, DICTIONARY, TREES, DEPTH = 20_000, 20_000, 20, 6
 
 _BLANK = "[\\\\x20\\\\x09-\\\\x0D]+"
 _RUN = "[A-Za-z0-9+/_=-]"
-# Words in which the closing quote of an assigned value is looked for.
-_QUOTED_WORDS = 12
 
 # Names that a credential is assigned to.
 KEY_NAMES = "token secret key passwd password pwd auth bearer credential credentials apikey api_key access_key secret_key private_key client_secret access_token".split()
@@ -84,7 +82,10 @@ def candidates(docs: DataFrame, least: int = LEAST_LENGTH) -> DataFrame:
     words = split.select("doc_id", "row", "ws", F.explode(hit).alias("x"))
     at = F.col("x.i")
     near = lambda d: get(at + d)
-    tail = F.array_join(F.slice("ws", at + 1, _QUOTED_WORDS), " ")
+    # An open quote takes the words up to the one with its partner, however many; without a partner the word stands alone.
+    quote = F.regexp_extract("x.w", f"(?:^|{_ASSIGN})([\"'`])(?:(?!\\1).)*$", 1)
+    partner = F.array_position(F.transform(F.slice("ws", at + 2, F.size("ws")), lambda w: w.contains(quote)), F.lit(True)).cast("int")
+    tail = F.array_join(F.slice("ws", at + 1, F.when(quote != "", partner + 1).otherwise(1)), " ")
     each = words.select(
         "doc_id", "row", at.alias("word_no"), F.col("x.w").alias("word"), near(-2).alias("before2"), near(-1).alias("before"), near(1).alias("after"), tail.alias("tail")
     )

@@ -66,6 +66,13 @@ def test_assigned_values_of_any_length_are_candidates(docs):
     assert got == [(1, 1, "hunter2"), (2, 3, "swordfish"), (3, 0, "two words!"), (4, 0, "abc"), (4, 0, "de"), (5, 1, "q-1"), (5, 4, "zz")]
 
 
+def test_quoted_values_of_any_length(docs):
+    value = " ".join(f"word{i}" for i in range(40))
+    rows = [(1, f'the password = "{value}" ends'), (2, f"secret='{value}' ends \"x\""), (3, 'token="don\'t tell them 1" y'), (4, 'pwd = "open and 7 never closed'), (5, "key: `a` and `b c`")]
+    got = sorted((r.doc_id, r.candidate) for r in candidates(docs(rows)).filter("named").collect())
+    assert got == [(1, value), (2, value), (3, "don't tell them 1"), (4, "open"), (5, "a")]
+
+
 def test_a_bare_key_is_no_negative_and_a_quote_no_proof(docs):
     rows = corpus() + [(300 + i, f"we found {key()} in the yard") for i in range(60)] + [(400 + i, f'the order "{RNG.randrange(10**15, 10**16)}" was sent') for i in range(60)]
     frame = docs(rows)
