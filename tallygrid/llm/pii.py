@@ -26,8 +26,8 @@ from tallygrid.session import materialize
 KINDS = ("email", "ip", "card", "phone")
 # Believed instances a pattern needs, and the confidence that patterns and instances need; turns of scoring.
 SUPPORT, CONFIDENCE, TURNS = 3, 0.8, 3
-# Digits that make a word worth asking about.
-LEAST_DIGITS = 3
+# Digits that make a word worth asking about, and that neighbouring groups have together at most (those of the longest card).
+LEAST_DIGITS, MOST_DIGITS = 3, 19
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -37,6 +37,9 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _ANY_DIGIT = re.compile(r"[0-9]")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
+# One of several groups of digits, and a word that says "at" without being an address of the base format.
+_GROUP = re.compile(r"[+(]{0,2}[0-9][0-9().-]*")
+_AT = re.compile(r"[^@]@[^@]|[(\[{<](?:at|AT|At)[)\]}>]")
 _EDGE = ".,;:!?\"'()[]{}<>|#%&$*=-"
 
 
@@ -83,21 +86,55 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
+def _digits(text: str) -> int:
+    return sum("0" <= c <= "9" for c in text)
+
+
+def _shaped(text: str, found: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """Spans that may identify somebody: words with digits or an at sign; groups of digits with a blank between are one span.
+
+    A row of groups ends at punctuation that a number does not have. One with more than
+    MOST_DIGITS digits is a table rather than a number: its words stand alone.
+    """
+
+    def row_of(group: list[tuple[int, int]]) -> list[tuple[int, int]]:
+        a, b = group[0][0], group[-1][1]
+        return [(a, b)] if len(group) > 1 and _digits(text[a:b]) <= MOST_DIGITS else group
+
+    group: list[tuple[int, int]] = []
+    for a, b in found:
+        inner = text[a:b].strip(_EDGE)
+        start = a + text[a:b].index(inner)
+        end = start + len(inner)
+        # Brackets belong to a group of digits: `(020) 7946 0018`.
+        first = a if _GROUP.fullmatch(text, a, end) else start
+        last = end + (text[end:b].startswith(")") and "(" in text[first:end])
+        plain = bool(inner) and bool(_GROUP.fullmatch(text, first, last))
+        if group and not (plain and first == a and a == group[-1][1] + 1 and text[a - 1] == " "):
+            yield from row_of(group)
+            group = []
+        if plain:
+            group.append((first, last))
+            if last < b:
+                yield from row_of(group)
+                group = []
+        elif inner and (_ANY_DIGIT.search(inner) or _AT.search(inner)):
+            yield start, end
+    if group:
+        yield from row_of(group)
+
+
 def occurrences(text: str) -> Iterator[tuple[int, int, int, str, list[str]]]:
-    """(kind or -1, start, end, instance, patterns) of base matches and of other words with digits."""
+    """(kind or -1, start, end, instance, patterns) of base matches and of other spans of their shapes."""
     base = base_spans(text)
-    if not base and not _ANY_DIGIT.search(text):
+    if not base and not _ANY_DIGIT.search(text) and not _AT.search(text):
         return
     found = [m.span() for m in _WORD.finditer(text)]
     starts, ends = [a for a, _ in found], [b for _, b in found]
     taken = sorted((a, b) for _, a, b in base)
     spans = [(k, a, b) for k, a, b in base]
-    for a, b in found:
-        word = text[a:b]
-        inner = word.strip(_EDGE)
-        if sum("0" <= c <= "9" for c in inner) >= LEAST_DIGITS:
-            a += word.index(inner)
-            b = a + len(inner)
+    for a, b in _shaped(text, found):
+        if _digits(text[a:b]) >= LEAST_DIGITS or _AT.search(text, a, b):
             at = bisect_right(taken, (a, 1 << 62))
             if (at == 0 or taken[at - 1][1] <= a) and (at == len(taken) or taken[at][0] >= b):
                 spans.append((-1, a, b))

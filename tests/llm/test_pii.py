@@ -1,7 +1,7 @@
 import random
 import re
 
-from tallygrid.llm.pii import KINDS, base_spans, find_personal_data, span_digests
+from tallygrid.llm.pii import KINDS, _shaped, base_spans, find_personal_data, span_digests
 
 
 def luhn(digits):
@@ -57,6 +57,20 @@ def test_context_finds_unseen_identifiers(docs):
     assert digests[None].spans == "email:5:12" and digests[None].n_email == 1
 
 
+def test_groups_of_digits_and_words_like_addresses(docs):
+    filler = [f"w{c}" for c in "abcdefghijklmnopqrstuvwxyz"]
+    rows = [(i, f"{filler[i]} please call me at +1 (555) 12{i:02d}-4567 any day {filler[-i]}") for i in range(20)]
+    rows += [(50 + i, f"{filler[i]} write a note to user{i}@mail.example.org before the end {filler[-i]}") for i in range(20)]
+    rows += [(100, "so please call me at 020 7946 0018 any day"), (101, "please call me at (020) 7946 0018, any day"), (102, "write a note to jane(at)example before the end"), (103, "write a note to root@localhost before the end"), (104, "a table 1 22 333 4444 55555 666666 7777777 has rows")]
+    texts = dict(rows)
+    out = {r.doc_id: [(KINDS[k], texts[r.doc_id][a:b]) for k, a, b in r.added] for r in find_personal_data(docs(rows)).collect()}
+    assert out[100] == [("phone", "020 7946 0018")] and out[101] == [("phone", "(020) 7946 0018")]
+    assert out[102] == [("email", "jane(at)example")] and out[103] == [("email", "root@localhost")]
+    assert not any(out[i] for i in [*range(20), *range(50, 70), 104])
+    shapes = [text[a:b] for text in ["tel 12 34, 56 78. (1) 2-3 x9 9\t8", "", "1 22 333 4444 55555 666666"] for a, b in _shaped(text, [m.span() for m in re.finditer("[^ \t]+", text)])]
+    assert shapes == ["12 34", "56 78", "(1) 2-3", "x9", "9", "8", "1", "22", "333", "4444", "55555", "666666"]
+
+
 def test_repeated_rows_and_empty_tables(docs):
     twice = find_personal_data(docs([(1, "1.2.3.4"), (1, "1.2.3.4"), (1, "x")])).collect()
     assert sorted(len(r.base) for r in twice) == [0, 1, 1]
