@@ -1,8 +1,9 @@
 """Benchmark decontamination on templates, so that re-parameterised questions are found too.
 
 Words lose surrounding punctuation and case. Numbers, names (capitalised inside a
-sentence) and units (after a number) become typed slots. Windows of template words
-are joined by hash between documents and benchmark; a bitmap of fixed size over the
+sentence) and units (after a number) become typed slots. A capitalised word that opens
+a sentence may be a name or not, so a window with capitals stands under both templates.
+Windows of template words are joined by hash between documents and benchmark; a bitmap of fixed size over the
 benchmark's windows keeps other windows of the documents from being shuffled. The
 slot values of matching windows then have to map one to one: a question asked
 again with other numbers does, chance matches do not.
@@ -50,13 +51,14 @@ def _unit_hashes() -> np.ndarray:
     return np.sort(word_hashes(raw, starts, ends))
 
 
-def templates(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Row, template hash, value hash and whether it is a slot, of every word that is not all punctuation."""
+def templates(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Row, template hash, value hash, whether it is a slot and whether it might be a name that opens a sentence,
+    of every word that is not all punctuation."""
     data, offsets = utf8(texts)
     starts, ends, rows = words(data, offsets)
     if not len(starts):
         none = np.zeros(0, np.int64)
-        return none, none.astype(np.uint64), none.astype(np.uint64), none.astype(bool)
+        return none, none.astype(np.uint64), none.astype(np.uint64), none.astype(bool), none.astype(bool)
     last_byte = data[ends - 1]
     breaks = np.concatenate([[0], np.cumsum(data == 0x0A, dtype=np.int32)])
     opening = np.ones(len(starts), bool)
@@ -76,7 +78,8 @@ def templates(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     upper = ((first >= 0x41) & (first <= 0x5A)) | ((first == 0xC3) & (second >= 0x80) & (second <= 0x9E))
     small = np.concatenate([[0], np.cumsum((data >= 0x61) & (data <= 0x7A), dtype=np.int32)])
     number = _DIGIT[first]
-    name = upper & ~opening & (small[ends] > small[starts])
+    upper &= small[ends] > small[starts]
+    name = upper & ~opening
     unit = np.zeros(len(starts), bool)
     after = number[:-1] & (rows[1:] == rows[:-1]) & ~number[1:]
     known = _unit_hashes()
@@ -86,25 +89,36 @@ def templates(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     name &= ~unit
     out = value.copy()
     out[number], out[name], out[unit] = _NUM, _NAME, _UNIT
-    return rows, out, value, number | name | unit
+    return rows, out, value, number | name | unit, upper & opening & ~unit
 
 
-def windows(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+Windows = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+
+
+def windows(parsed: tuple[np.ndarray, ...], n_texts: int, size: int, openings: bool = False) -> Windows:
     """Row, position and hash of every window; then the words' values, slot marks and the windows' first words.
 
-    A window in which slots outnumber the other words is too general: its values count too.
+    `openings` makes names of the words that may be some, and gives only windows with a name.
+    A window without fixed words, or with fewer than a quarter of its size, is too general: its values count too.
     """
-    rows, template, value, slot = templates(texts)
-    h, at = grams(template, rows, size, seed=size)
+    rows, template, value, slot, may = parsed
+    seed = size
+    if openings:
+        template, slot, seed = np.where(may, _NAME, template), slot | may, size + 200
+    h, at = grams(template, rows, size, seed=seed)
+    if openings and len(at):
+        many = np.concatenate([[0], np.cumsum(template == _NAME)])
+        own = many[at + size] > many[at]
+        h, at = h[own], at[own]
     if not len(at):
         none = np.zeros(0, np.int64)
         return none, none, none.astype(np.uint64), value, slot, at
-    slots = np.concatenate([[0], np.cumsum(slot)])
-    general = np.flatnonzero(2 * (slots[at + size] - slots[at]) > size)
+    fixed = np.concatenate([[0], np.cumsum(~slot)])
+    general = np.flatnonzero(fixed[at + size] - fixed[at] < max(1, size // 4))
     if len(general):
         exact, at_exact = grams(value, rows, size, seed=size + 100)
         h[general] = mix(exact[np.searchsorted(at_exact, at[general])] ^ h[general])
-    begin = np.searchsorted(rows, np.arange(len(texts)))
+    begin = np.searchsorted(rows, np.arange(n_texts))
     return rows[at], at - begin[rows[at]], h, value, slot, at
 
 
@@ -118,7 +132,7 @@ def _window_rows(ids: pa.Array, names: list[str], found, size: int, pick: np.nda
 
 
 def _benchmark(window: int):
-    """Windows of each item; an item with fewer words is one window of its own length."""
+    """Windows of each item, under both templates; an item with fewer words is one window of its own length, openings as they are."""
     names = ["item_id", "size", "pos", "hash", "slots", "n_windows"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,22 +143,25 @@ def _benchmark(window: int):
                 own = np.flatnonzero(many == size) if size < window else np.flatnonzero(many >= window)
                 if len(own):
                     part = batch.take(pa.array(own))
-                    found = windows(part.column("text"), size)
-                    out = _window_rows(part.column("item_id"), names[:5], found, size, np.arange(len(found[0])))
-                    total = np.bincount(found[0], minlength=len(own))[found[0]]
-                    yield pa.RecordBatch.from_arrays([*out.columns, pa.array(total.astype(np.int64))], names)
+                    parsed = templates(part.column("text"))
+                    for openings in (False, True) if size == window else (False,):
+                        found = windows(parsed, len(own), size, openings)
+                        out = _window_rows(part.column("item_id"), names[:5], found, size, np.arange(len(found[0])))
+                        yield pa.RecordBatch.from_arrays([*out.columns, pa.array((many[own] - size + 1)[found[0]].astype(np.int64))], names)
 
     return run
 
 
-def _candidates(shared, sizes: list[int]):
+def _candidates(shared, sizes: list[int], window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, max_bytes=SLICE_BYTES // 2):
+            parsed = templates(batch.column("text"))
             for size in sizes:
-                found = windows(batch.column("text"), size)
-                pick = np.flatnonzero(bitmap.has(shared.value, found[2]))
-                if len(pick):
-                    yield _window_rows(batch.column("doc_id"), ["doc_id", "size", "pos", "hash", "slots"], found, size, pick)
+                for openings in (False, True) if size == window else (False,):
+                    found = windows(parsed, batch.num_rows, size, openings)
+                    pick = np.flatnonzero(bitmap.has(shared.value, found[2]))
+                    if len(pick):
+                        yield _window_rows(batch.column("doc_id"), ["doc_id", "size", "pos", "hash", "slots"], found, size, pick)
 
     return run
 
@@ -179,7 +196,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: fl
     known = materialize(items.mapInArrow(_benchmark(window), f"item_id {kind}, size int, pos long, hash long, slots binary, n_windows long"), "windows")
     sizes = sorted(r[0] for r in known.select("size").distinct().collect())  # at most `window` of them
     shared = spark.sparkContext.broadcast(bitmap.build(known, "hash", filter_bits))
-    near = docs.select("doc_id", "text").mapInArrow(_candidates(shared, sizes), "doc_id long, size int, pos long, hash long, slots binary")
+    near = docs.select("doc_id", "text").mapInArrow(_candidates(shared, sizes, window), "doc_id long, size int, pos long, hash long, slots binary")
     side = known.select("hash", "size", "item_id", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"))
     met = near.join(side, ["hash", "size"]).select("doc_id", "item_id", "pos", "item_pos", "slots", "item_slots")
     met = materialize(met.mapInArrow(_pairs, f"doc_id long, item_id {kind}, pos long, item_pos long, pairs array<struct<i: long, d: long>>"), "met")
