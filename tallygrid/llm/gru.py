@@ -2,8 +2,10 @@
 
 Documents are laid side by side in lanes and stepped together; a lane takes the next
 document when one ends, with a fresh state. Training cuts the gradient after a
-window of steps and carries the state on; scoring carries it through the whole
-document.
+window of steps and carries the state on. A document longer than SEGMENT is trained
+on in several lanes: each of its later segments first reads the LEAD tokens before
+it, which bring the state up and are not learned from a second time. Scoring carries
+the state through the whole document.
 """
 
 from __future__ import annotations
@@ -16,6 +18,9 @@ END, OTHER = 0, 1
 
 F32 = np.float32
 
+# Tokens that one lane trains on in a row, and tokens before them that it reads to come to a state.
+SEGMENT, LEAD = 4096, 64
+
 
 class Network:
     """Parameters as one flat vector, so that they can be averaged, and views into it."""
@@ -78,8 +83,8 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 class Lanes:
     """Documents dealt to lanes, longest first; inputs, targets and fresh starts by step and lane."""
 
-    def __init__(self, ids: np.ndarray, lengths: np.ndarray, n_lanes: int) -> None:
-        """ids: the targets of all documents one after another, each ending with END."""
+    def __init__(self, ids: np.ndarray, lengths: np.ndarray, n_lanes: int, before: np.ndarray | None = None, own: np.ndarray | None = None) -> None:
+        """ids: the targets of all runs one after another; before: the token that each run follows, END if not given; own: which ids are learned from."""
         n_lanes = max(1, min(n_lanes, len(lengths)))
         begin = np.concatenate([[0], np.cumsum(lengths)[:-1]])
         loads = [(0, lane) for lane in range(n_lanes)]
@@ -104,13 +109,33 @@ class Lanes:
         self.y[self.slot] = ids
         x = np.empty(len(ids), ids.dtype)
         x[1:] = ids[:-1]
-        x[begin] = END
+        x[begin] = END if before is None else before
+        self.own = np.ones(len(ids), bool)
+        if own is not None:
+            self.own[self.slot] = own
         self.x = np.empty(len(ids), ids.dtype)
         self.x[self.slot] = x
         self.fresh = np.zeros(len(ids), bool)
         self.fresh[self.slot[begin]] = True
 
 
+def segments(ids: np.ndarray, lengths: np.ndarray, segment: int, lead: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Documents as runs of at most lead + segment tokens: ids, lengths, the token before each run, and which ids are its own."""
+    begin = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+    many = -(-lengths // segment)
+    doc = np.repeat(np.arange(len(lengths)), many)
+    nth = np.arange(len(doc)) - np.repeat(np.cumsum(many) - many, many)
+    start = nth * segment
+    end = np.minimum(start + segment, lengths[doc])
+    read = np.maximum(start - lead, 0)
+    size = end - read
+    at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    own = at >= np.repeat(start - read, size)
+    first = begin[doc] + read
+    before = np.where(read > 0, ids[first - 1], END)
+    return ids[at + np.repeat(first, size)], size, before, own
+
+
 def _step(net: Network, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
     n = net.hidden
     pre = net.views["emb"][x]
@@ -180,17 +205,18 @@ class Trainer:
         self.grad = np.zeros_like(net.flat)
         self.g = net.split(self.grad, net.shapes)
 
-    def train(self, ids: np.ndarray, lengths: np.ndarray, n_lanes: int = 256, window: int = 16) -> None:
+    def train(self, ids: np.ndarray, lengths: np.ndarray, n_lanes: int = 256, window: int = 16, segment: int = SEGMENT, lead: int = LEAD) -> None:
         """One pass over the documents, an update after each window of steps.
 
-        A document stays in one lane, however long, and its state goes through all of
-        it. There are no more lanes than the longest document leaves full, so that an
-        update rests on as many texts as there can be.
+        Every token is learned from once. There are no more lanes than the longest run
+        leaves full, so that an update rests on as many texts as there can be, and a
+        very long document does not hold up a task alone, step by step.
         """
         if not len(ids):
             return
+        ids, lengths, before, own = segments(ids, lengths, segment, lead)
         n_lanes = int(max(1, min(n_lanes, len(ids) // (2 * window), -(-len(ids) // lengths.max()))))
-        lanes = Lanes(ids, lengths, n_lanes)
+        lanes = Lanes(ids, lengths, n_lanes, before, own)
         self.scale = (n_lanes * window) ** -0.5
         h = np.zeros((lanes.active[0], self.net.hidden), F32)
         for t0 in range(0, lanes.steps, window):
@@ -208,7 +234,8 @@ class Trainer:
             states.append(h)
         a, b = lanes.first[steps[0]], lanes.first[steps[-1] + 1]
         self.grad[:] = 0
-        dh_out = self._output_grad(np.concatenate(states), lanes.y[a:b])
+        dh_out, states, own = np.zeros((b - a, n), F32), np.concatenate(states), lanes.own[a:b]
+        dh_out[own] = self._output_grad(states[own], lanes.y[a:b][own])
         d_in = np.empty((b - a, 3 * n), F32)
         carry = np.zeros((0, n), F32)
         for k in range(len(kept) - 1, -1, -1):

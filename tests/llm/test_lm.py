@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallygrid.llm.gru import END, Lanes, Network, Trainer, _step, log_probs
+from tallygrid.llm.gru import END, Lanes, Network, Trainer, _step, log_probs, segments
 from tallygrid.llm.lm import Table, fit, score, score_documents
 
 
@@ -129,3 +129,49 @@ def test_training_starts_anew_only_with_a_document():
     lanes = seen[0]
     assert lanes.fresh.sum() == len(lengths) and (lanes.x == END).sum() == len(lengths)
     assert (lanes.x[lanes.fresh] == END).all() and sorted(lanes.y) == sorted(ids)
+
+
+def test_long_documents_in_segments():
+    rng = np.random.default_rng(8)
+    lengths = np.array([3, 1000, 64, 65, 1, 129])
+    ids = rng.integers(1, 6, lengths.sum())
+    ids[np.cumsum(lengths) - 1] = END
+    runs, size, before, own = segments(ids, lengths, 64, 16)
+    assert (runs[own] == ids).all() and size.max() <= 64 + 16 and len(runs) == size.sum()  # every token is learned from once
+    assert (before == END).sum() >= len(lengths)
+    at = np.cumsum(lengths)[0]
+    second = size[0] + size[1]  # the second run of the long document reads the 16 tokens before it
+    assert size[2] == 64 + 16 and (runs[second : second + 16] == ids[at + 48 : at + 64]).all() and before[2] == ids[at + 47] and not own[second : second + 16].any()
+
+    # With all tokens before it read, a run comes to the state of the whole document.
+    net = Network(np.array([5, 3, 9, 7, 4, 2], float), 3, 4)
+    runs, size, before, own = segments(ids[at : at + 200], np.array([200]), 64, 1000)
+    states = {}
+    for n, (a, b) in enumerate(zip(np.cumsum(size) - size, np.cumsum(size))):
+        h = np.zeros((1, 4), np.float32)
+        for y, x in zip(runs[a:b], [before[n], *runs[a : b - 1]]):
+            h = _step(net, np.array([x]), h)[4]
+        states[n] = h
+    h, x = np.zeros((1, 4), np.float32), END
+    for k, y in enumerate(ids[at : at + 200]):
+        h, x = _step(net, np.array([x]), h)[4], y
+        if k in (63, 127, 191, 199):
+            assert np.allclose(states[(63, 127, 191, 199).index(k)], h, atol=1e-5)
+
+
+def test_gradient_leaves_out_what_is_only_read():
+    ids = np.random.default_rng(9).integers(1, 4, 40)
+    ids[-1] = END
+    trainer = Trainer(Network(np.array([5, 3, 9, 7], float), 3, 3))
+    trainer._update, trainer.scale = lambda: None, 1.0
+    own = np.arange(40) >= 30
+    trainer._window(Lanes(ids, np.array([40]), 1, np.array([END]), own), range(40), np.zeros((1, 3), np.float32))
+    assert np.abs(trainer.g["bw"]).sum() > 0 and (trainer.g["bw"][~np.isin(trainer.net.class_of, trainer.net.class_of[ids[own]])] == 0).all()
+    grad, net = trainer.grad.copy(), trainer.net
+    for k in np.random.default_rng(5).choice(len(net.flat), 40, replace=False):
+        old, ends = net.flat[k], []
+        for step in (1e-2, -1e-2):
+            net.flat[k] = old + step
+            ends.append(-log_probs(net, ids, np.array([40]))[own].sum())
+        net.flat[k] = old
+        assert (ends[0] - ends[1]) / 2e-2 == pytest.approx(grad[k], abs=3e-2)
