@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tallygrid.llm.frames import small_batches
-from tallygrid.llm.text import slices
+from tallygrid.llm.text import kept, slices
 
 # Entries a worker keeps of words that it has already encoded (per generation), and of transducer states.
 PIECES, STATES = 150_000, 40_000
@@ -395,21 +395,16 @@ class Codec:
         yield stream.end()
 
 
-_codecs: dict[tuple, Codec] = {}
-
-
 def codec(path: str, pattern: str, max_pieces: int = PIECES) -> Codec:
-    """One codec per worker process, vocabulary and size of its memory."""
+    """The worker's codec for a vocabulary and size of its memory, kept while tasks ask for it."""
     key = path, pattern, max_pieces
-    if key not in _codecs:
-        _codecs[key] = Codec(*key)
-    return _codecs[key]
+    return kept(("codec", *key), lambda: Codec(*key))
 
 
 def _encode(path: str, pattern: str, columns: list[str], names: dict[str, str], max_pieces: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern, max_pieces)
-        for batch in slices(batches):
+        for batch in slices(batches, keep=True):
             made: dict[str, list] = {k: [] for k in names}
             for text in batch.column("text").to_pylist():
                 ids = own.encode_bytes(text or "")
@@ -450,7 +445,7 @@ def decode_documents(encoded: DataFrame, path: str, pattern: str, chunk_ids: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
-        for batch in slices(batches, "ids"):
+        for batch in slices(batches, "ids", keep=True):
             texts = []
             for ids in batch.column("ids").to_pylist():
                 each = np.frombuffer(ids or b"", "<u4").tolist()

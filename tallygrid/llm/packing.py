@@ -140,7 +140,7 @@ def _pack(encode: Callable[[str], np.ndarray], capacity: int, pad: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, pieces = TaskContext.get().partitionId(), []
-        for batch in slices(batches):
+        for batch in slices(batches, keep=True):
             for doc_id, mark, text in zip(batch.column("doc_id").to_pylist(), _marks(batch.column("text")).tolist(), batch.column("text").to_pylist()):
                 ids = encode(text or "")
                 pieces += [(len(ids[a : a + capacity]), doc_id, mark, a // capacity, ids[a : a + capacity]) for a in range(0, len(ids), capacity)]

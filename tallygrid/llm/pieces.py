@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tallygrid.llm.frames import small_batches
-from tallygrid.llm.text import slices
+from tallygrid.llm.text import kept, slices
 
 # Segments a worker remembers (per generation of two, and those of one batch).
 SEGMENTS = 250_000
@@ -367,14 +367,9 @@ class Encoder:
         self.unchecked.clear()
 
 
-_encoders: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
-    """One encoder per worker process and model."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    """The worker's encoder for a model, kept while tasks ask for it."""
+    return kept(("encoder", path), lambda: Encoder(path))
 
 
 def _encode(path: str, columns: list[str], wanted: dict[str, str]):
@@ -383,7 +378,7 @@ def _encode(path: str, columns: list[str], wanted: dict[str, str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path)
         decode = own.vocabulary.decode
-        for batch in slices(batches):
+        for batch in slices(batches, keep=True):
             made: dict[str, list] = {k: [] for k in wanted}
             for ids in own.encode_all([text or "" for text in batch.column("text").to_pylist()]):
                 if "ids" in made:

@@ -39,6 +39,17 @@ def seeded(seed: int, n: int) -> np.ndarray:
     return mix((np.arange(1, n + 1, dtype=np.uint64) + np.uint64(seed * 1_000_003 + 1)) * _M1)
 
 
+_kept: list = []
+
+
+def kept(key: tuple, build):
+    """What `build` returned for this key in an earlier task of the worker. One object is kept, so that models of several operators do not add up."""
+    if not _kept or _kept[0] != key:
+        _kept.clear()
+        _kept.extend([key, build()])
+    return _kept[1]
+
+
 def release() -> None:
     """Give freed memory back to the system: a Python worker lives on for the tasks of later stages."""
     gc.collect()
@@ -49,8 +60,14 @@ def release() -> None:
         pass
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text", max_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The rows again, in slices of about max_bytes of text, so that arrays per byte stay small."""
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", max_bytes: int = SLICE_BYTES, keep: bool = False) -> Iterator[pa.RecordBatch]:
+    """The rows again, in slices of about max_bytes of text, so that arrays per byte stay small.
+
+    A task that does not `keep` what an earlier operator left in the worker frees it.
+    """
+    if not keep and _kept:
+        _kept.clear()
+        release()
     try:
         for batch in batches:
             for at, to in ranges(batch.column(column), max_bytes):

@@ -65,3 +65,16 @@ def test_round_trip_of_documents(docs, reference):
     back = decode_documents(encoded, PATH, PATTERN, chunk_ids=3).collect()
     assert sorted((r.doc_id or 0, r.text) for r in back) == sorted((i or 0, t or "") for i, t in rows)
     assert encode_documents(docs([]), PATH, PATTERN).collect() == []
+
+
+def test_a_worker_keeps_one_model():
+    from tallygrid.llm import text
+    from tallygrid.llm.bpe import codec
+
+    path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    own = codec(path, pattern, 100)
+    assert codec(path, pattern, 100) is own
+    list(text.slices(iter([]), keep=True))
+    assert codec(path, pattern, 100) is own
+    list(text.slices(iter([])))  # a task of an operator without a codec
+    assert codec(path, pattern, 100) is not own
