@@ -12,6 +12,8 @@ from tallygrid.session import broadcast_if_small
 DETECTOR_LINE = "DETECTOR"
 OBSERVABLE_LINE = "OBSERVABLE_INCLUDE"
 RECORD = r"rec\[(-\d+)\]"
+# What comes before the word of a line.
+LINE = r"(?:\A|\n)"
 
 
 def parse_targets(texts: DataFrame, text: str = "text") -> DataFrame:
@@ -23,13 +25,13 @@ def parse_targets(texts: DataFrame, text: str = "text") -> DataFrame:
     """
     problem = _problem(F.col(text))
     checked = F.when(problem.isNull(), F.col(text)).otherwise(F.raise_error(F.concat(F.lit("task "), F.coalesce("task_id", F.lit("NULL")), F.lit(": "), problem)).cast("string"))
-    lines = F.transform(F.split(checked, "\n"), F.trim)
-    detectors = F.transform(
-        F.filter(lines, lambda s: s.startswith(DETECTOR_LINE)),
-        lambda s, i: F.struct(F.lit("det").alias("kind"), i.alias("id"), s.alias("line")),
-    )
+
+    def lines(word: str) -> Column:
+        return F.regexp_extract_all("_text", F.lit(rf"{LINE}({word}[^\n]*+)"), 1)
+
+    detectors = F.transform(lines(DETECTOR_LINE), lambda s, i: F.struct(F.lit("det").alias("kind"), i.alias("id"), s.alias("line")))
     observables = F.transform(
-        F.filter(lines, lambda s: s.startswith(OBSERVABLE_LINE)),
+        lines(OBSERVABLE_LINE),
         lambda s: F.struct(
             F.lit("obs").alias("kind"),
             F.regexp_extract(s, r"\((\d+)\)", 1).cast("int").alias("id"),
@@ -37,20 +39,23 @@ def parse_targets(texts: DataFrame, text: str = "text") -> DataFrame:
         ),
     )
     return (
-        texts.select("task_id", F.explode(F.concat(detectors, observables)).alias("t"))
+        texts.select("task_id", checked.alias("_text"))
+        .select("task_id", F.explode(F.concat(detectors, observables)).alias("t"))
         .select("task_id", "t.kind", "t.id", F.explode_outer(F.regexp_extract_all("t.line", F.lit(RECORD), 1)).alias("offset"))
         .select("task_id", "kind", "id", F.col("offset").cast("int").alias("rec_offset"))
     )
 
 
+def _word(words: list[str]) -> str:
+    """Pattern of one of the words, whole."""
+    return rf"(?:{'|'.join(words)})(?=[ (\n]|\z)"
+
+
 def _problem(text: Column) -> Column:
-    """Why the targets of a text cannot be read; NULL if they can."""
-    lines = F.transform(F.split(text, "\n"), F.trim)
-    words = F.transform(lines, lambda s: F.substring_index(F.substring_index(s, " ", 1), "(", 1))
-    first = F.array_position(F.transform(words, lambda w: w.isin(DETECTOR_LINE, OBSERVABLE_LINE)), True)
-    after = F.filter(words, lambda w, i: (first > 0) & (i >= first) & w.isin(*MEASURE_WORDS))
-    return F.when(F.array_contains(words, REPEAT), F.lit("repeat blocks are not counted through")).when(
-        F.size(after) > 0, F.lit("a measurement follows a detector")
+    """Why the targets of a text cannot be read; NULL if they can. Looks at every line once."""
+    after = F.regexp_extract(text, rf"(?s){LINE}{_word([DETECTOR_LINE, OBSERVABLE_LINE])}(.*)\z", 1)
+    return F.when(text.rlike(LINE + _word([REPEAT])), F.lit("repeat blocks are not counted through")).when(
+        after.rlike(r"\n" + _word(MEASURE_WORDS)), F.lit("a measurement follows a detector")
     )
 
 

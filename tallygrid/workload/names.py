@@ -9,7 +9,7 @@ from tallygrid.operators import detectors as D, grid, profile as P
 from tallygrid.session import broadcast_if_small
 from tallygrid.sources.catalogue import split_by_name
 from tallygrid.workload import query
-from tallygrid.workload.views import ROUNDS_SQL, rounds, table
+from tallygrid.workload.views import ROUNDS_SQL, rounds, spread, table
 
 NAMED = """
     WITH named AS (
@@ -130,7 +130,7 @@ def sequence_texts(spark, sf_dir):
     part = rounds(table(spark, sf_dir, "part"))
     cells = part.select("K", "p").distinct()
     texts = cells.select("K", "p", grid.sequence_text(F.col("K"), F.col("p")).alias("text"))
-    return part.join(broadcast_if_small(texts, derived=True), ["K", "p"]).select(F.col("p_partkey").cast("string").alias("task_id"), "K", "text")
+    return spread(part).join(broadcast_if_small(texts, derived=True), ["K", "p"]).select(F.col("p_partkey").cast("string").alias("task_id"), "K", "text")
 
 
 def text_sql() -> str:

@@ -18,6 +18,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Rows of a task whose work is many times what the row takes in its file.
+TASK_ROWS = 10_000
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """The rows of a small file dealt evenly to as many tasks as they need; the file alone would be one task."""
+    return rows.repartition(max(1, -(-rows.count() // TASK_ROWS)))
+
+
 def pick(values, index: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), index.cast("int") + 1)
 
