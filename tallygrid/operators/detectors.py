@@ -79,10 +79,15 @@ def _index_lists(targets: DataFrame, kind: str, total: Column) -> DataFrame:
     one = targets.filter(F.col("kind") == kind).groupBy("task_id", "id").agg(
         F.sort_array(F.collect_list(_position(total, F.col("rec_offset")))).alias("positions")
     )
-    by_id = one.groupBy("task_id").agg(F.map_from_entries(F.collect_list(F.struct("id", "positions"))).alias("m"), F.max("id").alias("top"))
+    by_id = one.groupBy("task_id").agg(F.sort_array(F.collect_list(F.struct("id", "positions"))).alias("_named"))
     empty = F.array().cast("array<int>")
-    placed = F.transform(F.sequence(F.lit(0), F.col("top")), lambda i: F.coalesce(F.col("m")[i], empty))
-    return by_id.select("task_id", placed.alias(f"{kind}_positions"))
+
+    def after_gap(entry: Column, i: Column) -> Column:
+        """The entry's list behind an empty one for each id between it and the entry before."""
+        before = F.coalesce(F.get("_named", i - 1)["id"], F.lit(-1))
+        return F.concat(F.array_repeat(empty, entry["id"] - before - 1), F.array(entry["positions"]))
+
+    return by_id.select("task_id", F.flatten(F.transform("_named", after_gap)).alias(f"{kind}_positions"))
 
 
 def task_targets(targets: DataFrame, total: Column | int) -> DataFrame:

@@ -41,3 +41,13 @@ def test_texts_of_one_small_file_are_read_by_several_tasks(spark, tmp_path):
     texts = names.sequence_texts(spark, write_parts(spark, tmp_path, 25_000))
     per_task = [r["count"] for r in texts.groupBy(F.spark_partition_id()).count().collect()]
     assert len(per_task) == 3 and sum(per_task) == 25_000
+
+
+def test_the_layout_of_a_long_text_is_laid_in_one_pass(spark):
+    n = 30_000
+    text = "M 0 1\n" + "\n".join(["DETECTOR rec[-1] rec[-2]", "DETECTOR"] * (n // 2) + [f"OBSERVABLE_INCLUDE({i}) rec[-2]" for i in (n, 2, 2)])
+    texts = spark.createDataFrame([("t", text), ("u", "M 0 1\nDETECTOR rec[-2]"), ("v", "M 0 1\nOBSERVABLE_INCLUDE(0)")], "task_id string, text string")
+    start = time.perf_counter()
+    got = {r.task_id: (r.det_positions, r.obs_positions) for r in D.task_targets(D.parse_targets(texts), 2).collect()}
+    assert time.perf_counter() - start < 30
+    assert got == {"t": ([[0, 1], []] * (n // 2), [[], [], [0, 0]] + [[]] * (n - 3) + [[0]]), "u": ([[0]], []), "v": ([], [[]])}
