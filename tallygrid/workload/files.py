@@ -12,7 +12,7 @@ from tallygrid.session import new_path
 from tallygrid.sinks.stats import counts_as_json, write_batches, write_stats
 from tallygrid.sources import catalogue as Cat, checked as K, fragments as S
 from tallygrid.workload import query
-from tallygrid.workload.views import ROUNDS_SQL, TOTALS_SQL, day_counts, fragment_sql, fragments, rounds, table
+from tallygrid.workload.views import ROUNDS_SQL, TOTALS_SQL, day_counts, fragment_sql, fragments, rounds, spread, table
 
 FRAG = fragment_sql()
 
@@ -125,7 +125,7 @@ def duplicate_folders(spark, sf_dir):
     SELECT CAST(K AS BIGINT) AS K, p, CAST(count(*) AS BIGINT) AS n_files, CAST(sum(K) AS BIGINT) AS observables FROM rounds GROUP BY K, p""")
 def catalogue_scan(spark, sf_dir):
     """Instruction texts as they come from a catalogue, keyed by name and read for their size."""
-    part = rounds(table(spark, sf_dir, "part"))
+    part = spread(rounds(table(spark, sf_dir, "part")))
     catalogue = part.select(
         F.concat_ws("/", F.lit("sweep"), F.col("p_partkey").cast("string"), grid.sequence_name(F.col("K"), F.col("p"), "sequence")).alias("path"),
         grid.sequence_text(F.col("K"), F.col("p")).alias("text"),

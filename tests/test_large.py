@@ -4,8 +4,8 @@ import time
 
 from pyspark.sql import functions as F
 
-from tallygrid.operators import detectors as D
-from tallygrid.workload import names
+from tallygrid.operators import detectors as D, profile
+from tallygrid.workload import files, names
 
 
 def write_parts(spark, root, n):
@@ -51,3 +51,15 @@ def test_the_layout_of_a_long_text_is_laid_in_one_pass(spark):
     got = {r.task_id: (r.det_positions, r.obs_positions) for r in D.task_targets(D.parse_targets(texts), 2).collect()}
     assert time.perf_counter() - start < 30
     assert got == {"t": ([[0, 1], []] * (n // 2), [[], [], [0, 0]] + [[]] * (n - 3) + [[0]]), "u": ([[0]], []), "v": ([], [[]])}
+
+
+def test_the_catalogue_of_one_small_file_is_read_by_several_tasks(spark, tmp_path, monkeypatch):
+    per_task, plain = [], profile.profile
+
+    def counted(texts):
+        per_task.extend(r["count"] for r in texts.groupBy(F.spark_partition_id()).count().collect())
+        return plain(texts)
+
+    monkeypatch.setattr(profile, "profile", counted)
+    rows = files.catalogue_scan(spark, write_parts(spark, tmp_path, 25_000)).collect()
+    assert len(per_task) == 3 and sum(r.n_files for r in rows) == 25_000
