@@ -77,7 +77,7 @@ def start_deltas(
     `raw` may hold malformed rows (with their marks) or good ones alone. `every="60
     seconds"` keeps running at that pace; without it the query drains what is there
     and stops. Files, good rows and quarantined rows are observed while the delta is
-    written, not counted in a second pass.
+    written, not counted in a second pass, but for a batch without any good row.
     """
 
     def publish(frame: DataFrame, epoch: int) -> None:
@@ -85,9 +85,11 @@ def start_deltas(
         marked = "_corrupt" in frame.columns
         ok = is_good(frame.columns) if marked else F.lit(True)
         files = F.size(F.collect_set("file_path")) if "file_path" in frame.columns else F.lit(None).cast("int")  # bounded by the files of a trigger
-        watched = frame.observe(seen, F.count_if(ok).alias("good"), F.count_if(~ok).alias("quarantined"), F.max(F.lit(0)).alias("zero"), *([files.alias("files")] if "file_path" in frame.columns else []))
-        entries(good_rows(watched) if marked else watched).write.mode("overwrite").parquet(f"{out}/deltas/epoch={epoch}")
-        got = seen.get
+        figures = [F.count_if(ok).alias("good"), F.count_if(~ok).alias("quarantined"), F.max(F.lit(0)).alias("zero"), *([files.alias("files")] if "file_path" in frame.columns else [])]
+        watched, delta = frame.observe(seen, *figures), f"{out}/deltas/epoch={epoch}"
+        entries(good_rows(watched) if marked else watched).write.mode("overwrite").parquet(delta)
+        # Where no row is good, adaptive execution replaces the plan by an empty one that observes nothing.
+        got = frame.agg(*figures).first().asDict() if spark.read.parquet(delta).isEmpty() else seen.get
         row = [(epoch, got["good"], got["quarantined"], got.get("files"))]
         spark.createDataFrame(row, "epoch long, good long, quarantined long, files int").coalesce(1).write.mode("overwrite").parquet(f"{out}/metrics/epoch={epoch}")
         _fold_base(spark, out, epoch, fold, least_bytes)

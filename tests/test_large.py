@@ -5,8 +5,11 @@ import time
 from pyspark.sql import functions as F
 
 from tallygrid.operators import detectors as D, profile
+from tallygrid.streaming import collect as St, deltas
 from tallygrid.workload import files, names
 
+from test_files import HEADER, line, write
+
 
 def write_parts(spark, root, n):
     spark.range(n).selectExpr("id AS p_partkey", "cast(id % 50 AS int) AS p_size").coalesce(1).write.parquet(f"{root}/part.parquet")
@@ -63,3 +66,14 @@ def test_the_catalogue_of_one_small_file_is_read_by_several_tasks(spark, tmp_pat
     monkeypatch.setattr(profile, "profile", counted)
     rows = files.catalogue_scan(spark, write_parts(spark, tmp_path, 25_000)).collect()
     assert len(per_task) == 3 and sum(r.n_files for r in rows) == 25_000
+
+
+def test_an_epoch_without_good_rows_is_counted(spark, tmp_path):
+    root, out = f"{tmp_path}/in", f"{tmp_path}/out"
+    write(f"{root}/a.csv", HEADER + line(10, 1, "a") + line(7, 1, "b"))
+    write(f"{root}/b.csv", HEADER + "1\n2\n3\n")
+    write(f"{root}/c.csv", HEADER)
+    deltas.follow_totals(St.stream_raw(spark, root, files_per_trigger=1), out, f"{tmp_path}/checkpoint").awaitTermination()
+    assert sorted((r.good, r.quarantined, r.files) for r in deltas.read_metrics(spark, out).collect()) == [(0, 0, 0), (0, 3, 1), (2, 0, 1)]
+    (row,) = deltas.job_progress(spark, {"job": out}).collect()
+    assert (row.epochs, row.files, row.good, row.quarantined, row.experiments, row.shots, row.errors) == (3, 2, 2, 3, 2, 17, 2)
