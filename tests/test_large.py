@@ -77,3 +77,9 @@ def test_an_epoch_without_good_rows_is_counted(spark, tmp_path):
     assert sorted((r.good, r.quarantined, r.files) for r in deltas.read_metrics(spark, out).collect()) == [(0, 0, 0), (0, 3, 1), (2, 0, 1)]
     (row,) = deltas.job_progress(spark, {"job": out}).collect()
     assert (row.epochs, row.files, row.good, row.quarantined, row.experiments, row.shots, row.errors) == (3, 2, 2, 3, 2, 17, 2)
+
+
+def test_the_profile_of_one_small_file_is_made_by_several_tasks(spark, tmp_path):
+    rows = names.instruction_profile(spark, write_parts(spark, tmp_path, 25_000))
+    per_task = rows.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"), F.sum("n_observables").alias("obs")).collect()
+    assert len(per_task) == 3 and (sum(r.n for r in per_task), sum(r.obs for r in per_task)) == (25_000, 75_000)
