@@ -78,3 +78,62 @@ def test_a_worker_keeps_one_model():
     assert codec(path, pattern, 100) is own
     list(text.slices(iter([])))  # a task of an operator without a codec
     assert codec(path, pattern, 100) is not own
+
+
+def test_many_texts_at_once_have_the_ids_of_the_library(reference, monkeypatch):
+    import pyarrow as pa
+
+    from tallygrid.llm import bpe
+
+    monkeypatch.setattr(bpe, "BULK_WORDS", 50)
+    codec, rng = Codec(PATH, PATTERN, 7), random.Random(4)
+    parts = ["a", "the", "ing", "é", "ß", "日本", "😀", "ك", "Z", "1", "23", "!", "?", ",", "=", "'s", "don't", " ", " ", " ", "  ", "\n", "\n\n", "\t", "\r\n", "\xa0", "\x1c", "\x00", "é", "ǅ", "ª", "Ⅷ"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(40))) for _ in range(1500)]
+    texts += [None, "", " ", "\n", "a\n", "\na", "a \nb", "a\n b", "a" * 3000, "word " * 500 + "end", "x" * 33 + ". " + "x" * 31 + "!", "é" * 40 + "\n" + "日" * 11]
+    for some in (texts, [None], [""], []):
+        found = codec.encode_all(pa.array(some, pa.string()))
+        assert [list(memoryview(i).cast("I")) if i else [] for i in found] == [reference.encode_ordinary(t or "") for t in some]
+    assert codec.encode_all(pa.array(texts, pa.string()).slice(700, 3)) == [codec.encode_bytes(t) for t in texts[700:703]]
+
+
+def test_new_short_words_are_not_encoded_one_by_one(reference):
+    import numpy as np
+    import pyarrow as pa
+
+    from tallygrid.llm.bpe import codec
+    from tallygrid.llm.packing import TokenIds
+
+    rng = random.Random(5)
+    words = ["".join(rng.choice("aeiounrstlkéß") for _ in range(rng.randrange(4, 12))) + rng.choice(["", ",", "!!"]) for _ in range(3000)]
+    texts, encode = [" ".join(words[k : k + 100]) for k in range(0, 3000, 100)], TokenIds(PATH, PATTERN)
+    calls, machine = [], codec(PATH, PATTERN).transducer
+    machine.encode, plain = lambda piece: calls.append(piece) or plain(piece), machine.encode
+    try:
+        found = encode.batch(pa.array(texts))
+    finally:
+        machine.encode = plain
+    assert not calls
+    for text, ids in zip(texts, found):
+        assert ids.dtype == np.uint32 and ids.tolist() == [*reference.encode_ordinary(text), encode.eos]
+
+
+def test_letters_of_arrow_are_letters_of_the_pattern():
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    import regex
+
+    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    letters = pa.array(every, pa.large_string()).filter(pc.match_substring_regex(pa.array(every, pa.large_string()), "^\\pL$")).to_pylist()
+    assert len(letters) > 130_000 and all(map(regex.compile(r"\p{L}").fullmatch, letters))
+
+
+def test_a_vocabulary_whose_merges_miss_a_token(tmp_path):
+    import base64
+
+    import pyarrow as pa
+
+    ranks = {bytes([b]): b for b in range(256)} | {b"abcd": 256, b"bc": 257}
+    path = tmp_path / "odd.tiktoken"
+    path.write_text("".join(f"{base64.b64encode(t).decode()} {i}\n" for t, i in ranks.items()))
+    codec = Codec(str(path), PATTERN)
+    assert codec.encode_all(pa.array(["abcd", "x abcd", None])) == [codec.encode_bytes(t) for t in ("abcd", "x abcd", "")]
